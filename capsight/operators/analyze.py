@@ -149,3 +149,22 @@ def render_block(df: DataFrame | None = None) -> Column:
         F.when(F.size(c("warnings")) > 0, F.concat(F.lit("Warnings: "), F.array_join(c("warnings"), " | "))),
     )
     return F.when(c("error"), F.lit("")).otherwise(block)
+
+
+def run_analysis(captures: DataFrame, attempts: DataFrame | None = None, provider: str = "auto",
+                 fallback=R.OCR_FALLBACK_ORDER, timeout_ms: int | None = R.OCR_TIMEOUT_MS,
+                 vision: str = "heuristic", max_summary_chars: int = R.MAX_SUMMARY_CHARS,
+                 max_image_bytes: int = R.MAX_IMAGE_BYTES) -> DataFrame:
+    """The whole job: admit (A2), resolve OCR attempts (B1-B3), analyse (E3), hand off.
+
+    One shuffle on ``capture_id`` for the attempt fold; the captures side of the
+    left join is shuffled once on the same key (or broadcast by AQE when small).
+    Every capture yields one row; rejected captures carry the failure shape.
+    """
+    from capsight.operators.handoff import with_handoff
+    from capsight.operators.ocr import with_resolved_ocr
+    from capsight.sources.listing import admit
+
+    admitted = admit(captures.drop("error", "message"), max_image_bytes)
+    with_ocr = with_resolved_ocr(admitted.drop("error"), attempts, provider, fallback, timeout_ms)
+    return with_handoff(analyze(with_ocr, vision=vision, max_summary_chars=max_summary_chars))

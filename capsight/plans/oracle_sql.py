@@ -292,3 +292,85 @@ def render_block() -> str:
         "CASE WHEN len(warnings_o) > 0 THEN 'Warnings: ' || array_to_string(warnings_o, ' | ') END",
     ]
     return f"CASE WHEN error_o THEN '' ELSE concat_ws(chr(10), {', '.join(lines)}) END"
+
+
+def attempts_ctes() -> list[str]:
+    """``att``: the fixture OCR attempts (needs ``caps``)."""
+    return [
+        "attempts0 AS (SELECT c.capture_id, pr.provider, pr.rank, "
+        "CAST((c.capture_id * 37 + pr.rank * 11) % 14000 AS BIGINT) AS elapsed_ms, "
+        "CASE WHEN pr.rank = 0 AND c.capture_id % 3 <> 0 THEN '' ELSE c.ocr_text END AS text, "
+        "CASE WHEN pr.rank = 0 AND c.capture_id % 3 <> 0 THEN 'no text' ELSE '' END AS warning "
+        "FROM caps c CROSS JOIN (SELECT 'macos_vision' AS provider, 0 AS rank UNION ALL SELECT 'paddleocr', 1) pr)",
+        f"att AS (SELECT capture_id, provider, elapsed_ms, text, {clean_lines('text')} AS lines, "
+        "list_filter([warning], lambda w: w <> '') AS warnings FROM attempts0)",
+    ]
+
+
+def resolve_ctes(order: list[str], timeout_ms: int | None, out: str = "ocr") -> list[str]:
+    """A recursive fold over the ranked attempts; ``{out}`` has one row per capture."""
+    rank_case = "CASE " + " ".join(f"WHEN provider = {q(pv)} THEN {i}" for i, pv in enumerate(order)) + " END"
+    cap_case = ("CASE " + " ".join(f"WHEN a_provider = {q(pv)} THEN {c}" for pv, c in R.OCR_ATTEMPT_CAP_MS.items())
+                + f" ELSE {timeout_ms or 0} END")
+    label = ("CASE " + " ".join(f"WHEN a_provider = {q(pv)} THEN {q(lb)}" for pv, lb in R.OCR_PROVIDER_LABEL.items())
+             + " ELSE a_provider END")
+    if timeout_ms is None:
+        remaining, skip, limit, timed_out = "0", "false", "0", "false"
+    else:
+        remaining = f"greatest(0, {timeout_ms} - greatest(0, spent))"
+        skip = f"({remaining}) < {R.OCR_MIN_ATTEMPT_MS}"
+        limit = f"greatest({R.OCR_MIN_ATTEMPT_MS}, least({remaining}, {cap_case}))"
+        timed_out = f"a_elapsed > ({limit})"
+    ok = f"(NOT ({skip}) AND NOT ({timed_out}) AND ({tr('a_text')} <> '' OR len(a_lines) > 0))"
+    idle = "(stop OR done)"
+    skip_msg = (f"'Skipped ' || a_provider || ': remaining OCR budget ' || CAST(({remaining}) AS VARCHAR) || "
+                f"'ms is below {R.OCR_MIN_ATTEMPT_MS}ms'")
+    step = (
+        "SELECT capture_id, k + 1 AS k, "
+        f"CASE WHEN {idle} THEN spent WHEN {skip} THEN spent WHEN {timed_out} THEN spent + ({limit}) "
+        "ELSE spent + a_elapsed END AS spent, "
+        f"CASE WHEN {idle} THEN stop ELSE {skip} END AS stop, "
+        f"CASE WHEN {idle} THEN done ELSE {ok} END AS done, "
+        f"CASE WHEN {idle} THEN provider WHEN {ok} THEN a_provider END AS provider, "
+        f"CASE WHEN {idle} THEN text WHEN {ok} THEN a_text END AS text, "
+        f"CASE WHEN {idle} THEN lines WHEN {ok} THEN a_lines END AS lines, "
+        f"CASE WHEN {idle} THEN warnings WHEN {skip} THEN warnings || [{skip_msg}] "
+        f"WHEN {timed_out} THEN warnings || [{label} || ' failed: timed out'] ELSE warnings || a_warnings END AS warnings "
+        "FROM (SELECT f.*, r.provider AS a_provider, r.elapsed_ms AS a_elapsed, r.text AS a_text, "
+        "r.lines AS a_lines, r.warnings AS a_warnings FROM fold f JOIN ranked r "
+        "ON r.capture_id = f.capture_id AND r.k = f.k + 1) x"
+    )
+    return [
+        f"ranked AS (SELECT *, row_number() OVER (PARTITION BY capture_id ORDER BY rk) AS k "
+        f"FROM (SELECT *, {rank_case} AS rk FROM att) WHERE rk IS NOT NULL)",
+        "fold AS (SELECT capture_id, 0 AS k, CAST(0 AS BIGINT) AS spent, false AS stop, false AS done, "
+        "CAST(NULL AS VARCHAR) AS provider, CAST(NULL AS VARCHAR) AS text, CAST(NULL AS VARCHAR[]) AS lines, "
+        f"{EMPTY} AS warnings FROM (SELECT DISTINCT capture_id FROM ranked) "
+        f"UNION ALL {step})",
+        f"{out} AS (SELECT capture_id, CASE WHEN done THEN provider ELSE {q(order[0])} END AS ocr_provider, "
+        "CASE WHEN done THEN text ELSE '' END AS ocr_text, "
+        f"CASE WHEN done THEN lines ELSE {EMPTY} END AS ocr_lines, "
+        f"CASE WHEN done OR len(warnings) > 0 THEN warnings ELSE {arr((R.OCR_NO_TEXT,))} END AS ocr_warnings, "
+        "spent AS ocr_elapsed_ms FROM fold WHERE (capture_id, k) IN (SELECT capture_id, max(k) FROM fold GROUP BY capture_id))",
+    ]
+
+
+def admission(path: str = "file_path", size: str = "size_bytes", mime_col: str = "mime_type",
+              max_image_bytes: int = R.MAX_IMAGE_BYTES) -> str:
+    return (f"CASE WHEN {size} = 0 THEN 'Image file is empty (0 bytes): ' || {path} "
+            f"WHEN {size} > {max_image_bytes} THEN 'image too large: ' || CAST({size} AS VARCHAR) || ' bytes > {max_image_bytes}' "
+            f"WHEN NOT starts_with({mime_col}, 'image/') THEN 'unsupported image type: ' || {path} END")
+
+
+def pipeline_ctes(timeout_ms: int | None = R.OCR_TIMEOUT_MS, order=None, vision: str = "heuristic") -> list[str]:
+    """Admit, resolve attempts, analyse: the last CTE is ``a``."""
+    order = list(order or R.OCR_FALLBACK_ORDER)
+    return (base_ctes() + attempts_ctes() + resolve_ctes(order, timeout_ms) + [
+        f"adm AS (SELECT c.*, {admission()} AS message FROM caps c)",
+        "pin AS (SELECT adm.*, coalesce(o.ocr_provider, " + q(order[0]) + ") AS ocr_provider, "
+        "coalesce(o.ocr_text, '') AS ocr_text2, coalesce(o.ocr_lines, []::VARCHAR[]) AS ocr_lines, "
+        f"CASE WHEN o.capture_id IS NULL THEN {arr((R.OCR_NO_TEXT,))} ELSE o.ocr_warnings END AS ocr_warnings, "
+        "coalesce(o.ocr_elapsed_ms, 0) AS ocr_elapsed_ms "
+        "FROM adm LEFT JOIN ocr o ON o.capture_id = adm.capture_id)",
+        "pin2 AS (SELECT * EXCLUDE (ocr_text, ocr_text2), ocr_text2 AS ocr_text FROM pin)",
+    ] + analysis_ctes("pin2", vision=vision))

@@ -9,7 +9,7 @@ ORACLES: dict[str, str] = {}
 
 
 def _with(ctes: list[str], select: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n" + select
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + select
 
 
 def _an(select: str, vision: str = "heuristic") -> str:
@@ -59,3 +59,40 @@ ORACLES["f4_handoff"] = _an(
                                                   "chart_signals"))
     + ", src_file_name AS source_file_name, src_mime_type AS source_mime_type, "
     "CAST(src_size_bytes AS BIGINT) AS source_size_bytes FROM a")
+
+# --- A, B, E3 -----------------------------------------------------------------------
+
+ORACLES["a2_admit"] = _with(O.base_ctes(), f"SELECT capture_id, file_path, mime_type, ({O.admission()}) IS NOT NULL AS error, "
+                            f"{O.admission()} AS message FROM caps")
+
+
+def _ocr_select(src: str = "ocr") -> str:
+    return (f"SELECT capture_id, ocr_provider, ocr_text, array_to_string(ocr_lines, chr(10)) AS ocr_lines, "
+            f"{j('ocr_warnings')} AS ocr_warnings, ocr_elapsed_ms FROM {src}")
+
+
+_B = O.base_ctes() + O.attempts_ctes()
+ORACLES["b1_resolve_ocr"] = _with(_B + O.resolve_ctes(list(R.OCR_FALLBACK_ORDER), None), _ocr_select())
+for _ms in (30000, 5000, 1000):
+    ORACLES[f"b2_resolve_ocr_budget_{_ms}"] = _with(_B + O.resolve_ctes(list(R.OCR_FALLBACK_ORDER), _ms), _ocr_select())
+ORACLES["b3_provider_order_paddleocr"] = _with(_B + O.resolve_ctes(["paddleocr", "macos_vision"], 30000), _ocr_select())
+ORACLES["b3_provider_disabled"] = _with(O.base_ctes(), f"SELECT capture_id, 'disabled' AS ocr_provider, '' AS ocr_text, "
+                                        f"'' AS ocr_lines, {O.q(R.OCR_DISABLED)} AS ocr_warnings, "
+                                        "CAST(0 AS BIGINT) AS ocr_elapsed_ms FROM caps")
+ORACLES["b4_clean_ocr"] = _with(_B, f"SELECT capture_id, provider, {O.tr('text')} AS clean_text, "
+                                f"array_to_string({O.clean_lines('text')}, chr(10)) AS lines_text FROM att")
+_extra = ("list_filter([CASE WHEN elapsed_ms > 8000 THEN 'slow attempt' END, ' ', 'elapsed ' || CAST(elapsed_ms AS VARCHAR), "
+          "'a', 'b', 'c', 'd'], lambda x: x IS NOT NULL)")
+_merged = f"list_filter(warnings || {_extra}, lambda w: {O.tr('w')} <> '')"
+ORACLES["b5_merge_warnings"] = _with(_B, f"SELECT capture_id, provider, {j(_merged)} AS all_warnings, "
+                                     f"{j(f'list_slice({_merged}, 1, 5)')} AS first_warnings FROM att")
+
+FLAT_ANALYSIS = (
+    f"SELECT capture_id, error_o AS error, message, kind_o AS kind, confidence_o AS confidence, "
+    f"{j('reasons_o')} AS reasons, summary_o AS summary, ocr_provider, ocr_text_o AS ocr_text, "
+    f"{j('warnings_o')} AS warnings, "
+    + ", ".join(f"{j(c + '_o')} AS {c}" for c in ("entities", "ui_elements", "risk_flags", "layout_hints",
+                                                   "table_hints", "chart_hints", "table_preview", "chart_signals"))
+    + f", {O.key_fields_text()} AS key_fields, title_h AS title, {j('tags_h')} AS tags, save_target, save_confidence "
+    "FROM a")
+ORACLES["e3_analyze"] = _with(O.pipeline_ctes(), FLAT_ANALYSIS)

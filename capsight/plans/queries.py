@@ -165,3 +165,103 @@ def f4(spark, sf_dir):
 @query("f5_render_handoff")
 def f5(spark, sf_dir):
     return analyzed(spark, sf_dir).select("capture_id", render_handoff().alias("handoff_block"))
+
+
+# --- A. sources -------------------------------------------------------------------
+
+@query("a2_admit")
+def a2(spark, sf_dir):
+    from capsight.sources.listing import admit
+    df = admit(fx.captures(spark, sf_dir))
+    return df.select("capture_id", "file_path", "mime_type", "error", "message")
+
+
+def media_requests(spark, sf_dir) -> DataFrame:
+    """Every media path named in any message (with repeats)."""
+    from capsight.operators.context import media_mentions
+    return media_mentions(fx.messages(spark, sf_dir))
+
+
+@query("a3_unresolved_requests")
+def a3(spark, sf_dir):
+    from capsight.sources.listing import unresolved_requests
+    return unresolved_requests(media_requests(spark, sf_dir), fx.captures(spark, sf_dir))
+
+
+# --- B. OCR attempts ------------------------------------------------------------
+
+def _ocr_out(df: DataFrame) -> DataFrame:
+    return df.select("capture_id", "ocr_provider", "ocr_text", j("ocr_lines", "\n").alias("ocr_lines"),
+                     j("ocr_warnings").alias("ocr_warnings"), "ocr_elapsed_ms")
+
+
+@query("b1_resolve_ocr")
+def b1(spark, sf_dir):
+    from capsight.operators.ocr import resolve_ocr
+    return _ocr_out(resolve_ocr(fx.attempts(spark, sf_dir), timeout_ms=None))
+
+
+def _budget(ms):
+    def run(spark, sf_dir):
+        from capsight.operators.ocr import resolve_ocr
+        return _ocr_out(resolve_ocr(fx.attempts(spark, sf_dir), timeout_ms=ms))
+    return run
+
+
+for _ms in (30000, 5000, 1000):
+    QUERIES[f"b2_resolve_ocr_budget_{_ms}"] = _budget(_ms)
+
+
+@query("b3_provider_order_paddleocr")
+def b3(spark, sf_dir):
+    from capsight.operators.ocr import resolve_ocr
+    return _ocr_out(resolve_ocr(fx.attempts(spark, sf_dir), provider="paddleocr"))
+
+
+@query("b3_provider_disabled")
+def b3_disabled(spark, sf_dir):
+    from capsight.operators.ocr import with_resolved_ocr
+    return _ocr_out(with_resolved_ocr(fx.captures(spark, sf_dir), None, provider="disabled"))
+
+
+@query("b4_clean_ocr")
+def b4(spark, sf_dir):
+    from capsight.operators.ocr import clean_ocr
+    df = clean_ocr(fx.attempts(spark, sf_dir).withColumn("lines", F.split("text", "\n")))
+    return df.select("capture_id", "provider", "clean_text", "lines_text")
+
+
+@query("b5_merge_warnings")
+def b5(spark, sf_dir):
+    from capsight.operators.ocr import merge_warnings
+    df = fx.attempts(spark, sf_dir)
+    extra = F.array(F.when(F.col("elapsed_ms") > 8000, F.lit("slow attempt")), F.lit(" "),
+                    F.concat(F.lit("elapsed "), F.col("elapsed_ms").cast("string")), F.lit("a"), F.lit("b"),
+                    F.lit("c"), F.lit("d"))
+    extra = F.array_compact(extra)
+    return df.select("capture_id", "provider",
+                     j(merge_warnings(F.col("warnings"), extra)).alias("all_warnings"),
+                     j(merge_warnings(F.col("warnings"), extra, limit=5)).alias("first_warnings"))
+
+
+# --- E3. the whole analysis job ---------------------------------------------------
+
+def analysis_job(spark, sf_dir, **kw) -> DataFrame:
+    from capsight.operators.analyze import run_analysis
+    return run_analysis(fx.captures(spark, sf_dir), fx.attempts(spark, sf_dir), **kw)
+
+
+def flat_analysis(df: DataFrame) -> DataFrame:
+    return df.select(
+        "capture_id", "error", "message", "kind", "confidence", j("reasons").alias("reasons"), "summary",
+        "ocr_provider", "ocr_text", j("warnings").alias("warnings"),
+        *[j(c).alias(c) for c in ("entities", "ui_elements", "risk_flags", "layout_hints", "table_hints",
+                                  "chart_hints", "table_preview", "chart_signals")],
+        key_fields_text(F.col("key_fields")).alias("key_fields"),
+        "title", j("tags").alias("tags"), "save_target", "save_confidence",
+    )
+
+
+@query("e3_analyze")
+def e3(spark, sf_dir):
+    return flat_analysis(analysis_job(spark, sf_dir))
