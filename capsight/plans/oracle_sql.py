@@ -362,11 +362,13 @@ def admission(path: str = "file_path", size: str = "size_bytes", mime_col: str =
             f"WHEN NOT starts_with({mime_col}, 'image/') THEN 'unsupported image type: ' || {path} END")
 
 
-def pipeline_ctes(timeout_ms: int | None = R.OCR_TIMEOUT_MS, order=None, vision: str = "heuristic") -> list[str]:
+def pipeline_ctes(timeout_ms: int | None = R.OCR_TIMEOUT_MS, order=None, vision: str = "heuristic",
+                  hint: str | None = None) -> list[str]:
     """Admit, resolve attempts, analyse: the last CTE is ``a``."""
     order = list(order or R.OCR_FALLBACK_ORDER)
+    src = "caps" if hint is None else f"(SELECT * REPLACE ({q(hint)} AS hint) FROM caps)"
     return (base_ctes() + attempts_ctes() + resolve_ctes(order, timeout_ms) + [
-        f"adm AS (SELECT c.*, {admission()} AS message FROM caps c)",
+        f"adm AS (SELECT c.*, {admission()} AS message FROM {src} c)",
         "pin AS (SELECT adm.*, coalesce(o.ocr_provider, " + q(order[0]) + ") AS ocr_provider, "
         "coalesce(o.ocr_text, '') AS ocr_text2, coalesce(o.ocr_lines, []::VARCHAR[]) AS ocr_lines, "
         f"CASE WHEN o.capture_id IS NULL THEN {arr((R.OCR_NO_TEXT,))} ELSE o.ocr_warnings END AS ocr_warnings, "
@@ -374,3 +376,68 @@ def pipeline_ctes(timeout_ms: int | None = R.OCR_TIMEOUT_MS, order=None, vision:
         "FROM adm LEFT JOIN ocr o ON o.capture_id = adm.capture_id)",
         "pin2 AS (SELECT * EXCLUDE (ocr_text, ocr_text2), ocr_text2 AS ocr_text FROM pin)",
     ] + analysis_ctes("pin2", vision=vision))
+
+
+def handoff_json() -> str:
+    """The handoff record as compact JSON; absent key fields are omitted."""
+    kf = nonnull(*[f"CASE WHEN {k}_o IS NOT NULL THEN '\"{k}\":' || CAST(to_json({k}_o) AS VARCHAR) END"
+                   for k in R.KEY_FIELD_NAMES])
+    kf_json = f"json('{{' || array_to_string({kf}, ',') || '}}')"
+    return (f"CAST(to_json(struct_pack(schema := {q(R.HANDOFF_SCHEMA)}, kind := kind_o, title := title_h, "
+            "summary := summary_o, tags := tags_h, save_hints := struct_pack(suggested_target := save_target, "
+            "reason := save_reason, confidence := save_confidence), "
+            f"extracted := struct_pack(key_fields := {kf_json}, entities := entities_o, ui_elements := ui_elements_o, "
+            "risk_flags := risk_flags_o, table_preview := table_preview_o, chart_signals := chart_signals_o), "
+            "source := struct_pack(file_name := src_file_name, mime_type := src_mime_type, "
+            "size_bytes := CAST(src_size_bytes AS BIGINT)))) AS VARCHAR)")
+
+
+def media_pattern() -> str:
+    from capsight.functions.text import W
+    return q(R.MEDIA_PATH_PATTERN.replace("{W}", W))
+
+
+def recent_media_ctes(max_messages: int, max_images: int, out: str = "media", by_turn: bool = False) -> list[str]:
+    """Recent media per conversation (or per conversation and as-of turn)."""
+    msgs = f"msgs AS ({fixture_messages()})"
+    if by_turn:
+        keys = "conv_id, as_of"
+        win = ("SELECT a.conv_id, a.as_of, m.turn, m.text, row_number() OVER (PARTITION BY a.conv_id, a.as_of "
+               "ORDER BY m.turn DESC) AS recency FROM (SELECT DISTINCT conv_id, turn AS as_of FROM msgs) a "
+               "JOIN msgs m ON m.conv_id = a.conv_id AND m.turn <= a.as_of")
+    else:
+        keys = "conv_id"
+        win = "SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS recency FROM msgs"
+    return [
+        msgs,
+        f"rm AS ({win})",
+        f"men AS (SELECT {keys}, recency, unnest(ps) AS raw, unnest(range(len(ps))) AS idx FROM "
+        f"(SELECT *, regexp_extract_all(text, {media_pattern()}, 1) AS ps FROM rm WHERE recency <= {max_messages}))",
+        f"men2 AS (SELECT {keys}, recency, idx, {tr('raw')} AS file_path FROM men WHERE {tr('raw')} <> '')",
+        f"fs AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {keys}, file_path ORDER BY recency, idx) AS r "
+        "FROM men2) WHERE r = 1)",
+        f"kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY recency, idx) AS rn FROM fs) "
+        f"WHERE rn <= {max_images})",
+        f"{out} AS (SELECT {keys}, CAST(count(*) OVER (PARTITION BY {keys}) - rn + 1 AS INTEGER) AS media_pos, "
+        "file_path FROM kept)",
+    ]
+
+
+def context_ctes(ocr_timeout_ms: int = R.OCR_TIMEOUT_MS) -> list[str]:
+    """``entries``: one context entry per recent media row."""
+    limit = max(R.CONTEXT_MIN_TIMEOUT_MS, min(ocr_timeout_ms, R.CONTEXT_MAX_TIMEOUT_MS))
+    base = "regexp_extract(m.file_path, '([^/]*)$', 1)"
+    failed = lambda detail: (f"'[Image]' || chr(10) || 'Kind: analysis_failed' || chr(10) || 'Summary: Failed to analyze ' "
+                             f"|| {base} || '.' || chr(10) || 'Warnings: ' || {detail}")
+    timed = (f"'[Image]' || chr(10) || 'Kind: analysis_timed_out' || chr(10) || 'Summary: Auto image analysis timed out for ' "
+             f"|| {base} || '; continuing without OCR-backed context.' || chr(10) || 'Warnings: auto_context_timeout_{limit}ms'")
+    status = (f"CASE WHEN an.file_path IS NULL THEN 'analysis_failed' WHEN an.ocr_elapsed_ms > {limit} THEN 'analysis_timed_out' "
+              f"WHEN NOT an.error_o AND {tr('an.blk')} <> '' THEN 'ok' ELSE 'analysis_failed' END")
+    return (recent_media_ctes(R.MAX_RECENT_MESSAGES, R.MAX_IMAGE_COUNT)
+            + pipeline_ctes(ocr_timeout_ms, hint=R.CONTEXT_HINT)
+            + [f"an AS (SELECT file_path, error_o, message, ocr_elapsed_ms, {render_block()} AS blk, {handoff_json()} AS hj FROM a)",
+               f"ent0 AS (SELECT m.conv_id, m.media_pos, m.file_path, {status} AS status, an.blk, an.hj, an.message, "
+               "an.file_path IS NULL AS missing FROM media m LEFT JOIN an ON an.file_path = m.file_path)",
+               f"entries AS (SELECT conv_id, media_pos, file_path, status, CASE WHEN status = 'ok' THEN blk || chr(10) || chr(10) "
+               f"|| '[VisionHandoff]' || chr(10) || hj WHEN status = 'analysis_timed_out' THEN {timed.replace('m.file_path', 'e.file_path')} "
+               f"ELSE {failed("coalesce(message, CASE WHEN missing THEN 'file not found: ' || e.file_path END, 'structured analysis returned no image block')").replace('m.file_path', 'e.file_path')} END AS entry FROM ent0 e)"])

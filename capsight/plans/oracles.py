@@ -96,3 +96,73 @@ FLAT_ANALYSIS = (
     + f", {O.key_fields_text()} AS key_fields, title_h AS title, {j('tags_h')} AS tags, save_target, save_confidence "
     "FROM a")
 ORACLES["e3_analyze"] = _with(O.pipeline_ctes(), FLAT_ANALYSIS)
+
+# --- G. comparison ---------------------------------------------------------------------
+
+
+def _compare_ctes() -> list[str]:
+    ent_first = ("fv_{c} AS (SELECT f.group_id, unnest(f.{c}) AS v, unnest(range(len(f.{c}))) AS idx FROM m2 f "
+                 "JOIN (SELECT group_id, min(pos) AS p FROM m2 GROUP BY group_id) mn ON f.group_id = mn.group_id AND f.pos = mn.p)")
+    shared = ("sh_{c} AS (SELECT fv.group_id, string_agg(fv.v, ', ' ORDER BY fv.idx) AS shared FROM fv_{c} fv JOIN sz "
+              "ON sz.group_id = fv.group_id WHERE (SELECT count(*) FROM m2 WHERE m2.group_id = fv.group_id "
+              "AND list_contains(m2.{c}, fv.v)) = sz.n GROUP BY fv.group_id)")
+    return O.pipeline_ctes() + [
+        "mem AS (SELECT group_id, pos, kind_o AS kind, title_h AS title, save_target, src_file_name AS file_name, "
+        "entities_o AS entities, tags_h AS tags FROM a)",
+        "sz AS (SELECT group_id, count(*) AS n FROM mem GROUP BY group_id HAVING count(*) >= 2)",
+        "m2 AS (SELECT mem.* FROM mem JOIN sz USING (group_id))",
+        "kd AS (SELECT group_id, string_agg(kind, ', ' ORDER BY fp) AS kinds, count(*) AS nk, "
+        "min_by(kind, fp) AS first_kind FROM (SELECT group_id, kind, min(pos) AS fp FROM m2 GROUP BY ALL) GROUP BY group_id)",
+        "ls AS (SELECT group_id, string_agg(kind, ' vs ' ORDER BY pos) AS kl, string_agg(title, ' vs ' ORDER BY pos) AS tl, "
+        "string_agg(save_target, ' vs ' ORDER BY pos) AS sl, string_agg(file_name || ':' || kind, ' | ' ORDER BY pos) AS cl, "
+        "count(DISTINCT title) AS nt, count(DISTINCT save_target) AS ns, bool_or(save_target = 'knowledge') AS ak, "
+        "bool_or(save_target = 'memory') AS am FROM m2 GROUP BY group_id)",
+        ent_first.format(c="entities"), ent_first.format(c="tags"),
+        shared.format(c="entities"), shared.format(c="tags"),
+        "cmp AS (SELECT sz.group_id, sz.n, kd.kinds, kd.nk, kd.first_kind, ls.*, coalesce(se.shared, '') AS shared_entities, "
+        "coalesce(st.shared, '') AS shared_tags FROM sz JOIN kd USING (group_id) JOIN ls USING (group_id) "
+        "LEFT JOIN sh_entities se ON se.group_id = sz.group_id LEFT JOIN sh_tags st ON st.group_id = sz.group_id)",
+        "cmp2 AS (SELECT *, CASE WHEN nk = 1 THEN 'Compared ' || CAST(n AS VARCHAR) || ' images of the same kind: ' || first_kind || '.' "
+        "ELSE 'Compared ' || CAST(n AS VARCHAR) || ' images across kinds: ' || kinds || '.' END AS summary, nk = 1 AS same_kind, "
+        "array_to_string(list_filter([CASE WHEN nk = 1 THEN 'all images classified as ' || first_kind END, "
+        "CASE WHEN shared_entities <> '' THEN 'shared entities: ' || shared_entities END, "
+        "CASE WHEN shared_tags <> '' THEN 'shared tags: ' || shared_tags END], lambda x: x IS NOT NULL), ' | ') AS similarities, "
+        "array_to_string(list_filter([CASE WHEN nk > 1 THEN 'kind mismatch: ' || kl END, "
+        "CASE WHEN nt > 1 THEN 'titles differ: ' || tl END, CASE WHEN ns > 1 THEN 'save targets differ: ' || sl END], "
+        "lambda x: x IS NOT NULL), ' | ') AS differences, "
+        "CASE WHEN ak THEN 'knowledge' WHEN am THEN 'memory' ELSE 'none' END AS save_recommendation FROM cmp)",
+    ]
+
+
+ORACLES["g1_compare_groups"] = _with(_compare_ctes(), (
+    "SELECT group_id, CAST(n AS BIGINT) AS n_members, summary, same_kind, kinds, similarities, differences, "
+    "save_recommendation, cl AS compared FROM cmp2"))
+ORACLES["g2_shared_values"] = _with(_compare_ctes(), "SELECT group_id, shared_entities, shared_tags FROM cmp2")
+ORACLES["g3_differences"] = _with(_compare_ctes(), "SELECT group_id, differences FROM cmp2")
+ORACLES["g4_save_recommendation"] = _with(_compare_ctes(), "SELECT group_id, save_recommendation FROM cmp2")
+ORACLES["g5_render_compare"] = _with(_compare_ctes(), (
+    "SELECT group_id, concat_ws(chr(10), '[ImageCompare]', 'Summary: ' || summary, "
+    "'SameKind: ' || CASE WHEN same_kind THEN 'true' ELSE 'false' END, 'Kinds: ' || kinds, "
+    "'Similarities: ' || CASE WHEN similarities <> '' THEN similarities ELSE '(none)' END, "
+    "'Differences: ' || CASE WHEN differences <> '' THEN differences ELSE '(none)' END, "
+    "'SaveRecommendation: ' || save_recommendation, 'Compared: ' || cl) AS compare_block FROM cmp2"))
+
+# --- H. recent-media context ---------------------------------------------------------
+
+ORACLES["h1_recent_media"] = _with(O.recent_media_ctes(8, 4), "SELECT conv_id, media_pos, file_path FROM media")
+ORACLES["h1_recent_media_3_2"] = _with(O.recent_media_ctes(3, 2), "SELECT conv_id, media_pos, file_path FROM media")
+ORACLES["h2_recent_media_by_turn"] = _with(O.recent_media_ctes(8, 4, by_turn=True),
+                                           "SELECT conv_id, as_of AS turn, media_pos, file_path FROM media")
+ORACLES["h2_recent_media_by_turn_3_2"] = _with(O.recent_media_ctes(3, 2, by_turn=True),
+                                               "SELECT conv_id, as_of AS turn, media_pos, file_path FROM media")
+ORACLES["h3_context_entries"] = _with(O.context_ctes(), "SELECT conv_id, media_pos, file_path, status, entry FROM entries")
+ORACLES["h4_conversation_context"] = _with(O.context_ctes(), (
+    "SELECT conv_id, CAST(count(*) AS BIGINT) AS n_entries, "
+    + O.q("\n".join(R.CONTEXT_PREAMBLE) + "\n\n").replace("\n", "' || chr(10) || '")
+    + " || string_agg(entry, chr(10) || chr(10) ORDER BY media_pos) AS context FROM entries GROUP BY conv_id"))
+
+ORACLES["a3_unresolved_requests"] = _with(O.base_ctes() + [
+    f"msgs AS ({O.fixture_messages()})",
+    f"req AS (SELECT DISTINCT {O.tr('raw')} AS file_path FROM (SELECT unnest(regexp_extract_all(text, {O.media_pattern()}, 1)) "
+    f"AS raw FROM msgs) WHERE {O.tr('raw')} <> '')",
+], "SELECT file_path, 'file not found: ' || file_path AS message FROM req WHERE file_path NOT IN (SELECT file_path FROM caps)")

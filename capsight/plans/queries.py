@@ -265,3 +265,85 @@ def flat_analysis(df: DataFrame) -> DataFrame:
 @query("e3_analyze")
 def e3(spark, sf_dir):
     return flat_analysis(analysis_job(spark, sf_dir))
+
+
+# --- G. group comparison ------------------------------------------------------------
+
+def compared(spark, sf_dir) -> DataFrame:
+    from capsight.operators.compare import compare_groups
+    return compare_groups(analysis_job(spark, sf_dir))
+
+
+@query("g1_compare_groups")
+def g1(spark, sf_dir):
+    df = compared(spark, sf_dir)
+    return df.select("group_id", F.col("n_members").cast("long").alias("n_members"), "summary", "same_kind",
+                     j("kinds", ", ").alias("kinds"), j("similarities", " | ").alias("similarities"),
+                     j("differences", " | ").alias("differences"), "save_recommendation", "compared")
+
+
+@query("g2_shared_values")
+def g2(spark, sf_dir):
+    df = compared(spark, sf_dir)
+    return df.select("group_id", j("shared_entities", ", ").alias("shared_entities"),
+                     j("shared_tags", ", ").alias("shared_tags"))
+
+
+@query("g3_differences")
+def g3(spark, sf_dir):
+    return compared(spark, sf_dir).select("group_id", j("differences", " | ").alias("differences"))
+
+
+@query("g4_save_recommendation")
+def g4(spark, sf_dir):
+    return compared(spark, sf_dir).select("group_id", "save_recommendation")
+
+
+@query("g5_render_compare")
+def g5(spark, sf_dir):
+    from capsight.operators.compare import render_compare
+    return compared(spark, sf_dir).select("group_id", render_compare().alias("compare_block"))
+
+
+# --- H. recent-media context -----------------------------------------------------------
+
+@query("h1_recent_media")
+def h1(spark, sf_dir):
+    from capsight.operators.context import recent_media
+    return recent_media(fx.messages(spark, sf_dir))
+
+
+@query("h1_recent_media_3_2")
+def h1_small(spark, sf_dir):
+    from capsight.operators.context import recent_media
+    return recent_media(fx.messages(spark, sf_dir), max_messages=3, max_images=2)
+
+
+@query("h2_recent_media_by_turn")
+def h2(spark, sf_dir):
+    from capsight.operators.context import recent_media_by_turn
+    return recent_media_by_turn(fx.messages(spark, sf_dir))
+
+
+@query("h2_recent_media_by_turn_3_2")
+def h2_small(spark, sf_dir):
+    from capsight.operators.context import recent_media_by_turn
+    return recent_media_by_turn(fx.messages(spark, sf_dir), max_messages=3, max_images=2)
+
+
+def entries(spark, sf_dir) -> DataFrame:
+    from capsight.operators.context import context_entries, recent_media
+    media = recent_media(fx.messages(spark, sf_dir))
+    return context_entries(media, fx.captures(spark, sf_dir), fx.attempts(spark, sf_dir))
+
+
+@query("h3_context_entries")
+def h3(spark, sf_dir):
+    return entries(spark, sf_dir)
+
+
+@query("h4_conversation_context")
+def h4(spark, sf_dir):
+    from capsight.operators.context import conversation_context
+    df = conversation_context(entries(spark, sf_dir))
+    return df.select("conv_id", F.col("n_entries").cast("long").alias("n_entries"), "context")
