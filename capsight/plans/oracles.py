@@ -166,3 +166,30 @@ ORACLES["a3_unresolved_requests"] = _with(O.base_ctes() + [
     f"req AS (SELECT DISTINCT {O.tr('raw')} AS file_path FROM (SELECT unnest(regexp_extract_all(text, {O.media_pattern()}, 1)) "
     f"AS raw FROM msgs) WHERE {O.tr('raw')} <> '')",
 ], "SELECT file_path, 'file not found: ' || file_path AS message FROM req WHERE file_path NOT IN (SELECT file_path FROM caps)")
+
+# --- I, K ------------------------------------------------------------------------------
+
+
+def _fp(prefix: str = "") -> str:
+    return (f"sha1(CAST(to_json(struct_pack(file_path := {prefix}file_path, size_bytes := CAST({prefix}size_bytes AS BIGINT), "
+            f"modified_ms := CAST({prefix}modified_ms AS BIGINT), hint := coalesce({prefix}hint, ''), "
+            f"ocr := struct_pack(provider := 'auto', fallback_order := {O.arr(R.OCR_FALLBACK_ORDER)}, "
+            f"timeout_ms := {R.OCR_TIMEOUT_MS}), vision := struct_pack(provider := 'heuristic'), "
+            f"max_summary_chars := {R.MAX_SUMMARY_CHARS})) AS VARCHAR))")
+
+
+ORACLES["i1_fingerprint"] = _with(O.base_ctes(), f"SELECT capture_id, {_fp()} AS fingerprint FROM caps")
+ORACLES["i2_analyze_incremental"] = _with(O.pipeline_ctes(), (
+    FLAT_ANALYSIS.replace(" FROM a", "") + f", {_fp()} AS fingerprint, (capture_id % 3 = 0 AND NOT error_o) AS from_store FROM a"))
+ORACLES["i3_retain_newest"] = _with(O.pipeline_ctes(), (
+    f"SELECT {_fp()} AS fingerprint, capture_id, CAST(modified_ms AS BIGINT) AS analyzed_ms FROM a WHERE NOT error_o "
+    f"ORDER BY modified_ms DESC, fingerprint LIMIT 64"))
+ORACLES["k1_kind_report"] = _with(O.pipeline_ctes(), (
+    "SELECT kind_o AS kind, save_target, CAST(GROUPING(kind_o, save_target) AS BIGINT) AS level, "
+    "CAST(count(*) AS BIGINT) AS n_captures, CAST(sum(CASE WHEN error_o THEN 1 ELSE 0 END) AS BIGINT) AS n_failed, "
+    "round(avg(confidence_o), 6) AS mean_confidence FROM a GROUP BY ROLLUP (kind_o, save_target)"))
+ORACLES["k2_tag_report"] = _with(O.pipeline_ctes(), (
+    "SELECT 'tag' AS dimension, v AS value, CAST(count(*) AS BIGINT) AS n_captures FROM "
+    "(SELECT unnest(list_distinct(tags_h)) AS v FROM a) GROUP BY v "
+    "UNION ALL SELECT 'risk' AS dimension, v AS value, CAST(count(*) AS BIGINT) AS n_captures FROM "
+    "(SELECT unnest(list_distinct(risk_flags_o)) AS v FROM a) GROUP BY v"))

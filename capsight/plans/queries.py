@@ -251,8 +251,8 @@ def analysis_job(spark, sf_dir, **kw) -> DataFrame:
     return run_analysis(fx.captures(spark, sf_dir), fx.attempts(spark, sf_dir), **kw)
 
 
-def flat_analysis(df: DataFrame) -> DataFrame:
-    return df.select(
+def flat_analysis(df: DataFrame, *extra) -> DataFrame:
+    return df.select(*extra,
         "capture_id", "error", "message", "kind", "confidence", j("reasons").alias("reasons"), "summary",
         "ocr_provider", "ocr_text", j("warnings").alias("warnings"),
         *[j(c).alias(c) for c in ("entities", "ui_elements", "risk_flags", "layout_hints", "table_hints",
@@ -347,3 +347,54 @@ def h4(spark, sf_dir):
     from capsight.operators.context import conversation_context
     df = conversation_context(entries(spark, sf_dir))
     return df.select("conv_id", F.col("n_entries").cast("long").alias("n_entries"), "context")
+
+
+# --- I. incremental processing ---------------------------------------------------------
+
+@query("i1_fingerprint")
+def i1(spark, sf_dir):
+    from capsight.operators.incremental import with_fingerprint
+    return with_fingerprint(fx.captures(spark, sf_dir)).select("capture_id", "fingerprint")
+
+
+def earlier_store(spark, sf_dir) -> DataFrame:
+    """The store an earlier run left behind: it had seen every third capture."""
+    from capsight.operators.analyze import run_analysis
+    from capsight.operators.incremental import to_store_rows, with_fingerprint
+    caps = with_fingerprint(fx.captures(spark, sf_dir))
+    seen = caps.where(F.col("capture_id") % 3 == 0)
+    return to_store_rows(run_analysis(seen, fx.attempts(spark, sf_dir)), F.col("modified_ms") + 5000)
+
+
+@query("i2_analyze_incremental")
+def i2(spark, sf_dir):
+    from capsight.operators.incremental import analyze_incremental
+    results, _ = analyze_incremental(fx.captures(spark, sf_dir), fx.attempts(spark, sf_dir),
+                                     earlier_store(spark, sf_dir))
+    return flat_analysis(results, "fingerprint", "from_store")
+
+
+@query("i3_retain_newest")
+def i3(spark, sf_dir):
+    from capsight.operators.analyze import run_analysis
+    from capsight.operators.incremental import retain_newest, to_store_rows, with_fingerprint
+    an = run_analysis(with_fingerprint(fx.captures(spark, sf_dir)), fx.attempts(spark, sf_dir))
+    store = to_store_rows(an, F.col("modified_ms"))
+    return retain_newest(store, 64).select("fingerprint", "capture_id", "analyzed_ms")
+
+
+# --- K. reports ----------------------------------------------------------------------------
+
+@query("k1_kind_report")
+def k1(spark, sf_dir):
+    from capsight.operators.reports import kind_report
+    df = kind_report(analysis_job(spark, sf_dir))
+    return df.select("kind", "save_target", F.col("level").cast("long").alias("level"), "n_captures",
+                     F.col("n_failed").cast("long").alias("n_failed"),
+                     F.round("mean_confidence", 6).alias("mean_confidence"))
+
+
+@query("k2_tag_report")
+def k2(spark, sf_dir):
+    from capsight.operators.reports import tag_report
+    return tag_report(analysis_job(spark, sf_dir))
