@@ -5,19 +5,18 @@ unique per group), ``kind, title, save_target, file_name, entities, tags``.
 Failed captures take part as ``mixed_unknown`` with an empty title.
 
 Plan, built so that a group holding a third of all rows is still spread out:
-
-* Group facts are algebraic aggregates (count, min/max of kind, title and target,
-  ``bool_or`` of targets): partial aggregation before the shuffle.  "Set has more
-  than one value" is ``min <> max``, so no distinct aggregate is needed.
-* Kinds in first-seen order: ``(group, kind) -> min(pos)``, at most six rows per
-  group reach the final collect.
-* Shared entities / tags: values are de-duplicated per member and counted per
-  ``(group, value)``; a value is shared when its count equals the group size.
-  Only shared values (a small vocabulary) are collected per group.
-* Member-ordered lists (``kind mismatch``, ``titles differ``, ``save targets
-  differ``, ``compared``) are joined in two levels: chunks of ``chunk_size``
-  consecutive positions are joined in parallel, then the chunk strings are
-  joined in order.  No task ever collects a whole hot group's rows.
+two chained aggregations and no join.
+
+1. ``(group_id, chunk)`` where a chunk is ``chunk_size`` consecutive positions:
+   counts, min/max of kind, title and target, ``bool_or`` of targets, the
+   member-ordered strings of the chunk and the values shared by all its members
+   (an ordered ``array_intersect`` fold).  At most ``chunk_size`` members are
+   collected per row, whatever the group size.
+2. ``group_id``: merge the chunk summaries in chunk order (at most
+   ``n / chunk_size`` per group).  "Set has more than one value" is
+   ``min <> max``, so no distinct aggregate is needed.
+
+The analysis feeding it is computed once (one scan, no self-join).
 """
 
 from __future__ import annotations
@@ -39,100 +38,99 @@ def members(handoffs: DataFrame) -> DataFrame:
                            "entities", "tags")
 
 
-def group_facts(m: DataFrame) -> DataFrame:
-    """G1/G3/G4 group-level facts, all algebraic (partial aggregation)."""
-    return m.groupBy("group_id").agg(
-        F.count(F.lit(1)).alias("n_members"),
-        F.min("kind").alias("_kmin"), F.max("kind").alias("_kmax"),
-        F.min("title").alias("_tmin"), F.max("title").alias("_tmax"),
-        F.min("save_target").alias("_smin"), F.max("save_target").alias("_smax"),
-        F.bool_or(F.col("save_target") == "knowledge").alias("_any_knowledge"),
-        F.bool_or(F.col("save_target") == "memory").alias("_any_memory"),
-    )
-
-
-def kinds_in_order(m: DataFrame) -> DataFrame:
-    """Distinct kinds of each group in first-seen (``pos``) order."""
-    first = m.groupBy("group_id", "kind").agg(F.min("pos").alias("first_pos"))
-    g = first.groupBy("group_id").agg(F.array_sort(F.collect_list(F.struct("first_pos", "kind"))).alias("_k"))
-    return g.select("group_id", F.transform("_k", lambda x: x["kind"]).alias("kinds"))
-
+def _field(name: str):
+    return lambda x: x[name]
 
-def shared_values(m: DataFrame, col: str, sizes: DataFrame) -> DataFrame:
-    """Values present in every member of the group, in the first member's order."""
-    per_member = m.select("group_id", "pos", F.posexplode(F.array_distinct(F.col(col))).alias("idx", "value"))
-    counted = per_member.groupBy("group_id", "value").agg(
-        F.count(F.lit(1)).alias("n_with"), F.min(F.struct("pos", "idx")).alias("first"))
-    shared = counted.join(sizes.select("group_id", "n_members"), "group_id").where(F.col("n_with") == F.col("n_members"))
-    g = shared.groupBy("group_id").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("first.idx").alias("idx"), "value"))).alias("_v"))
-    return g.select("group_id", F.transform("_v", lambda x: x["value"]).alias(f"shared_{col}"))
 
+def _intersect_all(arr: Column, field: str) -> Column:
+    """Values present in every element's ``field`` list, in the first element's order."""
+    first = F.array_distinct(arr[0][field])
+    return F.aggregate(F.slice(arr, 2, F.greatest(F.size(arr) - 1, F.lit(1))), first,
+                       lambda acc, x: F.array_intersect(acc, x[field]))
 
-def _field(name: str):
-    return lambda x: x[name]
 
+_LISTS = {"kind_list": " vs ", "title_list": " vs ", "target_list": " vs ", "compared": " | "}
 
-def ordered_join(m: DataFrame, parts: dict[str, tuple[Column, str]], chunk_size: int = CHUNK_SIZE) -> DataFrame:
-    """Join per-member strings in ``pos`` order, in two levels (chunks, then groups).
 
-    ``parts``: output name -> (member string column, separator).
-    """
+def _chunk_summaries(m: DataFrame, chunk_size: int) -> DataFrame:
+    """Level 1: one row per (group, chunk of ``chunk_size`` consecutive positions)."""
     chunked = m.withColumn("_chunk", F.floor(F.col("pos") / chunk_size))
-    level1 = chunked.groupBy("group_id", "_chunk").agg(F.array_sort(F.collect_list(F.struct(
-        "pos", *[expr.alias(name) for name, (expr, _) in parts.items()]))).alias("_m"))
-    level1 = level1.select("group_id", "_chunk", *[
-        F.array_join(F.transform("_m", _field(name)), sep).alias(name) for name, (_, sep) in parts.items()])
-    level2 = level1.groupBy("group_id").agg(F.array_sort(F.collect_list(F.struct(
-        "_chunk", *parts.keys()))).alias("_c"))
-    return level2.select("group_id", *[
-        F.array_join(F.transform("_c", _field(name)), sep).alias(name) for name, (_, sep) in parts.items()])
+    g = chunked.groupBy("group_id", "_chunk").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("kind").alias("kmin"), F.max("kind").alias("kmax"),
+        F.min("title").alias("tmin"), F.max("title").alias("tmax"),
+        F.min("save_target").alias("smin"), F.max("save_target").alias("smax"),
+        F.bool_or(F.col("save_target") == "knowledge").alias("any_knowledge"),
+        F.bool_or(F.col("save_target") == "memory").alias("any_memory"),
+        F.array_sort(F.collect_list(F.struct("pos", "kind", F.coalesce("title", F.lit("")).alias("title"),
+                                             "save_target", "file_name", "entities", "tags"))).alias("_m"),
+    )
+    x = F.col("_m")
+    return g.select(
+        "group_id", "_chunk", "n", "kmin", "kmax", "tmin", "tmax", "smin", "smax", "any_knowledge", "any_memory",
+        F.array_distinct(F.transform(x, _field("kind"))).alias("kinds"),
+        F.array_join(F.transform(x, _field("kind")), " vs ").alias("kind_list"),
+        F.array_join(F.transform(x, _field("title")), " vs ").alias("title_list"),
+        F.array_join(F.transform(x, _field("save_target")), " vs ").alias("target_list"),
+        F.array_join(F.transform(x, lambda e: F.concat(e["file_name"], F.lit(":"), e["kind"])), " | ").alias("compared"),
+        _intersect_all(x, "entities").alias("entities"),
+        _intersect_all(x, "tags").alias("tags"),
+    )
 
 
 def compare_groups(handoffs: DataFrame, chunk_size: int = CHUNK_SIZE, min_members: int = 2) -> DataFrame:
     """One comparison row per group of at least ``min_members`` captures.
 
-    Columns: ``group_id, n_members, summary, same_kind, kinds, similarities,
-    differences, save_recommendation, compared``; lists are arrays.
+    Two chained aggregations and no join: chunks of consecutive positions first
+    (each collects at most ``chunk_size`` members), then the chunk summaries of a
+    group in chunk order (at most ``n / chunk_size`` rows).  Counts and min/max
+    facts merge exactly; member lists concatenate; shared values are an ordered
+    intersection fold, which keeps the first member's order.
+
+    Columns: ``group_id, n_members, schema_id, summary, same_kind, kinds,
+    shared_entities, shared_tags, similarities, differences,
+    save_recommendation, compared``; lists are arrays.
     """
-    m = members(handoffs)
-    facts = group_facts(m).where(F.col("n_members") >= min_members)
-    m = m.join(facts.select("group_id"), "group_id", "left_semi")
-    kinds = kinds_in_order(m)
-    ents = shared_values(m, "entities", facts)
-    tags = shared_values(m, "tags", facts)
-    lists = ordered_join(m, {
-        "_kind_list": (F.col("kind"), " vs "),
-        "_title_list": (F.coalesce(F.col("title"), F.lit("")), " vs "),
-        "_target_list": (F.col("save_target"), " vs "),
-        "_compared": (F.concat(F.col("file_name"), F.lit(":"), F.col("kind")), " | "),
-    }, chunk_size)
-    df = (facts.join(kinds, "group_id").join(lists, "group_id")
-          .join(ents, "group_id", "left").join(tags, "group_id", "left"))
+    chunks = _chunk_summaries(members(handoffs), chunk_size)
+    g = chunks.groupBy("group_id").agg(
+        F.sum("n").alias("n_members"),
+        F.min("kmin").alias("kmin"), F.max("kmax").alias("kmax"),
+        F.min("tmin").alias("tmin"), F.max("tmax").alias("tmax"),
+        F.min("smin").alias("smin"), F.max("smax").alias("smax"),
+        F.bool_or("any_knowledge").alias("any_knowledge"), F.bool_or("any_memory").alias("any_memory"),
+        F.array_sort(F.collect_list(F.struct("_chunk", "kinds", *_LISTS, "entities", "tags"))).alias("_c"),
+    ).where(F.col("n_members") >= min_members)
     c = F.col
-    same = c("_kmin") == c("_kmax")
+    ch = c("_c")
+    kinds = F.array_distinct(F.flatten(F.transform(ch, _field("kinds"))))
+    joined = {name: F.array_join(F.transform(ch, _field(name)), sep) for name, sep in _LISTS.items()}
+    shared_e = _intersect_all(ch, "entities")
+    shared_t = _intersect_all(ch, "tags")
+    same = c("kmin") == c("kmax")
     n = c("n_members").cast("string")
-    summary = F.when(same, F.concat(F.lit("Compared "), n, F.lit(" images of the same kind: "), c("kinds")[0], F.lit(".")))
-    summary = summary.otherwise(F.concat(F.lit("Compared "), n, F.lit(" images across kinds: "),
-                                         F.array_join(c("kinds"), ", "), F.lit(".")))
-    shared_e = F.coalesce(c("shared_entities"), F.array().cast("array<string>"))
-    shared_t = F.coalesce(c("shared_tags"), F.array().cast("array<string>"))
-    similarities = F.array_compact(F.array(
-        F.when(same, F.concat(F.lit("all images classified as "), c("kinds")[0])),
-        F.when(F.size(shared_e) > 0, F.concat(F.lit("shared entities: "), F.array_join(shared_e, ", "))),
-        F.when(F.size(shared_t) > 0, F.concat(F.lit("shared tags: "), F.array_join(shared_t, ", "))),
-    ))
     differences = F.array_compact(F.array(
-        F.when(~same, F.concat(F.lit("kind mismatch: "), c("_kind_list"))),
-        F.when(c("_tmin") != c("_tmax"), F.concat(F.lit("titles differ: "), c("_title_list"))),
-        F.when(c("_smin") != c("_smax"), F.concat(F.lit("save targets differ: "), c("_target_list"))),
+        F.when(~same, F.concat(F.lit("kind mismatch: "), joined["kind_list"])),
+        F.when(c("tmin") != c("tmax"), F.concat(F.lit("titles differ: "), joined["title_list"])),
+        F.when(c("smin") != c("smax"), F.concat(F.lit("save targets differ: "), joined["target_list"])),
     ))
-    rec = F.when(c("_any_knowledge"), "knowledge").when(c("_any_memory"), "memory").otherwise("none")
-    return df.select(
-        "group_id", "n_members", F.lit(R.COMPARE_SCHEMA).alias("schema_id"), summary.alias("summary"),
-        same.alias("same_kind"), "kinds", shared_e.alias("shared_entities"), shared_t.alias("shared_tags"),
-        similarities.alias("similarities"), differences.alias("differences"), rec.alias("save_recommendation"),
-        c("_compared").alias("compared"),
+    rec = F.when(c("any_knowledge"), "knowledge").when(c("any_memory"), "memory").otherwise("none")
+    staged = g.select("group_id", "n_members", same.alias("same_kind"), kinds.alias("kinds"),
+                      shared_e.alias("shared_entities"), shared_t.alias("shared_tags"),
+                      differences.alias("differences"), rec.alias("save_recommendation"),
+                      joined["compared"].alias("compared"))
+    return staged.select(
+        "group_id", "n_members", F.lit(R.COMPARE_SCHEMA).alias("schema_id"),
+        F.when(c("same_kind"), F.concat(F.lit("Compared "), n, F.lit(" images of the same kind: "), c("kinds")[0], F.lit(".")))
+         .otherwise(F.concat(F.lit("Compared "), n, F.lit(" images across kinds: "), F.array_join(c("kinds"), ", "),
+                             F.lit("."))).alias("summary"),
+        "same_kind", "kinds", "shared_entities", "shared_tags",
+        F.array_compact(F.array(
+            F.when(c("same_kind"), F.concat(F.lit("all images classified as "), c("kinds")[0])),
+            F.when(F.size(c("shared_entities")) > 0,
+                   F.concat(F.lit("shared entities: "), F.array_join(c("shared_entities"), ", "))),
+            F.when(F.size(c("shared_tags")) > 0, F.concat(F.lit("shared tags: "), F.array_join(c("shared_tags"), ", "))),
+        )).alias("similarities"),
+        "differences", "save_recommendation", "compared",
     )
 
 

@@ -49,3 +49,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder (for written tables and stream state)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def spread(df, *keys):
+    """Spread a scan that has fewer partitions than the cluster has cores.
+
+    Small inputs (one file, one row group) scan as a single partition, and the
+    per-row regex work fused into that scan would then run in one task.  Such
+    inputs are hash-partitioned on ``keys`` (the key the later aggregations and
+    joins use, so they reuse the partitioning); large inputs are left as they are.
+    """
+    sc = df.sparkSession.sparkContext
+    if df.rdd.getNumPartitions() >= sc.defaultParallelism:
+        return df
+    return df.repartition(*keys) if keys else df.repartition(sc.defaultParallelism)

@@ -82,7 +82,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One capture per document: ids, group/pos, hint, path, size, mtime, mime, OCR text."""
-    docs = table(spark, sf_dir, "documents")
+    from capsight.session import spread
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     df = spark.sql(CAPTURES_SQL, documents=docs)
     return df.withColumn("mime_type", infer_mime(F.col("file_path")))
 
@@ -111,7 +112,8 @@ def attempts(spark: SparkSession, sf_dir: str, caps: DataFrame | None = None) ->
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The message log ``(conv_id, turn, role, text)`` with media markers."""
-    return spark.sql(MESSAGES_SQL, conversations=table(spark, sf_dir, "conversations"))
+    from capsight.session import spread
+    return spark.sql(MESSAGES_SQL, conversations=spread(table(spark, sf_dir, "conversations"), "conv_id"))
 
 
 def with_ocr(caps: DataFrame) -> DataFrame:
