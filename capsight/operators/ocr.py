@@ -235,3 +235,9 @@ def extract_text(images: DataFrame, extractor: Callable[[bytes, str], object], p
     # Images are large: keep Arrow batches small (read at execution time).
     images.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
     return images.mapInPandas(run, schema=schema)
+
+
+def utf8_extractor(data: bytes, path: str) -> dict:
+    """A trivial extractor for text-bearing bytes: UTF-8 text, one line per LF."""
+    text = data.decode("utf-8")
+    return {"text": text, "lines": text.split("\n")}

@@ -193,3 +193,31 @@ ORACLES["k2_tag_report"] = _with(O.pipeline_ctes(), (
     "(SELECT unnest(list_distinct(tags_h)) AS v FROM a) GROUP BY v "
     "UNION ALL SELECT 'risk' AS dimension, v AS value, CAST(count(*) AS BIGINT) AS n_captures FROM "
     "(SELECT unnest(list_distinct(risk_flags_o)) AS v FROM a) GROUP BY v"))
+
+# --- A4, B6, J ------------------------------------------------------------------------
+
+_payload_ok = "json_valid(payload)"
+ORACLES["a4_read_ocr_payloads"] = _with(_B + [
+    "pay AS (SELECT capture_id, provider, CASE WHEN capture_id % 7 = 0 THEN substr(full_json, 1, 20) "
+    "WHEN capture_id % 11 = 0 THEN numeric_json ELSE full_json END AS payload FROM (SELECT capture_id, provider, "
+    "CAST(to_json(struct_pack(provider := provider, text := text, lines := list_transform(string_split(text, chr(10)), "
+    "lambda l: struct_pack(text := l, score := 0.9::DOUBLE)))) AS VARCHAR) AS full_json, "
+    "CAST(to_json(struct_pack(provider := provider, text := elapsed_ms)) AS VARCHAR) AS numeric_json FROM att))",
+    "par AS (SELECT capture_id, payload, json_valid(payload) AS ok, "
+    "CASE WHEN json_valid(payload) AND json_type(payload, '$.provider') = 'VARCHAR' AND json_extract_string(payload, '$.provider') <> '' "
+    "THEN json_extract_string(payload, '$.provider') ELSE 'paddleocr' END AS payload_provider, "
+    "CASE WHEN json_valid(payload) AND json_type(payload, '$.text') = 'VARCHAR' THEN json_extract_string(payload, '$.text') ELSE '' END AS text, "
+    "CASE WHEN json_valid(payload) AND json_type(payload, '$.lines') = 'ARRAY' THEN list_filter(list_transform("
+    "CAST(json_extract(payload, '$.lines[*]') AS JSON[]), lambda it: CASE WHEN json_type(it, '$.text') = 'VARCHAR' "
+    "THEN json_extract_string(it, '$.text') ELSE '' END), lambda s: length(s) > 0) ELSE []::VARCHAR[] END AS lines FROM pay)",
+], (f"SELECT capture_id, payload_provider, text, array_to_string(lines, chr(10)) AS lines, "
+    f"CASE WHEN NOT ok THEN 'PaddleOCR failed: invalid JSON payload' WHEN {O.tr('text')} = '' AND len(lines) = 0 "
+    f"THEN 'PaddleOCR returned no text' ELSE '' END AS warnings FROM par"))
+ORACLES["b6_extract_text"] = _with(O.base_ctes(), (
+    "SELECT capture_id, 'utf8' AS ocr_provider, ocr_text, "
+    "CAST(len(list_filter(string_split(ocr_text, chr(10)), lambda s: length(s) > 0)) AS INTEGER) AS n_lines, "
+    "CASE WHEN ocr_text = '' THEN 'utf8 returned no text' ELSE '' END AS ocr_warnings FROM caps"))
+_FLAT_OCR = FLAT_ANALYSIS
+ORACLES["j1_stream_analyze"] = _an(_FLAT_OCR)
+ORACLES["j2_stream_dedupe"] = _an(_FLAT_OCR.replace("SELECT capture_id,", f"SELECT {_fp()} AS fingerprint, capture_id,", 1))
+ORACLES["j3_stream_context"] = ORACLES["h1_recent_media"]

@@ -398,3 +398,83 @@ def k1(spark, sf_dir):
 def k2(spark, sf_dir):
     from capsight.operators.reports import tag_report
     return tag_report(analysis_job(spark, sf_dir))
+
+
+# --- A1, A4-A6, B6: files, payloads, sinks --------------------------------------------
+
+@query("a1_image_listing")
+def a1(spark, sf_dir):
+    """The files of the given table folder, listed by metadata only, then admitted."""
+    from capsight.sources.listing import admit, image_listing
+    return admit(image_listing(spark, sf_dir)).select("file_path", "file_name", "mime_type", "size_bytes", "message")
+
+
+@query("a4_read_ocr_payloads")
+def a4(spark, sf_dir):
+    from capsight.sources.payloads import read_ocr_payloads
+    df = read_ocr_payloads(fx.ocr_payloads(spark, sf_dir), default_provider="paddleocr")
+    return df.select("capture_id", F.col("provider").alias("payload_provider"), "text", j("lines", "\n").alias("lines"),
+                     j("warnings").alias("warnings"))
+
+
+@query("a5_message_chunks")
+def a5(spark, sf_dir):
+    from capsight.sources.payloads import message_chunks
+    return message_chunks(fx.nested_messages(spark, sf_dir))
+
+
+@query("a6_write_results")
+def a6(spark, sf_dir):
+    """Analyse, append the successful rows to a fresh result table, read it back."""
+    import uuid
+    from capsight.operators.analyze import run_analysis
+    from capsight.operators.incremental import with_fingerprint
+    from capsight.session import scratch_path
+    from capsight.sources.sinks import read_results, write_results
+    an = run_analysis(with_fingerprint(fx.captures(spark, sf_dir)), fx.attempts(spark, sf_dir))
+    path = scratch_path(spark, f"results/{uuid.uuid4().hex[:12]}")
+    write_results(an, path, F.col("modified_ms"))
+    return read_results(spark, path).select("capture_id", "fingerprint", "kind", "title", "schema_id", "analyzed_ms")
+
+
+@query("b6_extract_text")
+def b6(spark, sf_dir):
+    """A user text extractor over capture bytes (here: UTF-8 bytes of the document text)."""
+    from capsight.operators.ocr import extract_text, utf8_extractor
+    images = fx.captures(spark, sf_dir).select("capture_id", "file_path", F.encode("ocr_text", "UTF-8").alias("content"))
+    out = extract_text(images, utf8_extractor, provider="utf8")
+    return out.select("capture_id", "ocr_provider", "ocr_text", F.size("ocr_lines").alias("n_lines"),
+                      j("ocr_warnings").alias("ocr_warnings"))
+
+
+# --- J. streaming ------------------------------------------------------------------
+
+def _doc_stream(spark, sf_dir):
+    from capsight.streaming.jobs import file_stream
+    return file_stream(spark, sf_dir, fx.table(spark, sf_dir, "documents"), glob="documents.parquet")
+
+
+@query("j1_stream_analyze")
+def j1(spark, sf_dir):
+    from capsight.streaming.jobs import run_available_now, stream_analyze
+    caps = fx.with_ocr(fx.captures_from(_doc_stream(spark, sf_dir)))
+    out = run_available_now(flat_analysis(stream_analyze(caps)), "analyze")
+    return spark.read.parquet(out)
+
+
+@query("j2_stream_dedupe")
+def j2(spark, sf_dir):
+    """Every capture arrives twice; each fingerprint is analysed once."""
+    from capsight.streaming.jobs import run_available_now, stream_analyze, stream_dedupe
+    caps = fx.with_ocr(fx.captures_from(_doc_stream(spark, sf_dir)))
+    twice = caps.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
+    out = run_available_now(flat_analysis(stream_analyze(stream_dedupe(twice)), "fingerprint"), "dedupe")
+    return spark.read.parquet(out)
+
+
+@query("j3_stream_context")
+def j3(spark, sf_dir):
+    from capsight.streaming.jobs import file_stream, latest_context, run_available_now, stream_context
+    conv = file_stream(spark, sf_dir, fx.table(spark, sf_dir, "conversations"), glob="conversations.parquet")
+    out = run_available_now(stream_context(fx.messages_from(conv)), "context")
+    return latest_context(spark.read.parquet(out))

@@ -80,12 +80,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def captures_from(documents: DataFrame) -> DataFrame:
+    """Captures from a documents DataFrame (batch or stream)."""
+    df = documents.sparkSession.sql(CAPTURES_SQL, documents=documents)
+    return df.withColumn("mime_type", infer_mime(F.col("file_path")))
+
+
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One capture per document: ids, group/pos, hint, path, size, mtime, mime, OCR text."""
     from capsight.session import spread
-    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
-    df = spark.sql(CAPTURES_SQL, documents=docs)
-    return df.withColumn("mime_type", infer_mime(F.col("file_path")))
+    return captures_from(spread(table(spark, sf_dir, "documents"), "doc_id"))
 
 
 def attempts(spark: SparkSession, sf_dir: str, caps: DataFrame | None = None) -> DataFrame:
@@ -110,10 +114,41 @@ def attempts(spark: SparkSession, sf_dir: str, caps: DataFrame | None = None) ->
     )
 
 
+def messages_from(conversations: DataFrame) -> DataFrame:
+    """The message log from a conversations DataFrame (batch or stream)."""
+    return conversations.sparkSession.sql(MESSAGES_SQL, conversations=conversations)
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The message log ``(conv_id, turn, role, text)`` with media markers."""
     from capsight.session import spread
-    return spark.sql(MESSAGES_SQL, conversations=spread(table(spark, sf_dir, "conversations"), "conv_id"))
+    return messages_from(spread(table(spark, sf_dir, "conversations"), "conv_id"))
+
+
+def nested_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages in nested JSON form ``(conv_id, turn, message)``: role, content parts, metadata."""
+    msgs = messages(spark, sf_dir)
+    parts = F.transform(F.split(F.col("text"), "\n"), lambda line: F.struct(F.lit("text").alias("type"), line.alias("text")))
+    msg = F.struct(F.col("role").alias("role"), parts.alias("content"),
+                   F.struct(F.col("turn").alias("turn"), F.lit("fixture").alias("channel")).alias("meta"))
+    return msgs.select("conv_id", "turn", F.to_json(msg).alias("message"))
+
+
+def ocr_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OCR stdout payloads per attempt, with malformed ones by fixed rules.
+
+    Every 7th capture's payload is cut short (unparsable) and every 11th
+    carries a numeric ``text``; lines carry a score.
+    """
+    att = attempts(spark, sf_dir)
+    good = F.to_json(F.struct(
+        F.col("provider").alias("provider"), F.col("text").alias("text"),
+        F.transform(F.split(F.col("text"), "\n"), lambda l: F.struct(l.alias("text"), F.lit(0.9).alias("score")))
+         .alias("lines")))
+    numeric = F.to_json(F.struct(F.col("provider").alias("provider"), F.col("elapsed_ms").alias("text")))
+    payload = (F.when(F.col("capture_id") % 7 == 0, F.substring(good, 1, 20))
+               .when(F.col("capture_id") % 11 == 0, numeric).otherwise(good))
+    return att.select("capture_id", "provider", payload.alias("payload"))
 
 
 def with_ocr(caps: DataFrame) -> DataFrame:
