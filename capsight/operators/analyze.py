@@ -157,6 +157,7 @@ def run_analysis(captures: DataFrame, attempts: DataFrame | None = None, provide
                  max_image_bytes: int = R.MAX_IMAGE_BYTES) -> DataFrame:
     """The whole job: admit (A2), resolve OCR attempts (B1-B3), analyse (E3), hand off.
 
+    ``attempts=None`` means the captures already carry ``ocr_*`` columns.
     One shuffle on ``capture_id`` for the attempt fold; the captures side of the
     left join is shuffled once on the same key (or broadcast by AQE when small).
     Every capture yields one row; rejected captures carry the failure shape.
@@ -165,6 +166,9 @@ def run_analysis(captures: DataFrame, attempts: DataFrame | None = None, provide
     from capsight.operators.ocr import with_resolved_ocr
     from capsight.sources.listing import admit
 
-    admitted = admit(captures.drop("error", "message"), max_image_bytes)
-    with_ocr = with_resolved_ocr(admitted.drop("error"), attempts, provider, fallback, timeout_ms)
+    admitted = admit(captures.drop("error", "message"), max_image_bytes).drop("error")
+    if attempts is None and provider != "disabled":
+        with_ocr = admitted  # the captures already carry their OCR columns
+    else:
+        with_ocr = with_resolved_ocr(admitted, attempts, provider, fallback, timeout_ms)
     return with_handoff(analyze(with_ocr, vision=vision, max_summary_chars=max_summary_chars))
