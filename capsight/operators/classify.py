@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from capsight.functions import rules as R
 from capsight.functions.text import (
-    any_contains, clean_lines, count_contains, count_lines, js_trim, rx, unique,
+    any_contains, clean_lines, count_contains, count_lines, has, js_trim, rx, unique,
 )
 
 
@@ -73,7 +73,7 @@ def text_signal_columns(file_name: Column, hint: Column, ocr_text: Column) -> di
         "n_chat_words": count_contains(full, R.CHAT_WORDS),
         "n_doc_words": count_contains(full, R.DOC_WORDS),
         "n_lines": F.size(lines),
-        "n_clock_lines": count_lines(lines, lambda l: l.rlike(rx("clock"))),
+        "n_clock_lines": count_lines(lines, lambda l: has(l, "clock")),
         "n_speaker_lines": count_lines(lines, lambda l: l.rlike(rx("speaker"))),
         "n_numbered_lines": count_lines(lines, lambda l: l.rlike(rx("numbered"))),
         "n_instruction_lines": count_lines(lines, lambda l: l.rlike(rx("instruction"))),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from capsight.functions import rules as R
 from capsight.functions.text import (
-    DATE_HAN_JAVA, cut, first_match, js_trim, lit_array, rx, unique,
+    DATE_HAN_JAVA, cut, extract_all, first_match, has, js_trim, lit_array, rx, unique,
 )
 
 
@@ -37,12 +37,12 @@ def key_fields(kind: Column, text: Column, lines: Column) -> Column:
     """struct(title, latest_time, amount, date, phone, email, url)."""
     first_line = F.get(F.filter(lines, lambda l: js_trim(l) != ""), 0)
     title = F.when((kind == R.DOCUMENT) & first_line.isNotNull(), js_trim(first_line))
-    latest = F.when(kind == R.CHAT, first_match(text, (rx("clock"), 0)))
-    amount = F.when(kind == R.RECEIPT, first_match(text, (rx("amount_han"), 1), (rx("amount_en"), 1)))
-    date = F.when(kind == R.RECEIPT, first_match(text, (rx("date_dash"), 0), (DATE_HAN_JAVA, 0)))
-    phone = first_match(text, (rx("phone"), 0))
-    email = first_match(text, (rx("email"), 0))
-    url = first_match(text, (rx("url_http"), 0), (rx("url_www"), 0))
+    latest = F.when(kind == R.CHAT, first_match(text, ("clock", 0)))
+    amount = F.when(kind == R.RECEIPT, first_match(text, ("amount_han", 1), ("amount_en", 1)))
+    date = F.when(kind == R.RECEIPT, first_match(text, ("date_dash", 0), (DATE_HAN_JAVA, 0)))
+    phone = first_match(text, ("phone", 0))
+    email = first_match(text, ("email", 0))
+    url = first_match(text, ("url_http", 0), ("url_www", 0))
     return F.struct(title.alias("title"), latest.alias("latest_time"), amount.alias("amount"),
                     date.alias("date"), phone.alias("phone"), email.alias("email"), url.alias("url"))
 
@@ -54,7 +54,7 @@ def risk_flags(kind: Column, text: Column) -> Column:
         (kind == R.RECEIPT, R.RISK_FINANCIAL),
         (kind == R.CHAT, R.RISK_PRIVATE),
         (text.rlike(rx("eleven_digits")), R.RISK_PHONE),
-        (text.rlike(rx("email")), R.RISK_EMAIL),
+        (has(text, "email"), R.RISK_EMAIL),
         (squeezed.rlike(rx("long_id")), R.RISK_LONG_ID),
     )
 
@@ -123,12 +123,9 @@ def chart_signals(kind: Column, text: Column) -> Column:
     def tagged(prefix, arr):
         return F.transform(arr, lambda m: F.concat(F.lit(prefix), m))
 
-    metrics = F.transform(F.regexp_extract_all(text, F.lit(rx("metric")), 0),
-                          lambda m: F.concat(F.lit("metric:"), F.upper(m)))
-    percents = tagged("percent:", F.slice(F.regexp_extract_all(text, F.lit(rx("percent")), 0),
-                                          1, R.CHART_PERCENTS_MAX))
-    periods = tagged("period:", F.slice(F.regexp_extract_all(text, F.lit(rx("period")), 0),
-                                        1, R.CHART_PERIODS_MAX))
+    metrics = F.transform(extract_all(text, "metric"), lambda m: F.concat(F.lit("metric:"), F.upper(m)))
+    percents = tagged("percent:", F.slice(extract_all(text, "percent"), 1, R.CHART_PERCENTS_MAX))
+    periods = tagged("period:", F.slice(extract_all(text, "period"), 1, R.CHART_PERIODS_MAX))
     return F.when(kind == R.CHART, unique(F.concat(metrics, percents, periods))).otherwise(empty())
 
 
