@@ -358,12 +358,20 @@ def i1(spark, sf_dir):
 
 
 def earlier_store(spark, sf_dir) -> DataFrame:
-    """The store an earlier run left behind: it had seen every third capture."""
+    """The result table an earlier run wrote (it had seen every third capture).
+
+    Written to the shared checkpoint folder and read back, as a later run finds it.
+    """
+    import uuid
     from capsight.operators.analyze import run_analysis
-    from capsight.operators.incremental import to_store_rows, with_fingerprint
+    from capsight.operators.incremental import with_fingerprint
+    from capsight.session import scratch_path
+    from capsight.sources.sinks import read_results, write_results
     caps = with_fingerprint(fx.captures(spark, sf_dir))
     seen = caps.where(F.col("capture_id") % 3 == 0)
-    return to_store_rows(run_analysis(seen, fx.attempts(spark, sf_dir)), F.col("modified_ms") + 5000)
+    path = scratch_path(spark, f"stores/{uuid.uuid4().hex[:12]}")
+    write_results(run_analysis(seen, fx.attempts(spark, sf_dir)), path, F.col("modified_ms") + 5000)
+    return read_results(spark, path)
 
 
 @query("i2_analyze_incremental")
