@@ -4,9 +4,9 @@
 the first attempt in provider order that produced text wins, earlier failures
 become warnings, and an optional time budget skips or times out attempts.
 
-Plan: one shuffle on ``capture_id`` (a ``groupBy`` whose groups hold at most one
-attempt per configured provider), then a JVM-side ``aggregate`` fold over the
-attempts sorted by rank.  The provider rank and time caps are literal maps, so
+Plan: one shuffle on ``capture_id``: a ``groupBy`` with one ``min(struct)`` per
+configured provider (algebraic, combined map-side, at most one attempt per
+provider survives), then a JVM-side ``aggregate`` fold over them in rank order.  The provider rank and time caps are literal maps, so
 no join is needed.  When attempts are bucketed by ``capture_id`` the shuffle
 disappears.
 """
@@ -145,9 +145,15 @@ def resolve_ocr(attempts: DataFrame, provider: str = "auto",
         raise ValueError("OCR is disabled: use with_resolved_ocr(..., provider='disabled')")
     rank = _literal_map({p: i for i, p in enumerate(order)})
     ranked = attempts.withColumn("_rank", rank[F.col("provider")]).where(F.col("_rank").isNotNull())
-    grouped = ranked.groupBy("capture_id").agg(F.array_sort(F.collect_list(F.struct(
-        F.col("_rank").alias("rank"), "provider", F.col("elapsed_ms").cast("long").alias("elapsed_ms"),
-        "text", "lines", "warnings"))).alias("_attempts"))
+    # One attempt per provider rank, picked by an algebraic min: the aggregation
+    # combines map-side, so a capture with very many (retried) attempts never
+    # reaches one task as a list.  With one attempt per provider (the normal
+    # case) this is exactly that attempt; duplicates resolve to the fastest.
+    att = F.struct(F.col("_rank").alias("rank"), F.col("elapsed_ms").cast("long").alias("elapsed_ms"),
+                   "provider", "text", "lines", "warnings")
+    per_rank = [F.min(F.when(F.col("_rank") == i, att)).alias(f"_a{i}") for i in range(len(order))]
+    grouped = ranked.groupBy("capture_id").agg(*per_rank).select(
+        "capture_id", F.array_compact(F.array(*[F.col(f"_a{i}") for i in range(len(order))])).alias("_attempts"))
     folded = grouped.select("capture_id", _fold(F.col("_attempts"), timeout_ms).alias("_r"))
     r = F.col("_r")
     return folded.select(

@@ -78,3 +78,13 @@ def test_resolve_plan_has_one_exchange(spark):
     df = spark.createDataFrame([(1, "paddleocr", 5, "x", [], [])], SCHEMA)
     plan = resolve_ocr(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_hot_capture_with_many_attempts_keeps_one_per_provider(spark):
+    rows = [(9, "macos_vision", 5000 + i, "", [], [f"retry {i}"]) for i in range(3000)]
+    rows += [(9, "paddleocr", 900 + i, f"text {i}", [], []) for i in range(3000)]
+    rows += [(1, "paddleocr", 10, "x", [], [])]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    out = {r.capture_id: r for r in resolve_ocr(df, timeout_ms=None).collect()}
+    assert out[9].ocr_provider == "paddleocr" and out[9].ocr_text == "text 0"
+    assert out[9].ocr_warnings == ["retry 0"] and out[1].ocr_text == "x"
