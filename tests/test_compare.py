@@ -66,3 +66,48 @@ def test_compare_plan_has_no_join(spark):
     plan = compare_groups(analysis_job(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
     head = plan.split("SortMergeJoin")[0]
     assert "BroadcastHashJoin" not in head.split("ObjectHashAggregate")[0]
+
+
+def _brute_force(members):
+    """Plain restatement of the comparison for one group (members sorted by pos)."""
+    kinds = [m["kind"] for m in members]
+    uniq_kinds = list(dict.fromkeys(kinds))
+    same = len(uniq_kinds) == 1
+
+    def inter(key):
+        first = list(dict.fromkeys(members[0][key]))
+        return [v for v in first if all(v in m[key] for m in members)]
+
+    diffs = []
+    if not same:
+        diffs.append("kind mismatch: " + " vs ".join(kinds))
+    titles = [m["title"] for m in members]
+    if len(set(titles)) > 1:
+        diffs.append("titles differ: " + " vs ".join(titles))
+    targets = [m["save_target"] for m in members]
+    if len(set(targets)) > 1:
+        diffs.append("save targets differ: " + " vs ".join(targets))
+    rec = "knowledge" if "knowledge" in targets else "memory" if "memory" in targets else "none"
+    return (len(members), same, uniq_kinds, inter("entities"), inter("tags"), diffs, rec,
+            " | ".join(f"{m['file_name']}:{m['kind']}" for m in members))
+
+
+def test_hot_group_matches_brute_force(spark):
+    """A third of all captures in one group, compared in chunks of 16 positions."""
+    from pyspark.sql import functions as F
+    from capsight.plans.queries import analysis_job
+    an = analysis_job(spark, "/root/testdata/sf0.01")
+    hot = an.withColumn("group_id", F.when(F.col("capture_id") % 3 == 0, F.lit(-7)).otherwise(F.col("group_id"))) \
+            .withColumn("pos", F.when(F.col("capture_id") % 3 == 0, F.col("capture_id").cast("int")).otherwise(F.col("pos")))
+    got = {r.group_id: r for r in compare_groups(hot, chunk_size=16).collect()}
+    rows = hot.select("group_id", "pos", "kind", "title", "save_target", F.col("source.file_name").alias("file_name"),
+                      "entities", "tags").collect()
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.group_id, []).append(r.asDict())
+    want = {g: _brute_force(sorted(ms, key=lambda m: m["pos"])) for g, ms in groups.items() if len(ms) >= 2}
+    assert set(got) == set(want) and len(groups[-7]) > 300
+    for g, w in want.items():
+        r = got[g]
+        assert (r.n_members, r.same_kind, r.kinds, r.shared_entities, r.shared_tags, r.differences,
+                r.save_recommendation, r.compared) == w, g

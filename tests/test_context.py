@@ -69,3 +69,26 @@ def test_recent_media_plan_limits_before_shuffle(spark):
     df = msgs(spark, [(1, 0, "user", M.format("/a.png"))]).repartition(4)
     plan = recent_media(df)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_hot_conversation_matches_brute_force(spark):
+    """A third of all messages in one conversation (spread over many partitions)."""
+    from pyspark.sql import functions as F
+    from capsight.sources import fixtures as fx
+    from capsight.streaming.jobs import _recent_paths
+    msgs_df = fx.messages(spark, "/root/testdata/sf0.01")
+    hot = msgs_df.withColumn("turn", F.when(F.col("conv_id") % 3 == 0, F.col("conv_id") * 100 + F.col("turn"))
+                             .otherwise(F.col("turn"))) \
+                 .withColumn("conv_id", F.when(F.col("conv_id") % 3 == 0, F.lit(-1)).otherwise(F.col("conv_id"))) \
+                 .repartition(7)
+    got = listed(recent_media(hot, 8, 4), "conv_id")
+    convs = {}
+    for r in hot.collect():
+        convs.setdefault(r.conv_id, []).append((r.turn, r.text))
+    want = {}
+    for c, ms in convs.items():
+        last = [t for _, t in sorted(ms)][-8:]
+        paths = _recent_paths(last[::-1], 4)
+        if paths:
+            want[(c,)] = paths
+    assert got == want and len(convs[-1]) > 100
