@@ -96,21 +96,18 @@ def _case(kind_col: str, mapping: dict, idx=None) -> str:
 
 def analysis_ctes(src: str, prefix: str = "a", vision: str = "heuristic",
                   max_summary_chars: int = R.MAX_SUMMARY_CHARS) -> list[str]:
-    """CTEs ``{prefix}1 .. {prefix}9``; the last one holds analysis + handoff columns."""
+    """CTEs ``{prefix}1 .. {prefix}10`` and ``{prefix}``, which holds analysis + handoff columns."""
     a = prefix
-    name_parts = []
-    for k, c, why, words in R.NAME_RULES:
-        name_parts.append((any_words("_name_l", words), k, c, why))
-    pk, pc, pr = R.NAME_IMAGE
-    uk, uc, ur = R.NAME_FALLBACK
-
-    def name_case(i):
-        body = " ".join(f"WHEN {cond} THEN {q(x[i]) if isinstance(x[i], str) else repr(x[i])}"
-                        for cond, *x in [(n[0], n[1], n[2], n[3]) for n in name_parts])
-        img = (pk, pc, pr)[i]
-        fb = (uk, uc, ur)[i]
-        fmt = (lambda v: q(v) if isinstance(v, str) else f"{v}::DOUBLE")
-        return f"CASE {body} WHEN starts_with(mime_type, 'image/') THEN {fmt(img)} ELSE {fmt(fb)} END"
+
+    def lit(v) -> str:
+        return q(v) if isinstance(v, str) else f"{v}::DOUBLE"
+
+    def name_case(i: int) -> str:
+        """CASE over the name rules returning field ``i`` of (kind, confidence, reason)."""
+        body = " ".join(f"WHEN {any_words('_name_l', words)} THEN {lit((k, c, why)[i])}"
+                        for k, c, why, words in R.NAME_RULES)
+        return (f"CASE {body} WHEN starts_with(mime_type, 'image/') THEN {lit(R.NAME_IMAGE[i])} "
+                f"ELSE {lit(R.NAME_FALLBACK[i])} END")
 
     c1 = (f"{a}1 AS (SELECT *, {tr('ocr_text')} AS _t, lower(file_name || ' ' || coalesce(hint, '')) AS _name_l, "
           f"{clean_lines('ocr_text')} AS _cl FROM {src})")
