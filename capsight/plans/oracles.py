@@ -221,3 +221,30 @@ _FLAT_OCR = FLAT_ANALYSIS
 ORACLES["j1_stream_analyze"] = _an(_FLAT_OCR)
 ORACLES["j2_stream_dedupe"] = _an(_FLAT_OCR.replace("SELECT capture_id,", f"SELECT {_fp()} AS fingerprint, capture_id,", 1))
 ORACLES["j3_stream_context"] = ORACLES["h1_recent_media"]
+
+# --- A5, A6, F5 ----------------------------------------------------------------------
+
+ORACLES["f5_render_handoff"] = _an(f"SELECT capture_id, '[VisionHandoff]' || chr(10) || {O.handoff_json()} AS handoff_block FROM a")
+ORACLES["a6_write_results"] = _with(O.pipeline_ctes(), (
+    f"SELECT capture_id, {_fp()} AS fingerprint, kind_o AS kind, title_h AS title, {O.q(R.ANALYSIS_SCHEMA)} AS schema_id, "
+    "CAST(modified_ms AS BIGINT) AS analyzed_ms FROM a WHERE NOT error_o"))
+
+# Nested messages walked depth-first: array items by index, object members in
+# key order (as Variant stores them); string leaves at depth <= 8.
+_NESTED = ("nm AS (SELECT conv_id, turn, CAST(to_json(struct_pack(role := role, content := list_transform("
+           "string_split(text, chr(10)), lambda l: struct_pack(type := 'text', text := l)), "
+           "meta := struct_pack(turn := turn, channel := 'fixture'))) AS VARCHAR) AS message FROM msgs)")
+_WALK = (
+    "walk(conv_id, turn, path, depth, j) AS ("
+    "SELECT conv_id, turn, []::INTEGER[], 0, CAST(message AS JSON) FROM nm "
+    "UNION ALL "
+    "SELECT w.conv_id, w.turn, list_append(w.path, CAST(c.i AS INTEGER)), w.depth + 1, c.v FROM walk w, LATERAL ("
+    "SELECT i - 1 AS i, json_extract(w.j, '$[' || CAST(i - 1 AS VARCHAR) || ']') AS v "
+    "FROM range(1, CAST(json_array_length(w.j) AS BIGINT) + 1) t(i) WHERE json_type(w.j) = 'ARRAY' "
+    "UNION ALL "
+    "SELECT k.i - 1 AS i, json_extract(w.j, '$.\"' || k.key || '\"') AS v FROM "
+    "(SELECT unnest(ks) AS key, unnest(range(1, len(ks) + 1)) AS i FROM (SELECT list_sort(json_keys(w.j)) AS ks) "
+    "WHERE json_type(w.j) = 'OBJECT') k) c WHERE w.depth < 8)")
+ORACLES["a5_message_chunks"] = _with([f"msgs AS ({O.fixture_messages()})", _NESTED, _WALK], (
+    "SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id, turn ORDER BY path) - 1 AS INTEGER) AS chunk_pos, "
+    "json_extract_string(j, '$') AS text FROM walk WHERE json_type(j) = 'VARCHAR'"))
