@@ -66,6 +66,8 @@ PATTERNS = {
     "url_www": r"(?i){LB}www\.{NW}+\.[A-Z]{2,}{RB}",
     "eleven_digits": r"{LB}\d{11}{RB}",
     "long_id": r"{LB}\d{15,19}{RB}",
+    "digit_run_15": r"\d(?:{W}*\d){14}",
+    "han": r"{HAN}",
     "receipt_total": r"(?i)total|合计|实付|应付",
     "receipt_date": r"(?i)日期|时间|date|time",
     "receipt_tax": r"(?i)税|tax|invoice|发票",
@@ -156,13 +158,28 @@ def first_match(text: Column, *specs) -> Column:
     return F.coalesce(*outs)
 
 
-def count_contains(text: Column, words) -> Column:
-    """How many of ``words`` occur in ``text`` as plain substrings."""
-    total = None
-    for w in words:
-        term = F.when(F.instr(text, w) > 0, 1).otherwise(0)
-        total = term if total is None else total + term
-    return total
+def _is_han(word: str) -> bool:
+    return all("\u3400" <= ch <= "\u9fff" for ch in word)
+
+
+def count_contains(text: Column, words, han_present: Column | None = None) -> Column:
+    """How many of ``words`` occur in ``text`` as plain substrings.
+
+    Keywords made of Han characters can only occur in a text holding a Han
+    character; ``han_present`` (a precomputed test) skips those scans otherwise.
+    """
+    def total(ws):
+        out = None
+        for w in ws:
+            term = F.when(F.instr(text, w) > 0, 1).otherwise(0)
+            out = term if out is None else out + term
+        return out if out is not None else F.lit(0)
+
+    han = [w for w in words if _is_han(w)]
+    other = [w for w in words if not _is_han(w)]
+    if han_present is None or not han:
+        return total(words)
+    return total(other) + F.when(han_present, total(han)).otherwise(F.lit(0))
 
 
 def any_contains(text: Column, words) -> Column:

@@ -66,12 +66,13 @@ def text_signal_columns(file_name: Column, hint: Column, ocr_text: Column) -> di
     trimmed = js_trim(ocr_text)
     full = F.lower(F.concat(file_name, F.lit(" "), F.coalesce(hint, F.lit("")), F.lit(" "), trimmed))
     lines = clean_lines(ocr_text)
+    han = full.rlike(rx("han"))
     return {
         "_text_blank": trimmed == "",
-        "n_receipt_words": count_contains(full, R.RECEIPT_WORDS),
-        "n_chart_words": count_contains(full, R.CHART_WORDS),
-        "n_chat_words": count_contains(full, R.CHAT_WORDS),
-        "n_doc_words": count_contains(full, R.DOC_WORDS),
+        "n_receipt_words": count_contains(full, R.RECEIPT_WORDS, han),
+        "n_chart_words": count_contains(full, R.CHART_WORDS, han),
+        "n_chat_words": count_contains(full, R.CHAT_WORDS, han),
+        "n_doc_words": count_contains(full, R.DOC_WORDS, han),
         "n_lines": F.size(lines),
         "n_clock_lines": count_lines(lines, lambda l: has(l, "clock")),
         "n_speaker_lines": count_lines(lines, lambda l: l.rlike(rx("speaker"))),

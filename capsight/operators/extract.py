@@ -48,14 +48,19 @@ def key_fields(kind: Column, text: Column, lines: Column) -> Column:
 
 
 def risk_flags(kind: Column, text: Column) -> Column:
-    """Fixed order; the long-number test runs on the text without whitespace."""
+    """Fixed order; the long-number test runs on the text without whitespace.
+
+    Squeezing is skipped unless the raw text has 15 digits separated only by
+    whitespace (without that, the squeezed text has no 15-digit run).
+    """
     squeezed = F.regexp_replace(text, rx("ws_run"), "")
+    long_id = F.when(text.rlike(rx("digit_run_15")), squeezed.rlike(rx("long_id"))).otherwise(F.lit(False))
     return _flags(
         (kind == R.RECEIPT, R.RISK_FINANCIAL),
         (kind == R.CHAT, R.RISK_PRIVATE),
         (text.rlike(rx("eleven_digits")), R.RISK_PHONE),
         (has(text, "email"), R.RISK_EMAIL),
-        (squeezed.rlike(rx("long_id")), R.RISK_LONG_ID),
+        (long_id, R.RISK_LONG_ID),
     )
 
 
