@@ -37,7 +37,7 @@ def main() -> None:
     from capsight.plans.queries import QUERIES
     from capsight.session import local_session
 
-    spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
+    spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
                           app="capsight-bench")
     times: dict[str, float] = {}
     for name in only or HEADLINE:

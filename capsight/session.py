@@ -51,6 +51,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+SPREAD_FACTOR = int(os.environ.get("CAPSIGHT_SPREAD_FACTOR", "1"))
+
+
 def spread(df, *keys):
     """Spread a scan that has fewer partitions than the cluster has cores.
 
@@ -62,4 +65,5 @@ def spread(df, *keys):
     sc = df.sparkSession.sparkContext
     if df.rdd.getNumPartitions() >= sc.defaultParallelism:
         return df
-    return df.repartition(*keys) if keys else df.repartition(sc.defaultParallelism)
+    n = sc.defaultParallelism * SPREAD_FACTOR
+    return df.repartition(n, *keys) if keys else df.repartition(n)
