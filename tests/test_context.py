@@ -92,3 +92,18 @@ def test_hot_conversation_matches_brute_force(spark):
         if paths:
             want[(c,)] = paths
     assert got == want and len(convs[-1]) > 100
+
+
+def test_fallback_entries_show_base_name_only(spark):
+    from pyspark.sql import functions as F
+    from capsight.operators.context import failed_entry, timed_out_entry
+    df = spark.createDataFrame([("/tmp/slow-image.png",)], "p string")
+    r = df.select(timed_out_entry(F.col("p"), 12000).alias("t"), failed_entry(F.col("p"), F.lit("ENOENT")).alias("f")).collect()[0]
+    assert "Kind: analysis_timed_out" in r.t and "slow-image.png" in r.t and "auto_context_timeout_12000ms" in r.t
+    assert "Kind: analysis_failed" in r.f and "/tmp/" not in r.f and r.f.endswith("Warnings: ENOENT")
+
+
+def test_context_entries_status(spark):
+    from capsight.plans.queries import entries
+    st = {r.status for r in entries(spark, "/root/testdata/sf0.001").collect()}
+    assert "ok" in st and "analysis_failed" in st

@@ -48,3 +48,11 @@ def test_reports(spark):
     assert total.n_captures == an.count() and total.level == 3
     t = {(r.dimension, r.value): r.n_captures for r in tag_report(an).collect()}
     assert t[("tag", "has:ocr")] > 0
+
+
+def test_fingerprint_tracks_mtime_and_hint(spark):
+    df = capture_rows(spark, [{"file_name": "a.png", "modified_ms": 1}, {"file_name": "a.png", "modified_ms": 2001},
+                              {"file_name": "a.png", "modified_ms": 1, "hint": "auto_inbound_context"}])
+    c = F.col
+    fps = [r.f for r in df.select(fingerprint(c("file_path"), c("size_bytes"), c("modified_ms"), c("hint")).alias("f")).collect()]
+    assert len(set(fps)) == 3
