@@ -33,6 +33,8 @@ def _with_ocr_defaults(df: DataFrame) -> DataFrame:
     cols = {}
     if "message" not in df.columns:
         cols["message"] = F.lit(None).cast("string")
+    if "ocr_text" not in df.columns:
+        cols["ocr_text"] = F.lit(None).cast("string")
     if "ocr_provider" not in df.columns:
         cols["ocr_provider"] = F.lit(None).cast("string")
     if "ocr_lines" not in df.columns:
