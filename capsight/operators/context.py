@@ -50,8 +50,9 @@ def media_mentions(messages: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _first_k(mentions: DataFrame, keys: list[str], max_images: int) -> DataFrame:
-    """Keep each path's first sighting by (recency, idx); keep the first ``max_images``; reverse."""
-    first = mentions.groupBy(*keys, "file_path").agg(F.min(F.struct("recency", "idx")).alias("seen"))
+    """Keep each path's first sighting by (recency, chunk, idx); keep the first ``max_images``; reverse."""
+    order = ["recency", "chunk_pos", "idx"] if "chunk_pos" in mentions.columns else ["recency", "idx"]
+    first = mentions.groupBy(*keys, "file_path").agg(F.min(F.struct(*order)).alias("seen"))
     w = Window.partitionBy(*keys).orderBy("seen")
     kept = first.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= max_images)
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
@@ -65,13 +66,21 @@ def recent_media(messages: DataFrame, max_messages: int = R.MAX_RECENT_MESSAGES,
     Scan newest message first, left to right inside a message; the first sighting
     of a path counts; stop at ``max_images``; positions run oldest-first (the
     reversed scan order).  Conversations with no media give no rows.
+
+    ``messages`` may also be message *chunks* (``conv_id, turn, chunk_pos, text``
+    from ``message_chunks``): each chunk is scanned on its own, in chunk order,
+    and ``dense_rank`` keeps every chunk of the last ``max_messages`` messages.
     """
     if max_messages <= 0 or max_images <= 0:
         raise ValueError("max_messages and max_images must be > 0")
+    chunked = "chunk_pos" in messages.columns
     w = Window.partitionBy("conv_id").orderBy(F.col("turn").desc())
-    recent = messages.withColumn("recency", F.row_number().over(w)).where(F.col("recency") <= max_messages)
-    m = recent.select("conv_id", "recency", F.posexplode(mention_paths(F.col("text"))).alias("idx", "raw"))
-    m = m.select("conv_id", "recency", "idx", js_trim(F.col("raw")).alias("file_path")).where(F.col("file_path") != "")
+    rank = F.dense_rank() if chunked else F.row_number()
+    recent = messages.withColumn("recency", rank.over(w)).where(F.col("recency") <= max_messages)
+    extra = ["chunk_pos"] if chunked else []
+    m = recent.select("conv_id", "recency", *extra, F.posexplode(mention_paths(F.col("text"))).alias("idx", "raw"))
+    m = m.select("conv_id", "recency", *extra, "idx", js_trim(F.col("raw")).alias("file_path")) \
+         .where(F.col("file_path") != "")
     return _first_k(m, ["conv_id"], max_images)
 
 

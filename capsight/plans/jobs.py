@@ -27,6 +27,10 @@ def analyze_folder(spark: SparkSession, folder: str, extractor: Callable, provid
     ``store_path``: a result table; files already analysed with the same
     fingerprint are served from it and new successes are appended.
     ``modified_after``: only files modified after this timestamp (listing filter).
+
+    Image bytes are read only for files passing the metadata filters (size,
+    modification time); cached files are skipped before OCR, but their bytes
+    are still read unless ``modified_after`` narrows the listing.
     """
     from capsight.operators.analyze import analyze
     from capsight.operators.handoff import with_handoff

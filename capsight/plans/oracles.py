@@ -248,3 +248,5 @@ _WALK = (
 ORACLES["a5_message_chunks"] = _with([f"msgs AS ({O.fixture_messages()})", _NESTED, _WALK], (
     "SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id, turn ORDER BY path) - 1 AS INTEGER) AS chunk_pos, "
     "json_extract_string(j, '$') AS text FROM walk WHERE json_type(j) = 'VARCHAR'"))
+
+ORACLES["h1_recent_media_nested"] = ORACLES["h1_recent_media"]

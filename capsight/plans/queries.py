@@ -319,6 +319,14 @@ def h1_small(spark, sf_dir):
     return recent_media(fx.messages(spark, sf_dir), max_messages=3, max_images=2)
 
 
+@query("h1_recent_media_nested")
+def h1_nested(spark, sf_dir):
+    """H1 over messages in nested JSON form: every string leaf (A5) is scanned on its own."""
+    from capsight.operators.context import recent_media
+    from capsight.sources.payloads import message_chunks
+    return recent_media(message_chunks(fx.nested_messages(spark, sf_dir)))
+
+
 @query("h2_recent_media_by_turn")
 def h2(spark, sf_dir):
     from capsight.operators.context import recent_media_by_turn

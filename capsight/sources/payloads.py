@@ -86,13 +86,3 @@ def message_chunks(messages: DataFrame, col: str = "message", max_depth: int = R
     from pyspark.sql import Window
     w = Window.partitionBy("conv_id", "turn").orderBy("path")
     return leaves.select("conv_id", "turn", (F.row_number().over(w) - 1).alias("chunk_pos"), "text")
-
-
-def chunked_messages(chunks: DataFrame) -> DataFrame:
-    """Message text for the media scan: a message's chunks joined by LF, in order.
-
-    Media markers never span a line break (the path class excludes LF), so
-    scanning the joined text finds exactly the markers of the separate chunks.
-    """
-    g = chunks.groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(F.struct("chunk_pos", "text"))).alias("_c"))
-    return g.select("conv_id", "turn", F.array_join(F.transform("_c", lambda x: x["text"]), "\n").alias("text"))

@@ -107,3 +107,12 @@ def test_context_entries_status(spark):
     from capsight.plans.queries import entries
     st = {r.status for r in entries(spark, "/root/testdata/sf0.001").collect()}
     assert "ok" in st and "analysis_failed" in st
+
+
+def test_nested_messages_scan_each_string_on_its_own(spark):
+    import json
+    from capsight.sources.payloads import message_chunks
+    msgs_json = [(1, 0, json.dumps({"a": "[media attached:", "b": "/split.png | x"})),
+                 (1, 1, json.dumps({"content": [{"text": M.format("/a.png")}, {"text": M.format("/b.png")}]}))]
+    df = spark.createDataFrame(msgs_json, "conv_id long, turn long, message string")
+    assert listed(recent_media(message_chunks(df)), "conv_id") == {(1,): ["/b.png", "/a.png"]}
