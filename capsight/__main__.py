@@ -36,7 +36,6 @@ def main(argv=None) -> None:
     args = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
-    from pyspark.sql import functions as F
 
     from capsight.operators.analyze import render_block
     from capsight.operators.handoff import render_handoff

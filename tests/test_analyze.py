@@ -1,5 +1,4 @@
 """E1-E3, F1-F5 and admission (A2) on hand-made rows."""
-from pyspark.sql import functions as F
 
 from capsight.operators.analyze import analyze, render_block
 from capsight.operators.handoff import render_handoff, with_handoff

@@ -1,5 +1,4 @@
 """The driver contract: entry() smoke and every query against its DuckDB oracle at sf0.001."""
-import duckdb
 import pytest
 
 import __spark_entry__ as E
