@@ -129,8 +129,16 @@ def context_entries(media: DataFrame, captures: DataFrame, attempts: DataFrame |
     from capsight.operators.handoff import render_handoff
 
     limit = context_timeout_ms(ocr_timeout_ms)
-    wanted = captures.join(media.select("file_path").distinct(), "file_path", "left_semi")
-    wanted = wanted.withColumn("hint", F.lit(R.CONTEXT_HINT))
+    # The media list (at most max_images rows per conversation) is used three
+    # times below: materialise it once in the shared checkpoint folder.
+    from capsight.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(media.sparkSession)
+    media = media.checkpoint(eager=True)
+    paths = media.select("file_path").distinct()
+    wanted = captures.join(paths, "file_path", "left_semi").withColumn("hint", F.lit(R.CONTEXT_HINT))
+    if attempts is not None:
+        # OCR is resolved only for referenced captures.
+        attempts = attempts.join(wanted.select("capture_id"), "capture_id", "left_semi")
     an = run_analysis(wanted, attempts, timeout_ms=ocr_timeout_ms, **analysis_kw)
     an = an.select("file_path", "error", "message", F.col("ocr_elapsed_ms"),
                    render_block().alias("_block"), render_handoff().alias("_handoff"))
