@@ -67,7 +67,11 @@ def analyze_incremental(captures: DataFrame, attempts: DataFrame | None, store:
         keys = store.select("fingerprint")
         misses = keyed.join(keys, "fingerprint", "left_anti")
         hits = store.join(keyed.select("fingerprint").distinct(), "fingerprint", "left_semi")
-    fresh = run_analysis(misses.dropDuplicates(["fingerprint"]), attempts, **analysis_kw)
+    todo = misses.dropDuplicates(["fingerprint"])
+    if attempts is not None and "capture_id" in todo.columns:
+        # OCR attempts are resolved only for the captures this run analyses.
+        attempts = attempts.join(misses.select("capture_id"), "capture_id", "left_semi")
+    fresh = run_analysis(todo, attempts, **analysis_kw)
     fresh = fresh.withColumn("from_store", F.lit(False))
     if hits is None:
         results = fresh
