@@ -85,10 +85,22 @@ def recent_media(messages: DataFrame, max_messages: int = R.MAX_RECENT_MESSAGES,
 
 
 def recent_media_by_turn(messages: DataFrame, max_messages: int = R.MAX_RECENT_MESSAGES,
-                         max_images: int = R.MAX_IMAGE_COUNT) -> DataFrame:
-    """H2: ``conv_id, turn, media_pos, file_path``: H1 as of every turn of every conversation."""
+                         max_images: int = R.MAX_IMAGE_COUNT, renumber: bool = False) -> DataFrame:
+    """H2: ``conv_id, turn, media_pos, file_path``: H1 as of every turn of every conversation.
+
+    ``turn`` must be the message position (gap-free); ``renumber=True`` first
+    renumbers logs with gaps (a per-conversation window) and reports the
+    original turn values.
+    """
     if max_messages <= 0 or max_images <= 0:
         raise ValueError("max_messages and max_images must be > 0")
+    if renumber:
+        w = Window.partitionBy("conv_id").orderBy("turn")
+        pos = messages.withColumn("_orig_turn", F.col("turn")).withColumn("turn", (F.row_number().over(w) - 1).cast("long"))
+        out = recent_media_by_turn(pos.drop("_orig_turn"), max_messages, max_images)
+        back = pos.select("conv_id", "turn", "_orig_turn")
+        return out.join(back, ["conv_id", "turn"]).select("conv_id", F.col("_orig_turn").alias("turn"),
+                                                           "media_pos", "file_path")
     m = media_mentions(messages)
     fan = m.select("conv_id", "idx", "file_path", "turn",
                    F.explode(F.sequence(F.lit(0), F.lit(max_messages - 1))).alias("d"))

@@ -116,3 +116,11 @@ def test_nested_messages_scan_each_string_on_its_own(spark):
                  (1, 1, json.dumps({"content": [{"text": M.format("/a.png")}, {"text": M.format("/b.png")}]}))]
     df = spark.createDataFrame(msgs_json, "conv_id long, turn long, message string")
     assert listed(recent_media(message_chunks(df)), "conv_id") == {(1,): ["/b.png", "/a.png"]}
+
+
+def test_by_turn_renumbers_gapped_turns(spark):
+    rows = [(1, t * 10, "user", M.format(f"/g{t % 3}.png")) for t in range(6)]
+    got = listed(recent_media_by_turn(msgs(spark, rows), 2, 4, renumber=True), "conv_id", "turn")
+    for t in range(6):
+        sub = msgs(spark, [r for r in rows if r[1] <= t * 10])
+        assert got.get((1, t * 10)) == listed(recent_media(sub, 2, 4), "conv_id").get((1,))
