@@ -57,18 +57,24 @@ def classify_by_name(df: DataFrame) -> DataFrame:
     return df.withColumns(name_class_columns(F.col("file_name"), F.col("hint"), F.col("mime_type")))
 
 
-def text_signal_columns(file_name: Column, hint: Column, ocr_text: Column) -> dict[str, Column]:
-    """Counts over the OCR text, computed once.
+def text_base_columns(file_name: Column, hint: Column, ocr_text: Column) -> dict[str, Column]:
+    """C3 inputs computed once: trimmed text, lowered keyword text, clean lines."""
+    trimmed = js_trim(ocr_text)
+    return {
+        "_text_blank": trimmed == "",
+        "_full": F.lower(F.concat(file_name, F.lit(" "), F.coalesce(hint, F.lit("")), F.lit(" "), trimmed)),
+        "_cls_lines": clean_lines(ocr_text),
+    }
+
+
+def text_signal_columns(full: Column, lines: Column) -> dict[str, Column]:
+    """Counts over the keyword text and the clean lines (see ``text_base_columns``).
 
     Keyword counts run on ``lower(name + ' ' + hint + ' ' + trimmed text)``; line
     counts run on the trimmed, non-blank lines of the text.
     """
-    trimmed = js_trim(ocr_text)
-    full = F.lower(F.concat(file_name, F.lit(" "), F.coalesce(hint, F.lit("")), F.lit(" "), trimmed))
-    lines = clean_lines(ocr_text)
     han = full.rlike(rx("han"))
     return {
-        "_text_blank": trimmed == "",
         "n_receipt_words": count_contains(full, R.RECEIPT_WORDS, han),
         "n_chart_words": count_contains(full, R.CHART_WORDS, han),
         "n_chat_words": count_contains(full, R.CHAT_WORDS, han),
@@ -129,10 +135,11 @@ def classify(df: DataFrame) -> DataFrame:
     Adds ``name_*``, the C3 signal columns, ``text_kind`` and the final
     ``kind, confidence, reasons``.  Three projections: signals, text kind, merge.
     """
-    sig = df.withColumns({
+    base = df.withColumns(text_base_columns(F.col("file_name"), F.col("hint"), F.col("ocr_text")))
+    sig = base.withColumns({
         **name_class_columns(F.col("file_name"), F.col("hint"), F.col("mime_type")),
-        **text_signal_columns(F.col("file_name"), F.col("hint"), F.col("ocr_text")),
-    })
+        **text_signal_columns(F.col("_full"), F.col("_cls_lines")),
+    }).drop("_full", "_cls_lines")
     return sig.withColumn("text_kind", text_kind_column()).withColumns(refine_columns())
 
 
