@@ -73,3 +73,29 @@ def analyze_folder(spark: SparkSession, folder: str, extractor: Callable, provid
     served = read_results(spark, store_path).join(admitted.select("fingerprint"), "fingerprint", "left_semi")
     failures = with_handoff(analyze(failed, **analysis_kw))
     return served.drop("schema_id", "analyzed_ms").unionByName(failures, allowMissingColumns=True)
+
+
+def compare_requests(requests: DataFrame, analyses: DataFrame) -> DataFrame:
+    """Compare groups of requested files: ``requests(group_id, pos, file_path)``.
+
+    Each request takes the analysis of its file (joined on ``file_path``; AQE
+    decides broadcast or sort-merge); a file without an analysis takes part as a
+    failed capture (``mixed_unknown``, empty title, target ``none``), as in the
+    reproduced tool.  Groups of fewer than two requests give no row.
+    """
+    from capsight.operators.compare import compare_groups
+    cols = ["kind", "title", "save_target", "entities", "tags", "source"]
+    an = analyses.select("file_path", *cols)
+    joined = requests.select("group_id", "pos", "file_path").join(an, "file_path", "left")
+    missing = F.col("kind").isNull()
+    empty = F.array().cast("array<string>")
+    filled = joined.select(
+        "group_id", "pos",
+        F.when(missing, F.lit(R.UNKNOWN)).otherwise(F.col("kind")).alias("kind"),
+        F.when(missing, F.lit("")).otherwise(F.col("title")).alias("title"),
+        F.when(missing, F.lit("none")).otherwise(F.col("save_target")).alias("save_target"),
+        F.when(missing, F.lit("")).otherwise(F.col("source.file_name")).alias("file_name"),
+        F.when(missing, empty).otherwise(F.col("entities")).alias("entities"),
+        F.when(missing, empty).otherwise(F.col("tags")).alias("tags"),
+    )
+    return compare_groups(filled)

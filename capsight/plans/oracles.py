@@ -250,3 +250,4 @@ ORACLES["a5_message_chunks"] = _with([f"msgs AS ({O.fixture_messages()})", _NEST
     "json_extract_string(j, '$') AS text FROM walk WHERE json_type(j) = 'VARCHAR'"))
 
 ORACLES["h1_recent_media_nested"] = ORACLES["h1_recent_media"]
+ORACLES["g1_compare_requests"] = ORACLES["g1_compare_groups"]

@@ -282,6 +282,17 @@ def g1(spark, sf_dir):
                      j("differences", " | ").alias("differences"), "save_recommendation", "compared")
 
 
+@query("g1_compare_requests")
+def g1_requests(spark, sf_dir):
+    """G1 from (group_id, pos, file_path) requests joined to the analyses by path."""
+    from capsight.plans.jobs import compare_requests
+    req = fx.captures(spark, sf_dir).select("group_id", "pos", "file_path")
+    df = compare_requests(req, analysis_job(spark, sf_dir))
+    return df.select("group_id", F.col("n_members").cast("long").alias("n_members"), "summary", "same_kind",
+                     j("kinds", ", ").alias("kinds"), j("similarities", " | ").alias("similarities"),
+                     j("differences", " | ").alias("differences"), "save_recommendation", "compared")
+
+
 @query("g2_shared_values")
 def g2(spark, sf_dir):
     df = compared(spark, sf_dir)

@@ -22,3 +22,18 @@ def test_analyze_folder_with_store(spark):
     assert stored == 3
     again = analyze_folder(spark, d, utf8_extractor, provider="utf8", store_path=store)
     assert again.count() == 4 and spark.read.parquet(store).count() == 3  # nothing new was written
+
+
+def test_compare_requests_with_missing_file(spark):
+    from capsight.operators.analyze import analyze
+    from capsight.operators.handoff import with_handoff
+    from capsight.plans.jobs import compare_requests
+    from tests.conftest import capture_rows
+    an = with_handoff(analyze(capture_rows(spark, [{"file_name": "r1.png", "ocr_text": "合计 1\n实付 1"},
+                                                  {"file_name": "r2.png", "ocr_text": "合计 2\n实付 2"}])))
+    req = spark.createDataFrame([(1, 0, "/img/r1.png"), (1, 1, "/img/r2.png"), (1, 2, "/img/gone.png"),
+                                 (2, 0, "/img/r1.png")], "group_id long, pos int, file_path string")
+    out = compare_requests(req, an).collect()
+    assert len(out) == 1 and out[0].n_members == 3
+    assert out[0].kinds == ["receipt_or_invoice", "mixed_unknown"]
+    assert out[0].compared == "r1.png:receipt_or_invoice | r2.png:receipt_or_invoice | :mixed_unknown"
