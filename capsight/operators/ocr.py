@@ -194,14 +194,16 @@ def with_resolved_ocr(captures: DataFrame, attempts: DataFrame | None, provider:
     })
 
 
-def extract_text(images: DataFrame, extractor: Callable[[bytes, str], object], provider: str = "custom",
-                 content: str = "content", path: str = "file_path", batch_rows: int = 16) -> DataFrame:
+def extract_text(images: DataFrame, extractor: Callable[[bytes, str], object] | None = None, provider: str = "custom",
+                 content: str = "content", path: str = "file_path", batch_rows: int = 16,
+                 extractor_factory: Callable[[], Callable[[bytes, str], object]] | None = None) -> DataFrame:
     """Run a user text extractor over image bytes on the executors.
 
     ``extractor(data, path)`` returns a string, or a dict with ``text`` and
     ``lines`` (and optionally ``provider``).  It is called once per row inside a
     ``mapInPandas`` task; errors become a warning on that row and never fail the
-    job.  Output: ``capture_id``-like pass-through key columns are not touched;
+    job.  ``extractor_factory()`` instead builds the extractor once per task (load
+    a model there).  Output: ``capture_id``-like pass-through key columns are not touched;
     the result has ``<path>, ocr_provider, ocr_text, ocr_lines, ocr_warnings``.
     """
     import pandas as pd
@@ -210,12 +212,16 @@ def extract_text(images: DataFrame, extractor: Callable[[bytes, str], object], p
     schema = images.select(*keep).schema.simpleString()[len("struct<"):-1]
     schema += ",ocr_provider:string,ocr_text:string,ocr_lines:array<string>,ocr_warnings:array<string>"
 
+    if (extractor is None) == (extractor_factory is None):
+        raise ValueError("give exactly one of extractor and extractor_factory")
+
     def run(batches: Iterable[pd.DataFrame]):
+        fn = extractor if extractor is not None else extractor_factory()
         for pdf in batches:
             prov, texts, lines, warns = [], [], [], []
             for data, p in zip(pdf[content], pdf[path]):
                 try:
-                    out = extractor(bytes(data) if data is not None else b"", p)
+                    out = fn(bytes(data) if data is not None else b"", p)
                     if isinstance(out, dict):
                         t = out.get("text")
                         ls = out.get("lines")

@@ -88,3 +88,21 @@ def test_hot_capture_with_many_attempts_keeps_one_per_provider(spark):
     out = {r.capture_id: r for r in resolve_ocr(df, timeout_ms=None).collect()}
     assert out[9].ocr_provider == "paddleocr" and out[9].ocr_text == "text 0"
     assert out[9].ocr_warnings == ["retry 0"] and out[1].ocr_text == "x"
+
+
+def test_extract_text_errors_become_warnings_and_factory_runs_per_task(spark):
+    from capsight.operators.ocr import extract_text
+
+    def factory():
+        def fn(data, path):
+            if path.endswith("bad.png"):
+                raise RuntimeError("decoder exploded\nstack")
+            return {"text": data.decode(), "lines": data.decode().split("\n")}
+        return fn
+
+    images = spark.createDataFrame([("/a.png", b"hi\nthere"), ("/bad.png", b"x"), ("/e.png", b"")],
+                                   "file_path string, content binary")
+    out = {r.file_path: r for r in extract_text(images, extractor_factory=factory, provider="m").collect()}
+    assert out["/a.png"].ocr_lines == ["hi", "there"] and out["/a.png"].ocr_warnings == []
+    assert out["/bad.png"].ocr_text == "" and out["/bad.png"].ocr_warnings == ["m failed: decoder exploded"]
+    assert out["/e.png"].ocr_warnings == ["m returned no text"]
