@@ -18,12 +18,14 @@ from pyspark.sql import functions as F
 from capsight.functions import rules as R
 
 
-def analyze_folder(spark: SparkSession, folder: str, extractor: Callable, provider: str = "custom",
+def analyze_folder(spark: SparkSession, folder: str, extractor: Callable | None = None, provider: str = "custom",
                    hint: str | None = None, store_path: str | None = None, modified_after: str | None = None,
-                   max_image_bytes: int = R.MAX_IMAGE_BYTES, **analysis_kw) -> DataFrame:
+                   max_image_bytes: int = R.MAX_IMAGE_BYTES, extractor_factory: Callable | None = None,
+                   **analysis_kw) -> DataFrame:
     """Analyse every file under ``folder``; returns one row per file (failures included).
 
-    ``extractor(data: bytes, path: str)`` returns text or ``{"text", "lines"}``.
+    ``extractor(data: bytes, path: str)`` returns text or ``{"text", "lines"}``;
+    ``extractor_factory()`` builds one per task instead (to load a model once).
     ``store_path``: a result table; files already analysed with the same
     fingerprint are served from it and new successes are appended.
     ``modified_after``: only files modified after this timestamp (listing filter).
@@ -61,7 +63,7 @@ def analyze_folder(spark: SparkSession, folder: str, extractor: Callable, provid
     files = files.select(F.regexp_replace("path", r"^file:", "").alias("file_path"), "content")
     ok = todo.where(F.col("message").isNull())
     images = ok.join(files, "file_path").select("file_path", "content")
-    ocr = extract_text(images, extractor, provider=provider)
+    ocr = extract_text(images, extractor, provider=provider, extractor_factory=extractor_factory)
     with_ocr = ok.join(ocr, "file_path")
     failed = todo.where(F.col("message").isNotNull())
     fresh = with_handoff(analyze(with_ocr.unionByName(failed, allowMissingColumns=True), **analysis_kw))
