@@ -40,7 +40,8 @@ def key_fields(kind: Column, text: Column, lines: Column) -> Column:
     latest = F.when(kind == R.CHAT, first_match(text, ("clock", 0)))
     amount = F.when(kind == R.RECEIPT, first_match(text, ("amount_han", 1), ("amount_en", 1)))
     date = F.when(kind == R.RECEIPT, first_match(text, ("date_dash", 0), (DATE_HAN_JAVA, 0)))
-    phone = first_match(text, ("phone", 0))
+    # every phone match is an 11-digit run with ASCII boundaries
+    phone = F.when(text.rlike(rx("eleven_digits")), first_match(text, ("phone", 0)))
     email = first_match(text, ("email", 0))
     url = first_match(text, ("url_http", 0), ("url_www", 0))
     return F.struct(title.alias("title"), latest.alias("latest_time"), amount.alias("amount"),
