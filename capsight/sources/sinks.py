@@ -31,3 +31,14 @@ def as_json(analyses: DataFrame, cols=None) -> DataFrame:
     cols = cols or [c for c in analyses.columns]
     return analyses.select(*[c for c in ("capture_id", "fingerprint") if c in analyses.columns],
                            F.to_json(F.struct(*cols)).alias("json"))
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:
+    """Write ``df`` as a table bucketed and sorted by ``key`` at ``path``; return the table.
+
+    Jobs that aggregate or join on ``key`` (the OCR fold on ``capture_id``) then
+    read co-located data and need no shuffle.
+    """
+    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+       .option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)

@@ -106,3 +106,17 @@ def test_extract_text_errors_become_warnings_and_factory_runs_per_task(spark):
     assert out["/a.png"].ocr_lines == ["hi", "there"] and out["/a.png"].ocr_warnings == []
     assert out["/bad.png"].ocr_text == "" and out["/bad.png"].ocr_warnings == ["m failed: decoder exploded"]
     assert out["/e.png"].ocr_warnings == ["m returned no text"]
+
+
+def test_bucketed_attempts_fold_without_shuffle(spark):
+    import os
+    import tempfile
+    from capsight.sources import fixtures as fx
+    from capsight.sources.sinks import write_bucketed
+    att = fx.attempts(spark, "/root/testdata/sf0.001")
+    path = os.path.join(tempfile.mkdtemp(prefix="capsight-bucketed-"), "attempts")
+    table = write_bucketed(att, "capsight_test_attempts", "capture_id", 4, path)
+    folded = resolve_ocr(table, timeout_ms=5000)
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert folded.count() == 200
