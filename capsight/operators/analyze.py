@@ -15,7 +15,6 @@ from capsight.functions.text import js_trim, lit_array, or_none
 from capsight.operators.classify import SIGNAL_COLUMNS, classify
 from capsight.operators.extract import empty, extraction_columns
 
-OCR_COLUMNS = ("ocr_provider", "ocr_text", "ocr_lines", "ocr_warnings")
 LIST_COLUMNS = ("entities", "ui_elements", "risk_flags", "layout_hints", "table_hints",
                 "chart_hints", "table_preview", "chart_signals")
 ANALYSIS_COLUMNS = ("error", "message", "kind", "confidence", "reasons", "summary", "ocr_provider",

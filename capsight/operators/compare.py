@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from capsight.functions import rules as R
 
 CHUNK_SIZE = 1024
-MEMBER_COLUMNS = ("group_id", "pos", "kind", "title", "save_target", "file_name", "entities", "tags")
 
 
 def members(handoffs: DataFrame) -> DataFrame:
