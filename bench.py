@@ -1,6 +1,7 @@
 """Benchmark the headline jobs and print one JSON line.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
+    BENCH_QUERIES=e3_analyze BENCH_EVENT_LOG_DIR=$(mktemp -d /tmp/run-XXXXXX) python bench.py
 
 Each query is forced end to end with the ``noop`` sink (every row computed, no
 collect to the driver): one warm-up run, then the median of ``BENCH_RUNS`` runs.
@@ -37,8 +38,11 @@ def main() -> None:
     from capsight.plans.queries import QUERIES
     from capsight.session import local_session
 
+    conf = {}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):  # stage and task times, without the UI
+        conf = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]}
     spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
-                          app="capsight-bench")
+                          app="capsight-bench", **conf)
     times: dict[str, float] = {}
     for name in only or HEADLINE:
         fn = QUERIES[name]

@@ -8,10 +8,14 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "capsight") -> SparkSession:
-    """A local session with the settings the jobs assume (AQE on, UI off, UTC)."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "capsight",
+                  **conf: str) -> SparkSession:
+    """A local session with the settings the jobs assume (AQE on, UI off, UTC); ``conf`` adds more."""
+    builder = SparkSession.builder
+    for k, v in conf.items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
