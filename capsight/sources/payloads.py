@@ -57,19 +57,24 @@ def read_ocr_payloads(df: DataFrame, payload: str = "payload", default_provider:
     return out.withColumn("warnings", warnings).drop("_v")
 
 
-# Recursive walk over the Variant tree: every string leaf at depth <= 8, with the
-# position path that orders it (object members in key order, array items in order).
-_CHUNKS_SQL = """
-WITH RECURSIVE walk(conv_id, turn, path, depth, v) AS (
-  SELECT conv_id, turn, CAST(array() AS ARRAY<INT>), 0, try_parse_json({col}) FROM {messages}
-  UNION ALL
-  SELECT w.conv_id, w.turn, array_append(w.path, e.pos), w.depth + 1, e.value
-  FROM walk w, LATERAL variant_explode(w.v) AS e
-  WHERE w.depth < {max_depth}
-)
-SELECT conv_id, turn, path, CAST(v AS STRING) AS text
-FROM walk WHERE schema_of_variant(v) = 'STRING'
-"""
+def _children_or_self(node: Column, max_depth: int) -> Column:
+    """One walk step: a container's children (one level deeper), or the node itself.
+
+    Array items keep their order; object members come in key order (the order a
+    Variant stores them in).  Containers at ``max_depth`` are kept as they are and
+    dropped later (only string leaves are returned).
+    """
+    v, depth, path = node["v"], node["depth"], node["path"]
+    items = F.try_variant_get(v, "$", "array<variant>")
+    members = F.try_variant_get(v, "$", "map<string,variant>")
+
+    def child(x, i):
+        return F.struct((depth + 1).alias("depth"), F.array_append(path, i).alias("path"), x.alias("v"))
+
+    open_ = depth < max_depth
+    return (F.when(open_ & items.isNotNull(), F.transform(items, child))
+            .when(open_ & members.isNotNull(), F.transform(F.map_values(members), child))
+            .otherwise(F.array(node)))
 
 
 def message_chunks(messages: DataFrame, col: str = "message", max_depth: int = R.MESSAGE_MAX_DEPTH) -> DataFrame:
@@ -77,12 +82,18 @@ def message_chunks(messages: DataFrame, col: str = "message", max_depth: int = R
 
     ``messages`` has ``conv_id, turn`` and a JSON column; output ``conv_id, turn,
     chunk_pos, text`` where ``chunk_pos`` is the leaf's order inside the message.
-    Object members come in key order (Variant stores them sorted); that only
-    changes the order of chunks inside one message.
+    The walk is ``max_depth`` unrolled expand steps (a chain of generators, no
+    recursion and no row limit); every step is a narrow operation.  Object
+    members come in key order (Variant stores them sorted); that only changes
+    the order of chunks inside one message.
     """
-    spark = messages.sparkSession
-    leaves = spark.sql(_CHUNKS_SQL.format(col=col, messages="{messages}", max_depth=int(max_depth)),
-                       messages=messages.select("conv_id", "turn", col))
     from pyspark.sql import Window
-    w = Window.partitionBy("conv_id", "turn").orderBy("path")
-    return leaves.select("conv_id", "turn", (F.row_number().over(w) - 1).alias("chunk_pos"), "text")
+    root = F.struct(F.lit(0).alias("depth"), F.array().cast("array<int>").alias("path"),
+                    F.try_parse_json(F.col(col)).alias("v"))
+    df = messages.select("conv_id", "turn", root.alias("n")).where(F.col("n.v").isNotNull())
+    for _ in range(int(max_depth)):
+        df = df.select("conv_id", "turn", F.explode(_children_or_self(F.col("n"), int(max_depth))).alias("n"))
+    leaves = df.where(F.coalesce(F.schema_of_variant(F.col("n.v")) == "STRING", F.lit(False)))
+    w = Window.partitionBy("conv_id", "turn").orderBy(F.col("n.path"))
+    return leaves.select("conv_id", "turn", (F.row_number().over(w) - 1).alias("chunk_pos"),
+                         F.try_variant_get(F.col("n.v"), "$", "string").alias("text"))
