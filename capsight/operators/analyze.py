@@ -29,7 +29,12 @@ def null_key_fields() -> Column:
 
 
 def _with_ocr_defaults(df: DataFrame) -> DataFrame:
+    from capsight.operators.classify import infer_mime
     cols = {}
+    if "hint" not in df.columns:
+        cols["hint"] = F.lit(None).cast("string")
+    if "mime_type" not in df.columns:
+        cols["mime_type"] = infer_mime(F.col("file_path") if "file_path" in df.columns else F.col("file_name"))
     if "message" not in df.columns:
         cols["message"] = F.lit(None).cast("string")
     if "ocr_text" not in df.columns:

@@ -78,3 +78,9 @@ def test_analysis_is_one_narrow_stage(spark):
     df = with_handoff(analyze(capture_rows(spark, [{"file_name": "a.png"}])))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_minimal_input_columns(spark):
+    df = spark.createDataFrame([("a.png", 10, "合计 1\n实付 1")], "file_name string, size_bytes long, ocr_text string")
+    r = with_handoff(analyze(df)).collect()[0]
+    assert r.kind == "receipt_or_invoice" and r.source.mime_type == "image/png"
