@@ -140,6 +140,11 @@ MEDIA_PATH_PATTERN = (
     r"(?:{W}*\([^)]+\))?{W}*\|"
 )
 
+# Text block headers.
+IMAGE_HEADER = "[Image]"
+HANDOFF_HEADER = "[VisionHandoff]"
+COMPARE_HEADER = "[ImageCompare]"
+
 # Schema ids of our own records.
 HANDOFF_SCHEMA = "capture/handoff@v1"
 COMPARE_SCHEMA = "capture/compare@v1"

@@ -138,7 +138,7 @@ def render_block(df: DataFrame | None = None) -> Column:
     c = F.col
     block = F.concat_ws(
         "\n",
-        F.lit("[Image]"),
+        F.lit(R.IMAGE_HEADER),
         F.concat(F.lit("Kind: "), c("kind")),
         F.concat(F.lit("Summary: "), c("summary")),
         F.concat(F.lit("OCR: "), F.when(c("ocr_text") != "", c("ocr_text")).otherwise(F.lit("(none)"))),

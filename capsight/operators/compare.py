@@ -142,7 +142,7 @@ def render_compare() -> Column:
 
     return F.concat_ws(
         "\n",
-        F.lit("[ImageCompare]"),
+        F.lit(R.COMPARE_HEADER),
         F.concat(F.lit("Summary: "), c("summary")),
         F.concat(F.lit("SameKind: "), F.when(c("same_kind"), "true").otherwise("false")),
         F.concat(F.lit("Kinds: "), listed("kinds", ", ", "(mixed)")),

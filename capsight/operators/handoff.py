@@ -95,4 +95,4 @@ def handoff_record() -> Column:
 
 def render_handoff() -> Column:
     """header line plus the record as JSON (compact; key fields that are absent are omitted)."""
-    return F.concat(F.lit("[VisionHandoff]\n"), F.to_json(handoff_record()))
+    return F.concat(F.lit(R.HANDOFF_HEADER + "\n"), F.to_json(handoff_record()))

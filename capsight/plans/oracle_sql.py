@@ -272,7 +272,7 @@ def or_none(col: str, sep: str = ", ") -> str:
 
 def render_block() -> str:
     lines = [
-        "'[Image]'",
+        q(R.IMAGE_HEADER),
         "'Kind: ' || kind_o",
         "'Summary: ' || summary_o",
         "'OCR: ' || CASE WHEN ocr_text_o <> '' THEN ocr_text_o ELSE '(none)' END",
@@ -436,5 +436,5 @@ def context_ctes(ocr_timeout_ms: int = R.OCR_TIMEOUT_MS) -> list[str]:
                f"ent0 AS (SELECT m.conv_id, m.media_pos, m.file_path, {status} AS status, an.blk, an.hj, an.message, "
                "an.file_path IS NULL AS missing FROM media m LEFT JOIN an ON an.file_path = m.file_path)",
                f"entries AS (SELECT conv_id, media_pos, file_path, status, CASE WHEN status = 'ok' THEN blk || chr(10) || chr(10) "
-               f"|| '[VisionHandoff]' || chr(10) || hj WHEN status = 'analysis_timed_out' THEN {timed.replace('m.file_path', 'e.file_path')} "
+               f"|| {q(R.HANDOFF_HEADER)} || chr(10) || hj WHEN status = 'analysis_timed_out' THEN {timed.replace('m.file_path', 'e.file_path')} "
                f"ELSE {failed("coalesce(message, CASE WHEN missing THEN 'file not found: ' || e.file_path END, 'structured analysis returned no image block')").replace('m.file_path', 'e.file_path')} END AS entry FROM ent0 e)"])

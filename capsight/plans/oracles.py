@@ -141,7 +141,7 @@ ORACLES["g2_shared_values"] = _with(_compare_ctes(), "SELECT group_id, shared_en
 ORACLES["g3_differences"] = _with(_compare_ctes(), "SELECT group_id, differences FROM cmp2")
 ORACLES["g4_save_recommendation"] = _with(_compare_ctes(), "SELECT group_id, save_recommendation FROM cmp2")
 ORACLES["g5_render_compare"] = _with(_compare_ctes(), (
-    "SELECT group_id, concat_ws(chr(10), '[ImageCompare]', 'Summary: ' || summary, "
+    f"SELECT group_id, concat_ws(chr(10), {O.q(R.COMPARE_HEADER)}, 'Summary: ' || summary, "
     "'SameKind: ' || CASE WHEN same_kind THEN 'true' ELSE 'false' END, 'Kinds: ' || kinds, "
     "'Similarities: ' || CASE WHEN similarities <> '' THEN similarities ELSE '(none)' END, "
     "'Differences: ' || CASE WHEN differences <> '' THEN differences ELSE '(none)' END, "
@@ -224,7 +224,7 @@ ORACLES["j3_stream_context"] = ORACLES["h1_recent_media"]
 
 # --- A5, A6, F5 ----------------------------------------------------------------------
 
-ORACLES["f5_render_handoff"] = _an(f"SELECT capture_id, '[VisionHandoff]' || chr(10) || {O.handoff_json()} AS handoff_block FROM a")
+ORACLES["f5_render_handoff"] = _an(f"SELECT capture_id, {O.q(R.HANDOFF_HEADER)} || chr(10) || {O.handoff_json()} AS handoff_block FROM a")
 ORACLES["a6_write_results"] = _with(O.pipeline_ctes(), (
     f"SELECT capture_id, {_fp()} AS fingerprint, kind_o AS kind, title_h AS title, {O.q(R.ANALYSIS_SCHEMA)} AS schema_id, "
     "CAST(modified_ms AS BIGINT) AS analyzed_ms FROM a WHERE NOT error_o"))
