@@ -420,8 +420,8 @@ def recent_media_ctes(max_messages: int, max_images: int, out: str = "media", by
     ]
 
 
-def context_ctes(ocr_timeout_ms: int = R.OCR_TIMEOUT_MS) -> list[str]:
-    """``entries``: one context entry per recent media row."""
+def context_ctes(ocr_timeout_ms: int = R.OCR_TIMEOUT_MS, by_turn: bool = False) -> list[str]:
+    """``entries``: one context entry per recent media row (per turn with ``by_turn``)."""
     limit = max(R.CONTEXT_MIN_TIMEOUT_MS, min(ocr_timeout_ms, R.CONTEXT_MAX_TIMEOUT_MS))
     base = "regexp_extract(m.file_path, '([^/]*)$', 1)"
     failed = lambda detail: (f"'[Image]' || chr(10) || 'Kind: analysis_failed' || chr(10) || 'Summary: Failed to analyze ' "
@@ -430,11 +430,13 @@ def context_ctes(ocr_timeout_ms: int = R.OCR_TIMEOUT_MS) -> list[str]:
              f"|| {base} || '; continuing without OCR-backed context.' || chr(10) || 'Warnings: auto_context_timeout_{limit}ms'")
     status = (f"CASE WHEN an.file_path IS NULL THEN 'analysis_failed' WHEN an.ocr_elapsed_ms > {limit} THEN 'analysis_timed_out' "
               f"WHEN NOT an.error_o AND {tr('an.blk')} <> '' THEN 'ok' ELSE 'analysis_failed' END")
-    return (recent_media_ctes(R.MAX_RECENT_MESSAGES, R.MAX_IMAGE_COUNT)
+    keys = "m.conv_id, m.as_of AS turn" if by_turn else "m.conv_id"
+    ekeys = "conv_id, turn" if by_turn else "conv_id"
+    return (recent_media_ctes(R.MAX_RECENT_MESSAGES, R.MAX_IMAGE_COUNT, by_turn=by_turn)
             + pipeline_ctes(ocr_timeout_ms, hint=R.CONTEXT_HINT)
             + [f"an AS (SELECT file_path, error_o, message, ocr_elapsed_ms, {render_block()} AS blk, {handoff_json()} AS hj FROM a)",
-               f"ent0 AS (SELECT m.conv_id, m.media_pos, m.file_path, {status} AS status, an.blk, an.hj, an.message, "
+               f"ent0 AS (SELECT {keys}, m.media_pos, m.file_path, {status} AS status, an.blk, an.hj, an.message, "
                "an.file_path IS NULL AS missing FROM media m LEFT JOIN an ON an.file_path = m.file_path)",
-               f"entries AS (SELECT conv_id, media_pos, file_path, status, CASE WHEN status = 'ok' THEN blk || chr(10) || chr(10) "
+               f"entries AS (SELECT {ekeys}, media_pos, file_path, status, CASE WHEN status = 'ok' THEN blk || chr(10) || chr(10) "
                f"|| {q(R.HANDOFF_HEADER)} || chr(10) || hj WHEN status = 'analysis_timed_out' THEN {timed.replace('m.file_path', 'e.file_path')} "
                f"ELSE {failed("coalesce(message, CASE WHEN missing THEN 'file not found: ' || e.file_path END, 'structured analysis returned no image block')").replace('m.file_path', 'e.file_path')} END AS entry FROM ent0 e)"])

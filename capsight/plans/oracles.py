@@ -251,3 +251,7 @@ ORACLES["a5_message_chunks"] = _with([f"msgs AS ({O.fixture_messages()})", _NEST
 
 ORACLES["h1_recent_media_nested"] = ORACLES["h1_recent_media"]
 ORACLES["g1_compare_requests"] = ORACLES["g1_compare_groups"]
+ORACLES["h4_conversation_context_by_turn"] = _with(O.context_ctes(by_turn=True), (
+    "SELECT conv_id, turn, CAST(count(*) AS BIGINT) AS n_entries, "
+    + O.q("\n".join(R.CONTEXT_PREAMBLE) + "\n\n").replace("\n", "' || chr(10) || '")
+    + " || string_agg(entry, chr(10) || chr(10) ORDER BY media_pos) AS context FROM entries GROUP BY conv_id, turn"))

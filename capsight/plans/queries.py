@@ -361,6 +361,16 @@ def h3(spark, sf_dir):
     return entries(spark, sf_dir)
 
 
+@query("h4_conversation_context_by_turn")
+def h4_by_turn(spark, sf_dir):
+    """The context text as of every turn (what the prompt hook yields over time)."""
+    from capsight.operators.context import context_entries, conversation_context, recent_media_by_turn
+    media = recent_media_by_turn(fx.messages(spark, sf_dir))
+    ent = context_entries(media, fx.captures(spark, sf_dir), fx.attempts(spark, sf_dir))
+    df = conversation_context(ent, keys=("conv_id", "turn"))
+    return df.select("conv_id", "turn", F.col("n_entries").cast("long").alias("n_entries"), "context")
+
+
 @query("h4_conversation_context")
 def h4(spark, sf_dir):
     from capsight.operators.context import conversation_context
