@@ -36,3 +36,42 @@ def test_table_sample(spark):
     assert r["layout_hints"] == ["header", "line_items", "summary_footer"]
     assert r["table_hints"] == ["possible_line_items", "possible_totals_block"]
     assert r["table_preview"] == TABLE.split("\n")
+
+
+def test_compare_samples(spark):
+    from capsight.operators.compare import compare_groups, render_compare
+    rows = [
+        (1, 0, "chart_or_dashboard", "chart_or_dashboard:chart-a.png", "knowledge", "chart-a.png", ["metric", "trend"],
+         ["kind:chart_or_dashboard", "shape:chart", "has:ocr"]),
+        (1, 1, "chart_or_dashboard", "chart_or_dashboard:chart-b.png", "knowledge", "chart-b.png",
+         ["metric", "trend", "series"], ["kind:chart_or_dashboard", "shape:chart", "has:ocr"]),
+        (2, 0, "chart_or_dashboard", "chart_or_dashboard:chart-a.png", "knowledge", "chart-a.png", ["metric", "trend"],
+         ["kind:chart_or_dashboard", "shape:chart", "has:ocr"]),
+        (2, 1, "receipt_or_invoice", "receipt_or_invoice:519.00", "knowledge", "receipt-a.png", ["merchant", "total"],
+         ["kind:receipt_or_invoice", "shape:table", "has:ocr"]),
+    ]
+    df = spark.createDataFrame(rows, "group_id long, pos int, kind string, title string, save_target string, "
+                                     "file_name string, entities array<string>, tags array<string>")
+    blocks = {r.group_id: r.b for r in compare_groups(df).select("group_id", render_compare().alias("b")).collect()}
+    assert blocks[1] == "\n".join([
+        "[ImageCompare]",
+        "Summary: Compared 2 images of the same kind: chart_or_dashboard.",
+        "SameKind: true",
+        "Kinds: chart_or_dashboard",
+        "Similarities: all images classified as chart_or_dashboard | shared entities: metric, trend | "
+        "shared tags: kind:chart_or_dashboard, shape:chart, has:ocr",
+        "Differences: titles differ: chart_or_dashboard:chart-a.png vs chart_or_dashboard:chart-b.png",
+        "SaveRecommendation: knowledge",
+        "Compared: chart-a.png:chart_or_dashboard | chart-b.png:chart_or_dashboard",
+    ])
+    assert blocks[2] == "\n".join([
+        "[ImageCompare]",
+        "Summary: Compared 2 images across kinds: chart_or_dashboard, receipt_or_invoice.",
+        "SameKind: false",
+        "Kinds: chart_or_dashboard, receipt_or_invoice",
+        "Similarities: shared tags: has:ocr",
+        "Differences: kind mismatch: chart_or_dashboard vs receipt_or_invoice | "
+        "titles differ: chart_or_dashboard:chart-a.png vs receipt_or_invoice:519.00",
+        "SaveRecommendation: knowledge",
+        "Compared: chart-a.png:chart_or_dashboard | receipt-a.png:receipt_or_invoice",
+    ])
