@@ -4,8 +4,9 @@
         [--provider NAME] [--hint TEXT] [--store PATH] [--out PATH] [--modified-after TS]
         [--vision heuristic|disabled] [--max-summary-chars N] [--master URL]
 
-Writes the analyses (one JSON object per capture, with the text block and the
-handoff block) to ``--out`` as JSON lines, or prints a few when no output is set.
+Writes the analyses (one JSON object per capture, with the text block, the
+handoff block and the normalized record as JSON) to ``--out`` as JSON lines, or
+prints a few text blocks when no output is set.
 """
 
 from __future__ import annotations
@@ -36,8 +37,9 @@ def main(argv=None) -> None:
     args = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
+    from pyspark.sql import functions as F
 
-    from capsight.operators.analyze import render_block
+    from capsight.operators.analyze import ANALYSIS_COLUMNS, render_block
     from capsight.operators.handoff import render_handoff
     from capsight.plans.jobs import analyze_folder
     from capsight.session import ensure_checkpoint_dir
@@ -50,8 +52,10 @@ def main(argv=None) -> None:
     df = analyze_folder(spark, args.folder, _load(args.extractor), provider=args.provider, hint=args.hint,
                         store_path=args.store, modified_after=args.modified_after, vision=args.vision,
                         max_summary_chars=args.max_summary_chars)
+    normalized = [c for c in ANALYSIS_COLUMNS if c not in ("error", "message", "ocr_provider")]
     out = df.select("file_path", "kind", "confidence", "title", "error", "message",
-                    render_block().alias("image_block"), render_handoff().alias("handoff_block"))
+                    render_block().alias("image_block"), render_handoff().alias("handoff_block"),
+                    F.to_json(F.struct(*normalized)).alias("normalized"))
     if args.out:
         out.write.mode("overwrite").json(args.out)
     else:
