@@ -206,3 +206,23 @@ def cut(text: Column, limit: int, keep: int) -> Column:
 def or_none(arr: Column, sep: str = ", ") -> Column:
     """Join a list for a text block; ``(none)`` when empty."""
     return F.when(F.size(arr) > 0, F.array_join(arr, sep)).otherwise(F.lit("(none)"))
+
+
+def per_context(fn):
+    """Cache a zero-argument builder of column expressions per active SparkContext.
+
+    The analysis builds a few thousand expression nodes through the Python
+    bridge; they are immutable and refer to columns by name, so one set per
+    context is reused by every job (driver-side planning time only).
+    """
+    cache: dict = {}
+
+    def wrapper(*args):
+        from pyspark import SparkContext
+        key = (id(SparkContext._active_spark_context), args)
+        if key not in cache:
+            cache[key] = fn(*args)
+        return cache[key]
+
+    wrapper.__doc__ = fn.__doc__
+    return wrapper

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from capsight.functions import rules as R
-from capsight.functions.text import js_trim, lit_array, or_none
+from capsight.functions.text import js_trim, lit_array, or_none, per_context
 from capsight.operators.classify import SIGNAL_COLUMNS, classify
 from capsight.operators.extract import empty, extraction_columns
 
@@ -112,19 +112,32 @@ def analyze(captures: DataFrame, vision: str = "heuristic",
         raise ValueError(f"unknown vision provider: {vision}")
     df = _with_ocr_defaults(captures)
     classified = classify(df)
-    kind, text, lines = F.col("kind"), F.col("ocr_text"), F.col("ocr_lines")
-    if vision == "heuristic":
-        ext = extraction_columns(kind, F.col("reasons"), F.col("file_name"), text, lines)
-    else:
-        ext = _disabled_vision(F.col("file_name"), kind)
-    extracted = classified.withColumns(ext)
-    norm = extracted.withColumns(normalize_columns(max_summary_chars))
-    final = norm.withColumns(_failure_override({c: F.col(c) for c in ANALYSIS_COLUMNS if c != "error"}))
+    extracted = classified.withColumns(_vision_columns(vision))
+    norm = extracted.withColumns(_normalize_columns(max_summary_chars))
+    final = norm.withColumns(_final_columns())
     drop = set(_INTERNAL) | {"ocr_lines", "ocr_warnings"}
     keep = [c for c in final.columns if c not in drop and c not in ANALYSIS_COLUMNS]
     return final.select(*keep, *ANALYSIS_COLUMNS)
 
 
+@per_context
+def _vision_columns(vision: str) -> dict[str, Column]:
+    kind = F.col("kind")
+    if vision == "heuristic":
+        return extraction_columns(kind, F.col("reasons"), F.col("file_name"), F.col("ocr_text"), F.col("ocr_lines"))
+    return _disabled_vision(F.col("file_name"), kind)
+
+
+@per_context
+def _normalize_columns(max_summary_chars: int) -> dict[str, Column]:
+    return normalize_columns(max_summary_chars)
+
+
+@per_context
+def _final_columns() -> dict[str, Column]:
+    return _failure_override({c: F.col(c) for c in ANALYSIS_COLUMNS if c != "error"})
+
+
 def key_fields_text(kf: Column) -> Column:
     """``k=v; ...`` over the non-empty key fields in their fixed order; ``(none)`` if none."""
     parts = F.array_compact(F.array(*[

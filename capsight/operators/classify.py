@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from capsight.functions import rules as R
 from capsight.functions.text import (
-    any_contains, clean_lines, count_contains, count_lines, has, js_trim, rx, unique,
+    any_contains, clean_lines, count_contains, count_lines, has, js_trim, per_context, rx, unique,
 )
 
 
@@ -135,12 +135,30 @@ def classify(df: DataFrame) -> DataFrame:
     Adds ``name_*``, the C3 signal columns, ``text_kind`` and the final
     ``kind, confidence, reasons``.  Three projections: signals, text kind, merge.
     """
-    base = df.withColumns(text_base_columns(F.col("file_name"), F.col("hint"), F.col("ocr_text")))
-    sig = base.withColumns({
-        **name_class_columns(F.col("file_name"), F.col("hint"), F.col("mime_type")),
-        **text_signal_columns(F.col("_full"), F.col("_cls_lines")),
-    }).drop("_full", "_cls_lines")
-    return sig.withColumn("text_kind", text_kind_column()).withColumns(refine_columns())
+    base = df.withColumns(_base_columns())
+    sig = base.withColumns(_signal_columns()).drop("_full", "_cls_lines")
+    return sig.withColumn("text_kind", _text_kind()).withColumns(_refine_columns())
+
+
+@per_context
+def _base_columns() -> dict[str, Column]:
+    return text_base_columns(F.col("file_name"), F.col("hint"), F.col("ocr_text"))
+
+
+@per_context
+def _signal_columns() -> dict[str, Column]:
+    return {**name_class_columns(F.col("file_name"), F.col("hint"), F.col("mime_type")),
+            **text_signal_columns(F.col("_full"), F.col("_cls_lines"))}
+
+
+@per_context
+def _text_kind() -> Column:
+    return text_kind_column()
+
+
+@per_context
+def _refine_columns() -> dict[str, Column]:
+    return refine_columns()
 
 
 SIGNAL_COLUMNS = ("n_receipt_words", "n_chart_words", "n_chat_words", "n_doc_words", "n_lines",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from capsight.functions import rules as R
+from capsight.functions.text import per_context
 from capsight.operators.extract import empty
 
 
@@ -56,22 +57,36 @@ def with_handoff(analyses: DataFrame) -> DataFrame:
 
     Failed rows get an empty title and tag list, target ``none``, no reason, 0.
     """
+    df = analyses.withColumns(_title_tags())
+    df = df.withColumns(_save_hints())
+    return df.withColumns(_failure_handoff())
+
+
+@per_context
+def _title_tags() -> dict[str, Column]:
+    c = F.col
+    return {"title": title(c("kind"), c("key_fields"), c("source.file_name")),
+            "tags": tags(c("kind"), c("entities"), c("risk_flags"), c("table_preview"), c("chart_signals"),
+                         c("ocr_text"))}
+
+
+@per_context
+def _save_hints() -> dict[str, Column]:
+    c = F.col
+    return save_hint_columns(c("kind"), c("tags"), c("confidence"))
+
+
+@per_context
+def _failure_handoff() -> dict[str, Column]:
     c = F.col
-    tag_list = tags(c("kind"), c("entities"), c("risk_flags"), c("table_preview"),
-                    c("chart_signals"), c("ocr_text"))
-    df = analyses.withColumns({
-        "title": title(c("kind"), c("key_fields"), c("source.file_name")),
-        "tags": tag_list,
-    })
-    df = df.withColumns(save_hint_columns(c("kind"), c("tags"), c("confidence")))
     err = c("error")
-    return df.withColumns({
+    return {
         "title": F.when(err, F.lit("")).otherwise(c("title")),
         "tags": F.when(err, empty()).otherwise(c("tags")),
         "save_target": F.when(err, F.lit("none")).otherwise(c("save_target")),
         "save_reason": F.when(err, F.lit("")).otherwise(c("save_reason")),
         "save_confidence": F.when(err, F.lit(0.0)).otherwise(c("save_confidence")),
-    })
+    }
 
 
 def handoff_record() -> Column:
