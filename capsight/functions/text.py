@@ -219,7 +219,8 @@ def per_context(fn):
 
     def wrapper(*args):
         from pyspark import SparkContext
-        key = (id(SparkContext._active_spark_context), args)
+        sc = SparkContext._active_spark_context
+        key = (sc.applicationId if sc is not None else None, args)
         if key not in cache:
             cache[key] = fn(*args)
         return cache[key]
