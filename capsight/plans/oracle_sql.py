@@ -359,7 +359,7 @@ def admission(path: str = "file_path", size: str = "size_bytes", mime_col: str =
             f"WHEN NOT starts_with({mime_col}, 'image/') THEN 'unsupported image type: ' || {path} END")
 
 
-def pipeline_ctes(timeout_ms: int | None = R.OCR_TIMEOUT_MS, order=None, vision: str = "heuristic",
+def job_ctes(timeout_ms: int | None = R.OCR_TIMEOUT_MS, order=None, vision: str = "heuristic",
                   hint: str | None = None) -> list[str]:
     """Admit, resolve attempts, analyse: the last CTE is ``a``."""
     order = list(order or R.OCR_FALLBACK_ORDER)
@@ -433,7 +433,7 @@ def context_ctes(ocr_timeout_ms: int = R.OCR_TIMEOUT_MS, by_turn: bool = False)
     keys = "m.conv_id, m.as_of AS turn" if by_turn else "m.conv_id"
     ekeys = "conv_id, turn" if by_turn else "conv_id"
     return (recent_media_ctes(R.MAX_RECENT_MESSAGES, R.MAX_IMAGE_COUNT, by_turn=by_turn)
-            + pipeline_ctes(ocr_timeout_ms, hint=R.CONTEXT_HINT)
+            + job_ctes(ocr_timeout_ms, hint=R.CONTEXT_HINT)
             + [f"an AS (SELECT file_path, error_o, message, ocr_elapsed_ms, {render_block()} AS blk, {handoff_json()} AS hj FROM a)",
                f"ent0 AS (SELECT {keys}, m.media_pos, m.file_path, {status} AS status, an.blk, an.hj, an.message, "
                "an.file_path IS NULL AS missing FROM media m LEFT JOIN an ON an.file_path = m.file_path)",

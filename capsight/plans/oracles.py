@@ -95,7 +95,7 @@ FLAT_ANALYSIS = (
                                                    "table_hints", "chart_hints", "table_preview", "chart_signals"))
     + f", {O.key_fields_text()} AS key_fields, title_h AS title, {j('tags_h')} AS tags, save_target, save_confidence "
     "FROM a")
-ORACLES["e3_analyze"] = _with(O.pipeline_ctes(), FLAT_ANALYSIS)
+ORACLES["e3_analyze"] = _with(O.job_ctes(), FLAT_ANALYSIS)
 
 # --- G. comparison ---------------------------------------------------------------------
 
@@ -106,7 +106,7 @@ def _compare_ctes() -> list[str]:
     shared = ("sh_{c} AS (SELECT fv.group_id, string_agg(fv.v, ', ' ORDER BY fv.idx) AS shared FROM fv_{c} fv JOIN sz "
               "ON sz.group_id = fv.group_id WHERE (SELECT count(*) FROM m2 WHERE m2.group_id = fv.group_id "
               "AND list_contains(m2.{c}, fv.v)) = sz.n GROUP BY fv.group_id)")
-    return O.pipeline_ctes() + [
+    return O.job_ctes() + [
         "mem AS (SELECT group_id, pos, kind_o AS kind, title_h AS title, save_target, src_file_name AS file_name, "
         "entities_o AS entities, tags_h AS tags FROM a)",
         "sz AS (SELECT group_id, count(*) AS n FROM mem GROUP BY group_id HAVING count(*) >= 2)",
@@ -179,16 +179,16 @@ def _fp(prefix: str = "") -> str:
 
 
 ORACLES["i1_fingerprint"] = _with(O.base_ctes(), f"SELECT capture_id, {_fp()} AS fingerprint FROM caps")
-ORACLES["i2_analyze_incremental"] = _with(O.pipeline_ctes(), (
+ORACLES["i2_analyze_incremental"] = _with(O.job_ctes(), (
     FLAT_ANALYSIS.replace(" FROM a", "") + f", {_fp()} AS fingerprint, (capture_id % 3 = 0 AND NOT error_o) AS from_store FROM a"))
-ORACLES["i3_retain_newest"] = _with(O.pipeline_ctes(), (
+ORACLES["i3_retain_newest"] = _with(O.job_ctes(), (
     f"SELECT {_fp()} AS fingerprint, capture_id, CAST(modified_ms AS BIGINT) AS analyzed_ms FROM a WHERE NOT error_o "
     f"ORDER BY modified_ms DESC, fingerprint LIMIT 64"))
-ORACLES["k1_kind_report"] = _with(O.pipeline_ctes(), (
+ORACLES["k1_kind_report"] = _with(O.job_ctes(), (
     "SELECT kind_o AS kind, save_target, CAST(GROUPING(kind_o, save_target) AS BIGINT) AS level, "
     "CAST(count(*) AS BIGINT) AS n_captures, CAST(sum(CASE WHEN error_o THEN 1 ELSE 0 END) AS BIGINT) AS n_failed, "
     "round(avg(confidence_o), 6) AS mean_confidence FROM a GROUP BY ROLLUP (kind_o, save_target)"))
-ORACLES["k2_tag_report"] = _with(O.pipeline_ctes(), (
+ORACLES["k2_tag_report"] = _with(O.job_ctes(), (
     "SELECT 'tag' AS dimension, v AS value, CAST(count(*) AS BIGINT) AS n_captures FROM "
     "(SELECT unnest(list_distinct(tags_h)) AS v FROM a) GROUP BY v "
     "UNION ALL SELECT 'risk' AS dimension, v AS value, CAST(count(*) AS BIGINT) AS n_captures FROM "
@@ -225,7 +225,7 @@ ORACLES["j3_stream_context"] = ORACLES["h1_recent_media"]
 # --- A5, A6, F5 ----------------------------------------------------------------------
 
 ORACLES["f5_render_handoff"] = _an(f"SELECT capture_id, {O.q(R.HANDOFF_HEADER)} || chr(10) || {O.handoff_json()} AS handoff_block FROM a")
-ORACLES["a6_write_results"] = _with(O.pipeline_ctes(), (
+ORACLES["a6_write_results"] = _with(O.job_ctes(), (
     f"SELECT capture_id, {_fp()} AS fingerprint, kind_o AS kind, title_h AS title, {O.q(R.ANALYSIS_SCHEMA)} AS schema_id, "
     "CAST(modified_ms AS BIGINT) AS analyzed_ms FROM a WHERE NOT error_o"))
 
