@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from capsight.functions import rules as R
-from capsight.functions.text import js_trim, lit_array
+from capsight.functions.text import js_trim, lit_array, per_context
 from capsight.operators.extract import empty
 
 
@@ -127,6 +127,11 @@ def _fold(attempts: Column, timeout_ms: int | None) -> Column:
     return F.aggregate(attempts, zero, step)
 
 
+@per_context
+def _attempt_fold(timeout_ms: int | None) -> Column:
+    return _fold(F.col("_attempts"), timeout_ms)
+
+
 def resolve_ocr(attempts: DataFrame, provider: str = "auto",
                 fallback: Sequence[str] = R.OCR_FALLBACK_ORDER,
                 timeout_ms: int | None = R.OCR_TIMEOUT_MS) -> DataFrame:
@@ -154,7 +159,7 @@ def resolve_ocr(attempts: DataFrame, provider: str = "auto",
     per_rank = [F.min(F.when(F.col("_rank") == i, att)).alias(f"_a{i}") for i in range(len(order))]
     grouped = ranked.groupBy("capture_id").agg(*per_rank).select(
         "capture_id", F.array_compact(F.array(*[F.col(f"_a{i}") for i in range(len(order))])).alias("_attempts"))
-    folded = grouped.select("capture_id", _fold(F.col("_attempts"), timeout_ms).alias("_r"))
+    folded = grouped.select("capture_id", _attempt_fold(timeout_ms).alias("_r"))
     r = F.col("_r")
     return folded.select(
         "capture_id",
