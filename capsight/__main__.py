@@ -3,6 +3,7 @@
     python -m capsight analyze FOLDER --extractor pkg.module:function
         [--provider NAME] [--hint TEXT] [--store PATH] [--out PATH] [--modified-after TS]
         [--vision heuristic|disabled] [--max-summary-chars N] [--master URL]
+    python -m capsight compare REQUESTS.csv FOLDER --extractor pkg.module:function [...]
 
 Writes the analyses (one JSON object per capture, with the text block, the
 handoff block and the normalized record as JSON) to ``--out`` as JSON lines, or
@@ -34,6 +35,15 @@ def main(argv=None) -> None:
     a.add_argument("--vision", default="heuristic", choices=("heuristic", "disabled"))
     a.add_argument("--max-summary-chars", type=int, default=4000)
     a.add_argument("--master")
+    c = sub.add_parser("compare", help="compare groups of files: a CSV of group_id,pos,file_path")
+    c.add_argument("requests")
+    c.add_argument("folder")
+    c.add_argument("--extractor", default="capsight.operators.ocr:utf8_extractor")
+    c.add_argument("--provider", default="custom")
+    c.add_argument("--hint")
+    c.add_argument("--store")
+    c.add_argument("--out")
+    c.add_argument("--master")
     args = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -49,6 +59,20 @@ def main(argv=None) -> None:
         builder = builder.master(args.master)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
+    if args.cmd == "compare":
+        from capsight.operators.compare import render_compare
+        from capsight.plans.jobs import compare_requests
+        analyses = analyze_folder(spark, args.folder, _load(args.extractor), provider=args.provider,
+                                  hint=args.hint, store_path=args.store)
+        requests = spark.read.schema("group_id bigint, pos int, file_path string").csv(args.requests, header=True)
+        blocks = compare_requests(requests, analyses).select("group_id", render_compare().alias("compare_block"))
+        if args.out:
+            blocks.write.mode("overwrite").json(args.out)
+        else:
+            for r in blocks.orderBy("group_id").limit(20).collect():
+                print(r.compare_block, end="\n\n")
+        spark.stop()
+        return
     df = analyze_folder(spark, args.folder, _load(args.extractor), provider=args.provider, hint=args.hint,
                         store_path=args.store, modified_after=args.modified_after, vision=args.vision,
                         max_summary_chars=args.max_summary_chars)
