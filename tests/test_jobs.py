@@ -37,3 +37,16 @@ def test_compare_requests_with_missing_file(spark):
     assert len(out) == 1 and out[0].n_members == 3
     assert out[0].kinds == ["receipt_or_invoice", "mixed_unknown"]
     assert out[0].compared == "r1.png:receipt_or_invoice | r2.png:receipt_or_invoice | :mixed_unknown"
+
+
+def test_cli_compare_runs(tmp_path):
+    import subprocess
+    import sys
+    (tmp_path / "r1.png").write_bytes("合计 12.50\n实付 12.50".encode())
+    (tmp_path / "r2.png").write_bytes("合计 9\n实付 9".encode())
+    (tmp_path / "req.csv").write_text(f"group_id,pos,file_path\n1,0,{tmp_path}/r1.png\n1,1,{tmp_path}/r2.png\n")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-m", "capsight", "compare", str(tmp_path / "req.csv"), str(tmp_path),
+                          "--master", "local[2]"], cwd=repo, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "Summary: Compared 2 images of the same kind: receipt_or_invoice." in out.stdout
