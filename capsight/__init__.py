@@ -21,6 +21,8 @@ Groups, context, incremental, reports
     retain_newest(store, keep), kind_report(analyses), tag_report(analyses)
 Streaming
     stream_analyze(stream), stream_dedupe(stream, delay), stream_context(messages_stream)
+Jobs over files
+    analyze_folder(spark, folder, extractor), compare_requests(requests, analyses)
 """
 
 from capsight.operators.analyze import analyze, render_block, run_analysis
@@ -34,13 +36,14 @@ from capsight.operators.ocr import (
     clean_ocr, extract_text, merge_warnings, provider_order, resolve_ocr, with_resolved_ocr,
 )
 from capsight.operators.reports import kind_report, tag_report
+from capsight.plans.jobs import analyze_folder, compare_requests
 from capsight.sources.listing import admit, image_listing, unresolved_requests
 from capsight.sources.payloads import message_chunks, read_ocr_payloads
 from capsight.sources.sinks import write_results
 from capsight.streaming.jobs import stream_analyze, stream_context, stream_dedupe
 
 __all__ = [
-    "admit", "analyze", "analyze_incremental", "clean_ocr", "compare_groups", "context_entries",
+    "admit", "analyze", "analyze_folder", "analyze_incremental", "compare_requests", "clean_ocr", "compare_groups", "context_entries",
     "conversation_context", "extract_text", "fingerprint", "handoff_record", "image_listing",
     "kind_report", "merge_warnings", "message_chunks", "provider_order", "read_ocr_payloads",
     "recent_media", "recent_media_by_turn", "render_block", "render_compare", "render_handoff",
