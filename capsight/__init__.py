@@ -43,8 +43,8 @@ from capsight.sources.sinks import write_results
 from capsight.streaming.jobs import stream_analyze, stream_context, stream_dedupe
 
 __all__ = [
-    "admit", "analyze", "analyze_folder", "analyze_incremental", "compare_requests", "clean_ocr", "compare_groups", "context_entries",
-    "conversation_context", "extract_text", "fingerprint", "handoff_record", "image_listing",
+    "admit", "analyze", "analyze_folder", "analyze_incremental", "clean_ocr", "compare_groups",
+    "compare_requests", "context_entries", "conversation_context", "extract_text", "fingerprint", "handoff_record", "image_listing",
     "kind_report", "merge_warnings", "message_chunks", "provider_order", "read_ocr_payloads",
     "recent_media", "recent_media_by_turn", "render_block", "render_compare", "render_handoff",
     "resolve_ocr", "retain_newest", "run_analysis", "stream_analyze", "stream_context", "stream_dedupe",
