@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from capsight.llm import url_filter
+from capsight.llm import kd_shards, url_filter
 
-MODULES = (url_filter,)
+MODULES = (url_filter, kd_shards)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
