@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from capsight.llm import ann, bpe, html_text, kd_shards, mixing, ngram_join, quality, url_filter
+from capsight.llm import ann, bpe, embedding_dedup, html_text, kd_shards, mixing, ngram_join, quality, url_filter
 
-MODULES = (ann, url_filter, quality, ngram_join, bpe, html_text, mixing, kd_shards)
+MODULES = (ann, embedding_dedup, url_filter, quality, ngram_join, bpe, html_text, mixing, kd_shards)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
