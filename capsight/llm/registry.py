@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from capsight.llm import ann, bpe, embedding_dedup, html_text, kd_shards, mixing, ngram_join, quality, url_filter
+import corpus_pipeline
+from capsight.llm import ann, bpe, embedding_dedup, html_text, kd_shards, mixing, ngram_join, quality, secrets, url_filter
 
-MODULES = (ann, embedding_dedup, url_filter, quality, ngram_join, bpe, html_text, mixing, kd_shards)
+MODULES = (ann, embedding_dedup, url_filter, quality, ngram_join, bpe, html_text, mixing, secrets, kd_shards)
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+QUERIES: dict = {"pipeline": corpus_pipeline.run}
+ORACLES: dict = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
 for module in MODULES:
     QUERIES |= module.QUERY
     ORACLES |= getattr(module, "ORACLE", {})
