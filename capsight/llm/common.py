@@ -52,6 +52,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called that."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def arrow_type(kind: str) -> pa.DataType:
     return {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "binary": pa.binary(),
             "string": pa.string(), "boolean": pa.bool_()}[kind]

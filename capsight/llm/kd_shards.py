@@ -115,6 +115,9 @@ def kd_shards(docs: DataFrame, shards: int = 16, target_bytes: int | None = None
     while total["n"] and max(parts.values()) > 1:
         split = [n for n, k in parts.items() if k > 1]
         stats = {r["node"]: r for r in rows.filter(F.col("node").isin(split)).groupBy("node").agg(F.sum("size").alias("size"), *spans).collect()}
+        parts |= {n: 1 for n in split if n not in stats}  # a node without rows is done
+        if not stats:
+            break
         widest = {n: max(dims, key=lambda d: ((stats[n][d]["hi"] - stats[n][d]["lo"]) / whole[d], -dims.index(d))) for n in stats}
         wanted = {n: stats[n]["size"] * (parts[n] // 2) / parts[n] for n in stats}
         tol = tolerance * total["size"] / shards

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from capsight.llm.common import materialize, table, workers_import
+from capsight.llm.common import fresh, materialize, table, workers_import
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -199,16 +199,17 @@ def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", so
     """
     sized = sized_rows(docs, text, key, source)
     rows, _, reads = mix(sized, **options)
-    order = F.sort_array(F.collect_list(F.struct((F.col("slot")).alias("slot"), "first_word", "n_words"))).alias("reads")
-    per_doc = rows.join(reads.groupBy("uid").agg(order, F.sum("n_words").alias("taken")), "uid")
-    same = Window.partitionBy(key, source, F.xxhash64(text)).orderBy(text)
-    uid = F.xxhash64(key, source, F.xxhash64(text), F.row_number().over(same))
-    whole = docs.withColumn("_uid", uid).join(per_doc.select(F.col("uid").alias("_uid"), "reads", "taken", F.col("size").alias("_size")), "_uid")
-    found = F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0))
-    runs = F.transform(F.col("reads"), lambda r: F.slice(F.col("_words"), (r["first_word"] + 1).cast("int"), r["n_words"].cast("int")))
-    body = F.array_join(F.flatten(runs), " ")
-    once = (F.col("taken") == F.col("_size")) & (F.size(F.array_distinct(F.transform("reads", lambda r: r["first_word"]))) == F.size("reads"))
-    out = whole.withColumn("_words", found).withColumn(text, F.when(once, F.col(text)).otherwise(body))
+    uid, runs, taken, size, found = (fresh(docs, name) for name in ("_uid", "_reads", "_taken", "_size", "_words"))
+    order = F.sort_array(F.collect_list(F.struct("slot", "first_word", "n_words")))  # of one document
+    per_doc = (rows.join(reads.groupBy("uid").agg(order.alias("reads"), F.sum("n_words").alias("taken")), "uid")
+               .select(F.col("uid").alias(uid), F.col("reads").alias(runs), F.col("taken").alias(taken), F.col("size").alias(size)))
+    same = Window.partitionBy(key, source, F.xxhash64(text)).orderBy(F.lit(0))  # rows that repeat a document
+    whole = docs.withColumn(uid, F.xxhash64(key, source, F.xxhash64(text), F.row_number().over(same))).join(per_doc, uid)
+    whole = whole.withColumn(found, F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)))
+    parts = F.transform(F.col(runs), lambda r: F.slice(F.col(found), (r["first_word"] + 1).cast("int"), r["n_words"].cast("int")))
+    starts = F.transform(F.col(runs), lambda r: r["first_word"])
+    once = (F.col(taken) == F.col(size)) & (F.size(F.array_distinct(starts)) == F.size(runs))
+    out = whole.withColumn(text, F.when(once, F.col(text)).otherwise(F.array_join(F.flatten(parts), " ")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text).cast(dict(docs.dtypes)["n_chars"]))
     return out.select(*docs.columns)

@@ -116,7 +116,12 @@ def labelled_sample(labels: DataFrame, per_label: int, key: str, label: str) ->
     one = (labels.filter(F.col(key).isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col(key)))
            .groupBy(F.col(key).alias("_id")).agg(F.min(label).cast("int").alias("_label")))
     counts = {r["_label"]: r["count"] for r in one.groupBy("_label").count().collect()}  # at most two rows
-    order = Window.partitionBy("_label").orderBy(F.xxhash64("_id"), "_id")  # limited per task before the shuffle
+    # twice the expected rows by a hash first, so that the window's input is bounded too
+    share = F.lit(0.0)
+    for value, n in counts.items():
+        share = F.when(F.col("_label") == value, min(1.0, (2 * per_label + 100) / n)).otherwise(share)
+    one = one.filter(F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(1 << 30)) < share * (1 << 30))
+    order = Window.partitionBy("_label").orderBy(F.xxhash64("_id"), "_id")
     return one.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_label).drop("_n"), counts
 
 

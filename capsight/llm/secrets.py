@@ -22,7 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from capsight.llm.common import table
+from capsight.llm.common import fresh, table
 
 ALPHABET = r"[A-Za-z0-9+/_=\-]"
 RUN = 16
@@ -159,14 +159,15 @@ def scan(docs: DataFrame, model: RandomForestClassificationModel, text: str = "t
 
 def redact(docs: DataFrame, found: DataFrame, text: str = "text", key: str = "doc_id", mask: str = MASK, run: int = RUN) -> DataFrame:
     """``docs`` with every run that ``found`` calls a secret of its text replaced; ``n_chars`` follows if present."""
-    secrets = found.filter("is_secret").groupBy(F.col("text_key").alias("_key")).agg(F.collect_set("candidate").alias("_secrets"))  # of one text
+    hash_, known = fresh(docs, "_key"), fresh(docs, "_secrets")
+    secrets = found.filter("is_secret").groupBy(F.col("text_key").alias(hash_)).agg(F.collect_set("candidate").alias(known))  # of one text
     pattern = f"{ALPHABET}{{{run},}}"
-    rows = docs.withColumn("_key", F.xxhash64(text)).join(secrets, "_key", "left")
-    runs = F.transform(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)), lambda c: F.when(F.array_contains("_secrets", c), mask).otherwise(c))
+    rows = docs.withColumn(hash_, F.xxhash64(text)).join(secrets, hash_, "left")
+    runs = F.transform(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)), lambda c: F.when(F.array_contains(known, c), mask).otherwise(c))
     parts = F.zip_with(F.split(F.col(text), pattern, -1), runs, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    out = rows.withColumn(text, F.when(F.col("_secrets").isNull(), F.col(text)).otherwise(F.array_join(parts, "")))
+    out = rows.withColumn(text, F.when(F.col(known).isNull(), F.col(text)).otherwise(F.array_join(parts, "")))
     if "n_chars" in docs.columns and "n_chars" != text:
-        out = out.withColumn("n_chars", F.when(F.col("_secrets").isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(dict(docs.dtypes)["n_chars"]))
+        out = out.withColumn("n_chars", F.when(F.col(known).isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(dict(docs.dtypes)["n_chars"]))
     return out.select(*docs.columns)
 
 

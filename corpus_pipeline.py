@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capsight.llm import bpe, mixing, ngram_join, quality, secrets
-from capsight.llm.common import materialize, table
+from capsight.llm.common import fresh, materialize, table
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject (score at or over its threshold)."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, out="_quality").filter(F.col("_quality") >= quality.THRESHOLD).select(*docs.columns)
+    name = fresh(docs, "_quality")
+    return quality.score(docs, model, out=name).filter(F.col(name) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +28,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     groups = ngram_join.ngram_join(docs)
     kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    once = docs.join(kept, "doc_id", "left_semi").withColumn("_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_key"])
+    name = fresh(docs, "_key")
+    once = docs.join(kept, "doc_id", "left_semi").withColumn(name, F.xxhash64("text")).dropDuplicates(["doc_id", name])
     return once.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
 
 
