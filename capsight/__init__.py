@@ -14,19 +14,20 @@ Analysis and handoff
     render_block() -> Column, with_handoff(analyses), handoff_record() -> Column,
     render_handoff() -> Column
 Groups, context, incremental, reports
-    compare_groups(handoffs), render_compare() -> Column,
+    compare_groups(handoffs), compared_members(handoffs), with_member_lists(compared, members), render_compare() -> Column,
     recent_media(messages), recent_media_by_turn(messages),
     context_entries(media, captures, attempts), conversation_context(entries),
     fingerprint(...) -> Column, analyze_incremental(captures, attempts, store),
     retain_newest(store, keep), kind_report(analyses), tag_report(analyses)
 Streaming
-    stream_analyze(stream), stream_dedupe(stream, delay), stream_context(messages_stream)
+    stream_analyze(stream), dedupe_available_now(stream, name) -> folder, stream_context(messages_stream),
+    latest_context(emitted)
 Jobs over files
-    analyze_folder(spark, folder, extractor), compare_requests(requests, analyses)
+    analyze_folder(spark, folder, extractor), compare_requests(requests, analyses) -> (comparisons, members)
 """
 
 from capsight.operators.analyze import analyze, render_block, run_analysis
-from capsight.operators.compare import compare_groups, render_compare
+from capsight.operators.compare import compare_groups, compared_members, render_compare, with_member_lists
 from capsight.operators.context import (
     context_entries, conversation_context, recent_media, recent_media_by_turn,
 )
@@ -40,13 +41,13 @@ from capsight.plans.jobs import analyze_folder, compare_requests
 from capsight.sources.listing import admit, image_listing, unresolved_requests
 from capsight.sources.payloads import message_chunks, read_ocr_payloads
 from capsight.sources.sinks import write_results
-from capsight.streaming.jobs import stream_analyze, stream_context, stream_dedupe
+from capsight.streaming.jobs import dedupe_available_now, latest_context, stream_analyze, stream_context
 
 __all__ = [
-    "admit", "analyze", "analyze_folder", "analyze_incremental", "clean_ocr", "compare_groups",
-    "compare_requests", "context_entries", "conversation_context", "extract_text", "fingerprint", "handoff_record", "image_listing",
-    "kind_report", "merge_warnings", "message_chunks", "provider_order", "read_ocr_payloads",
+    "admit", "analyze", "analyze_folder", "analyze_incremental", "clean_ocr", "compare_groups", "compared_members",
+    "compare_requests", "context_entries", "conversation_context", "dedupe_available_now", "extract_text", "fingerprint", "handoff_record", "image_listing",
+    "kind_report", "latest_context", "merge_warnings", "message_chunks", "provider_order", "read_ocr_payloads",
     "recent_media", "recent_media_by_turn", "render_block", "render_compare", "render_handoff",
-    "resolve_ocr", "retain_newest", "run_analysis", "stream_analyze", "stream_context", "stream_dedupe",
-    "tag_report", "unresolved_requests", "with_handoff", "with_resolved_ocr", "write_results",
+    "resolve_ocr", "retain_newest", "run_analysis", "stream_analyze", "stream_context",
+    "tag_report", "unresolved_requests", "with_handoff", "with_member_lists", "with_resolved_ocr", "write_results",
 ]

@@ -1,13 +1,12 @@
 """Command line: analyse a folder of images with a user text extractor.
 
     python -m capsight analyze FOLDER --extractor pkg.module:function
-        [--provider NAME] [--hint TEXT] [--store PATH] [--out PATH] [--modified-after TS]
+        [--provider NAME] [--hint TEXT] [--store PATH] --out PATH [--modified-after TS]
         [--vision heuristic|disabled] [--max-summary-chars N] [--master URL]
-    python -m capsight compare REQUESTS.csv FOLDER --extractor pkg.module:function [...]
+    python -m capsight compare REQUESTS.csv FOLDER --extractor pkg.module:function --out PATH [...]
 
-Writes the analyses (one JSON object per capture, with the text block, the
-handoff block and the normalized record as JSON) to ``--out`` as JSON lines, or
-prints a few text blocks when no output is set.
+Writes JSON lines to the folder ``--out``: one object per capture with the text block, the handoff block and the
+normalized record as JSON; ``compare`` writes the comparisons (with records and block) and the members' analyses.
 """
 
 from __future__ import annotations
@@ -21,6 +20,18 @@ def _load(spec: str):
     return getattr(importlib.import_module(module), name)
 
 
+def rendered(analyses):
+    """Each analysis with its text block, its handoff block and the normalized record as JSON."""
+    from pyspark.sql import functions as F
+
+    from capsight.operators.analyze import ANALYSIS_COLUMNS, render_block
+    from capsight.operators.handoff import render_handoff
+    from capsight.sources.sinks import as_json
+    normalized = [c for c in ANALYSIS_COLUMNS if c not in ("error", "message", "ocr_provider")]
+    return analyses.select("file_path", "kind", "confidence", "title", "error", "message",
+                           render_block().alias("image_block"), render_handoff().alias("handoff_block"), as_json(normalized).alias("normalized"))
+
+
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="capsight")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -30,7 +41,7 @@ def main(argv=None) -> None:
     a.add_argument("--provider", default="custom")
     a.add_argument("--hint")
     a.add_argument("--store")
-    a.add_argument("--out")
+    a.add_argument("--out", required=True)
     a.add_argument("--modified-after")
     a.add_argument("--vision", default="heuristic", choices=("heuristic", "disabled"))
     a.add_argument("--max-summary-chars", type=int, default=4000)
@@ -42,15 +53,12 @@ def main(argv=None) -> None:
     c.add_argument("--provider", default="custom")
     c.add_argument("--hint")
     c.add_argument("--store")
-    c.add_argument("--out")
+    c.add_argument("--out", required=True)
     c.add_argument("--master")
     args = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
-    from pyspark.sql import functions as F
 
-    from capsight.operators.analyze import ANALYSIS_COLUMNS, render_block
-    from capsight.operators.handoff import render_handoff
     from capsight.plans.jobs import analyze_folder
     from capsight.session import ensure_checkpoint_dir
 
@@ -60,31 +68,22 @@ def main(argv=None) -> None:
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
     if args.cmd == "compare":
-        from capsight.operators.compare import render_compare
+        from capsight.operators.compare import render_compare, with_member_lists
         from capsight.plans.jobs import compare_requests
         analyses = analyze_folder(spark, args.folder, _load(args.extractor), provider=args.provider,
                                   hint=args.hint, store_path=args.store)
         requests = spark.read.schema("group_id bigint, pos int, file_path string").csv(args.requests, header=True)
-        blocks = compare_requests(requests, analyses).select("group_id", render_compare().alias("compare_block"))
-        if args.out:
-            blocks.write.mode("overwrite").json(args.out)
-        else:
-            for r in blocks.orderBy("group_id").limit(20).collect():
-                print(r.compare_block, end="\n\n")
+        compared, listed = compare_requests(requests, analyses)
+        whole = with_member_lists(compared, listed)
+        whole.select(*whole.columns, render_compare().alias("compare_block")).write.mode("overwrite").json(f"{args.out}/comparisons")
+        asked = requests.join(rendered(analyses), "file_path", "left")
+        asked.write.mode("overwrite").json(f"{args.out}/members")
         spark.stop()
         return
     df = analyze_folder(spark, args.folder, _load(args.extractor), provider=args.provider, hint=args.hint,
                         store_path=args.store, modified_after=args.modified_after, vision=args.vision,
                         max_summary_chars=args.max_summary_chars)
-    normalized = [c for c in ANALYSIS_COLUMNS if c not in ("error", "message", "ocr_provider")]
-    out = df.select("file_path", "kind", "confidence", "title", "error", "message",
-                    render_block().alias("image_block"), render_handoff().alias("handoff_block"),
-                    F.to_json(F.struct(*normalized)).alias("normalized"))
-    if args.out:
-        out.write.mode("overwrite").json(args.out)
-    else:
-        for r in out.limit(20).collect():
-            print(r.image_block or f"[Image]\nKind: analysis_failed\nWarnings: {r.message}", end="\n\n")
+    rendered(df).write.mode("overwrite").json(args.out)
     spark.stop()
 
 

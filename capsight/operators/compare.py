@@ -5,137 +5,117 @@ unique per group), ``kind, title, save_target, file_name, entities, tags``.
 Failed captures take part as ``mixed_unknown`` with an empty title.
 
 Plan, built so that a group holding a third of all rows is still spread out:
-two chained aggregations and no join.
-
-1. ``(group_id, chunk)`` where a chunk is ``chunk_size`` consecutive positions:
-   counts, min/max of kind, title and target, ``bool_or`` of targets, the
-   member-ordered strings of the chunk and the values shared by all its members
-   (an ordered ``array_intersect`` fold).  At most ``chunk_size`` members are
-   collected per row, whatever the group size.
-2. ``group_id``: merge the chunk summaries in chunk order (at most
-   ``n / chunk_size`` per group).  "Set has more than one value" is
-   ``min <> max``, so no distinct aggregate is needed.
-
-The analysis feeding it is computed once (one scan, no self-join).
+
+1. Every member is unrolled into one fact row and one row per entity and tag, and these are counted by
+   ``(group_id, dimension, value)`` with map-side combine: counts, first positions, min/max of kind, title and
+   target.  No member is collected, ties and gaps in ``pos`` are fine.
+2. A window over the few rows of a group (its facts and its distinct values) keeps the values that all members
+   share; one row per group comes out.
+
+Members are a long table of their own (``compared_members``).  Only the text block (``render_compare``) needs them in
+one place: it joins the group's member lists at the very end.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from capsight.functions import rules as R
 
-CHUNK_SIZE = 1024
-
-
 def members(handoffs: DataFrame) -> DataFrame:
     """Project handoff rows onto the columns the comparison needs."""
     # The normalized source name: empty for captures that failed.
     fname = F.col("source.file_name") if "source" in handoffs.columns else F.col("file_name")
-    return handoffs.select("group_id", "pos", "kind", "title", "save_target", fname.alias("file_name"),
+    return handoffs.select("group_id", "pos", "kind", F.coalesce("title", F.lit("")).alias("title"), "save_target", fname.alias("file_name"),
                            "entities", "tags")
 
 
-def _field(name: str):
-    return lambda x: x[name]
-
-
-def _intersect_all(arr: Column, field: str) -> Column:
-    """Values present in every element's ``field`` list, in the first element's order."""
-    first = F.array_distinct(arr[0][field])
-    return F.aggregate(F.slice(arr, 2, F.greatest(F.size(arr) - 1, F.lit(1))), first,
-                       lambda acc, x: F.array_intersect(acc, x[field]))
+def compared_members(handoffs: DataFrame, min_members: int = 2) -> DataFrame:
+    """The compared records in long form: ``group_id, pos, file_name, kind, title, save_target`` of groups that are compared."""
+    m = members(handoffs).drop("entities", "tags")
+    large = m.groupBy("group_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_members).select("group_id")
+    return m.join(large, "group_id", "left_semi")
 
 
-_LISTS = {"kind_list": " vs ", "title_list": " vs ", "target_list": " vs ", "compared": " | "}
-
-
-def _chunk_summaries(m: DataFrame, chunk_size: int) -> DataFrame:
-    """Level 1: one row per (group, chunk of ``chunk_size`` consecutive positions)."""
-    chunked = m.withColumn("_chunk", F.floor(F.col("pos") / chunk_size))
-    g = chunked.groupBy("group_id", "_chunk").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("kind").alias("kmin"), F.max("kind").alias("kmax"),
-        F.min("title").alias("tmin"), F.max("title").alias("tmax"),
-        F.min("save_target").alias("smin"), F.max("save_target").alias("smax"),
-        F.bool_or(F.col("save_target") == "knowledge").alias("any_knowledge"),
-        F.bool_or(F.col("save_target") == "memory").alias("any_memory"),
-        F.array_sort(F.collect_list(F.struct("pos", "kind", F.coalesce("title", F.lit("")).alias("title"),
-                                             "save_target", "file_name", "entities", "tags"))).alias("_m"),
-    )
-    x = F.col("_m")
-    return g.select(
-        "group_id", "_chunk", "n", "kmin", "kmax", "tmin", "tmax", "smin", "smax", "any_knowledge", "any_memory",
-        F.array_distinct(F.transform(x, _field("kind"))).alias("kinds"),
-        F.array_join(F.transform(x, _field("kind")), " vs ").alias("kind_list"),
-        F.array_join(F.transform(x, _field("title")), " vs ").alias("title_list"),
-        F.array_join(F.transform(x, _field("save_target")), " vs ").alias("target_list"),
-        F.array_join(F.transform(x, lambda e: F.concat(e["file_name"], F.lit(":"), e["kind"])), " | ").alias("compared"),
-        _intersect_all(x, "entities").alias("entities"),
-        _intersect_all(x, "tags").alias("tags"),
-    )
+def _listed(dimension: str, values: str) -> Column:
+    return F.transform(F.array_distinct(F.coalesce(values, F.array().cast("array<string>"))),
+                       lambda v, i: F.struct(F.lit(dimension).alias("dimension"), v.alias("value"), i.alias("idx")))
 
 
-def compare_groups(handoffs: DataFrame, chunk_size: int = CHUNK_SIZE, min_members: int = 2) -> DataFrame:
+def compare_groups(handoffs: DataFrame, min_members: int = 2) -> DataFrame:
     """One comparison row per group of at least ``min_members`` captures.
 
-    Two chained aggregations and no join: chunks of consecutive positions first
-    (each collects at most ``chunk_size`` members), then the chunk summaries of a
-    group in chunk order (at most ``n / chunk_size`` rows).  Counts and min/max
-    facts merge exactly; member lists concatenate; shared values are an ordered
-    intersection fold, which keeps the first member's order.
-
-    Columns: ``group_id, n_members, schema_id, summary, same_kind, kinds,
-    shared_entities, shared_tags, similarities, differences,
-    save_recommendation, compared``; lists are arrays.
+    Columns: ``group_id, n_members, schema_id, summary, same_kind, kinds, shared_entities, shared_tags, similarities,
+    differs_in, save_recommendation``; lists are arrays.  ``kinds`` stand in the order of their first members, shared
+    values in the order of the first member; ``differs_in`` names what differs (``kind``, ``title``, ``save target``).
     """
-    chunks = _chunk_summaries(members(handoffs), chunk_size)
-    g = chunks.groupBy("group_id").agg(
-        F.sum("n").alias("n_members"),
-        F.min("kmin").alias("kmin"), F.max("kmax").alias("kmax"),
-        F.min("tmin").alias("tmin"), F.max("tmax").alias("tmax"),
-        F.min("smin").alias("smin"), F.max("smax").alias("smax"),
-        F.bool_or("any_knowledge").alias("any_knowledge"), F.bool_or("any_memory").alias("any_memory"),
-        F.array_sort(F.collect_list(F.struct("_chunk", "kinds", *_LISTS, "entities", "tags"))).alias("_c"),
-    ).where(F.col("n_members") >= min_members)
     c = F.col
-    ch = c("_c")
-    kinds = F.array_distinct(F.flatten(F.transform(ch, _field("kinds"))))
-    joined = {name: F.array_join(F.transform(ch, _field(name)), sep) for name, sep in _LISTS.items()}
-    shared_e = _intersect_all(ch, "entities")
-    shared_t = _intersect_all(ch, "tags")
-    same = c("kmin") == c("kmax")
+    m = members(handoffs)
+    fact = F.array(F.struct(F.lit("member").alias("dimension"), F.lit("").alias("value"), F.lit(0).alias("idx")),
+                   F.struct(F.lit("kind").alias("dimension"), c("kind").alias("value"), F.lit(0).alias("idx")))
+    rows = m.select("group_id", "pos", "title", "save_target", F.explode(F.concat(fact, _listed("entity", "entities"), _listed("tag", "tags"))).alias("x"))
+    own = c("x.dimension") == "member"
+    counted = rows.groupBy("group_id", c("x.dimension").alias("dimension"), c("x.value").alias("value")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("pos", c("x.idx"))).alias("first"),
+        F.min(F.when(own, c("title"))).alias("tmin"), F.max(F.when(own, c("title"))).alias("tmax"),
+        F.min(F.when(own, c("save_target"))).alias("smin"), F.max(F.when(own, c("save_target"))).alias("smax"),
+        F.bool_or(own & (c("save_target") == "knowledge")).alias("any_knowledge"), F.bool_or(own & (c("save_target") == "memory")).alias("any_memory"))
+    of_group = F.max(F.when(c("dimension") == "member", c("n"))).over(Window.partitionBy("group_id"))  # facts and distinct values only
+    kept = counted.withColumn("n_members", of_group).where((c("n_members") >= min_members) & (c("dimension").isin("member", "kind") | (c("n") == c("n_members"))))
+
+    def values(dimension: str) -> Column:
+        some = F.collect_list(F.when(c("dimension") == dimension, F.struct("first", "value")))
+        return F.transform(F.sort_array(some), lambda x: x["value"])
+
+    g = kept.groupBy("group_id").agg(
+        F.max("n_members").alias("n_members"), values("kind").alias("kinds"), values("entity").alias("shared_entities"), values("tag").alias("shared_tags"),
+        (F.max("tmin") != F.max("tmax")).alias("titles"), (F.max("smin") != F.max("smax")).alias("targets"),
+        F.bool_or("any_knowledge").alias("any_knowledge"), F.bool_or("any_memory").alias("any_memory"))
+    same = F.size("kinds") == 1
     n = c("n_members").cast("string")
-    differences = F.array_compact(F.array(
-        F.when(~same, F.concat(F.lit("kind mismatch: "), joined["kind_list"])),
-        F.when(c("tmin") != c("tmax"), F.concat(F.lit("titles differ: "), joined["title_list"])),
-        F.when(c("smin") != c("smax"), F.concat(F.lit("save targets differ: "), joined["target_list"])),
-    ))
     rec = F.when(c("any_knowledge"), "knowledge").when(c("any_memory"), "memory").otherwise("none")
-    staged = g.select("group_id", "n_members", same.alias("same_kind"), kinds.alias("kinds"),
-                      shared_e.alias("shared_entities"), shared_t.alias("shared_tags"),
-                      differences.alias("differences"), rec.alias("save_recommendation"),
-                      joined["compared"].alias("compared"))
-    return staged.select(
+    return g.select(
         "group_id", "n_members", F.lit(R.COMPARE_SCHEMA).alias("schema_id"),
-        F.when(c("same_kind"), F.concat(F.lit("Compared "), n, F.lit(" images of the same kind: "), c("kinds")[0], F.lit(".")))
+        F.when(same, F.concat(F.lit("Compared "), n, F.lit(" images of the same kind: "), c("kinds")[0], F.lit(".")))
          .otherwise(F.concat(F.lit("Compared "), n, F.lit(" images across kinds: "), F.array_join(c("kinds"), ", "),
                              F.lit("."))).alias("summary"),
-        "same_kind", "kinds", "shared_entities", "shared_tags",
+        same.alias("same_kind"), "kinds", "shared_entities", "shared_tags",
         F.array_compact(F.array(
-            F.when(c("same_kind"), F.concat(F.lit("all images classified as "), c("kinds")[0])),
+            F.when(same, F.concat(F.lit("all images classified as "), c("kinds")[0])),
             F.when(F.size(c("shared_entities")) > 0,
                    F.concat(F.lit("shared entities: "), F.array_join(c("shared_entities"), ", "))),
             F.when(F.size(c("shared_tags")) > 0, F.concat(F.lit("shared tags: "), F.array_join(c("shared_tags"), ", "))),
         )).alias("similarities"),
-        "differences", "save_recommendation", "compared",
+        F.array_compact(F.array(F.when(~same, "kind"), F.when(c("titles"), "title"), F.when(c("targets"), "save target"))).alias("differs_in"),
+        rec.alias("save_recommendation"),
     )
 
 
+def with_member_lists(compared: DataFrame, listed: DataFrame) -> DataFrame:
+    """G3 and the block's lists: adds ``differences`` and ``compared`` (records with file name, kind, title) to each group.
+
+    ``listed`` is ``compared_members``.  A group's output row holds all its members here, as the text block asks for; use
+    the long table for groups that are too large for one row.
+    """
+    c = F.col
+    lists = listed.groupBy("group_id").agg(F.sort_array(F.collect_list(F.struct("pos", "file_name", "kind", "title", "save_target"))).alias("_m"))
+
+    def joined(field: str) -> Column:
+        return F.array_join(F.transform("_m", lambda x: x[field]), " vs ")
+
+    differences = F.array_compact(F.array(
+        F.when(F.array_contains("differs_in", "kind"), F.concat(F.lit("kind mismatch: "), joined("kind"))),
+        F.when(F.array_contains("differs_in", "title"), F.concat(F.lit("titles differ: "), joined("title"))),
+        F.when(F.array_contains("differs_in", "save target"), F.concat(F.lit("save targets differ: "), joined("save_target")))))
+    records = F.transform("_m", lambda x: F.struct(x["file_name"].alias("file_name"), x["kind"].alias("kind"), x["title"].alias("title")))
+    return compared.join(lists, "group_id").withColumn("differences", differences).withColumn("compared", records).drop("_m")
+
+
 def render_compare() -> Column:
-    """The 8-line comparison block."""
+    """The 8-line comparison block of a row of ``with_member_lists``."""
     c = F.col
+    records = F.array_join(F.transform("compared", lambda x: F.concat(x["file_name"], F.lit(":"), x["kind"])), " | ")
 
     def listed(col, sep, empty):
         return F.when(F.size(c(col)) > 0, F.array_join(c(col), sep)).otherwise(F.lit(empty))
@@ -149,5 +129,5 @@ def render_compare() -> Column:
         F.concat(F.lit("Similarities: "), listed("similarities", " | ", "(none)")),
         F.concat(F.lit("Differences: "), listed("differences", " | ", "(none)")),
         F.concat(F.lit("SaveRecommendation: "), c("save_recommendation")),
-        F.concat(F.lit("Compared: "), c("compared")),
+        F.concat(F.lit("Compared: "), records),
     )

@@ -1,8 +1,6 @@
 """H1-H4: recent media of every conversation and the context text built from it.
 
-``messages`` is ``(conv_id, turn, role, text)`` where ``turn`` is the 0-based
-position of the message in its conversation (the message list index);
-``with_positions`` renumbers logs whose turn values have gaps.
+``messages`` is ``(conv_id, turn, role, text)``; ``turn`` orders the messages of a conversation and may have gaps.
 
 Plans:
 
@@ -11,12 +9,13 @@ Plans:
   conversation holding a third of all messages sends at most ``max_messages``
   rows per map task.  Path de-duplication and the ``max_images`` cap reuse the
   ``conv_id`` partitioning (no second shuffle).
-* H2 ``recent_media_by_turn``: every mention is copied to the ``max_messages``
-  as-of turns that can see it (bounded fan-out), then kept only where that turn
-  exists (a join on ``(conv_id, turn)``, a key with no hot values).
-* H3 ``context_entries``: analyses only of the referenced captures (with the
+* H2 ``recent_media_by_turn``: messages are numbered in their true order (counts per range of turns, running
+  offsets over ranges, row numbers inside a range, so a hot conversation is split); every mention is copied to the
+  ``max_messages`` as-of positions that can see it (bounded fan-out), then kept only where that position exists (a
+  join on ``(conv_id, position)``, a key with no hot values).
+* H3 ``context_entries``: analyses only of the referenced captures (the newest per path, with the
   context hint), joined back on ``file_path``; AQE broadcasts the analysis side
-  when its runtime size is under the broadcast threshold, else sort-merge.
+  when its runtime size is under the broadcast threshold, else sort-merge with skewed paths split.
 * H4 ``conversation_context``: per conversation at most ``max_images`` entries.
 """
 
@@ -32,10 +31,19 @@ from capsight.sources.listing import base_name
 MEDIA_JAVA = R.MEDIA_PATH_PATTERN.replace("{W}", W)
 
 
+RANGE = 4096  # turns of one range
+
+
 def with_positions(messages: DataFrame) -> DataFrame:
-    """Renumber ``turn`` as the 0-based position inside each conversation."""
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    return messages.withColumn("turn", (F.row_number().over(w) - 1).cast("long"))
+    """Adds ``position``: the 0-based place of the message in its conversation (ties on ``turn``: by text)."""
+    ranged = messages.withColumn("_range", F.floor(F.col("turn") / RANGE))
+    counts = ranged.groupBy("conv_id", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("conv_id").orderBy("_range")) - F.col("_n")  # one row per range
+    offsets = counts.select("conv_id", "_range", before.alias("_before"))
+    ties = ["text"] if "text" in messages.columns else []
+    inside = F.row_number().over(Window.partitionBy("conv_id", "_range").orderBy("turn", *ties))
+    return (ranged.withColumn("_inside", inside).join(offsets, ["conv_id", "_range"])
+            .withColumn("position", (F.col("_before") + F.col("_inside") - 1).cast("long")).drop("_range", "_inside", "_before"))
 
 
 def mention_paths(text: Column) -> Column:
@@ -60,24 +68,25 @@ def _first_k(mentions: DataFrame, keys: list[str], max_images: int) -> DataFrame
 
 
 def recent_media(messages: DataFrame, max_messages: int = R.MAX_RECENT_MESSAGES,
-                 max_images: int = R.MAX_IMAGE_COUNT) -> DataFrame:
+                 max_images: int = R.MAX_IMAGE_COUNT, nested: str | None = None) -> DataFrame:
     """H1: ``conv_id, media_pos, file_path`` for the latest turn of every conversation.
 
     Scan newest message first, left to right inside a message; the first sighting
     of a path counts; stop at ``max_images``; positions run oldest-first (the
     reversed scan order).  Conversations with no media give no rows.
 
-    ``messages`` may also be message *chunks* (``conv_id, turn, chunk_pos, text``
-    from ``message_chunks``): each chunk is scanned on its own, in chunk order,
-    and ``dense_rank`` keeps every chunk of the last ``max_messages`` messages.
+    ``nested`` names a column of nested messages (A5): the last ``max_messages`` messages are chosen first, whether they
+    hold text or not, and only then walked; each string leaf is scanned on its own, in order.
     """
+    from capsight.sources.payloads import message_leaves
     if max_messages <= 0 or max_images <= 0:
         raise ValueError("max_messages and max_images must be > 0")
-    chunked = "chunk_pos" in messages.columns
     w = Window.partitionBy("conv_id").orderBy(F.col("turn").desc())
-    rank = F.dense_rank() if chunked else F.row_number()
-    recent = messages.withColumn("recency", rank.over(w)).where(F.col("recency") <= max_messages)
-    extra = ["chunk_pos"] if chunked else []
+    recent = messages.withColumn("recency", F.row_number().over(w)).where(F.col("recency") <= max_messages)
+    extra = []
+    if nested:
+        recent = recent.select("conv_id", "recency", F.posexplode(message_leaves(F.col(nested))).alias("chunk_pos", "text"))
+        extra = ["chunk_pos"]
     m = recent.select("conv_id", "recency", *extra, F.posexplode(mention_paths(F.col("text"))).alias("idx", "raw"))
     m = m.select("conv_id", "recency", *extra, "idx", js_trim(F.col("raw")).alias("file_path")) \
          .where(F.col("file_path") != "")
@@ -85,31 +94,19 @@ def recent_media(messages: DataFrame, max_messages: int = R.MAX_RECENT_MESSAGES,
 
 
 def recent_media_by_turn(messages: DataFrame, max_messages: int = R.MAX_RECENT_MESSAGES,
-                         max_images: int = R.MAX_IMAGE_COUNT, renumber: bool = False) -> DataFrame:
-    """H2: ``conv_id, turn, media_pos, file_path``: H1 as of every turn of every conversation.
-
-    ``turn`` must be the message position (gap-free); ``renumber=True`` first
-    renumbers logs with gaps (a per-conversation window) and reports the
-    original turn values.
-    """
+                         max_images: int = R.MAX_IMAGE_COUNT) -> DataFrame:
+    """H2: ``conv_id, turn, media_pos, file_path``: H1 as of every turn of every conversation (gaps are fine)."""
     if max_messages <= 0 or max_images <= 0:
         raise ValueError("max_messages and max_images must be > 0")
-    if renumber:
-        w = Window.partitionBy("conv_id").orderBy("turn")
-        pos = messages.withColumn("_orig_turn", F.col("turn")).withColumn("turn", (F.row_number().over(w) - 1).cast("long"))
-        out = recent_media_by_turn(pos.drop("_orig_turn"), max_messages, max_images)
-        back = pos.select("conv_id", "turn", "_orig_turn")
-        return out.join(back, ["conv_id", "turn"]).select("conv_id", F.col("_orig_turn").alias("turn"),
-                                                           "media_pos", "file_path")
-    m = media_mentions(messages)
+    placed = with_positions(messages.select("conv_id", "turn", "text"))
+    m = media_mentions(placed.select("conv_id", F.col("position").alias("turn"), "text"))
     fan = m.select("conv_id", "idx", "file_path", "turn",
                    F.explode(F.sequence(F.lit(0), F.lit(max_messages - 1))).alias("d"))
-    fan = fan.select("conv_id", (F.col("turn") + F.col("d")).alias("as_of"), (F.col("d") + 1).alias("recency"),
+    fan = fan.select("conv_id", (F.col("turn") + F.col("d")).alias("position"), (F.col("d") + 1).alias("recency"),
                      "idx", "file_path")
-    turns = messages.select("conv_id", F.col("turn").alias("as_of"))
-    visible = fan.join(turns, ["conv_id", "as_of"], "left_semi")
-    out = _first_k(visible, ["conv_id", "as_of"], max_images)
-    return out.withColumnRenamed("as_of", "turn")
+    visible = fan.join(placed.select("conv_id", "position", F.col("turn").alias("as_of")), ["conv_id", "position"])
+    out = _first_k(visible, ["conv_id", "position", "as_of"], max_images)
+    return out.select("conv_id", F.col("as_of").alias("turn"), "media_pos", "file_path")
 
 
 def context_timeout_ms(ocr_timeout_ms: int = R.OCR_TIMEOUT_MS) -> int:
@@ -131,28 +128,27 @@ def context_entries(media: DataFrame, captures: DataFrame, attempts: DataFrame |
                     ocr_timeout_ms: int = R.OCR_TIMEOUT_MS, **analysis_kw) -> DataFrame:
     """H3: one text entry per media row.
 
-    The referenced captures are analysed with the context hint (only those:
-    a semi-join first).  A successful analysis gives its image block plus the
+    The referenced captures are analysed with the context hint (only those: a semi-join first; of several captures
+    with one path the newest, ties to the larger id).  A successful analysis gives its image block plus the
     handoff block; a failed or missing one an ``analysis_failed`` block; an
     analysis whose OCR time exceeds the context limit an ``analysis_timed_out``
-    block.  Output: media columns + ``status, entry``.
+    block.  ``attempts=None``: the captures carry their OCR columns.  Output: media columns + ``status, entry``.
     """
     from capsight.operators.analyze import render_block, run_analysis
     from capsight.operators.handoff import render_handoff
 
     limit = context_timeout_ms(ocr_timeout_ms)
-    # The media list (at most max_images rows per conversation) is used three
-    # times below: materialise it once in the shared checkpoint folder.
-    from capsight.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(media.sparkSession)
-    media = media.checkpoint(eager=True)
     paths = media.select("file_path").distinct()
-    wanted = captures.join(paths, "file_path", "left_semi").withColumn("hint", F.lit(R.CONTEXT_HINT))
+    wanted = captures.join(paths, "file_path", "left_semi")
+    newest = wanted.groupBy("file_path").agg(F.max(F.struct("modified_ms", "capture_id")).alias("_n"))
+    newest = newest.select(F.col("_n.capture_id").alias("capture_id"))
+    wanted = wanted.join(newest, "capture_id", "left_semi").withColumn("hint", F.lit(R.CONTEXT_HINT))
     if attempts is not None:
         # OCR is resolved only for referenced captures.
-        attempts = attempts.join(wanted.select("capture_id"), "capture_id", "left_semi")
+        attempts = attempts.join(newest, "capture_id", "left_semi")
     an = run_analysis(wanted, attempts, timeout_ms=ocr_timeout_ms, **analysis_kw)
-    an = an.select("file_path", "error", "message", F.col("ocr_elapsed_ms"),
+    spent = F.col("ocr_elapsed_ms") if "ocr_elapsed_ms" in an.columns else F.lit(0).cast("long")
+    an = an.select("file_path", "error", "message", spent.alias("ocr_elapsed_ms"),
                    render_block().alias("_block"), render_handoff().alias("_handoff"))
     joined = media.join(an, "file_path", "left")
     found = F.col("error").isNotNull()

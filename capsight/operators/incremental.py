@@ -2,8 +2,8 @@
 
 The store is a table of successful analyses keyed by ``fingerprint`` (failures
 are never stored, so they are retried).  ``analyze_incremental`` analyses only
-fingerprints the store lacks: de-duplicate (partial aggregate), anti-join
-(store keys are unique, so there is no hot key), analyse, union with the hits.
+fingerprints the store lacks: de-duplicate (partial aggregate), one anti-join
+(store keys are unique), analyse, and join the analyses back to all captures.
 """
 
 from __future__ import annotations
@@ -53,33 +53,36 @@ def analyze_incremental(captures: DataFrame, attempts: DataFrame | None, store:
                         **analysis_kw) -> tuple[DataFrame, DataFrame]:
     """``(results, new_entries)``.
 
-    ``results`` has one row per distinct fingerprint of ``captures``: the stored
-    analysis when the store has it (``from_store`` true), else a fresh one.
-    ``new_entries`` are the fresh *successful* rows, ready to append to the store.
+    ``results`` has one row per capture: the analysis of its fingerprint, from the store when the store has it
+    (``from_store`` true), else a fresh one; captures that share a fingerprint share the analysis.
+    ``new_entries`` are the fresh *successful* rows, one per fingerprint, ready to append to the store.
+
+    Fingerprints are de-duplicated before the one anti-join with the store; the narrow list of missing ones and the
+    fresh analyses are written to the shared folder once, so neither output computes them again.
     """
     from capsight.operators.analyze import run_analysis
+    from capsight.session import write_scratch
 
     keyed = with_fingerprint(captures, **_options(analysis_kw))
-    if store is None:
-        misses = keyed
-        hits = None
-    else:
-        keys = store.select("fingerprint")
-        misses = keyed.join(keys, "fingerprint", "left_anti")
-        hits = store.join(keyed.select("fingerprint").distinct(), "fingerprint", "left_semi")
-    todo = misses.dropDuplicates(["fingerprint"])
-    if attempts is not None and "capture_id" in todo.columns:
+    missing = keyed.groupBy("fingerprint").agg(F.min("capture_id").alias("capture_id"))
+    if store is not None:
+        missing = missing.join(store.select("fingerprint"), "fingerprint", "left_anti")
+    missing = write_scratch(missing, "incremental/missing")
+    todo = keyed.join(missing, ["capture_id", "fingerprint"], "left_semi").dropDuplicates(["fingerprint"])
+    if attempts is not None:
         # OCR attempts are resolved only for the captures this run analyses.
-        attempts = attempts.join(misses.select("capture_id"), "capture_id", "left_semi")
-    fresh = run_analysis(todo, attempts, **analysis_kw)
-    fresh = fresh.withColumn("from_store", F.lit(False))
-    if hits is None:
-        results = fresh
-    else:
-        hits = hits.withColumn("from_store", F.lit(True))
-        results = fresh.unionByName(hits, allowMissingColumns=True)
-    new_entries = fresh.where(~F.col("error")).drop("from_store")
-    return results, new_entries
+        attempts = attempts.join(missing.select("capture_id"), "capture_id", "left_semi")
+    fresh = write_scratch(run_analysis(todo, attempts, **analysis_kw), "incremental/fresh")
+    known = fresh.withColumn("from_store", F.lit(False))
+    if store is not None:
+        known = known.unionByName(store.withColumn("from_store", F.lit(True)), allowMissingColumns=True)
+    own = [c for c in keyed.columns if c in known.columns and c != "fingerprint" and c not in _DERIVED]
+    results = keyed.select("fingerprint", *own).join(known.drop(*own), "fingerprint")
+    return results, fresh.where(~F.col("error"))
+
+
+#: Columns of captures that the analysis replaces.
+_DERIVED = ("error", "message", "ocr_provider", "ocr_text", "ocr_lines", "ocr_warnings", "ocr_elapsed_ms")
 
 
 def to_store_rows(analyses: DataFrame, analyzed_ms: Column | None = None) -> DataFrame:

@@ -4,11 +4,11 @@
 the first attempt in provider order that produced text wins, earlier failures
 become warnings, and an optional time budget skips or times out attempts.
 
-Plan: one shuffle on ``capture_id``: a ``groupBy`` with one ``min(struct)`` per
-configured provider (algebraic, combined map-side, at most one attempt per
-provider survives), then a JVM-side ``aggregate`` fold over them in rank order.  The provider rank and time caps are literal maps, so
-no join is needed.  When attempts are bucketed by ``capture_id`` the shuffle
-disappears.
+Plan: attempts are folded in the order (provider rank, ``attempt_no``, ``elapsed_ms``) over narrow
+columns only (times, a has-text flag, warnings): one ``groupBy(capture_id)`` and a JVM-side ``aggregate``
+that names the winning attempt.  Its text is joined back on ``capture_id``; blank attempts never travel.
+The provider rank and time caps are literal maps, so they need no join.  When attempts are bucketed by
+``capture_id`` neither step shuffles.
 """
 
 from __future__ import annotations
@@ -88,16 +88,12 @@ def _fold(attempts: Column, timeout_ms: int | None) -> Column:
         F.lit(False).alias("stop"),
         F.lit(False).alias("done"),
         F.lit(None).cast("string").alias("provider"),
-        F.lit(None).cast("string").alias("text"),
-        F.lit(None).cast("array<string>").alias("lines"),
+        F.lit(None).cast("long").alias("key"),
         empty().alias("warnings"),
     )
     caps = _literal_map(R.OCR_ATTEMPT_CAP_MS)
 
     def step(acc, a):
-        lines = F.coalesce(a["lines"], empty())
-        text = F.coalesce(a["text"], F.lit(""))
-        has_text = (js_trim(text) != "") | (F.size(lines) > 0)
         if timeout_ms is None:
             skip, timed_out = F.lit(False), F.lit(False)
             remaining = limit = F.lit(0).cast("long")
@@ -107,7 +103,7 @@ def _fold(attempts: Column, timeout_ms: int | None) -> Column:
             cap = F.coalesce(caps[a["provider"]], F.lit(timeout_ms))
             limit = F.greatest(F.lit(R.OCR_MIN_ATTEMPT_MS), F.least(remaining, cap)).cast("long")
             timed_out = a["elapsed_ms"] > limit
-        ok = ~skip & ~timed_out & has_text
+        ok = ~skip & ~timed_out & a["has_text"]
         spent = F.when(skip, acc["spent"]).when(timed_out, acc["spent"] + limit).otherwise(
             acc["spent"] + F.coalesce(a["elapsed_ms"], F.lit(0)).cast("long"))
         new_warnings = (F.when(skip, F.array(_skip_message(a["provider"], remaining)))
@@ -118,8 +114,7 @@ def _fold(attempts: Column, timeout_ms: int | None) -> Column:
             skip.alias("stop"),
             ok.alias("done"),
             F.when(ok, a["provider"]).alias("provider"),
-            F.when(ok, text).alias("text"),
-            F.when(ok, lines).alias("lines"),
+            F.when(ok, a["key"]).alias("key"),
             F.concat(acc["warnings"], new_warnings).alias("warnings"),
         )
         return F.when(acc["stop"] | acc["done"], acc).otherwise(moved)
@@ -137,7 +132,9 @@ def resolve_ocr(attempts: DataFrame, provider: str = "auto",
                 timeout_ms: int | None = R.OCR_TIMEOUT_MS) -> DataFrame:
     """B1/B2: one OCR result per capture from ``(capture_id, provider, elapsed_ms, text, lines, warnings)``.
 
-    Attempts of providers outside the order are ignored.  ``timeout_ms=None``
+    Every attempt counts: they run in the order (provider rank, ``attempt_no``, ``elapsed_ms``), the first with text wins and
+    the warnings of all before it are kept.  ``attempt_no`` (default 0) orders the retries of one provider; rows that
+    agree in everything are one attempt.  Attempts of providers outside the order are ignored.  ``timeout_ms=None``
     turns the budget off (pure fallback).  Output columns: ``capture_id,
     ocr_provider, ocr_text, ocr_lines, ocr_warnings, ocr_elapsed_ms`` (time spent
     by the budget model).  Captures without any
@@ -149,23 +146,27 @@ def resolve_ocr(attempts: DataFrame, provider: str = "auto",
     if not order:
         raise ValueError("OCR is disabled: use with_resolved_ocr(..., provider='disabled')")
     rank = _literal_map({p: i for i, p in enumerate(order)})
-    ranked = attempts.withColumn("_rank", rank[F.col("provider")]).where(F.col("_rank").isNotNull())
-    # One attempt per provider rank, picked by an algebraic min: the aggregation
-    # combines map-side, so a capture with very many (retried) attempts never
-    # reaches one task as a list.  With one attempt per provider (the normal
-    # case) this is exactly that attempt; duplicates resolve to the fastest.
-    att = F.struct(F.col("_rank").alias("rank"), F.col("elapsed_ms").cast("long").alias("elapsed_ms"),
-                   "provider", "text", "lines", "warnings")
-    per_rank = [F.min(F.when(F.col("_rank") == i, att)).alias(f"_a{i}") for i in range(len(order))]
-    grouped = ranked.groupBy("capture_id").agg(*per_rank).select(
-        "capture_id", F.array_compact(F.array(*[F.col(f"_a{i}") for i in range(len(order))])).alias("_attempts"))
+    number = F.coalesce(F.col("attempt_no").cast("long"), F.lit(0).cast("long")) if "attempt_no" in attempts.columns else F.lit(0).cast("long")
+    lines, text = F.coalesce(F.col("lines"), empty()), F.coalesce(F.col("text"), F.lit(""))
+    ranked = attempts.select(
+        "capture_id", "provider", rank[F.col("provider")].alias("_rank"), number.alias("_no"), F.col("elapsed_ms").cast("long").alias("elapsed_ms"),
+        text.alias("text"), lines.alias("lines"), F.coalesce("warnings", empty()).alias("warnings")).where(F.col("_rank").isNotNull())
+    ranked = ranked.withColumn("_has_text", (js_trim(F.col("text")) != "") | (F.size("lines") > 0))
+    ranked = ranked.withColumn("_key", F.xxhash64("_rank", "_no", "elapsed_ms", "text", "lines", "warnings"))
+    narrow = F.struct(F.col("_rank").alias("rank"), F.col("_no").alias("no"), "elapsed_ms", F.col("_key").alias("key"), "provider",
+                      F.col("_has_text").alias("has_text"), "warnings")
+    grouped = ranked.groupBy("capture_id").agg(F.sort_array(F.collect_set(narrow)).alias("_attempts"))
     folded = grouped.select("capture_id", _attempt_fold(timeout_ms).alias("_r"))
+    texts = ranked.where("_has_text").select("capture_id", "_key", "text", "lines")
+    # joined on the capture alone, so that the choice below needs no further shuffle
+    won = (folded.join(texts, "capture_id", "left").where(~F.col("_r.done") | (F.col("_r.key") == F.col("_key")))
+           .dropDuplicates(["capture_id"]))
     r = F.col("_r")
-    return folded.select(
+    return won.select(
         "capture_id",
         F.when(r["done"], r["provider"]).otherwise(F.lit(order[0])).alias("ocr_provider"),
-        F.when(r["done"], r["text"]).otherwise(F.lit("")).alias("ocr_text"),
-        F.when(r["done"], r["lines"]).otherwise(empty()).alias("ocr_lines"),
+        F.when(r["done"], F.col("text")).otherwise(F.lit("")).alias("ocr_text"),
+        F.when(r["done"], F.col("lines")).otherwise(empty()).alias("ocr_lines"),
         F.when(r["done"] | (F.size(r["warnings"]) > 0), r["warnings"])
          .otherwise(lit_array((R.OCR_NO_TEXT,))).alias("ocr_warnings"),
         r["spent"].alias("ocr_elapsed_ms"),
@@ -200,7 +201,7 @@ def with_resolved_ocr(captures: DataFrame, attempts: DataFrame | None, provider:
 
 
 def extract_text(images: DataFrame, extractor: Callable[[bytes, str], object] | None = None, provider: str = "custom",
-                 content: str = "content", path: str = "file_path", batch_rows: int = 16,
+                 content: str = "content", path: str = "file_path",
                  extractor_factory: Callable[[], Callable[[bytes, str], object]] | None = None) -> DataFrame:
     """Run a user text extractor over image bytes on the executors.
 
@@ -210,6 +211,7 @@ def extract_text(images: DataFrame, extractor: Callable[[bytes, str], object] |
     job.  ``extractor_factory()`` instead builds the extractor once per task (load
     a model there).  Output: ``capture_id``-like pass-through key columns are not touched;
     the result has ``<path>, ocr_provider, ocr_text, ocr_lines, ocr_warnings``.
+    Images are large: the caller sizes batches by ``spark.sql.execution.arrow.maxRecordsPerBatch`` (no setting is changed here).
     """
     import pandas as pd
 
@@ -249,8 +251,6 @@ def extract_text(images: DataFrame, extractor: Callable[[bytes, str], object] |
             out["ocr_provider"], out["ocr_text"], out["ocr_lines"], out["ocr_warnings"] = prov, texts, lines, warns
             yield out
 
-    # Images are large: keep Arrow batches small (read at execution time).
-    images.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
     return images.mapInPandas(run, schema=schema)
 
 

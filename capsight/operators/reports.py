@@ -22,7 +22,8 @@ def kind_report(analyses: DataFrame) -> DataFrame:
 
 def tag_report(analyses: DataFrame) -> DataFrame:
     """K2: captures per tag and per risk flag (``dimension`` is ``tag`` or ``risk``)."""
-    tags = analyses.select(F.explode(F.array_distinct("tags")).alias("value")).groupBy("value").count()
-    risks = analyses.select(F.explode(F.array_distinct("risk_flags")).alias("value")).groupBy("value").count()
-    return (tags.select(F.lit("tag").alias("dimension"), "value", F.col("count").alias("n_captures"))
-            .unionByName(risks.select(F.lit("risk").alias("dimension"), "value", F.col("count").alias("n_captures"))))
+    def named(dimension: str, values: str):
+        return F.transform(F.array_distinct(values), lambda v: F.struct(F.lit(dimension).alias("dimension"), v.alias("value")))
+
+    both = F.concat(named("tag", "tags"), named("risk", "risk_flags"))
+    return analyses.select(F.explode(both).alias("x")).groupBy("x.dimension", "x.value").agg(F.count(F.lit(1)).alias("n_captures"))

@@ -16,7 +16,7 @@ def duplicate_positions(handoffs: DataFrame) -> DataFrame:
 
 
 def turn_gaps(messages: DataFrame) -> DataFrame:
-    """Conversations whose turns are not 0..n-1 (use ``renumber=True`` / ``with_positions`` there)."""
+    """Conversations whose turns are not 0..n-1 (``with_positions`` numbers them)."""
     g = messages.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.min("turn").alias("first_turn"),
                                         F.max("turn").alias("last_turn"),
                                         F.count_distinct("turn").alias("distinct_turns"))
@@ -25,5 +25,5 @@ def turn_gaps(messages: DataFrame) -> DataFrame:
 
 
 def repeated_attempts(attempts: DataFrame) -> DataFrame:
-    """``(capture_id, provider)`` pairs with more than one attempt (the fold keeps the fastest)."""
+    """``(capture_id, provider)`` pairs with more than one attempt (``attempt_no`` orders them)."""
     return attempts.groupBy("capture_id", "provider").count().where(F.col("count") > 1)

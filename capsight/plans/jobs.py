@@ -30,74 +30,68 @@ def analyze_folder(spark: SparkSession, folder: str, extractor: Callable | None
     fingerprint are served from it and new successes are appended.
     ``modified_after``: only files modified after this timestamp (listing filter).
 
-    Image bytes are read only for files passing the metadata filters (size,
-    modification time); cached files are skipped before OCR, but their bytes
-    are still read unless ``modified_after`` narrows the listing.
+    One scan gives metadata and bytes (``length`` is a metadata filter, so files over the limit are not read); no
+    join ever moves bytes.  Zero-byte, too large and non-image files come back as failures.  The extractor and
+    provider are part of the fingerprint.  With a store, the files it lacks are chosen on metadata first and the scan is
+    narrowed to them by a semi-join whose byte side stays in place while the list is small (AQE's size check).
     """
     from capsight.operators.analyze import analyze
     from capsight.operators.handoff import with_handoff
     from capsight.operators.incremental import with_fingerprint
     from capsight.operators.ocr import extract_text
-    from capsight.sources.listing import admit, image_listing
-    from capsight.sources.sinks import read_results, write_results
-
-    listing = image_listing(spark, folder)
-    if modified_after:
-        listing = listing.where(F.col("modified_ms") > F.unix_millis(F.to_timestamp(F.lit(modified_after))))
-    listing = with_fingerprint(listing.withColumn("hint", F.lit(hint).cast("string")), **{
-        k: v for k, v in analysis_kw.items() if k in ("vision", "max_summary_chars")})
-    admitted = admit(listing, max_image_bytes)
-
-    stored = None
-    if store_path:
-        try:
-            stored = read_results(spark, store_path)
-        except Exception:  # noqa: BLE001 - no table yet
-            stored = None
-    todo = admitted if stored is None else admitted.join(stored.select("fingerprint"), "fingerprint", "left_anti")
-
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
-    files = reader.load(folder).where((F.col("length") > 0) & (F.col("length") <= max_image_bytes))
-    files = files.select(F.regexp_replace("path", r"^file:", "").alias("file_path"), "content")
-    ok = todo.where(F.col("message").isNull())
-    images = ok.join(files, "file_path").select("file_path", "content")
-    ocr = extract_text(images, extractor, provider=provider, extractor_factory=extractor_factory)
-    with_ocr = ok.join(ocr, "file_path")
-    failed = todo.where(F.col("message").isNotNull())
-    fresh = with_handoff(analyze(with_ocr.unionByName(failed, allowMissingColumns=True), **analysis_kw))
+    from capsight.sources.listing import admit, binary_files, empty_files, listing_columns
+    from capsight.sources.sinks import existing_results, read_results, write_results
+
+    source = extractor if extractor is not None else extractor_factory
+    name = f"{provider}:{getattr(source, '__module__', '')}.{getattr(source, '__qualname__', type(source).__name__)}"
+    options = {"provider": name, **{k: v for k, v in analysis_kw.items() if k in ("vision", "max_summary_chars")}}
+
+    def keyed(files: DataFrame, *extra: str) -> DataFrame:
+        rows = listing_columns(files, *extra)
+        if modified_after:
+            rows = rows.where(F.col("modified_ms") > F.unix_millis(F.to_timestamp(F.lit(modified_after))))
+        return admit(with_fingerprint(rows.withColumn("hint", F.lit(hint).cast("string")), **options), max_image_bytes)
+
+    files = binary_files(spark, folder)
+    found = files.select("path", "length", "modificationTime")
+    every = keyed(found.unionByName(empty_files(spark, files, found)))
+    failed = every.where(F.col("message").isNotNull())
+    todo = keyed(files.where((F.col("length") > 0) & (F.col("length") <= max_image_bytes)), "content").where(F.col("message").isNull())
+    stored = existing_results(spark, store_path) if store_path else None
+    if stored is not None:
+        todo = todo.join(stored.select("fingerprint"), "fingerprint", "left_anti")
+    with_ocr = extract_text(todo, extractor, provider=provider, extractor_factory=extractor_factory)
     if not store_path:
-        return fresh
+        return with_handoff(analyze(with_ocr.unionByName(failed, allowMissingColumns=True), **analysis_kw))
     # The OCR runs once, for the write; the result is then served from the table
     # (new and earlier entries), plus this run's failures, which are never stored.
-    write_results(fresh, store_path)
-    served = read_results(spark, store_path).join(admitted.select("fingerprint"), "fingerprint", "left_semi")
+    write_results(with_handoff(analyze(with_ocr, **analysis_kw)), store_path)
+    served = every.select("fingerprint").join(read_results(spark, store_path), "fingerprint")
     failures = with_handoff(analyze(failed, **analysis_kw))
     return served.drop("schema_id", "analyzed_ms").unionByName(failures, allowMissingColumns=True)
 
 
-def compare_requests(requests: DataFrame, analyses: DataFrame) -> DataFrame:
-    """Compare groups of requested files: ``requests(group_id, pos, file_path)``.
+def requested(requests: DataFrame, analyses: DataFrame) -> DataFrame:
+    """The members of requested groups: ``requests(group_id, pos, file_path)`` with the analysis of each file.
 
-    Each request takes the analysis of its file (joined on ``file_path``; AQE
-    decides broadcast or sort-merge); a file without an analysis takes part as a
-    failed capture (``mixed_unknown``, empty title, target ``none``), as in the
-    reproduced tool.  Groups of fewer than two requests give no row.
+    Joined on ``file_path`` on narrow columns (AQE decides broadcast or sort-merge and splits a file that many ask for); a
+    file without an analysis takes part as a failed capture (``mixed_unknown``, empty title, target ``none``).
     """
-    from capsight.operators.compare import compare_groups
-    cols = ["kind", "title", "save_target", "entities", "tags", "source"]
-    an = analyses.select("file_path", *cols)
+    an = analyses.select("file_path", "kind", "title", "save_target", "entities", "tags", F.col("source.file_name").alias("file_name"))
     joined = requests.select("group_id", "pos", "file_path").join(an, "file_path", "left")
-    missing = F.col("kind").isNull()
-    empty = F.array().cast("array<string>")
-    filled = joined.select(
-        "group_id", "pos",
-        F.when(missing, F.lit(R.UNKNOWN)).otherwise(F.col("kind")).alias("kind"),
-        F.when(missing, F.lit("")).otherwise(F.col("title")).alias("title"),
-        F.when(missing, F.lit("none")).otherwise(F.col("save_target")).alias("save_target"),
-        F.when(missing, F.lit("")).otherwise(F.col("source.file_name")).alias("file_name"),
-        F.when(missing, empty).otherwise(F.col("entities")).alias("entities"),
-        F.when(missing, empty).otherwise(F.col("tags")).alias("tags"),
-    )
-    return compare_groups(filled)
+    none = F.array().cast("array<string>")
+    return joined.select(
+        "group_id", "pos", F.coalesce("kind", F.lit(R.UNKNOWN)).alias("kind"), F.coalesce("title", F.lit("")).alias("title"),
+        F.coalesce("save_target", F.lit("none")).alias("save_target"), F.coalesce("file_name", F.lit("")).alias("file_name"),
+        F.coalesce("entities", none).alias("entities"), F.coalesce("tags", none).alias("tags"))
+
+
+def compare_requests(requests: DataFrame, analyses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(comparisons, members)`` of requested groups; groups of fewer than two requests give no row.
+
+    The members (narrow rows) are written to the shared folder once, so the analysis runs once for both.
+    """
+    from capsight.operators.compare import compare_groups, compared_members
+    from capsight.session import write_scratch
+    rows = write_scratch(requested(requests, analyses), "compare")
+    return compare_groups(rows), compared_members(rows)

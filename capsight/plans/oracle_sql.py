@@ -294,17 +294,17 @@ def render_block() -> str:
 def attempts_ctes() -> list[str]:
     """``att``: the fixture OCR attempts (needs ``caps``)."""
     return [
-        "attempts0 AS (SELECT c.capture_id, pr.provider, pr.rank, "
+        "attempts0 AS (SELECT c.capture_id, pr.provider, pr.rank, 0 AS attempt_no, "
         "CAST((c.capture_id * 37 + pr.rank * 11) % 14000 AS BIGINT) AS elapsed_ms, "
         "CASE WHEN pr.rank = 0 AND c.capture_id % 3 <> 0 THEN '' ELSE c.ocr_text END AS text, "
         "CASE WHEN pr.rank = 0 AND c.capture_id % 3 <> 0 THEN 'no text' ELSE '' END AS warning "
         "FROM caps c CROSS JOIN (SELECT 'macos_vision' AS provider, 0 AS rank UNION ALL SELECT 'paddleocr', 1) pr)",
-        f"att AS (SELECT capture_id, provider, elapsed_ms, text, {clean_lines('text')} AS lines, "
+        f"att AS (SELECT capture_id, provider, attempt_no, elapsed_ms, text, {clean_lines('text')} AS lines, "
         "list_filter([warning], lambda w: w <> '') AS warnings FROM attempts0)",
     ]
 
 
-def resolve_ctes(order: list[str], timeout_ms: int | None, out: str = "ocr") -> list[str]:
+def resolve_ctes(order: list[str], timeout_ms: int | None, out: str = "ocr", att: str = "att") -> list[str]:
     """A recursive fold over the ranked attempts; ``{out}`` has one row per capture."""
     rank_case = "CASE " + " ".join(f"WHEN provider = {q(pv)} THEN {i}" for i, pv in enumerate(order)) + " END"
     cap_case = ("CASE " + " ".join(f"WHEN a_provider = {q(pv)} THEN {c}" for pv, c in R.OCR_ATTEMPT_CAP_MS.items())
@@ -338,8 +338,8 @@ def resolve_ctes(order: list[str], timeout_ms: int | None, out: str = "ocr") ->
         "ON r.capture_id = f.capture_id AND r.k = f.k + 1) x"
     )
     return [
-        f"ranked AS (SELECT *, row_number() OVER (PARTITION BY capture_id ORDER BY rk) AS k "
-        f"FROM (SELECT *, {rank_case} AS rk FROM att) WHERE rk IS NOT NULL)",
+        f"ranked AS (SELECT *, row_number() OVER (PARTITION BY capture_id ORDER BY rk, attempt_no, elapsed_ms) AS k "
+        f"FROM (SELECT *, {rank_case} AS rk FROM {att}) WHERE rk IS NOT NULL)",
         "fold AS (SELECT capture_id, 0 AS k, CAST(0 AS BIGINT) AS spent, false AS stop, false AS done, "
         "CAST(NULL AS VARCHAR) AS provider, CAST(NULL AS VARCHAR) AS text, CAST(NULL AS VARCHAR[]) AS lines, "
         f"{EMPTY} AS warnings FROM (SELECT DISTINCT capture_id FROM ranked) "
@@ -394,9 +394,9 @@ def media_pattern() -> str:
     return q(R.MEDIA_PATH_PATTERN.replace("{W}", W))
 
 
-def recent_media_ctes(max_messages: int, max_images: int, out: str = "media", by_turn: bool = False) -> list[str]:
+def recent_media_ctes(max_messages: int, max_images: int, out: str = "media", by_turn: bool = False, given: str | None = None) -> list[str]:
     """Recent media per conversation (or per conversation and as-of turn)."""
-    msgs = f"msgs AS ({fixture_messages()})"
+    msgs = f"msgs AS ({given or fixture_messages()})"
     if by_turn:
         keys = "conv_id, as_of"
         win = ("SELECT a.conv_id, a.as_of, m.turn, m.text, row_number() OVER (PARTITION BY a.conv_id, a.as_of "

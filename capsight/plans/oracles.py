@@ -73,6 +73,13 @@ def _ocr_select(src: str = "ocr") -> str:
 
 _B = O.base_ctes() + O.attempts_ctes()
 ORACLES["b1_resolve_ocr"] = _with(_B + O.resolve_ctes(list(R.OCR_FALLBACK_ORDER), None), _ocr_select())
+_REPEATED = (
+    "rep AS (SELECT capture_id, provider, attempt_no, CASE WHEN attempt_no = 0 THEN 50 ELSE elapsed_ms END AS elapsed_ms, "
+    "CASE WHEN attempt_no = 0 THEN '' WHEN attempt_no = 2 THEN text || ' again' ELSE text END AS text, "
+    "CASE WHEN attempt_no = 0 THEN []::VARCHAR[] ELSE lines END AS lines, "
+    "CASE WHEN attempt_no = 0 THEN ['first try of ' || provider || ' failed'] ELSE warnings END AS warnings FROM "
+    "(SELECT * EXCLUDE (attempt_no), unnest(CASE WHEN capture_id % 5 = 0 THEN [0, 1] WHEN capture_id % 7 = 0 THEN [1, 2] ELSE [1] END) AS attempt_no FROM att))")
+ORACLES["b1_repeated_attempts"] = _with(_B + [_REPEATED] + O.resolve_ctes(list(R.OCR_FALLBACK_ORDER), None, att="rep"), _ocr_select())
 for _ms in (30000, 5000, 1000):
     ORACLES[f"b2_resolve_ocr_budget_{_ms}"] = _with(_B + O.resolve_ctes(list(R.OCR_FALLBACK_ORDER), _ms), _ocr_select())
 ORACLES["b3_provider_order_paddleocr"] = _with(_B + O.resolve_ctes(["paddleocr", "macos_vision"], 30000), _ocr_select())
@@ -135,8 +142,10 @@ def _compare_ctes() -> list[str]:
 
 
 ORACLES["g1_compare_groups"] = _with(_compare_ctes(), (
-    "SELECT group_id, CAST(n AS BIGINT) AS n_members, summary, same_kind, kinds, similarities, differences, "
-    "save_recommendation, cl AS compared FROM cmp2"))
+    "SELECT group_id, CAST(n AS BIGINT) AS n_members, summary, same_kind, kinds, similarities, "
+    "array_to_string(list_filter([CASE WHEN nk > 1 THEN 'kind' END, CASE WHEN nt > 1 THEN 'title' END, "
+    "CASE WHEN ns > 1 THEN 'save target' END], lambda x: x IS NOT NULL), ' | ') AS differs_in, save_recommendation FROM cmp2"))
+ORACLES["g1_compared_members"] = _with(_compare_ctes(), "SELECT group_id, pos, kind, title, save_target, file_name FROM m2")
 ORACLES["g2_shared_values"] = _with(_compare_ctes(), "SELECT group_id, shared_entities, shared_tags FROM cmp2")
 ORACLES["g3_differences"] = _with(_compare_ctes(), "SELECT group_id, differences FROM cmp2")
 ORACLES["g4_save_recommendation"] = _with(_compare_ctes(), "SELECT group_id, save_recommendation FROM cmp2")
@@ -155,6 +164,9 @@ ORACLES["h2_recent_media_by_turn"] = _with(O.recent_media_ctes(8, 4, by_turn=Tru
                                            "SELECT conv_id, as_of AS turn, media_pos, file_path FROM media")
 ORACLES["h2_recent_media_by_turn_3_2"] = _with(O.recent_media_ctes(3, 2, by_turn=True),
                                                "SELECT conv_id, as_of AS turn, media_pos, file_path FROM media")
+ORACLES["h2_gapped"] = _with(
+    O.recent_media_ctes(8, 4, by_turn=True, given=f"SELECT * REPLACE (turn * turn * 3 + conv_id % 5 AS turn) FROM ({O.fixture_messages()})"),
+    "SELECT conv_id, as_of AS turn, media_pos, file_path FROM media")
 ORACLES["h3_context_entries"] = _with(O.context_ctes(), "SELECT conv_id, media_pos, file_path, status, entry FROM entries")
 ORACLES["h4_conversation_context"] = _with(O.context_ctes(), (
     "SELECT conv_id, CAST(count(*) AS BIGINT) AS n_entries, "
@@ -181,6 +193,9 @@ def _fp(prefix: str = "") -> str:
 ORACLES["i1_fingerprint"] = _with(O.base_ctes(), f"SELECT capture_id, {_fp()} AS fingerprint FROM caps")
 ORACLES["i2_analyze_incremental"] = _with(O.job_ctes(), (
     FLAT_ANALYSIS.replace(" FROM a", "") + f", {_fp()} AS fingerprint, (capture_id % 3 = 0 AND NOT error_o) AS from_store FROM a"))
+_TWICE = FLAT_ANALYSIS.replace(" FROM a", "") + f", {_fp()} AS fingerprint, (capture_id % 3 = 0 AND NOT error_o) AS from_store FROM a"
+ORACLES["i2_duplicate_captures"] = _with(O.job_ctes(), (
+    _TWICE + " UNION ALL " + _TWICE.replace("SELECT capture_id,", "SELECT capture_id + 1000000000 AS capture_id,", 1) + " WHERE capture_id % 7 = 0"))
 ORACLES["i3_retain_newest"] = _with(O.job_ctes(), (
     f"SELECT {_fp()} AS fingerprint, capture_id, CAST(modified_ms AS BIGINT) AS analyzed_ms FROM a WHERE NOT error_o "
     f"ORDER BY modified_ms DESC, fingerprint LIMIT 64"))
@@ -196,23 +211,33 @@ ORACLES["k2_tag_report"] = _with(O.job_ctes(), (
 
 # --- A4, B6, J ------------------------------------------------------------------------
 
-_payload_ok = "json_valid(payload)"
-ORACLES["a4_read_ocr_payloads"] = _with(_B + [
-    "pay AS (SELECT capture_id, provider, CASE WHEN capture_id % 7 = 0 THEN substr(full_json, 1, 20) "
-    "WHEN capture_id % 11 = 0 THEN numeric_json ELSE full_json END AS payload FROM (SELECT capture_id, provider, "
-    "CAST(to_json(struct_pack(provider := provider, text := text, lines := list_transform(string_split(text, chr(10)), "
-    "lambda l: struct_pack(text := l, score := 0.9::DOUBLE)))) AS VARCHAR) AS full_json, "
-    "CAST(to_json(struct_pack(provider := provider, text := elapsed_ms)) AS VARCHAR) AS numeric_json FROM att))",
-    "par AS (SELECT capture_id, payload, json_valid(payload) AS ok, "
+_PAYLOADS = [
+    "pay0 AS (SELECT capture_id, provider, elapsed_ms, CAST(to_json(struct_pack(provider := CASE WHEN capture_id % 5 = 0 THEN 'my-ocr' ELSE provider END, "
+    "text := text, lines := list_transform(string_split(text, chr(10)), lambda l: struct_pack(text := l, score := 0.9::DOUBLE)))) AS VARCHAR) AS good, "
+    "CAST(to_json(struct_pack(provider := provider, text := elapsed_ms)) AS VARCHAR) AS numeric_json FROM att)",
+    "pay AS (SELECT capture_id, provider, elapsed_ms, 1 AS attempt_no, CASE WHEN capture_id % 7 = 0 THEN '}' || good ELSE good END AS payload FROM pay0 "
+    "UNION ALL SELECT capture_id, provider, elapsed_ms, 0, numeric_json FROM pay0 WHERE capture_id % 11 = 0)",
+    "par0 AS (SELECT capture_id, provider, elapsed_ms, attempt_no, json_valid(payload) AS ok, "
+    "CASE provider WHEN 'paddleocr' THEN 'PaddleOCR' WHEN 'macos_vision' THEN 'macOS Vision OCR' END AS label, "
     "CASE WHEN json_valid(payload) AND json_type(payload, '$.provider') = 'VARCHAR' AND json_extract_string(payload, '$.provider') <> '' "
-    "THEN json_extract_string(payload, '$.provider') ELSE 'paddleocr' END AS payload_provider, "
+    "THEN json_extract_string(payload, '$.provider') ELSE provider END AS reported_provider, "
     "CASE WHEN json_valid(payload) AND json_type(payload, '$.text') = 'VARCHAR' THEN json_extract_string(payload, '$.text') ELSE '' END AS text, "
     "CASE WHEN json_valid(payload) AND json_type(payload, '$.lines') = 'ARRAY' THEN list_filter(list_transform("
     "CAST(json_extract(payload, '$.lines[*]') AS JSON[]), lambda it: CASE WHEN json_type(it, '$.text') = 'VARCHAR' "
     "THEN json_extract_string(it, '$.text') ELSE '' END), lambda s: length(s) > 0) ELSE []::VARCHAR[] END AS lines FROM pay)",
-], (f"SELECT capture_id, payload_provider, text, array_to_string(lines, chr(10)) AS lines, "
-    f"CASE WHEN NOT ok THEN 'PaddleOCR failed: invalid JSON payload' WHEN {O.tr('text')} = '' AND len(lines) = 0 "
-    f"THEN 'PaddleOCR returned no text' ELSE '' END AS warnings FROM par"))
+    f"par AS (SELECT *, CASE WHEN NOT ok THEN [label || ' failed: invalid JSON payload'] WHEN {O.tr('text')} = '' AND len(lines) = 0 "
+    "THEN [label || ' returned no text'] ELSE []::VARCHAR[] END AS warnings FROM par0)",
+]
+ORACLES["a4_read_ocr_payloads"] = _with(_B + _PAYLOADS, (
+    "SELECT capture_id, provider, CAST(attempt_no AS BIGINT) AS attempt_no, reported_provider, text, array_to_string(lines, chr(10)) AS lines, "
+    "array_to_string(warnings, '|') AS warnings FROM par"))
+ORACLES["b1_from_payloads"] = _with(_B + _PAYLOADS + O.resolve_ctes(list(R.OCR_FALLBACK_ORDER), None, att="par"), _ocr_select())
+ORACLES["a1_image_listing"] = (
+    "SELECT doc_id // 64 AS bucket, '.txt' AS suffix, " + f"'{R.MIME_DEFAULT}' AS mime_type, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS size_bytes, "
+    f"CASE WHEN sum(strlen(text) + 1) > {R.MAX_IMAGE_BYTES} THEN 'image too large' ELSE 'unsupported image type' END AS message FROM documents GROUP BY 1")
+ORACLES["a6_json_results"] = _an(
+    "SELECT capture_id, CAST(to_json(struct_pack(kind := kind_o, confidence := confidence_o, summary := summary_o, ocr_text := ocr_text_o, "
+    "entities := entities_o, risk_flags := risk_flags_o, warnings := warnings_o, error := error_o)) AS VARCHAR) AS json FROM a")
 ORACLES["b6_extract_text"] = _with(O.base_ctes(), (
     "SELECT capture_id, 'utf8' AS ocr_provider, ocr_text, "
     "CAST(len(list_filter(string_split(ocr_text, chr(10)), lambda s: length(s) > 0)) AS INTEGER) AS n_lines, "
@@ -231,9 +256,13 @@ ORACLES["a6_write_results"] = _with(O.job_ctes(), (
 
 # Nested messages walked depth-first: array items by index, object members in
 # key order (as Variant stores them); string leaves at depth <= 8.
-_NESTED = ("nm AS (SELECT conv_id, turn, CAST(to_json(struct_pack(role := role, content := list_transform("
+# Numbers only, plain text (no JSON) or a record, as the fixture deals them.
+_NUMBERS_ONLY = "conv_id % 5 = 3 AND turn % 2 = 1"
+_NESTED = (f"nm AS (SELECT conv_id, turn, CASE WHEN {_NUMBERS_ONLY} THEN CAST(to_json(struct_pack(turn := turn, \"values\" := [conv_id, 7])) AS VARCHAR) "
+           "WHEN conv_id % 5 = 1 AND NOT json_valid(text) THEN CAST(to_json(text) AS VARCHAR) WHEN conv_id % 5 = 1 THEN text "
+           "ELSE CAST(to_json(struct_pack(role := role, content := list_transform("
            "string_split(text, chr(10)), lambda l: struct_pack(type := 'text', text := l)), "
-           "meta := struct_pack(turn := turn, channel := 'fixture'))) AS VARCHAR) AS message FROM msgs)")
+           "meta := struct_pack(turn := turn, channel := 'fixture'))) AS VARCHAR) END AS message FROM msgs)")
 _WALK = (
     "walk(conv_id, turn, path, depth, j) AS ("
     "SELECT conv_id, turn, []::INTEGER[], 0, CAST(message AS JSON) FROM nm "
@@ -249,7 +278,9 @@ ORACLES["a5_message_chunks"] = _with([f"msgs AS ({O.fixture_messages()})", _NEST
     "SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id, turn ORDER BY path) - 1 AS INTEGER) AS chunk_pos, "
     "json_extract_string(j, '$') AS text FROM walk WHERE json_type(j) = 'VARCHAR'"))
 
-ORACLES["h1_recent_media_nested"] = ORACLES["h1_recent_media"]
+ORACLES["h1_recent_media_nested"] = _with(
+    O.recent_media_ctes(8, 4, given=f"SELECT conv_id, turn, CASE WHEN {_NUMBERS_ONLY} THEN '' ELSE text END AS text FROM ({O.fixture_messages()})"),
+    "SELECT conv_id, media_pos, file_path FROM media")
 ORACLES["g1_compare_requests"] = ORACLES["g1_compare_groups"]
 ORACLES["h4_conversation_context_by_turn"] = _with(O.context_ctes(by_turn=True), (
     "SELECT conv_id, turn, CAST(count(*) AS BIGINT) AS n_entries, "

@@ -201,6 +201,21 @@ def b1(spark, sf_dir):
     return _ocr_out(resolve_ocr(fx.attempts(spark, sf_dir), timeout_ms=None))
 
 
+@query("b1_repeated_attempts")
+def b1_repeated(spark, sf_dir):
+    """B1 with retries: the first success wins, earlier failures of the same provider leave their warnings."""
+    from capsight.operators.ocr import resolve_ocr
+    return _ocr_out(resolve_ocr(fx.repeated_attempts(spark, sf_dir), timeout_ms=None))
+
+
+@query("b1_from_payloads")
+def b1_payloads(spark, sf_dir):
+    """A4 then B1: payloads (malformed, relabelled, numeric) parsed and resolved."""
+    from capsight.operators.ocr import resolve_ocr
+    from capsight.sources.payloads import read_ocr_payloads
+    return _ocr_out(resolve_ocr(read_ocr_payloads(fx.ocr_payloads(spark, sf_dir)), timeout_ms=None))
+
+
 def _budget(ms):
     def run(spark, sf_dir):
         from capsight.operators.ocr import resolve_ocr
@@ -269,17 +284,35 @@ def e3(spark, sf_dir):
 
 # --- G. group comparison ------------------------------------------------------------
 
+def _facts(df: DataFrame) -> DataFrame:
+    return df.select("group_id", F.col("n_members").cast("long").alias("n_members"), "summary", "same_kind",
+                     j("kinds", ", ").alias("kinds"), j("similarities", " | ").alias("similarities"),
+                     j("differs_in", " | ").alias("differs_in"), "save_recommendation")
+
+
 def compared(spark, sf_dir) -> DataFrame:
     from capsight.operators.compare import compare_groups
     return compare_groups(analysis_job(spark, sf_dir))
 
 
+def compared_whole(spark, sf_dir) -> DataFrame:
+    """Comparisons with their members' lists, as the text block shows them; the analysis runs once."""
+    from capsight.operators.compare import compare_groups, compared_members, members, with_member_lists
+    from capsight.session import write_scratch
+    rows = write_scratch(members(analysis_job(spark, sf_dir)), "compare")
+    return with_member_lists(compare_groups(rows), compared_members(rows))
+
+
 @query("g1_compare_groups")
 def g1(spark, sf_dir):
-    df = compared(spark, sf_dir)
-    return df.select("group_id", F.col("n_members").cast("long").alias("n_members"), "summary", "same_kind",
-                     j("kinds", ", ").alias("kinds"), j("similarities", " | ").alias("similarities"),
-                     j("differences", " | ").alias("differences"), "save_recommendation", "compared")
+    return _facts(compared(spark, sf_dir))
+
+
+@query("g1_compared_members")
+def g1_members(spark, sf_dir):
+    """The compared records in long form, one row per member."""
+    from capsight.operators.compare import compared_members
+    return compared_members(analysis_job(spark, sf_dir))
 
 
 @query("g1_compare_requests")
@@ -287,10 +320,7 @@ def g1_requests(spark, sf_dir):
     """G1 from (group_id, pos, file_path) requests joined to the analyses by path."""
     from capsight.plans.jobs import compare_requests
     req = fx.captures(spark, sf_dir).select("group_id", "pos", "file_path")
-    df = compare_requests(req, analysis_job(spark, sf_dir))
-    return df.select("group_id", F.col("n_members").cast("long").alias("n_members"), "summary", "same_kind",
-                     j("kinds", ", ").alias("kinds"), j("similarities", " | ").alias("similarities"),
-                     j("differences", " | ").alias("differences"), "save_recommendation", "compared")
+    return _facts(compare_requests(req, analysis_job(spark, sf_dir))[0])
 
 
 @query("g2_shared_values")
@@ -302,7 +332,7 @@ def g2(spark, sf_dir):
 
 @query("g3_differences")
 def g3(spark, sf_dir):
-    return compared(spark, sf_dir).select("group_id", j("differences", " | ").alias("differences"))
+    return compared_whole(spark, sf_dir).select("group_id", j("differences", " | ").alias("differences"))
 
 
 @query("g4_save_recommendation")
@@ -313,7 +343,7 @@ def g4(spark, sf_dir):
 @query("g5_render_compare")
 def g5(spark, sf_dir):
     from capsight.operators.compare import render_compare
-    return compared(spark, sf_dir).select("group_id", render_compare().alias("compare_block"))
+    return compared_whole(spark, sf_dir).select("group_id", render_compare().alias("compare_block"))
 
 
 # --- H. recent-media context -----------------------------------------------------------
@@ -332,10 +362,17 @@ def h1_small(spark, sf_dir):
 
 @query("h1_recent_media_nested")
 def h1_nested(spark, sf_dir):
-    """H1 over messages in nested JSON form: every string leaf (A5) is scanned on its own."""
+    """H1 over nested messages, some without any text: the last messages are chosen before their leaves are walked."""
     from capsight.operators.context import recent_media
-    from capsight.sources.payloads import message_chunks
-    return recent_media(message_chunks(fx.nested_messages(spark, sf_dir)))
+    return recent_media(fx.nested_messages(spark, sf_dir), nested="message")
+
+
+@query("h2_gapped")
+def h2_gapped(spark, sf_dir):
+    """H2 on turns with gaps."""
+    from capsight.operators.context import recent_media_by_turn
+    gapped = fx.messages(spark, sf_dir).withColumn("turn", F.col("turn") * F.col("turn") * 3 + F.col("conv_id") % 5)
+    return recent_media_by_turn(gapped)
 
 
 @query("h2_recent_media_by_turn")
@@ -411,6 +448,16 @@ def i2(spark, sf_dir):
     return flat_analysis(results, "fingerprint", "from_store")
 
 
+@query("i2_duplicate_captures")
+def i2_duplicates(spark, sf_dir):
+    """I2 where every 7th capture is requested twice under another id: each request gets a row."""
+    from capsight.operators.incremental import analyze_incremental
+    caps = fx.captures(spark, sf_dir)
+    again = caps.where(F.col("capture_id") % 7 == 0).withColumn("capture_id", F.col("capture_id") + 1_000_000_000)
+    results, _ = analyze_incremental(caps.unionByName(again), fx.attempts(spark, sf_dir), earlier_store(spark, sf_dir))
+    return flat_analysis(results, "fingerprint", "from_store")
+
+
 @query("i3_retain_newest")
 def i3(spark, sf_dir):
     from capsight.operators.analyze import run_analysis
@@ -441,16 +488,24 @@ def k2(spark, sf_dir):
 
 @query("a1_image_listing")
 def a1(spark, sf_dir):
-    """The files of the given table folder, listed by metadata only, then admitted."""
+    """The documents' texts written as one file per 64 ids, then listed by metadata only and admitted."""
+    import uuid
+    from capsight.session import scratch_path
     from capsight.sources.listing import admit, image_listing
-    return admit(image_listing(spark, sf_dir)).select("file_path", "file_name", "mime_type", "size_bytes", "message")
+    path = scratch_path(spark, f"files/{uuid.uuid4().hex[:12]}")
+    docs = fx.table(spark, sf_dir, "documents").select("text", F.floor(F.col("doc_id") / 64).alias("bucket"))
+    docs.repartition("bucket").write.partitionBy("bucket").text(path)
+    df = admit(image_listing(spark, path, glob="*.txt"))
+    bucket = F.regexp_extract("file_path", "/bucket=([0-9]+)/part-", 1).cast("long")
+    return df.select(bucket.alias("bucket"), F.regexp_extract("file_name", r"([.][^.]*)$", 1).alias("suffix"), "mime_type", "size_bytes",
+                     F.split("message", ":")[0].alias("message"))
 
 
 @query("a4_read_ocr_payloads")
 def a4(spark, sf_dir):
     from capsight.sources.payloads import read_ocr_payloads
-    df = read_ocr_payloads(fx.ocr_payloads(spark, sf_dir), default_provider="paddleocr")
-    return df.select("capture_id", F.col("provider").alias("payload_provider"), "text", j("lines", "\n").alias("lines"),
+    df = read_ocr_payloads(fx.ocr_payloads(spark, sf_dir))
+    return df.select("capture_id", "provider", F.col("attempt_no").cast("long").alias("attempt_no"), "reported_provider", "text", j("lines", "\n").alias("lines"),
                      j("warnings").alias("warnings"))
 
 
@@ -466,14 +521,23 @@ def a6(spark, sf_dir):
     import uuid
     from capsight.operators.analyze import run_analysis
     from capsight.operators.incremental import with_fingerprint
-    from capsight.session import scratch_path
+    from capsight.session import scratch_path, write_scratch
     from capsight.sources.sinks import read_results, write_results
-    an = run_analysis(with_fingerprint(fx.captures(spark, sf_dir)), fx.attempts(spark, sf_dir))
+    an = write_scratch(run_analysis(with_fingerprint(fx.captures(spark, sf_dir)), fx.attempts(spark, sf_dir)), "analyses")
     path = scratch_path(spark, f"results/{uuid.uuid4().hex[:12]}")
     write_results(an, path, F.col("modified_ms"))
+    write_results(an, path, F.col("modified_ms"))  # a rerun adds nothing
     return read_results(spark, path).select("capture_id", "fingerprint", "kind", "title", "schema_id", "analyzed_ms")
 
 
+@query("a6_json_results")
+def a6_json(spark, sf_dir):
+    """The JSON form of every analysis."""
+    from capsight.sources.sinks import as_json
+    cols = ["kind", "confidence", "summary", "ocr_text", "entities", "risk_flags", "warnings", "error"]
+    return analyzed(spark, sf_dir).select("capture_id", as_json(cols).alias("json"))
+
+
 @query("b6_extract_text")
 def b6(spark, sf_dir):
     """A user text extractor over capture bytes (here: UTF-8 bytes of the document text)."""
@@ -501,17 +565,19 @@ def j1(spark, sf_dir):
 
 @query("j2_stream_dedupe")
 def j2(spark, sf_dir):
-    """Every capture arrives twice; each fingerprint is analysed once."""
-    from capsight.streaming.jobs import run_available_now, stream_analyze, stream_dedupe
-    caps = fx.with_ocr(fx.captures_from(_doc_stream(spark, sf_dir)))
-    twice = caps.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
-    out = run_available_now(flat_analysis(stream_analyze(stream_dedupe(twice)), "fingerprint"), "dedupe")
-    return spark.read.parquet(out)
+    """Every capture arrives twice, in any of three batches or more; each fingerprint is analysed once."""
+    from capsight.streaming.jobs import arriving, dedupe_available_now, stream_analyze
+    docs = fx.table(spark, sf_dir, "documents")
+    twice = docs.withColumn("arrival", F.explode(F.array(F.lit(1), F.lit(2))))
+    caps = fx.with_ocr(fx.captures_from(arriving(twice, "captures").drop("arrival")))
+    out = dedupe_available_now(caps, "dedupe", lambda rows: flat_analysis(stream_analyze(rows), "fingerprint"))
+    return spark.read.parquet(out).drop("batch")
 
 
 @query("j3_stream_context")
 def j3(spark, sf_dir):
-    from capsight.streaming.jobs import file_stream, latest_context, run_available_now, stream_context
-    conv = file_stream(spark, sf_dir, fx.table(spark, sf_dir, "conversations"), glob="conversations.parquet")
+    """Messages arrive out of order in three batches or more; the result is H1 of all."""
+    from capsight.streaming.jobs import arriving, latest_context, run_available_now, stream_context
+    conv = arriving(fx.table(spark, sf_dir, "conversations"), "messages")
     out = run_available_now(stream_context(fx.messages_from(conv)), "context")
     return latest_context(spark.read.parquet(out))

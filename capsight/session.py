@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -38,11 +39,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster it is read from the session.  Only when it is unset (local runs
-    and tests) a fresh scratch folder is created and set.
+    On a cluster it must be set: a machine-local folder would be lost with its machine.
+    Only a local master without one (runs on one machine, tests) gets a fresh scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="capsight-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -56,19 +60,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-SPREAD_FACTOR = int(os.environ.get("CAPSIGHT_SPREAD_FACTOR", "1"))
-
-
-def spread(df, *keys):
-    """Spread a scan that has fewer partitions than the cluster has cores.
-
-    Small inputs (one file, one row group) scan as a single partition, and the
-    per-row regex work fused into that scan would then run in one task.  Such
-    inputs are hash-partitioned on ``keys`` (the key the later aggregations and
-    joins use, so they reuse the partitioning); large inputs are left as they are.
-    """
-    sc = df.sparkSession.sparkContext
-    if df.rdd.getNumPartitions() >= sc.defaultParallelism:
-        return df
-    n = sc.defaultParallelism * SPREAD_FACTOR
-    return df.repartition(n, *keys) if keys else df.repartition(n)
+def write_scratch(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back (cuts lineage)."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

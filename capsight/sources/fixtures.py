@@ -63,9 +63,11 @@ FROM base
 MESSAGES_SQL = """
 SELECT conv_id, turn, role, text ||
   CASE WHEN (conv_id * 5 + turn * 3) % 4 = 0 THEN ' [media attached: /data/img_' ||
-         CAST(((conv_id * 3 + turn % 3) % 25) * 8 + 4 AS STRING) || '.png (image/png) | inbound]'
-       WHEN (conv_id * 5 + turn * 3) % 4 = 1 THEN ' [media attached: /data/missing_' || CAST(turn AS STRING) ||
-         '.JPG | inbound] and [media attached: /data/img_' || CAST(((conv_id + turn % 2) % 25) * 8 + 4 AS STRING) || '.png | again]'
+         CAST(CASE WHEN conv_id % 3 = 0 AND turn % 3 < 2 THEN 4 ELSE (conv_id + turn % 3) * 8 + 4 END AS STRING) ||
+         '.png (image/png) | inbound]'
+       WHEN (conv_id * 5 + turn * 3) % 4 = 1 THEN ' [media attached: /data/missing_' || CAST(conv_id AS STRING) || '_' ||
+         CAST(turn AS STRING) || '.JPG | inbound] and [media attached: /data/img_' ||
+         CAST((conv_id + turn % 2) * 8 + 4 AS STRING) || '.png | again]'
        WHEN (conv_id * 5 + turn * 3) % 4 = 2 THEN ' [media attached: /data/notes.txt | inbound]'
        ELSE '' END AS text
 FROM {conversations}
@@ -88,12 +90,11 @@ def captures_from(documents: DataFrame) -> DataFrame:
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One capture per document: ids, group/pos, hint, path, size, mtime, mime, OCR text."""
-    from capsight.session import spread
-    return captures_from(spread(table(spark, sf_dir, "documents"), "doc_id"))
+    return captures_from(table(spark, sf_dir, "documents"))
 
 
 def attempts(spark: SparkSession, sf_dir: str, caps: DataFrame | None = None) -> DataFrame:
-    """OCR attempts ``(capture_id, provider, elapsed_ms, text, lines, warnings)``.
+    """OCR attempts ``(capture_id, provider, attempt_no, elapsed_ms, text, lines, warnings)``.
 
     Built with ``explode`` over the provider list (a narrow Generate, not a join).
     """
@@ -107,6 +108,7 @@ def attempts(spark: SparkSession, sf_dir: str, caps: DataFrame | None = None) ->
     return df.select(
         "capture_id",
         F.col("p.provider").alias("provider"),
+        F.lit(0).alias("attempt_no"),
         ((F.col("capture_id") * 37 + F.col("p.rank") * 11) % 14000).cast("long").alias("elapsed_ms"),
         text.alias("text"),
         clean_lines(text).alias("lines"),
@@ -121,34 +123,53 @@ def messages_from(conversations: DataFrame) -> DataFrame:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The message log ``(conv_id, turn, role, text)`` with media markers."""
-    from capsight.session import spread
-    return messages_from(spread(table(spark, sf_dir, "conversations"), "conv_id"))
+    return messages_from(table(spark, sf_dir, "conversations"))
+
+
+def repeated_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts with retries: for every 5th capture each provider first failed, and every 7th was tried twice with a text."""
+    att = attempts(spark, sf_dir)
+    tries = F.when(F.col("capture_id") % 5 == 0, F.array(F.lit(0), F.lit(1))).when(F.col("capture_id") % 7 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    att = att.withColumn("attempt_no", F.explode(tries))
+    blank = F.col("attempt_no") == 0
+    none = F.array().cast("array<string>")
+    return att.withColumns({
+        "elapsed_ms": F.when(blank, F.lit(50).cast("long")).otherwise(F.col("elapsed_ms")),
+        "text": F.when(blank, F.lit("")).otherwise(F.concat(F.col("text"), F.when(F.col("attempt_no") == 2, " again").otherwise(""))),
+        "lines": F.when(blank, none).otherwise(F.col("lines")),
+        "warnings": F.when(blank, F.array(F.concat(F.lit("first try of "), F.col("provider"), F.lit(" failed")))).otherwise(F.col("warnings"))})
 
 
 def nested_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages in nested JSON form ``(conv_id, turn, message)``: role, content parts, metadata."""
+    """Messages in nested form ``(conv_id, turn, message)``: JSON with role, content parts and metadata; in every 5th
+    conversation odd turns carry numbers only, in another 5th messages are plain text."""
     msgs = messages(spark, sf_dir)
     parts = F.transform(F.split(F.col("text"), "\n"), lambda line: F.struct(F.lit("text").alias("type"), line.alias("text")))
     msg = F.struct(F.col("role").alias("role"), parts.alias("content"),
                    F.struct(F.col("turn").alias("turn"), F.lit("fixture").alias("channel")).alias("meta"))
-    return msgs.select("conv_id", "turn", F.to_json(msg).alias("message"))
+    numbers = F.to_json(F.struct(F.col("turn").alias("turn"), F.array(F.col("conv_id"), F.lit(7)).alias("values")))
+    five = F.col("conv_id") % 5
+    message = F.when((five == 3) & (F.col("turn") % 2 == 1), numbers).when(five == 1, F.col("text")).otherwise(F.to_json(msg))
+    return msgs.select("conv_id", "turn", message.alias("message"))
 
 
 def ocr_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """OCR stdout payloads per attempt, with malformed ones by fixed rules.
+    """OCR stdout payloads per attempt, every one with its whole text; lines carry a score.
 
-    Every 7th capture's payload is cut short (unparsable) and every 11th
-    carries a numeric ``text``; lines carry a score.
+    Every 7th capture's payloads are malformed (a stray bracket in front), every 5th capture's are labelled by
+    another engine's name, and every 11th capture has an earlier attempt with a numeric ``text``.
     """
     att = attempts(spark, sf_dir)
+    label = F.when(F.col("capture_id") % 5 == 0, F.lit("my-ocr")).otherwise(F.col("provider"))
     good = F.to_json(F.struct(
-        F.col("provider").alias("provider"), F.col("text").alias("text"),
+        label.alias("provider"), F.col("text").alias("text"),
         F.transform(F.split(F.col("text"), "\n"), lambda l: F.struct(l.alias("text"), F.lit(0.9).alias("score")))
          .alias("lines")))
     numeric = F.to_json(F.struct(F.col("provider").alias("provider"), F.col("elapsed_ms").alias("text")))
-    payload = (F.when(F.col("capture_id") % 7 == 0, F.substring(good, 1, 20))
-               .when(F.col("capture_id") % 11 == 0, numeric).otherwise(good))
-    return att.select("capture_id", "provider", payload.alias("payload"))
+    whole = F.struct(F.lit(1).alias("attempt_no"), F.when(F.col("capture_id") % 7 == 0, F.concat(F.lit("}"), good)).otherwise(good).alias("payload"))
+    early = F.struct(F.lit(0).alias("attempt_no"), numeric.alias("payload"))
+    rows = F.when(F.col("capture_id") % 11 == 0, F.array(early, whole)).otherwise(F.array(whole))
+    return att.select("capture_id", "provider", "elapsed_ms", F.explode(rows).alias("r")).select("capture_id", "provider", "elapsed_ms", "r.attempt_no", "r.payload")
 
 
 def with_ocr(caps: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ labels every row; accepted and rejected rows are two filters over it.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,22 +25,38 @@ def image_listing(spark: SparkSession, path: str, recursive: bool = True,
                   glob: str | None = None) -> DataFrame:
     """A1: one row per file under ``path``: ``file_path, file_name, mime_type, size_bytes, modified_ms``.
 
-    Only the ``path``, ``length`` and ``modificationTime`` columns are selected,
-    so the scan never reads file content.  Zero-byte files are not reported by
-    the binary-file source; requests for them surface through
-    ``unresolved_requests``.
+    Only the ``path``, ``length`` and ``modificationTime`` columns are selected, so the scan never reads file
+    content.  The scan gives no rows for zero-byte files; they are the listed files that the scan lacks and get
+    size 0 and no modification time.
     """
+    files = binary_files(spark, path, recursive, glob)
+    found = files.select("path", "length", "modificationTime")
+    empty = empty_files(spark, files, found)
+    return listing_columns(found.unionByName(empty))
+
+
+def binary_files(spark: SparkSession, path: str, recursive: bool = True, glob: str | None = None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(path).select("path", "length", "modificationTime")
-    fp = F.regexp_replace(F.col("path"), r"^file:", "")
-    return df.select(
+    return (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
+
+
+def empty_files(spark: SparkSession, files: DataFrame, found: DataFrame) -> DataFrame:
+    """``path, length, modificationTime`` of the zero-byte files: in the file index, but without a row."""
+    listed = spark.createDataFrame([(unquote(p) if "%" in p else p,) for p in files.inputFiles()], "path string")
+    plain = F.regexp_replace("path", "^file:/+", "/")
+    rest = listed.withColumn("_p", plain).join(found.select(plain.alias("_p")), "_p", "left_anti")
+    return rest.select("path", F.lit(0).cast("long").alias("length"), F.lit(None).cast("timestamp").alias("modificationTime"))
+
+
+def listing_columns(files: DataFrame, *extra: str) -> DataFrame:
+    fp = F.regexp_replace(F.col("path"), r"^file:/+", "/")
+    return files.select(
         fp.alias("file_path"),
         base_name(fp).alias("file_name"),
         infer_mime(fp).alias("mime_type"),
         F.col("length").cast("long").alias("size_bytes"),
         F.unix_millis(F.col("modificationTime")).alias("modified_ms"),
+        *extra,
     )
 
 
@@ -66,14 +84,6 @@ def admit(listing: DataFrame, max_image_bytes: int = R.MAX_IMAGE_BYTES) -> DataF
     return df.withColumn("message", msg).withColumn("error", F.col("message").isNotNull())
 
 
-def accepted(admitted: DataFrame) -> DataFrame:
-    return admitted.where(F.col("message").isNull())
-
-
-def rejected(admitted: DataFrame) -> DataFrame:
-    return admitted.where(F.col("message").isNotNull())
-
-
 def unresolved_requests(requests: DataFrame, listing: DataFrame, path: str = "file_path") -> DataFrame:
     """A3: requested paths absent from the listing, as failure rows ``(file_path, message)``.
 

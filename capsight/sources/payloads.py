@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from capsight.functions import rules as R
-from capsight.functions.text import js_trim, lit_array
+from capsight.functions.text import js_trim
 from capsight.operators.extract import empty
 
 
@@ -26,17 +26,21 @@ def _member(v: Column, path: str) -> Column:
 def read_ocr_payloads(df: DataFrame, payload: str = "payload", default_provider: str = "ocr") -> DataFrame:
     """A4: parse ``{provider, text, lines: [{text, score|confidence}]}`` payloads.
 
-    Missing or empty provider -> ``default_provider``; non-string ``text`` -> ``''``;
-    ``lines`` keeps the string ``text`` of each item and drops empty ones (blank but
+    ``provider`` stays the engine that was run (a column of ``df``; without one it is ``default_provider``) and is what
+    ``resolve_ocr`` ranks; ``reported_provider`` is the payload's own label (missing or empty: the provider).
+    Non-string ``text`` -> ``''``; ``lines`` keeps the string ``text`` of each item and drops empty ones (blank but
     non-empty lines stay); an unparsable payload becomes a failed attempt with a
     warning.  A payload without text and lines gets the "returned no text" warning.
-    Adds ``provider, text, lines, warnings``.
+    Adds ``provider, reported_provider, text, lines, warnings``.
     """
-    label = R.OCR_PROVIDER_LABEL.get(default_provider, default_provider)
+    ran = F.coalesce(F.col("provider"), F.lit(default_provider)) if "provider" in df.columns else F.lit(default_provider)
+    label = ran
+    for name, shown in R.OCR_PROVIDER_LABEL.items():
+        label = F.when(ran == name, shown).otherwise(label)
     v = F.try_parse_json(F.col(payload))
     prov = _member(v, "$.provider")
-    provider = F.when(_is_string(prov) & (F.try_variant_get(v, "$.provider", "string") != ""),
-                      F.try_variant_get(v, "$.provider", "string")).otherwise(F.lit(default_provider))
+    reported = F.when(_is_string(prov) & (F.try_variant_get(v, "$.provider", "string") != ""),
+                      F.try_variant_get(v, "$.provider", "string")).otherwise(ran)
     text_v = _member(v, "$.text")
     text = F.when(_is_string(text_v), F.try_variant_get(v, "$.text", "string")).otherwise(F.lit(""))
     items = F.coalesce(F.try_variant_get(v, "$.lines", "array<variant>"), F.array().cast("array<variant>"))
@@ -44,56 +48,43 @@ def read_ocr_payloads(df: DataFrame, payload: str = "payload", default_provider:
         F.transform(items, lambda it: F.when(_is_string(_member(it, "$.text")),
                                              F.try_variant_get(it, "$.text", "string")).otherwise(F.lit(""))),
         lambda s: F.length(s) > 0)
-    parsed = df.withColumn("_v", v)
+    parsed = df.withColumn("_v", v).withColumn("_label", label)
     bad = F.col("_v").isNull()
     out = parsed.withColumns({
-        "provider": F.when(bad, F.lit(default_provider)).otherwise(provider),
+        "provider": ran,
+        "reported_provider": F.when(bad, ran).otherwise(reported),
         "text": F.when(bad, F.lit("")).otherwise(text),
         "lines": F.when(bad, empty()).otherwise(lines),
     })
     no_text = (js_trim(F.col("text")) == "") & (F.size("lines") == 0)
-    warnings = (F.when(bad, lit_array((f"{label} failed: invalid JSON payload",)))
-                .when(no_text, lit_array((f"{label} returned no text",))).otherwise(empty()))
-    return out.withColumn("warnings", warnings).drop("_v")
+    warnings = (F.when(bad, F.array(F.concat(F.col("_label"), F.lit(" failed: invalid JSON payload"))))
+                .when(no_text, F.array(F.concat(F.col("_label"), F.lit(" returned no text")))).otherwise(empty()))
+    return out.withColumn("warnings", warnings).drop("_v", "_label")
 
 
-def _children_or_self(node: Column, max_depth: int) -> Column:
-    """One walk step: a container's children (one level deeper), or the node itself.
-
-    Array items keep their order; object members come in key order (the order a
-    Variant stores them in).  Containers at ``max_depth`` are kept as they are and
-    dropped later (only string leaves are returned).
-    """
-    v, depth, path = node["v"], node["depth"], node["path"]
+def _children_or_self(v: Column) -> Column:
+    """One walk step: a container's children in order, or the value itself."""
     items = F.try_variant_get(v, "$", "array<variant>")
     members = F.try_variant_get(v, "$", "map<string,variant>")
+    return F.when(items.isNotNull(), items).when(members.isNotNull(), F.map_values(members)).otherwise(F.array(v))
 
-    def child(x, i):
-        return F.struct((depth + 1).alias("depth"), F.array_append(path, i).alias("path"), x.alias("v"))
 
-    open_ = depth < max_depth
-    return (F.when(open_ & items.isNotNull(), F.transform(items, child))
-            .when(open_ & members.isNotNull(), F.transform(F.map_values(members), child))
-            .otherwise(F.array(node)))
+def message_leaves(message: Column, max_depth: int = R.MESSAGE_MAX_DEPTH) -> Column:
+    """All string leaves of a nested message in order, depth <= ``max_depth``, as one array.
 
-
-def message_chunks(messages: DataFrame, col: str = "message", max_depth: int = R.MESSAGE_MAX_DEPTH) -> DataFrame:
-    """A5: all string leaves of each nested message, depth <= ``max_depth``.
-
-    ``messages`` has ``conv_id, turn`` and a JSON column; output ``conv_id, turn,
-    chunk_pos, text`` where ``chunk_pos`` is the leaf's order inside the message.
-    The walk is ``max_depth`` unrolled expand steps (a chain of generators, no
-    recursion and no row limit); every step is a narrow operation.  Object
-    members come in key order (Variant stores them sorted); that only changes
-    the order of chunks inside one message.
+    Text that is no JSON document (plain text, JSON with a key twice) is one leaf, as it stands.  The walk replaces
+    containers by their children in place, ``max_depth`` times, inside the row: no generator, no window, no row limit.
+    Object members come in key order (Variant stores them sorted); containers below ``max_depth`` are left out.
     """
-    from pyspark.sql import Window
-    root = F.struct(F.lit(0).alias("depth"), F.array().cast("array<int>").alias("path"),
-                    F.try_parse_json(F.col(col)).alias("v"))
-    df = messages.select("conv_id", "turn", root.alias("n")).where(F.col("n.v").isNotNull())
+    root = F.try_parse_json(message)
+    nodes = F.array(root)
     for _ in range(int(max_depth)):
-        df = df.select("conv_id", "turn", F.explode(_children_or_self(F.col("n"), int(max_depth))).alias("n"))
-    leaves = df.where(F.coalesce(F.schema_of_variant(F.col("n.v")) == "STRING", F.lit(False)))
-    w = Window.partitionBy("conv_id", "turn").orderBy(F.col("n.path"))
-    return leaves.select("conv_id", "turn", (F.row_number().over(w) - 1).alias("chunk_pos"),
-                         F.try_variant_get(F.col("n.v"), "$", "string").alias("text"))
+        nodes = F.flatten(F.transform(nodes, _children_or_self))
+    texts = F.transform(nodes, lambda v: F.when(_is_string(v), F.try_variant_get(v, "$", "string")))
+    return F.when(message.isNull(), F.array().cast("array<string>")).when(root.isNull(), F.array(message)).otherwise(F.array_compact(texts))
+
+
+def message_chunks(messages: DataFrame, col: str = "message", max_depth: int = R.MESSAGE_MAX_DEPTH) -> DataFrame:
+    """A5: one row per string leaf: ``conv_id, turn, chunk_pos, text`` (``chunk_pos``: order inside the message); narrow."""
+    leaves = F.posexplode(message_leaves(F.col(col), max_depth)).alias("chunk_pos", "text")
+    return messages.select("conv_id", "turn", leaves)

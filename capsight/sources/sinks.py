@@ -6,31 +6,50 @@ id, write time and fingerprint; parquet, appended, partitioned by ``kind``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capsight.operators.incremental import to_store_rows
 
 
-def write_results(analyses: DataFrame, path: str, analyzed_ms=None, mode: str = "append") -> DataFrame:
-    """Append the successful rows of ``analyses`` (which must carry ``fingerprint``) to ``path``.
+def write_results(analyses: DataFrame, path: str, analyzed_ms=None) -> DataFrame:
+    """Append the successful rows of ``analyses`` (which must carry ``fingerprint``) to ``path``; returns the table.
 
-    Returns the rows as written (a fresh read of the table would return them too).
+    One row per fingerprint: repeats within the rows are dropped, and fingerprints that the table already holds are not
+    appended again, so a rerun or retry adds nothing.  Rows are dealt by ``kind`` and a few salts before the write, so a
+    kind has at most ``SALTS`` files per run.
     """
-    rows = to_store_rows(analyses, analyzed_ms)
-    rows.write.mode(mode).partitionBy("kind").parquet(path)
-    return rows
+    spark = analyses.sparkSession
+    rows = to_store_rows(analyses, analyzed_ms).dropDuplicates(["fingerprint"])
+    if (held := existing_results(spark, path)) is not None:
+        rows = rows.join(held.select("fingerprint"), "fingerprint", "left_anti")
+    salt = F.pmod(F.xxhash64("fingerprint"), F.lit(SALTS))
+    rows.repartition("kind", salt).write.mode("append").partitionBy("kind").parquet(path)
+    return read_results(spark, path)
+
+
+#: Files of one kind that a write leaves at most.
+SALTS = 16
+
+
+def existing_results(spark: SparkSession, path: str) -> DataFrame | None:
+    """The result table, or None where nothing has been written yet; any other error is raised."""
+    try:
+        return read_results(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def as_json(analyses: DataFrame, cols=None) -> DataFrame:
-    """The JSON form of analysis rows (one JSON object per row in column ``json``)."""
-    cols = cols or [c for c in analyses.columns]
-    return analyses.select(*[c for c in ("capture_id", "fingerprint") if c in analyses.columns],
-                           F.to_json(F.struct(*cols)).alias("json"))
+def as_json(cols: list[str]) -> Column:
+    """The JSON form of an analysis row (one object)."""
+    return F.to_json(F.struct(*cols))
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:

@@ -2,12 +2,12 @@
 
 * J1 ``stream_analyze``: the per-capture analysis is stateless, so it runs on a
   stream unchanged (same column expressions as the batch job).
-* J2 ``stream_dedupe``: a fingerprint is analysed once -
-  ``withWatermark`` + ``dropDuplicatesWithinWatermark`` keeps the state bounded.
-* J3 ``stream_context``: per conversation the last ``max_messages`` messages
-  live in ``applyInPandasWithState`` state (bounded per key); after every batch
-  the conversation's current media list is emitted with a sequence number.
-  The Python function only scans those few messages.
+* J2 ``dedupe_available_now``: a fingerprint is analysed once, whenever it arrives: every micro-batch is
+  de-duplicated and anti-joined with the fingerprints that earlier batches have written.  No watermark, no event time: a
+  capture with an old file time is as new as any other.
+* J3 ``stream_context``: media paths are extracted by column expressions before the state; per conversation the path lists
+  of the last ``max_messages`` messages live in ``applyInPandasWithState`` state (bounded per key, trimmed after every
+  chunk); after every batch the conversation's current media list is emitted with a sequence number, an empty list too.
 
 Sinks are parquet folders with checkpoints under the shared
 ``spark.checkpoint.dir`` (``capsight.session.scratch_path``); runs use the
@@ -16,15 +16,15 @@ Sinks are parquet folders with checkpoints under the shared
 
 from __future__ import annotations
 
-import re
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from capsight.functions import rules as R
-from capsight.functions.text import WS_CHARS
+from capsight.functions.text import js_trim
 from capsight.session import scratch_path
 
 
@@ -49,73 +49,93 @@ def stream_analyze(captures: DataFrame, **analysis_kw) -> DataFrame:
     return with_handoff(analyze(captures, **analysis_kw))
 
 
-def stream_dedupe(captures: DataFrame, delay: str = "1 hour", event_ms: str = "modified_ms") -> DataFrame:
-    """Drop captures whose fingerprint was already seen within the watermark delay."""
+def dedupe_available_now(captures: DataFrame, name: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> str:
+    """Run a stream of captures to completion; returns the folder of the de-duplicated rows.
+
+    Each batch writes its new fingerprints (after ``transform``, which must keep ``fingerprint``) to ``batch=<id>``,
+    replacing what an interrupted attempt of the same batch left, so a restart neither loses nor repeats a row.  The
+    anti-join reads the narrow fingerprint column of the other batches.
+    """
     from capsight.operators.incremental import with_fingerprint
+    spark = captures.sparkSession
     keyed = with_fingerprint(captures) if "fingerprint" not in captures.columns else captures
-    keyed = keyed.withColumn("event_time", F.timestamp_millis(F.col(event_ms)))
-    return keyed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["fingerprint"])
-
+    run = f"{name}-{uuid.uuid4().hex[:12]}"
+    out = scratch_path(spark, f"streams/{run}/out")
 
-# The media marker in Python syntax (ASCII-only case folding, JS whitespace class).
-_PY_WS = "[" + re.escape(WS_CHARS) + "]"
-_MEDIA_PY = re.compile(R.MEDIA_PATH_PATTERN.replace("(?i)", "").replace("{W}", _PY_WS), re.IGNORECASE | re.ASCII)
+    def store(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.dropDuplicates(["fingerprint"])
+        if batch_id:
+            seen = batch.sparkSession.read.parquet(*(f"{out}/batch={k}" for k in range(batch_id))).select("fingerprint")
+            rows = rows.join(seen, "fingerprint", "left_anti")
+        (transform(rows) if transform else rows).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-CONTEXT_STATE = "turns array<bigint>, texts array<string>, seq bigint"
-CONTEXT_OUTPUT = "conv_id bigint, seq bigint, media_pos int, file_path string"
+    q = (keyed.writeStream.foreachBatch(store).option("checkpointLocation", scratch_path(spark, f"streams/{run}/checkpoint"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return out
 
 
-def _recent_paths(texts_newest_first, max_images: int) -> list[str]:
-    seen, paths = set(), []
-    for text in texts_newest_first:
-        for m in _MEDIA_PY.finditer(text or ""):
-            p = m.group(1).strip(WS_CHARS)
-            if not p or p in seen:
-                continue
-            seen.add(p)
-            paths.append(p)
-            if len(paths) >= max_images:
-                return paths[::-1]
-    return paths[::-1]
+CONTEXT_STATE = "turns array<bigint>, paths array<string>, seq bigint"
+CONTEXT_OUTPUT = "conv_id bigint, seq bigint, paths array<string>"
 
 
 def stream_context(messages: DataFrame, max_messages: int = R.MAX_RECENT_MESSAGES,
                    max_images: int = R.MAX_IMAGE_COUNT, idle_timeout: str | None = None) -> DataFrame:
-    """``conv_id, seq, media_pos, file_path`` after every batch of each conversation.
+    """``conv_id, seq, paths`` after every batch of each conversation: its current media list, oldest first.
 
-    ``seq`` counts the messages the conversation has seen; the rows with the
-    highest ``seq`` are its current media list (H1 at the latest turn).
+    ``seq`` counts the messages the conversation has seen; the row with the highest ``seq`` is its current list (H1 at
+    the latest turn), empty once no recent message names a medium.  Messages may arrive in any order.
     """
     import pandas as pd
 
+    from capsight.operators.context import mention_paths
+
+    def current(newest_first) -> list[str]:
+        seen: list[str] = []
+        for joined in newest_first:
+            for path in joined.split("\n") if joined else ():
+                if path not in seen:
+                    seen.append(path)
+                    if len(seen) == max_images:
+                        return seen[::-1]
+        return seen[::-1]
+
     def update(key, batches, state):
         if state.hasTimedOut:
             state.remove()
             return
-        turns, texts, seq = (list(state.get[0]), list(state.get[1]), state.get[2]) if state.exists else ([], [], 0)
+        kept, seq = (list(zip(state.get[0], state.get[1])), state.get[2]) if state.exists else ([], 0)
         for pdf in batches:
-            turns += [int(t) for t in pdf["turn"]]
-            texts += [t if isinstance(t, str) else "" for t in pdf["text"]]
+            kept = sorted([*kept, *zip(pdf["turn"].tolist(), pdf["paths"].tolist())], key=lambda x: x[0])[-max_messages:]
             seq += len(pdf)
-        order = sorted(range(len(turns)), key=lambda i: turns[i])[-max_messages:]
-        turns, texts = [turns[i] for i in order], [texts[i] for i in order]
-        state.update((turns, texts, seq))
+        state.update(([int(t) for t, _ in kept], [p for _, p in kept], seq))
         if idle_timeout:
             state.setTimeoutDuration(idle_timeout)
-        paths = _recent_paths(texts[::-1], max_images)
-        yield pd.DataFrame({"conv_id": [key[0]] * len(paths), "seq": [seq] * len(paths),
-                            "media_pos": list(range(1, len(paths) + 1)), "file_path": paths})
+        yield pd.DataFrame({"conv_id": [key[0]], "seq": [seq], "paths": [current(p for _, p in reversed(kept))]})
 
     timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_timeout else GroupStateTimeout.NoTimeout
-    return (messages.select("conv_id", "turn", "text").groupBy("conv_id")
+    named = F.filter(F.transform(mention_paths(F.col("text")), js_trim), lambda p: p != "")  # a path holds no line break
+    return (messages.select("conv_id", "turn", F.array_join(named, "\n").alias("paths")).groupBy("conv_id")
             .applyInPandasWithState(update, CONTEXT_OUTPUT, CONTEXT_STATE, "append", timeout))
 
 
 def latest_context(emitted: DataFrame) -> DataFrame:
-    """The current media list per conversation from ``stream_context`` output."""
-    w = Window.partitionBy("conv_id")
-    return (emitted.withColumn("_last", F.max("seq").over(w)).where(F.col("seq") == F.col("_last"))
-            .select("conv_id", "media_pos", "file_path"))
+    """The current media list per conversation from ``stream_context`` output: ``conv_id, media_pos, file_path``."""
+    last = emitted.groupBy("conv_id").agg(F.max_by("paths", "seq").alias("paths"))
+    return last.select("conv_id", F.posexplode("paths").alias("p", "file_path")).select("conv_id", (F.col("p") + 1).cast("int").alias("media_pos"), "file_path")
+
+
+def arriving(rows: DataFrame, name: str, batches: int = 3) -> DataFrame:
+    """``rows`` as a stream of at least ``batches`` micro-batches, dealt by a hash, so out of any order."""
+    spark = rows.sparkSession
+    folder = scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:12]}/source")
+    deal = F.pmod(F.xxhash64(*rows.columns), F.lit(batches))
+    for k in range(batches):
+        rows.where(deal == k).write.mode("append").parquet(folder)
+    files = len(spark.read.parquet(folder).inputFiles())
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, files // batches)).parquet(folder)
 
 
 def file_stream(spark: SparkSession, folder: str, like: DataFrame, glob: str | None = None) -> DataFrame:

@@ -1,5 +1,5 @@
-"""G1-G5 on small hand-made groups, and chunked merging equal to a single chunk."""
-from capsight.operators.compare import compare_groups, render_compare
+"""G1-G5 on small hand-made groups, and hot groups with ties and gaps against brute force."""
+from capsight.operators.compare import compare_groups, compared_members, render_compare, with_member_lists
 from tests.conftest import capture_rows
 
 
@@ -9,13 +9,18 @@ def handoffs(spark, rows):
     return with_handoff(analyze(capture_rows(spark, rows)))
 
 
+def whole(df):
+    """Comparisons with their members' lists."""
+    return with_member_lists(compare_groups(df), compared_members(df))
+
+
 def test_same_kind_group_shares_entities_and_tags(spark):
     df = handoffs(spark, [
         {"file_name": "r1.png", "group_id": 1, "pos": 0, "ocr_text": "合计 10\n实付 10"},
         {"file_name": "r2.png", "group_id": 1, "pos": 1, "ocr_text": "合计 20\n实付 20"},
         {"file_name": "solo.png", "group_id": 2, "pos": 0},
     ])
-    out = compare_groups(df).collect()
+    out = whole(df).collect()
     assert len(out) == 1  # a group of one is not a comparison
     g = out[0]
     assert g.summary == "Compared 2 images of the same kind: receipt_or_invoice."
@@ -24,7 +29,8 @@ def test_same_kind_group_shares_entities_and_tags(spark):
     assert g.similarities[0] == "all images classified as receipt_or_invoice"
     assert g.differences == ["titles differ: receipt_or_invoice:10 vs receipt_or_invoice:20"]
     assert g.save_recommendation == "knowledge"
-    assert g.compared == "r1.png:receipt_or_invoice | r2.png:receipt_or_invoice"
+    assert [tuple(x) for x in g.compared] == [("r1.png", "receipt_or_invoice", "receipt_or_invoice:10"),
+                                              ("r2.png", "receipt_or_invoice", "receipt_or_invoice:20")]
 
 
 def test_mixed_group_differences_and_recommendation(spark):
@@ -32,13 +38,13 @@ def test_mixed_group_differences_and_recommendation(spark):
         {"file_name": "chat.png", "group_id": 7, "pos": 1, "ocr_text": "Alice\nBob"},
         {"file_name": "IMG.png", "group_id": 7, "pos": 0},
     ])
-    g = compare_groups(df).collect()[0]
+    g = whole(df).collect()[0]
     assert g.kinds == ["photo_scene", "chat_screenshot"]
     assert g.summary == "Compared 2 images across kinds: photo_scene, chat_screenshot."
     assert g.differences[0] == "kind mismatch: photo_scene vs chat_screenshot"
     assert g.differences[2] == "save targets differ: none vs memory"
     assert g.save_recommendation == "memory"
-    block = compare_groups(df).select(render_compare().alias("b")).collect()[0].b
+    block = whole(df).select(render_compare().alias("b")).collect()[0].b
     assert block.split("\n")[2] == "SameKind: false"
 
 
@@ -48,24 +54,27 @@ def test_all_failed_group(spark):
     from capsight.sources.listing import admit
     caps = capture_rows(spark, [{"file_name": "a.bin", "group_id": 3, "pos": 0},
                                 {"file_name": "b.bin", "group_id": 3, "pos": 1}])
-    g = compare_groups(with_handoff(analyze(admit(caps)))).collect()[0]
+    g = whole(with_handoff(analyze(admit(caps)))).collect()[0]
     assert g.same_kind and g.kinds == ["mixed_unknown"] and g.save_recommendation == "none"
-    assert g.compared == ":mixed_unknown | :mixed_unknown" and g.differences == []
+    assert [tuple(x) for x in g.compared] == [("", "mixed_unknown", "")] * 2 and g.differences == []
 
 
-def test_chunked_merge_equals_single_chunk(spark):
-    from capsight.plans.queries import analysis_job
-    an = analysis_job(spark, "/root/testdata/sf0.001")
-    a = sorted(tuple(r) for r in compare_groups(an, chunk_size=1).collect())
-    b = sorted(tuple(r) for r in compare_groups(an, chunk_size=1024).collect())
-    assert a == b and len(a) > 10
+def test_tied_positions_count_every_member(spark):
+    """A group with one position for all: facts do not depend on it, nothing is collected for them."""
+    from pyspark.sql import functions as F
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") + 10).alias("group_id"), F.lit(0).alias("pos"), F.lit("photo_scene").alias("kind"),
+        F.concat(F.lit("t"), F.col("id").cast("string")).alias("title"), F.lit("none").alias("save_target"), F.lit("f").alias("file_name"),
+        F.array(F.lit("both"), F.concat(F.lit("e"), F.col("id").cast("string"))).alias("entities"), F.array(F.lit("x")).alias("tags"))
+    out = compare_groups(rows.repartition(6)).collect()
+    assert len(out) == 1 and out[0].n_members == 20_000
+    assert out[0].shared_entities == ["both"] and out[0].shared_tags == ["x"] and out[0].differs_in == ["title"]
 
 
-def test_compare_plan_has_no_join(spark):
+def test_facts_collect_no_member(spark):
     from capsight.plans.queries import analysis_job
-    plan = compare_groups(analysis_job(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
-    head = plan.split("SortMergeJoin")[0]
-    assert "BroadcastHashJoin" not in head.split("ObjectHashAggregate")[0]
+    plan = compare_groups(analysis_job(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "file_name" not in plan.split("Generate")[0]
 
 
 def _brute_force(members):
@@ -89,17 +98,17 @@ def _brute_force(members):
         diffs.append("save targets differ: " + " vs ".join(targets))
     rec = "knowledge" if "knowledge" in targets else "memory" if "memory" in targets else "none"
     return (len(members), same, uniq_kinds, inter("entities"), inter("tags"), diffs, rec,
-            " | ".join(f"{m['file_name']}:{m['kind']}" for m in members))
+            [(m["file_name"], m["kind"], m["title"]) for m in members])
 
 
 def test_hot_group_matches_brute_force(spark):
-    """A third of all captures in one group, compared in chunks of 16 positions."""
+    """A third of all captures in one group, with sparse positions."""
     from pyspark.sql import functions as F
     from capsight.plans.queries import analysis_job
     an = analysis_job(spark, "/root/testdata/sf0.01")
     hot = an.withColumn("group_id", F.when(F.col("capture_id") % 3 == 0, F.lit(-7)).otherwise(F.col("group_id"))) \
             .withColumn("pos", F.when(F.col("capture_id") % 3 == 0, F.col("capture_id").cast("int")).otherwise(F.col("pos")))
-    got = {r.group_id: r for r in compare_groups(hot, chunk_size=16).collect()}
+    got = {r.group_id: r for r in whole(hot).collect()}
     rows = hot.select("group_id", "pos", "kind", "title", "save_target", F.col("source.file_name").alias("file_name"),
                       "entities", "tags").collect()
     groups = {}
@@ -110,4 +119,4 @@ def test_hot_group_matches_brute_force(spark):
     for g, w in want.items():
         r = got[g]
         assert (r.n_members, r.same_kind, r.kinds, r.shared_entities, r.shared_tags, r.differences,
-                r.save_recommendation, r.compared) == w, g
+                r.save_recommendation, [tuple(x) for x in r.compared]) == w, g

@@ -1,4 +1,6 @@
 """H1-H4: recent media scan order, dedupe, cap, per-turn view, context text."""
+import re
+
 from capsight.operators.context import (
     conversation_context, context_timeout_ms, media_mentions, recent_media, recent_media_by_turn,
 )
@@ -75,7 +77,6 @@ def test_hot_conversation_matches_brute_force(spark):
     """A third of all messages in one conversation (spread over many partitions)."""
     from pyspark.sql import functions as F
     from capsight.sources import fixtures as fx
-    from capsight.streaming.jobs import _recent_paths
     msgs_df = fx.messages(spark, "/root/testdata/sf0.01")
     hot = msgs_df.withColumn("turn", F.when(F.col("conv_id") % 3 == 0, F.col("conv_id") * 100 + F.col("turn"))
                              .otherwise(F.col("turn"))) \
@@ -88,7 +89,8 @@ def test_hot_conversation_matches_brute_force(spark):
     want = {}
     for c, ms in convs.items():
         last = [t for _, t in sorted(ms)][-8:]
-        paths = _recent_paths(last[::-1], 4)
+        seen = list(dict.fromkeys(p for t in last[::-1] for p in MEDIA.findall(t)))
+        paths = seen[:4][::-1]
         if paths:
             want[(c,)] = paths
     assert got == want and len(convs[-1]) > 100
@@ -111,16 +113,45 @@ def test_context_entries_status(spark):
 
 def test_nested_messages_scan_each_string_on_its_own(spark):
     import json
-    from capsight.sources.payloads import message_chunks
     msgs_json = [(1, 0, json.dumps({"a": "[media attached:", "b": "/split.png | x"})),
                  (1, 1, json.dumps({"content": [{"text": M.format("/a.png")}, {"text": M.format("/b.png")}]}))]
     df = spark.createDataFrame(msgs_json, "conv_id long, turn long, message string")
-    assert listed(recent_media(message_chunks(df)), "conv_id") == {(1,): ["/b.png", "/a.png"]}
+    assert listed(recent_media(df, nested="message"), "conv_id") == {(1,): ["/b.png", "/a.png"]}
 
 
 def test_by_turn_renumbers_gapped_turns(spark):
     rows = [(1, t * 10, "user", M.format(f"/g{t % 3}.png")) for t in range(6)]
-    got = listed(recent_media_by_turn(msgs(spark, rows), 2, 4, renumber=True), "conv_id", "turn")
+    got = listed(recent_media_by_turn(msgs(spark, rows), 2, 4), "conv_id", "turn")
     for t in range(6):
         sub = msgs(spark, [r for r in rows if r[1] <= t * 10])
         assert got.get((1, t * 10)) == listed(recent_media(sub, 2, 4), "conv_id").get((1,))
+
+
+# the marker, spelled out a second time
+MEDIA = re.compile(r"\[media attached:\s*([^\n|]+?[.](?:png|jpe?g|webp|gif|heic|heif|bmp|tiff?|avif|svg))(?:\s*\([^)]+\))?\s*\|", re.IGNORECASE)
+
+
+def test_messages_without_text_take_their_place(spark):
+    """One media message, then nine with numbers only: it has scrolled out; plain text and JSON with a key twice count as text."""
+    import json
+    rows = [(1, 0, json.dumps({"text": M.format("/old.png")}))] + [(1, t, json.dumps({"n": t})) for t in range(1, 10)]
+    rows += [(2, 0, M.format("/plain.png")), (3, 0, '{"a": 1, "a": "' + M.format("/twice.png") + '"}'), (4, 0, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, message string")
+    assert listed(recent_media(df, nested="message"), "conv_id") == {(2,): ["/plain.png"], (3,): ["/twice.png"]}
+
+
+def test_positions_split_ranges(spark):
+    from pyspark.sql import functions as F
+    from capsight.operators.context import with_positions
+    rows = spark.range(9000).select(F.lit(1).alias("conv_id"), (F.col("id") * 7 + 3).alias("turn"), F.lit("x").alias("text")).repartition(5)
+    got = with_positions(rows).orderBy("turn").select("position").collect()
+    assert [r.position for r in got] == list(range(9000))
+
+
+def test_entries_without_attempts_and_with_two_captures_on_one_path(spark):
+    from capsight.operators.context import context_entries
+    from tests.conftest import capture_rows
+    caps = capture_rows(spark, [{"file_name": "r.png", "ocr_text": "合计 1\n实付 1", "modified_ms": 1}, {"file_name": "r.png", "ocr_text": "合计 2\n实付 2", "modified_ms": 2}])
+    media = spark.createDataFrame([(1, 1, "/img/r.png"), (2, 1, "/img/r.png"), (2, 2, "/img/gone.png")], "conv_id long, media_pos int, file_path string")
+    out = sorted((r.conv_id, r.media_pos, r.status, "amount=2" in r.entry) for r in context_entries(media, caps, None).collect())
+    assert out == [(1, 1, "ok", True), (2, 1, "ok", True), (2, 2, "analysis_failed", False)]

@@ -27,10 +27,12 @@ def test_incremental_analyses_only_new_and_retries_failures(spark):
     assert new2.count() == 0
 
 
-def test_same_run_duplicates_once(spark):
+def test_requests_with_one_fingerprint_all_get_a_row(spark):
     caps = capture_rows(spark, [{"file_name": "a.png", "modified_ms": 5}, {"file_name": "a.png", "modified_ms": 5}])
-    res, _ = analyze_incremental(caps, None, None)
-    assert res.count() == 1
+    res, new = analyze_incremental(caps, None, None)
+    assert sorted(r.capture_id for r in res.collect()) == [0, 1] and new.count() == 1
+    again, none = analyze_incremental(caps, None, to_store_rows(new, F.lit(1)))
+    assert {(r.capture_id, r.from_store) for r in again.collect()} == {(0, True), (1, True)} and none.count() == 0
 
 
 def test_retain_newest(spark):

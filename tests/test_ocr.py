@@ -74,20 +74,30 @@ def test_merge_warnings(spark):
     assert r["all"] == ["a", "b", "c", "d", "e", "f"] and r["five"] == ["a", "b", "c", "d", "e"]
 
 
-def test_resolve_plan_has_one_exchange(spark):
+def test_fold_holds_no_text(spark):
     df = spark.createDataFrame([(1, "paddleocr", 5, "x", [], [])], SCHEMA)
-    plan = resolve_ocr(df)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "Join" not in plan
+    plan = resolve_ocr(df.repartition(3))._jdf.queryExecution().optimizedPlan().toString()
+    fold = next(line for line in plan.split("\n") if "Aggregate [capture_id" in line and "collect_set" in line)
+    assert "_has_text" in fold and " text#" not in fold.split("collect_set(")[1].split(") AS ")[0]
 
 
-def test_hot_capture_with_many_attempts_keeps_one_per_provider(spark):
+def test_hot_capture_keeps_every_attempt(spark):
     rows = [(9, "macos_vision", 5000 + i, "", [], [f"retry {i}"]) for i in range(3000)]
     rows += [(9, "paddleocr", 900 + i, f"text {i}", [], []) for i in range(3000)]
     rows += [(1, "paddleocr", 10, "x", [], [])]
     df = spark.createDataFrame(rows, SCHEMA).repartition(6)
     out = {r.capture_id: r for r in resolve_ocr(df, timeout_ms=None).collect()}
     assert out[9].ocr_provider == "paddleocr" and out[9].ocr_text == "text 0"
-    assert out[9].ocr_warnings == ["retry 0"] and out[1].ocr_text == "x"
+    assert out[9].ocr_warnings == [f"retry {i}" for i in range(3000)] and out[1].ocr_text == "x"
+
+
+def test_retry_of_one_provider_wins(spark):
+    rows = [(1, "paddleocr", 100, "", [], ["failed"]), (1, "paddleocr", 5000, "good", [], [])] * 2
+    out = {r.capture_id: r for r in resolve_ocr(spark.createDataFrame(rows, SCHEMA), timeout_ms=None).collect()}
+    assert out[1].ocr_text == "good" and out[1].ocr_warnings == ["failed"]
+    numbered = spark.createDataFrame([(1, "paddleocr", 1, 10, "second", [], []), (1, "paddleocr", 0, 900, "first", [], [])],
+                                     "capture_id long, provider string, attempt_no int, elapsed_ms long, text string, lines array<string>, warnings array<string>")
+    assert resolve_ocr(numbered, timeout_ms=None).first().ocr_text == "first"
 
 
 def test_extract_text_errors_become_warnings_and_factory_runs_per_task(spark):
@@ -118,5 +128,5 @@ def test_bucketed_attempts_fold_without_shuffle(spark):
     table = write_bucketed(att, "capsight_test_attempts", "capture_id", 4, path)
     folded = resolve_ocr(table, timeout_ms=5000)
     plan = folded._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+    assert "Exchange hashpartitioning" not in plan
     assert folded.count() == 200

@@ -14,14 +14,14 @@ def test_listing_and_admission_on_files(spark):
             f.write(b"x" * size)
     listing = image_listing(spark, d)
     rows = {r.file_name: r for r in admit(listing, max_image_bytes=8).collect()}
-    # zero-byte files are not reported by the binary-file source
-    assert set(rows) == {"a.png", "b.JPG", "notes.bin"}
+    assert set(rows) == {"a.png", "b.JPG", "notes.bin", "empty.png"}
+    assert rows["empty.png"].message.startswith("Image file is empty (0 bytes): ") and rows["empty.png"].size_bytes == 0
     assert rows["a.png"].message == f"image too large: 10 bytes > 8"
     assert rows["b.JPG"].message is None and rows["b.JPG"].mime_type == "image/jpeg"
     assert rows["notes.bin"].message.startswith("unsupported image type: ")
-    req = spark.createDataFrame([(os.path.join(d, "empty.png"),), (os.path.join(d, "a.png"),)], "file_path string")
+    req = spark.createDataFrame([(os.path.join(d, "gone.png"),), (os.path.join(d, "a.png"),)], "file_path string")
     miss = unresolved_requests(req, listing).collect()
-    assert [r.file_path for r in miss] == [os.path.join(d, "empty.png")]
+    assert [r.file_path for r in miss] == [os.path.join(d, "gone.png")]
     assert miss[0].message.startswith("file not found: ")
 
 
@@ -39,7 +39,7 @@ def test_ocr_payloads(spark):
     ]
     df = spark.createDataFrame(rows, "id long, payload string")
     out = {r.id: r for r in read_ocr_payloads(df, default_provider="macos_vision").collect()}
-    assert out[1].provider == "paddleocr" and out[1].text == "a\nb" and out[1].lines == ["a", " "]
+    assert (out[1].provider, out[1].reported_provider) == ("macos_vision", "paddleocr") and out[1].text == "a\nb" and out[1].lines == ["a", " "]
     assert out[2].provider == "macos_vision" and out[2].text == "" and out[2].lines == []
     assert out[2].warnings == ["macOS Vision OCR returned no text"]
     assert out[3].warnings == ["macOS Vision OCR failed: invalid JSON payload"]

@@ -42,3 +42,28 @@ def test_stream_context_state_carries_across_batches(spark):
     a = rows(latest_context(emitted).select("conv_id", "media_pos", "file_path"))
     b = rows(QUERIES["h1_recent_media"](spark, SF).select("conv_id", "media_pos", "file_path"))
     assert a == b
+
+
+def test_old_file_times_are_not_lost(spark):
+    """Distinct captures in several batches, one with a year-old time, all come out; copies once."""
+    from capsight.streaming.jobs import arriving, dedupe_available_now
+    from tests.conftest import capture_rows
+    caps = capture_rows(spark, [{"file_name": f"p{i}.png", "modified_ms": 1_700_000_000_000 - i * 10 ** 10} for i in range(9)])
+    twice = caps.unionByName(caps)
+    out = spark.read.parquet(dedupe_available_now(arriving(twice, "old", 4), "old"))
+    assert sorted(r.file_name for r in out.collect()) == [f"p{i}.png" for i in range(9)]
+
+
+def test_window_that_scrolls_out_is_empty(spark):
+    """A media message, then nine plain ones in later batches: nothing is current."""
+    import os
+    import tempfile
+    from capsight.streaming.jobs import latest_context, run_available_now, stream_context
+    schema = "conv_id long, turn long, role string, text string"
+    d = tempfile.mkdtemp(prefix="capsight-stream-")
+    batches = [[(1, 0, "u", "[media attached: /old.png | x]")], [(1, t, "u", "plain") for t in range(1, 6)], [(1, t, "u", "plain") for t in range(6, 10)]]
+    for k, rows_ in enumerate(batches):
+        spark.createDataFrame(rows_, schema).coalesce(1).write.parquet(os.path.join(d, f"part={k}"))
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(d))
+    emitted = spark.read.parquet(run_available_now(stream_context(stream), "scrolled"))
+    assert emitted.count() >= 2 and latest_context(emitted).count() == 0
