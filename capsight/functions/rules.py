@@ -150,8 +150,15 @@ HANDOFF_SCHEMA = "capture/handoff@v1"
 COMPARE_SCHEMA = "capture/compare@v1"
 ANALYSIS_SCHEMA = "capture/analysis@v1"
 
-# --- end of fixed values ----------------------------------------------------
-
+# Thresholds of the text kinds.
 RECEIPT_LIKE_MIN = 2
 CHART_LIKE_MIN = 2
 CHAT_WORDS_MIN = 2
+CHAT_CLOCK_LINES_MIN = 1
+CHAT_SPEAKER_LINES_MIN = 2
+DOC_NUMBERED_LINES_MIN = 2
+DOC_INSTRUCTIONS = (4, 3)  # lines, instruction lines
+DOC_LONG_LINE = (5, 20)  # lines, characters of a long line
+DOC_JOINED = (4, 40)  # lines, characters of all
+
+# --- end of fixed values ----------------------------------------------------

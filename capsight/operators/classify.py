@@ -85,7 +85,7 @@ def text_signal_columns(full: Column, lines: Column) -> dict[str, Column]:
         "n_numbered_lines": count_lines(lines, lambda l: l.rlike(rx("numbered"))),
         "n_instruction_lines": count_lines(lines, lambda l: l.rlike(rx("instruction"))),
         "has_heading": F.exists(lines, lambda l: l.rlike(rx("heading"))),
-        "has_long_line": F.exists(lines, lambda l: F.length(l) >= 20),
+        "has_long_line": F.exists(lines, lambda l: F.length(l) >= R.DOC_LONG_LINE[1]),
         "joined_length": F.length(F.array_join(lines, "")),
     }
 
@@ -94,15 +94,15 @@ def text_kind_column() -> Column:
     """C4: receipt > chat > chart > document priority over the C3 columns."""
     c = F.col
     receipt = c("n_receipt_words") >= R.RECEIPT_LIKE_MIN
-    chat = (c("n_clock_lines") >= 1) | (c("n_speaker_lines") >= 2) | (c("n_chat_words") >= R.CHAT_WORDS_MIN)
+    chat = (c("n_clock_lines") >= R.CHAT_CLOCK_LINES_MIN) | (c("n_speaker_lines") >= R.CHAT_SPEAKER_LINES_MIN) | (c("n_chat_words") >= R.CHAT_WORDS_MIN)
     chart = c("n_chart_words") >= R.CHART_LIKE_MIN
     doc_words = c("n_doc_words") >= 1
     document = (
         c("has_heading")
-        | (c("n_numbered_lines") >= 2)
-        | ((c("n_lines") >= 4) & (c("n_instruction_lines") >= 3))
-        | ((c("n_lines") >= 5) & c("has_long_line") & doc_words)
-        | ((c("n_lines") >= 4) & (c("joined_length") >= 40) & doc_words)
+        | (c("n_numbered_lines") >= R.DOC_NUMBERED_LINES_MIN)
+        | ((c("n_lines") >= R.DOC_INSTRUCTIONS[0]) & (c("n_instruction_lines") >= R.DOC_INSTRUCTIONS[1]))
+        | ((c("n_lines") >= R.DOC_LONG_LINE[0]) & c("has_long_line") & doc_words)
+        | ((c("n_lines") >= R.DOC_JOINED[0]) & (c("joined_length") >= R.DOC_JOINED[1]) & doc_words)
     )
     return (F.when(c("_text_blank"), F.lit(None).cast("string"))
             .when(receipt, R.RECEIPT).when(chat, R.CHAT).when(chart, R.CHART)

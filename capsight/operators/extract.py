@@ -112,8 +112,13 @@ def chart_hints(kind: Column, text: Column) -> Column:
     return F.when(kind == R.CHART, hints).otherwise(empty())
 
 
-def table_preview(kind: Column, lines: Column) -> Column:
-    """Trimmed tabular or receipt-like lines, first five, then de-duplicated."""
+def first(values: Column, limit: int | None) -> Column:
+    """The first ``limit`` values; all for None."""
+    return values if limit is None else F.slice(values, 1, limit)
+
+
+def table_preview(kind: Column, lines: Column, limit: int | None = R.TABLE_PREVIEW_MAX) -> Column:
+    """Trimmed tabular or receipt-like lines, first five (``limit``), then de-duplicated."""
     cand = F.filter(
         F.transform(lines, js_trim),
         lambda l: (l != "") & (
@@ -121,34 +126,38 @@ def table_preview(kind: Column, lines: Column) -> Column:
             | (l.rlike(rx("ends_with_number")) & l.rlike(rx("han_or_latin"))))
     )
     wanted = kind.isin(R.DOCUMENT, R.RECEIPT, R.CHART)
-    return F.when(wanted, unique(F.slice(cand, 1, R.TABLE_PREVIEW_MAX))).otherwise(empty())
+    return F.when(wanted, unique(first(cand, limit))).otherwise(empty())
 
 
-def chart_signals(kind: Column, text: Column) -> Column:
-    """Every metric (upper-cased), first 4 percents, first 4 periods, de-duplicated."""
+def chart_signals(kind: Column, text: Column, max_percents: int | None = R.CHART_PERCENTS_MAX,
+                  max_periods: int | None = R.CHART_PERIODS_MAX) -> Column:
+    """Every metric (upper-cased), first 4 percents, first 4 periods (or as given), de-duplicated."""
     def tagged(prefix, arr):
         return F.transform(arr, lambda m: F.concat(F.lit(prefix), m))
 
     metrics = F.transform(extract_all(text, "metric"), lambda m: F.concat(F.lit("metric:"), F.upper(m)))
-    percents = tagged("percent:", F.slice(extract_all(text, "percent"), 1, R.CHART_PERCENTS_MAX))
-    periods = tagged("period:", F.slice(extract_all(text, "period"), 1, R.CHART_PERIODS_MAX))
+    percents = tagged("percent:", first(extract_all(text, "percent"), max_percents))
+    periods = tagged("period:", first(extract_all(text, "period"), max_periods))
     return F.when(kind == R.CHART, unique(F.concat(metrics, percents, periods))).otherwise(empty())
 
 
-def heuristic_summary(file_name: Column, kind: Column, reasons: Column, text: Column) -> Column:
-    """Name, kind, first reason and the OCR lead (whitespace collapsed, 140 max)."""
+def heuristic_summary(file_name: Column, kind: Column, reasons: Column, text: Column, max_lead: int | None = R.OCR_LEAD_MAX) -> Column:
+    """Name, kind, first reason and the OCR lead (whitespace collapsed, 140 characters at most, or as given)."""
     reason = F.coalesce(F.get(reasons, 0), F.lit("generic image heuristics"))
     base = F.concat(F.lit("Image "), file_name, F.lit(" appears to be "), kind,
                     F.lit(" based on "), reason, F.lit("."))
-    lead = cut(js_trim(F.regexp_replace(text, rx("ws_run"), " ")), R.OCR_LEAD_MAX, R.OCR_LEAD_CUT)
+    lead = js_trim(F.regexp_replace(text, rx("ws_run"), " "))
+    if max_lead is not None:
+        lead = cut(lead, max_lead, max(0, max_lead - (R.OCR_LEAD_MAX - R.OCR_LEAD_CUT)))
     return F.when(lead != "", F.concat(base, F.lit(" OCR suggests: "), lead)).otherwise(base)
 
 
 def extraction_columns(kind: Column, reasons: Column, file_name: Column, text: Column,
-                       lines: Column) -> dict[str, Column]:
-    """D1-D9 as one dict of columns (the heuristic vision result)."""
+                       lines: Column, max_preview: int | None = R.TABLE_PREVIEW_MAX, max_percents: int | None = R.CHART_PERCENTS_MAX,
+                       max_periods: int | None = R.CHART_PERIODS_MAX, max_lead: int | None = R.OCR_LEAD_MAX) -> dict[str, Column]:
+    """D1-D9 as one dict of columns (the heuristic vision result); None lifts a limit."""
     return {
-        "vision_summary": heuristic_summary(file_name, kind, reasons, text),
+        "vision_summary": heuristic_summary(file_name, kind, reasons, text, max_lead),
         "entities": entities(kind, text, lines),
         "ui_elements": ui_elements(kind),
         "risk_flags": risk_flags(kind, text),
@@ -156,7 +165,7 @@ def extraction_columns(kind: Column, reasons: Column, file_name: Column, text: C
         "layout_hints": layout_hints(kind, lines),
         "table_hints": table_hints(kind, lines),
         "chart_hints": chart_hints(kind, text),
-        "table_preview": table_preview(kind, lines),
-        "chart_signals": chart_signals(kind, text),
+        "table_preview": table_preview(kind, lines, max_preview),
+        "chart_signals": chart_signals(kind, text, max_percents, max_periods),
         "vision_warnings": empty(),
     }

@@ -91,3 +91,19 @@ def test_summary_lead_collapses_whitespace_and_cuts_at_140(spark):
     lead = r["vision_summary"].split("OCR suggests: ")[1]
     assert lead.startswith("a b x") and len(lead) == 140 and lead.endswith("...")
     assert run(spark, "photo_scene", "  ")["vision_summary"] == "Image f.png appears to be photo_scene based on why."
+
+
+def test_limits_can_be_changed_and_lifted(spark):
+    from pyspark.sql import functions as F
+    from capsight.operators.extract import extraction_columns
+    lines = [f"Item {i}.0" for i in range(9)] + [" ".join(f"{i}%" for i in range(10, 19))] + ["x" * 300]
+    df = spark.createDataFrame([("chart_or_dashboard", ["r"], "f.png", "\n".join(lines), lines)], "k string, r array<string>, f string, t string, l array<string>")
+
+    def run(**limits):
+        cols = extraction_columns(F.col("k"), F.col("r"), F.col("f"), F.col("t"), F.col("l"), **limits)
+        row = df.select(*[cols[c].alias(c) for c in ("table_preview", "chart_signals", "vision_summary")]).first()
+        return len(row.table_preview), len(row.chart_signals), len(row.vision_summary.split("OCR suggests: ")[1])
+    assert run() == (5, 4, 140)
+    assert run(max_preview=2, max_percents=1, max_lead=30) == (2, 1, 30)
+    preview, signals, lead = run(max_preview=None, max_percents=None, max_periods=None, max_lead=None)
+    assert preview >= 9 and signals == 9 and lead == len(" ".join(lines))
