@@ -42,16 +42,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster it must be set: a machine-local folder would be lost with its machine.
     Only a local master without one (runs on one machine, tests) gets a fresh scratch folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None:
+        if not named and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        current = tempfile.mkdtemp(prefix="capsight-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
-    return current
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="capsight-ckpt-"))
+    return named or context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
