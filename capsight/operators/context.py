@@ -11,8 +11,8 @@ Plans:
   ``conv_id`` partitioning (no second shuffle).
 * H2 ``recent_media_by_turn``: messages are numbered in their true order (counts per range of turns, running
   offsets over ranges, row numbers inside a range, so a hot conversation is split); every mention is copied to the
-  ``max_messages`` as-of positions that can see it (bounded fan-out), then kept only where that position exists (a
-  join on ``(conv_id, position)``, a key with no hot values).
+  ``max_messages`` as-of positions that can see it (bounded fan-out) and kept where that position exists (a window
+  over the few rows of ``(conv_id, position)``; no join).
 * H3 ``context_entries``: analyses only of the referenced captures (the newest per path, with the
   context hint), joined back on ``file_path``; AQE broadcasts the analysis side
   when its runtime size is under the broadcast threshold, else sort-merge with skewed paths split.
@@ -99,13 +99,20 @@ def recent_media_by_turn(messages: DataFrame, max_messages: int = R.MAX_RECENT_M
     if max_messages <= 0 or max_images <= 0:
         raise ValueError("max_messages and max_images must be > 0")
     placed = with_positions(messages.select("conv_id", "turn", "text"))
-    m = media_mentions(placed.select("conv_id", F.col("position").alias("turn"), "text"))
-    fan = m.select("conv_id", "idx", "file_path", "turn",
-                   F.explode(F.sequence(F.lit(0), F.lit(max_messages - 1))).alias("d"))
-    fan = fan.select("conv_id", (F.col("turn") + F.col("d")).alias("position"), (F.col("d") + 1).alias("recency"),
-                     "idx", "file_path")
-    visible = fan.join(placed.select("conv_id", "position", F.col("turn").alias("as_of")), ["conv_id", "position"])
-    out = _first_k(visible, ["conv_id", "position", "as_of"], max_images)
+    trimmed = F.transform(mention_paths(F.col("text")), lambda p, i: F.struct(i.alias("idx"), js_trim(p).alias("file_path")))
+    placed = placed.select("conv_id", "position", "turn", F.filter(trimmed, lambda m: m["file_path"] != "").alias("_mentions"))
+
+    def seen_at(recency: Column, idx: Column, path: Column, turn: Column, ahead: Column) -> Column:
+        return F.struct((F.col("position") + ahead).alias("position"), recency.cast("int").alias("recency"), idx.cast("int").alias("idx"),
+                        path.cast("string").alias("file_path"), turn.cast("long").alias("as_of"))
+
+    # one row says that a position exists, one row per mention and position that can see it; a position's rows are few
+    here = F.array(seen_at(F.lit(0), F.lit(0), F.lit(None), F.col("turn"), F.lit(0)))
+    fan = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(max_messages - 1)), lambda d: F.transform(
+        "_mentions", lambda m: seen_at(d + 1, m["idx"], m["file_path"], F.lit(None), d))))
+    rows = placed.select("conv_id", F.explode(F.concat(here, fan)).alias("x")).select("conv_id", "x.*")
+    rows = rows.withColumn("as_of", F.max("as_of").over(Window.partitionBy("conv_id", "position")))
+    out = _first_k(rows.where("file_path IS NOT NULL AND as_of IS NOT NULL"), ["conv_id", "position", "as_of"], max_images)
     return out.select("conv_id", F.col("as_of").alias("turn"), "media_pos", "file_path")
 
 
@@ -139,10 +146,10 @@ def context_entries(media: DataFrame, captures: DataFrame, attempts: DataFrame |
 
     limit = context_timeout_ms(ocr_timeout_ms)
     paths = media.select("file_path").distinct()
-    wanted = captures.join(paths, "file_path", "left_semi")
-    newest = wanted.groupBy("file_path").agg(F.max(F.struct("modified_ms", "capture_id")).alias("_n"))
+    newest = (captures.select("file_path", "modified_ms", "capture_id").join(paths, "file_path", "left_semi")
+              .groupBy("file_path").agg(F.max(F.struct("modified_ms", "capture_id")).alias("_n")))
     newest = newest.select(F.col("_n.capture_id").alias("capture_id"))
-    wanted = wanted.join(newest, "capture_id", "left_semi").withColumn("hint", F.lit(R.CONTEXT_HINT))
+    wanted = captures.join(newest, "capture_id", "left_semi").withColumn("hint", F.lit(R.CONTEXT_HINT))
     if attempts is not None:
         # OCR is resolved only for referenced captures.
         attempts = attempts.join(newest, "capture_id", "left_semi")
