@@ -10,8 +10,8 @@ Long pieces (``LONG`` bytes and over, such as text without spaces) contract ever
 where no pair made by it can have a lower rank (``safe`` in the merge table), which gives the same ids in far fewer rounds;
 all other pairs are contracted one by one.
 
-One narrow stage: no shuffle.  Memory per task is bounded by ``SLICE`` bytes of text (or one document) and by a cache of at
-most ``CACHE`` pieces per Python worker, a pure cache that a lost executor rebuilds.
+One narrow stage: no shuffle.  Memory per task is bounded by ``SLICE`` bytes of text (or one document), ``STEPS`` rounds of one recursive query and
+a cache of at most ``CACHE`` pieces per Python worker, a pure cache that a lost executor rebuilds.
 
 Null texts count as empty: no ids, the digests of nothing.  Repeated rows are encoded alike.  An empty table gives an empty result.
 Extra columns are ignored; output names do not depend on them.
@@ -27,12 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from capsight.llm.common import arrow_schema, table, workers_import
+from capsight.llm.common import arrow_schema, release, table, workers_import
 
-SLICE = 8 << 20
-CACHE = 1_000_000
-ROUND = 60_000
+SLICE = 4 << 20
+CACHE = 200_000
+ROUND = 30_000
 LONG = 64
+STEPS = 32  # rounds of one recursive query; further rounds start from its last rows, which bounds what it holds
 
 #: Splits of the rank files' library: contractions, letters, numbers, other signs (each with one space before), white space.
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
@@ -52,7 +53,7 @@ WITH RECURSIVE step(it, w, p, t) AS (
      SELECT w, min(k) AS best FROM ranked WHERE k IS NOT NULL GROUP BY w
    )
    SELECT it + 1, w, p, CASE WHEN p = best & 4294967295 THEN (best >> 32)::int ELSE t END
-   FROM ranked JOIN least USING (w) WHERE pp IS NULL OR pp <> best & 4294967295)
+   FROM ranked JOIN least USING (w) WHERE it < {steps} AND (pp IS NULL OR pp <> best & 4294967295))
 )"""
 
 # as above; inside a run of overlapping occurrences every other one is contracted, leftmost first
@@ -78,11 +79,11 @@ WITH RECURSIVE step(it, w, p, t) AS (
       WHERE best IS NOT NULL
     ) AS hits
   ) AS contracted
-  WHERE NOT coalesce(gone, false)
+  WHERE it < {steps} AND NOT coalesce(gone, false)
 )"""
 
 _IDS = """
-SELECT w, t FROM step JOIN (SELECT w, max(it) AS it FROM step GROUP BY w) AS last USING (w, it) ORDER BY w, p"""
+SELECT w, p, t, it FROM step JOIN (SELECT w, max(it) AS it FROM step GROUP BY w) AS last USING (w, it) ORDER BY w, p"""
 
 _DECODE = """
 SELECT w, unhex(string_agg(bytes, '' ORDER BY p)) AS piece FROM ids JOIN vocabulary USING (id) GROUP BY w ORDER BY w"""
@@ -139,7 +140,11 @@ class Codec:
             tokens = pa.table({"w": np.repeat(np.arange(len(part), dtype=np.int32), lengths),
                                "p": (np.arange(len(raw)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32),
                                "t": self.bytes_id[raw]})
-            ids = self._query(recursion + _IDS, tokens=tokens)
+            while True:
+                ids = self._query(recursion.format(steps=STEPS) + _IDS, tokens=tokens)
+                if ids.column("it").to_numpy().max() < STEPS:
+                    break
+                tokens = ids.select(["w", "p", "t"])
             packed = ids.column("t").to_numpy().astype("<u4").tobytes()
             ends = np.cumsum(np.bincount(ids.column("w").to_numpy(), minlength=len(part))).tolist()
             out += [packed[4 * a:4 * b] for a, b in zip([0, *ends[:-1]], ends)]
@@ -299,6 +304,7 @@ def tokenize(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id"
                 if decoded:
                     columns.append(pa.array(out["decoded"], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            release()
 
     return docs.select(key, text).mapInArrow(run, ddl)
 

@@ -6,6 +6,7 @@ names in ``spark.checkpoint.dir``, so a lost executor never loses an intermediat
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -17,19 +18,20 @@ from pyspark.sql import functions as F
 
 import capsight
 
+_LIBC = ctypes.CDLL(None)
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(capsight.__file__)))
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the session; a scratch folder only for a local master without one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="capsight-shared-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="capsight-shared-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def workers_import(spark: SparkSession) -> None:
@@ -70,6 +72,13 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(n, arrow_type(t)) for n, t in (c.split() for c in ddl.split(","))])
 
 
+def release() -> None:
+    """Give memory that Arrow and the C library keep for reuse back to the machine: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(_LIBC, "malloc_trim", None):
+        trim(0)
+
+
 def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges ``(a, b)`` reduced to ``(node, smallest node of its component)`` rows, roots left out."""
     nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)

@@ -30,10 +30,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capsight.llm import text_arrays as T
-from capsight.llm.common import connected_components, local_forest, materialize, table, workers_import
+from capsight.llm.common import connected_components, local_forest, materialize, release, table, workers_import
 
 WIDTH, PERCENT = 5, 75
-CHUNK = 2_000_000  # shingles that a task packs at once
+CHUNK = 1_000_000  # shingles that a task packs at once
 BLOCK_ENTRIES = 4_000_000  # shingles of a block of the hash space, on average
 LEAST_BLOCKS = 64
 GROUP_SHINGLES, GROUP_DOCS = 400_000, 1500  # of a block of a group, on average
@@ -69,6 +69,7 @@ def classes(docs: DataFrame, text: str, key: str, width: int) -> DataFrame:
             for a, b, _, _, size, cid in _sets(batch, 1, width):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array(size.astype(np.int64)), pa.array(cid)],
                                                  ["doc_id", "n", "cid"])
+            release()
     return docs.select(key, text).mapInArrow(run, "doc_id long, n long, cid long")
 
 
@@ -205,7 +206,9 @@ def _pack_texts(docs: DataFrame, bits: int, width: int) -> DataFrame:
         for batch in batches:
             for _, _, shingles, owner, size, cid in _sets(batch, 0, width):
                 yield from packer.add(shingles, owner, size, cid)
+            release()
         yield from packer.flush()
+        release()
     return docs.mapInArrow(run, _PACKED)
 
 

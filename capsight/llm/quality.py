@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from capsight.llm import text_arrays as T
-from capsight.llm.common import table, workers_import
+from capsight.llm.common import release, table, workers_import
 
 SHAPES, LENGTHS = 512, 31
 TERMS = SHAPES + 4 + LENGTHS + 1
@@ -178,6 +178,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "quality
                 part = batch.slice(a, b - a)
                 values = known.score(term_counts(part.column(place)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values, pa.float64())], [*part.schema.names, out])
+            release()
 
     return rows.mapInArrow(run, schema)
 

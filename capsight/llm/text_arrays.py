@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 4 << 20
+SLICE = 2 << 20
 MAX_TEXTS = 1 << 15
 
 SEPARATOR = np.zeros(256, dtype=bool)
