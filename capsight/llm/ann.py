@@ -124,7 +124,7 @@ def nearest(rows: DataFrame, queries: Column, neighbours: int = NEIGHBOURS, tree
     asked = (rows.filter(queries & width_ok).select(F.col(key).cast("long").alias("query_id"), F.col(vector).cast("array<double>").alias("v")).distinct()
              .join(vectors.select("v", F.col("cid").alias("qid")), "v").select("query_id", "qid", "v"))
     asked = materialize(asked, "ann-queries")
-    blocks = sizes.withColumn("blocks", F.ceil(F.col("count") / BLOCK_ROWS)).drop("count")
+    blocks = F.broadcast(sizes.withColumn("blocks", F.ceil(F.col("count") / BLOCK_ROWS)).drop("count"))  # at most the model's leaves
     probes = (asked.select("qid", "v").dropDuplicates(["qid"]).mapInArrow(walk, "qid long, v array<double>, tree int, leaf int")
               .join(blocks, ["tree", "leaf"]).withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)"))).drop("blocks"))
     stored = leaves.join(blocks, ["tree", "leaf"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks"))).drop("blocks")
