@@ -179,7 +179,8 @@ def mix(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP
     plan = materialize(mix_plan(rows, weights, cap, block), "mix-plan")
     reads = block_reads(plan, shard_draws(plan, shard_slots, seed), seed)
     parts = pieces(pack(rows, plan, block), block)
-    return rows, plan, reads.join(parts, ["rank", "index"]).drop("rank", "index")
+    # the number of reads grows with the corpus, which the planner cannot see: never broadcast
+    return rows, plan, reads.hint("merge").join(parts, ["rank", "index"]).drop("rank", "index")
 
 
 def taken_words(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", **options) -> DataFrame:
@@ -199,17 +200,19 @@ def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", so
     """
     sized = sized_rows(docs, text, key, source)
     rows, _, reads = mix(sized, **options)
-    uid, runs, taken, size, found = (fresh(docs, name) for name in ("_uid", "_reads", "_taken", "_size", "_words"))
+    uid, runs, taken, size = (fresh(docs, name) for name in ("_uid", "_reads", "_taken", "_size"))
     order = F.sort_array(F.collect_list(F.struct("slot", "first_word", "n_words")))  # of one document
     per_doc = (rows.join(reads.groupBy("uid").agg(order.alias("reads"), F.sum("n_words").alias("taken")), "uid")
                .select(F.col("uid").alias(uid), F.col("reads").alias(runs), F.col("taken").alias(taken), F.col("size").alias(size)))
     same = Window.partitionBy(key, source, F.xxhash64(text)).orderBy(F.lit(0))  # rows that repeat a document
     whole = docs.withColumn(uid, F.xxhash64(key, source, F.xxhash64(text), F.row_number().over(same))).join(per_doc, uid)
-    whole = whole.withColumn(found, F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)))
-    parts = F.transform(F.col(runs), lambda r: F.slice(F.col(found), (r["first_word"] + 1).cast("int"), r["n_words"].cast("int")))
+    # the words are found once per document: the one-element array binds them for the inner steps
+    bound = F.array(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)))
+    taken_text = F.get(F.transform(bound, lambda w: F.array_join(F.flatten(F.transform(
+        F.col(runs), lambda r: F.slice(w, (r["first_word"] + 1).cast("int"), r["n_words"].cast("int")))), " ")), 0)
     starts = F.transform(F.col(runs), lambda r: r["first_word"])
     once = (F.col(taken) == F.col(size)) & (F.size(F.array_distinct(starts)) == F.size(runs))
-    out = whole.withColumn(text, F.when(once, F.col(text)).otherwise(F.array_join(F.flatten(parts), " ")))
+    out = whole.withColumn(text, F.when(once, F.col(text)).otherwise(taken_text))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text).cast(dict(docs.dtypes)["n_chars"]))
     return out.select(*docs.columns)
