@@ -1,6 +1,6 @@
 """Embedding near-duplicates: a forest of random-projection trees with spill, comparison within leaves, union.
 
-Every vector goes down ``TREES`` trees of recursive median splits on random projections; rows in the overlap around a median
+Every vector, scaled to length 1, goes down ``TREES`` trees of recursive median splits on random projections; rows in the overlap around a median
 (a share ``SPILL`` of the rows) go both ways.  Splitting runs in rounds on Spark: in each round every group that is still over
 ``LEAF_ROWS`` gets a subtree fitted to a sample of its rows (the ``SAMPLE`` least hashes) and its rows, dealt into tasks of ``TASK_ROWS``, are routed
 through it.  So trees deepen with the table and no step holds a whole group; a group that no split separates (near copies) stays.
@@ -43,7 +43,7 @@ def _fit(width: int, leaf_rows: int, spill: float, seed: int):
     def run(sample: pa.Table) -> pa.Table:
         tree, path, total = (sample.column(c)[0].as_py() for c in ("tree", "path", "total"))
         order = np.argsort(sample.column("cid").to_numpy())
-        rows = R.matrix(sample.column("v"), width)[order]
+        rows = R.unit(R.matrix(sample.column("v"), width)[order])
         leaf = max(SAMPLE_LEAF, int(len(rows) * leaf_rows / (2 * max(total, 1))))
         made = R.build(rows, leaf, [seed, tree, path], spill)
         return pa.table({"tree": pa.array([tree], pa.int32()), "path": pa.array([path], pa.int64()), "total": pa.array([total], pa.int64()),
@@ -55,7 +55,7 @@ def _route(width: int):
     """Rows of a group's task with the subtree: a new path for every leaf that a row reaches."""
     def run(rows: pa.Table, models: pa.Table) -> pa.Table:
         tree = R.Tree.load(models.column("model")[0].as_py())
-        row, leaf = R.route(tree, R.matrix(rows.column("v"), width))
+        row, leaf = R.route(tree, R.unit(R.matrix(rows.column("v"), width)))
         pick = rows.take(pa.array(row))
         path = pick.column("path").to_numpy()
         # paths are hashed positions in the tree, so they stay 64 bits wide at any depth

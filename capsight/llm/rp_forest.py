@@ -122,6 +122,12 @@ def common_width(rows: DataFrame, vector: str) -> int:
     return top[0]["w"] if top else 0
 
 
+def unit(rows: np.ndarray) -> np.ndarray:
+    """Rows (none of them zero) scaled to length 1."""
+    rows = rows / np.abs(rows).max(1, initial=0, keepdims=True)  # squares neither overflow nor vanish
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
 def matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     """List column as rows of doubles."""
     if isinstance(column, pa.ChunkedArray):

@@ -87,6 +87,16 @@ def test_embedding_dedup_one_hot_group(spark):
     assert embedding_dedup.near_duplicates(_vectors(spark, [])).count() == 0
 
 
+def test_embedding_dedup_of_scaled_copies(spark):
+    """The length of a vector does not matter."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(1500, 32)) + 1
+    rows = [(i, x.tolist()) for i, x in enumerate(base)] + [(5000 + i, (x * rng.uniform(1.2, 10)).tolist()) for i, x in enumerate(base)]
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(_vectors(spark, rows), leaf_rows=64).collect()}
+    want = _brute(rows, 0.95)
+    assert sum(got.values()) >= 0.97 * sum(n for n, _ in want.values()) and all(got[i] <= n for i, (n, _) in want.items())
+
+
 def test_forest_routing_with_spill():
     rows = np.random.default_rng(2).normal(size=(400, 5))
     tree = rp_forest.build(rows, 20, [1], 0.2)
