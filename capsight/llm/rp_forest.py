@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import heapq
 import pickle
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -24,24 +25,33 @@ class Tree:
     high: np.ndarray
     child: np.ndarray
     leaves: int
+    whole: list[int] = field(default_factory=list)  # leaves that ``divide`` keeps whole
 
     def dump(self) -> bytes:
-        return pickle.dumps((self.normal, self.low, self.high, self.child, self.leaves))
+        return pickle.dumps((self.normal, self.low, self.high, self.child, self.leaves, self.whole))
 
     @staticmethod
     def load(data: bytes) -> "Tree":
         return Tree(*pickle.loads(data))
 
 
-def build(rows: np.ndarray, leaf: int, seed: list[int], spill: float = 0.0) -> Tree:
-    """A tree whose leaves hold at most ``leaf`` of ``rows``, or rows that no split separates."""
+def build(rows: np.ndarray, leaf: int, seed: list[int], spill: float = 0.0, divide: Callable | None = None) -> Tree:
+    """A tree whose leaves hold at most ``leaf`` of ``rows``, or rows that no split separates.
+
+    ``divide``, asked first, gives a node's rows a split of its own (``normal, low, high``), keeps them ``"whole"`` or leaves them (None).
+    """
     rng = np.random.Generator(np.random.PCG64([abs(int(s)) for s in seed]))
-    normal, low, high, child, leaves = [], [], [], [], 0
+    normal, low, high, child, leaves, whole = [], [], [], [], 0, []
     todo = [(np.arange(len(rows)), -1, 0)]
     while todo:
         some, parent, side = todo.pop()
-        split = None
+        split = own = None
         if len(some) > leaf:
+            own = divide(rows[some]) if divide else None
+            if own is not None and own != "whole":
+                at = rows[some] @ own[0]
+                split = *own, some[at < own[2]], some[at >= own[1]]
+        if len(some) > leaf and own is None:
             for _ in range(3):
                 a, b = rows[rng.choice(some, 2, replace=False)]
                 way = a - b
@@ -56,6 +66,8 @@ def build(rows: np.ndarray, leaf: int, seed: list[int], spill: float = 0.0) -> T
                     break
         if split is None:
             node = -1 - leaves
+            if own is not None:
+                whole.append(leaves)
             leaves += 1
         else:
             node = len(normal)
@@ -67,7 +79,7 @@ def build(rows: np.ndarray, leaf: int, seed: list[int], spill: float = 0.0) -> T
         if parent >= 0:
             child[parent][side] = node
     width = rows.shape[1] if rows.ndim == 2 else 0
-    return Tree(np.array(normal).reshape(-1, width), np.array(low), np.array(high), np.array(child, dtype=np.int64).reshape(-1, 2), leaves)
+    return Tree(np.array(normal).reshape(-1, width), np.array(low), np.array(high), np.array(child, dtype=np.int64).reshape(-1, 2), leaves, whole)
 
 
 def route(tree: Tree, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -87,6 +87,18 @@ def test_embedding_dedup_one_hot_group(spark):
     assert embedding_dedup.near_duplicates(_vectors(spark, [])).count() == 0
 
 
+def test_embedding_dedup_of_groups_larger_than_leaves(spark):
+    """Distinct near copies, many times a leaf, among rows without links: a link is lost at no split."""
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=(2, 64))
+    centre /= np.linalg.norm(centre, axis=1)[:, None]
+    other = rng.normal(size=(1600, 64))
+    rows = np.concatenate([centre[0] + rng.normal(size=(900, 64)) * 0.17 / 8, centre[1] + rng.normal(size=(300, 64)) * 0.17 / 8, other / 8])
+    rows = [(i, x.tolist()) for i, x in enumerate(rows[rng.permutation(len(rows))])]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(_vectors(spark, rows), leaf_rows=64, trees=3).collect()}
+    assert got == _brute(rows, 0.95)
+
+
 def test_embedding_dedup_of_scaled_copies(spark):
     """The length of a vector does not matter."""
     rng = np.random.default_rng(6)
