@@ -97,7 +97,9 @@ def _pack(shingles: np.ndarray, owner: np.ndarray, cid: np.ndarray, size: np.nda
     order = np.argsort(block * len(cid) + who, kind="stable")
     h, who, block = h[order], who[order], block[order]
     many_block = (many >> np.uint64(48 - bits)).astype(np.int64)
-    chunk = int(T.mix(np.array([cid.view(np.uint64).sum() + np.uint64(len(cid))], dtype=np.uint64), 5).view(np.int64)[0])
+    # classes are named by their place, so chunks of the same classes in another order are other chunks
+    placed = T.mix(cid.view(np.uint64) + T.mix(np.arange(len(cid), dtype=np.uint64), 6), 5)
+    chunk = int(T.mix(np.array([placed.sum() + np.uint64(len(cid))], dtype=np.uint64), 5).view(np.int64)[0])
     rows = {"block": [], "chunk": [], "body": [], "counts": [], "repeated": []}
     named = np.union1d(block, many_block)
     at, mat = np.searchsorted(block, named), np.searchsorted(many_block, named)

@@ -99,6 +99,17 @@ def test_ngram_join_skewed_group(spark, monkeypatch):
     assert got == H.shingle_links(dict(rows))
 
 
+def test_ngram_join_chunks_of_the_same_classes(spark):
+    """Two near copies in very many rows: every task holds both classes, in either order."""
+    one = H.prose(5, 90)
+    two = one + " end"
+    parts = [[one, two], [two, one], [one, two], [two, one]]
+    rows = [(1000 * k + i, text) for k, part in enumerate(parts) for i, text in enumerate(part * 250)]
+    rdd = spark.sparkContext.parallelize(rows, 4)
+    got = _joined(ngram_join.ngram_join(spark.createDataFrame(rdd, "doc_id long, text string")))
+    assert {(c, n) for _, c, n in got.values()} == {(0, 1999)} and len(got) == 2000
+
+
 @pytest.mark.parametrize("percent", [50, 75, 100])
 def test_ngram_join_bounds(spark, percent):
     """Overlaps right at, over and under the bound."""
