@@ -8,7 +8,8 @@ concatenates their bytes by an ordered aggregation; texts are the concatenation
 
 Long pieces (``LONG`` bytes and over, such as text without spaces) contract every occurrence of the minimum-rank pair in one round
 where no pair made by it can have a lower rank (``safe`` in the merge table), which gives the same ids in far fewer rounds;
-all other pairs are contracted one by one.
+all other pairs are contracted one by one.  Pieces over ``HUGE`` bytes, whose rows would overflow the queries' memory, are contracted in the same
+order (minimum rank, then leftmost) from a queue over linked arrays, in time that grows little faster than their length.
 
 One narrow stage: no shuffle.  Memory per task is bounded by ``SLICE`` bytes of text (or one document), ``STEPS`` rounds of one recursive query and
 a cache of at most ``CACHE`` pieces per Python worker, a pure cache that a lost executor rebuilds.
@@ -21,6 +22,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +36,8 @@ SLICE = 4 << 20
 CACHE = 200_000
 ROUND = 30_000
 LONG = 64
+HUGE = 30_000
+IDS = 400_000  # ids that one query decodes
 STEPS = 32  # rounds of one recursive query; further rounds start from its last rows, which bounds what it holds
 
 #: Splits of the rank files' library: contractions, letters, numbers, other signs (each with one space before), white space.
@@ -116,6 +121,9 @@ class Codec:
             self.db.register("given", rows)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
+        order = np.argsort(left << 32 | right)
+        self.pair, self.pair_rank = (left << 32 | right)[order], rank[order]
+        self.rank_of: dict[int, int] = {}  # of pairs, filled for the first huge piece
         self.seen: dict[bytes, tuple[bytes, bytes]] = {}  # piece -> packed ids, their decoded bytes
 
     def _query(self, sql: str, **tables: pa.Table) -> pa.Table:
@@ -151,14 +159,54 @@ class Codec:
             at = stop
         return out
 
+    def _merge_huge(self, piece: bytes) -> bytes:
+        """Ids of one piece: pairs by (rank, place), first those of the bytes, in order, and then those that merges make."""
+        if not self.rank_of:
+            self.rank_of = dict(zip(self.pair.tolist(), self.pair_rank.tolist()))
+        rank_of, n = self.rank_of, len(piece)
+        raw = self.bytes_id[np.frombuffer(piece, dtype=np.uint8)]
+        pair = raw[:-1].astype(np.int64) << 32 | raw[1:]
+        at = np.searchsorted(self.pair, pair).clip(0, max(0, len(self.pair) - 1))
+        known = np.flatnonzero(self.pair[at] == pair) if len(self.pair) else np.zeros(0, dtype=np.int64)
+        first = np.sort(self.pair_rank[at[known]] << 32 | known)
+        token, after, before = array("i", raw.tobytes()), array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+        made: list[int] = []
+
+        def contract(key: int) -> None:
+            rank, p = key >> 32, key & 0xFFFFFFFF
+            q = after[p]
+            if token[p] < 0 or q >= n or rank_of.get(token[p] << 32 | token[q]) != rank:
+                return
+            token[p], token[q] = rank, -1
+            after[p] = m = after[q]
+            if m < n:
+                before[m] = p
+                if (r := rank_of.get(rank << 32 | token[m])) is not None:
+                    heapq.heappush(made, r << 32 | p)
+            if (k := before[p]) >= 0 and (r := rank_of.get(token[k] << 32 | rank)) is not None:
+                heapq.heappush(made, r << 32 | k)
+
+        for a in range(0, len(first), 65536):
+            for key in first[a:a + 65536].tolist():
+                while made and made[0] < key:
+                    contract(heapq.heappop(made))
+                contract(key)
+        while made:
+            contract(heapq.heappop(made))
+        left = np.frombuffer(token, dtype=np.int32)
+        return left[left >= 0].astype("<u4").tobytes()
+
     def learn(self, pieces: list[bytes]) -> None:
         """Encode new pieces (ids as little-endian unsigned 32-bit integers), decode the ids, keep both in ``seen``."""
         whole = [x for x in pieces if x in self.ranks]
         packed = [self.ranks[x].to_bytes(4, "little") for x in whole]
         rest = [x for x in pieces if x not in self.ranks]
-        for some, recursion in (([x for x in rest if len(x) < LONG], _RECURSION), ([x for x in rest if len(x) >= LONG], _RECURSION_LONG)):
+        for some, recursion in (([x for x in rest if len(x) < LONG], _RECURSION), ([x for x in rest if LONG <= len(x) <= HUGE], _RECURSION_LONG)):
             whole += some
             packed += self._merge(some, recursion)
+        huge = [x for x in rest if len(x) > HUGE]
+        whole += huge
+        packed += map(self._merge_huge, huge)
         for x, ids, plain in zip(whole, packed, self.decode(packed)):
             self.seen[x] = ids, x if x == plain else plain  # one copy of equal bytes
 
@@ -168,13 +216,14 @@ class Codec:
         if not lengths.sum():
             return [b""] * len(ids)
         flat = np.frombuffer(b"".join(ids), dtype="<u4").astype(np.int32)
-        rows = pa.table({"w": np.repeat(np.arange(len(ids), dtype=np.int32), lengths),
-                         "p": np.arange(len(flat), dtype=np.int64), "id": flat})
-        found = self._query(_DECODE, ids=rows)
-        out = [b""] * len(ids)
-        for w, piece in zip(found.column("w").to_pylist(), found.column("piece").to_pylist()):
-            out[w] = piece
-        return out
+        who = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
+        out = [[] for _ in ids]
+        for k in range(0, len(flat), IDS):
+            rows = pa.table({"w": who[k:k + IDS], "p": np.arange(len(flat[k:k + IDS]), dtype=np.int64), "id": flat[k:k + IDS]})
+            found = self._query(_DECODE, ids=rows)
+            for w, piece in zip(found.column("w").to_pylist(), found.column("piece").to_pylist()):
+                out[w].append(piece)
+        return [b"".join(x) for x in out]
 
 
 _CODECS: dict[str, Codec] = {}

@@ -59,6 +59,18 @@ def test_bpe_over_documents(spark, docs, texts, encoding):
     assert bpe.tokenize(docs.limit(0), bpe.vocabulary_path()).count() == 0
 
 
+def test_bpe_of_huge_pieces(encoding):
+    """Letters without a break: the same ids as tiktoken's, and millions of them in bounded memory."""
+    rnd = random.Random(3)
+    coder = bpe.codec(bpe.vocabulary_path())
+    texts = ["".join(rnd.choice("etaoinshrdlu") for _ in range(bpe.HUGE + 5)), "x" * 70_000, "ab" * 20_000 + "é" * 9000]
+    for text, ids, plain in zip(texts, *bpe._slice(coder, pa.array(texts)).values()):
+        assert list(ids) == encoding.encode_ordinary(text) and plain == text.encode()
+    text = "".join(rnd.choices("etaoinshrdlu", k=2_500_000))
+    out = bpe._slice(coder, pa.array([text]))
+    assert out["decoded"] == [text.encode()] and 500_000 < len(out["ids"][0]) < 2_500_000
+
+
 def test_bpe_unknown_id_fails(spark):
     with pytest.raises(Exception, match="not in the vocabulary"):
         bpe.decode(spark.createDataFrame([(1, bytearray(b"\xff\xff\xff\x7f"))], "doc_id long, ids binary"), bpe.vocabulary_path()).collect()
