@@ -2,7 +2,8 @@
 
 The standard library's streaming parser turns a page into lines (one per block) with their text, tag and link counts and the
 place of the block in the element tree.  Regions that are never article text are masked: menus, page headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and reader comments, by element and by class, id or role.  The ratio of
+sidebars, notices, adverts, forms, scripts, styles and reader comments, by element and by class, id or role.  A class, id or role
+masks no element that wraps the page's article or without which little text is left.  The ratio of
 text to tags of the other lines is smoothed by a Gaussian and lines at or over the threshold (a share of the smoothed ratios'
 standard deviation) form the content clusters.  The region is the innermost element that holds most of the clusters' text; inside
 an ``article`` or ``main`` element all other lines belong to it, else those of the clusters, what lies between them and headings.
@@ -49,6 +50,7 @@ COMMENT = re.compile(r"(?:^|[\s_-])(?:comment\w*|disqus\w*|repl(?:y|ies))(?=$|[\
 
 SIGMA = 1.0
 THRESHOLD = 0.5  # of the standard deviation of the smoothed ratios
+LEFT = 0.25  # share of the page's text that blocks marked by class, id or role must leave
 HOLDS = 0.7  # share of the clusters' text that keeps the search for the region going down
 LINKS = 0.6  # lines with a larger share of linked text are no content outside of articles
 
@@ -56,8 +58,14 @@ LINKS = 0.6  # lines with a larger share of linked text are no content outside o
 class Page(HTMLParser):
     """Unmasked lines of a page: ``text, tags, linked characters, heading, block``."""
 
-    def __init__(self):
+    def __init__(self, freed: frozenset = frozenset(), marks: bool = False):
         super().__init__(convert_charrefs=True)
+        self.freed = freed  # start tags, by number, whose class, id or role masks nothing
+        self.marks = marks  # note marked elements instead of masking them
+        self.starts = 0
+        self.hinted = False  # whether a class, id or role masked an element
+        self.marked: list[tuple[int, bool, int]] = []  # open elements: start tag, whether an article, height of the stack
+        self.plain: dict[tuple[tuple[int, bool], ...], int] = {}  # characters without links by the open marked elements and articles
         self.lines: list[tuple[str, int, int, bool, int]] = []
         self.parent, self.tag = [-1], ["#"]  # element tree of the blocks, by number
         self.open: list[tuple[str, int, bool]] = []  # element, its block, whether it masks
@@ -81,6 +89,8 @@ class Page(HTMLParser):
         if tag in BLOCK:
             self.flush()
         self.open.pop()
+        if self.marked and self.marked[-1][2] > len(self.open):
+            self.marked.pop()
         self.masks -= masks
         self.links -= tag == "a"
         self.heads -= tag in HEADING
@@ -116,6 +126,15 @@ class Page(HTMLParser):
         found = {k: v or "" for k, v in attrs}
         if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
             return True
+        if self.starts in self.freed or not self.hints(tag, found):
+            return False
+        self.hinted = True
+        if self.marks:
+            self.marked.append((self.starts, False, len(self.open) + 1))
+        return not self.marks
+
+    @staticmethod
+    def hints(tag: str, found: dict) -> bool:
         name = " ".join(found.get(k, "") for k in ("class", "id", "role")).lower()
         if tag in NEVER_HINTED:
             return tag not in ("html", "body", "main") and bool(COMMENT.search(name) or re.search(r"(?:^|[\s_-])(?:ad|ads|advert\w*)(?=$|[\s_-])", name))
@@ -123,6 +142,7 @@ class Page(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += not self.masks
+        self.starts += 1
         if tag in BLOCK:
             self.end_implied(tag)
             self.flush()
@@ -135,6 +155,8 @@ class Page(HTMLParser):
         if tag in VOID:
             return
         masks = self.masking(tag, attrs)
+        if self.marks and tag in ARTICLE and not masks and not (self.marked and self.marked[-1][0] == self.starts):
+            self.marked.append((self.starts, True, len(self.open) + 1))
         block = self.block()
         if tag in BLOCK:
             self.parent.append(block)
@@ -164,6 +186,9 @@ class Page(HTMLParser):
             self.text.append(data)
             if self.links:
                 self.linked += len(data)
+            elif self.marks and (size := len("".join(data.split()))):
+                at = tuple(m[:2] for m in self.marked)
+                self.plain[at] = self.plain.get(at, 0) + size
 
     def updatepos(self, i: int, j: int) -> int:
         return j  # line numbers are not asked for
@@ -184,6 +209,42 @@ def smooth(values: list[float], sigma: float = SIGMA) -> list[float]:
     return out
 
 
+def _wrappers(html: str) -> frozenset:
+    """Start tags, by number, of elements whose class, id or role must not mask them.
+
+    Those around the article or main element with the most text, if it has more than stands outside of marked elements; without
+    articles outside of them, also the heaviest ones until ``LEFT`` of the text is left.
+    """
+    page = Page(marks=True)
+    page.feed(html)
+    page.close()
+    articles, freed = {}, set()
+    for at, size in page.plain.items():
+        for k, (start, article) in enumerate(at):
+            if article:
+                around = frozenset(n for n, inner in at[:k] if not inner)
+                held = articles.get(start, (0, around))[0]
+                # marked elements inside the article do not count for it
+                articles[start] = held + size * all(inner for _, inner in at[k:]), around
+
+    def left() -> int:
+        return sum(size for at, size in page.plain.items() if all(article or n in freed for n, article in at))
+
+    if articles:
+        size, around = max(articles.values(), key=lambda x: (x[0], -len(x[1])))
+        if size > left():
+            freed |= around
+    if not any(size and around <= freed for size, around in articles.values()):
+        total = sum(page.plain.values())
+        while left() < LEFT * total:
+            weight: dict[int, int] = {}
+            for at, size in page.plain.items():
+                if outer := next((n for n, article in at if not article and n not in freed), None):
+                    weight[outer] = weight.get(outer, 0) + size
+            freed.add(max(weight, key=weight.__getitem__))
+    return frozenset(freed)
+
+
 def main_text(html: str | None) -> str:
     """The text of the page's content region, blocks joined by one space."""
     if not html:
@@ -192,6 +253,11 @@ def main_text(html: str | None) -> str:
     page.feed(html)
     page.close()
     page.flush()
+    if page.hinted and (freed := _wrappers(html)):
+        page = Page(freed)
+        page.feed(html)
+        page.close()
+        page.flush()
     lines = page.lines
     level = smooth([len(text) / max(1, tags) for text, tags, *_ in lines])
     mean = sum(level) / max(1, len(level))

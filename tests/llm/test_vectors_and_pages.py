@@ -161,6 +161,16 @@ def test_html_regions(html, text):
     assert html_text.main_text(html) == text
 
 
+@pytest.mark.parametrize("name", ["layout has-sidebar", "content no-sidebar", "site fixed-header", "post-content comments-open"])
+def test_html_hints_mask_no_wrapper(name):
+    inner = f"<h1>Head</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p>"
+    around = f"<div class=sidebar><p>{LONG}</p></div><div class=comment-list><p>{LONG}</p></div>"
+    for wrapped in (f"<article>{inner}</article>", f"<main>{inner}</main>", f"<div>{inner}</div>"):
+        assert html_text.main_text(f"<body><nav><a>x</a></nav><div class='{name}'>{wrapped}</div>{around}</body>".replace(around, "" if "<div>" in wrapped else around)) == f"Head {LONG} Short. {LONG}"
+    assert html_text.main_text(f"<body><div class='{name}'><article>{inner}</article>{around}</div></body>") == f"Head {LONG} Short. {LONG}"
+    assert html_text.main_text(f"<body><article class='{name}'>{inner}</article></body>") == f"Head {LONG} Short. {LONG}"
+
+
 def test_html_over_pages(spark):
     rows = [(1, "u", "<p>a</p>"), (1, "u", "<p>a</p>"), (2, None, None), (3, "v", "<p>" + "w " * 200_000 + "</p>"), (None, "x", "<div>" * 3000 + "deep")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit(1), "n_chars": F.lit(2), "_html": F.lit(3)})
