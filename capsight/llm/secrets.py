@@ -1,7 +1,7 @@
 """Secret scan: candidates by pattern, a random forest that removes false positives. DataFrame operations only.
 
 ``candidates`` cuts every whole text at its maximal runs of ``RUN`` characters or more of key alphabets; each run with its neighbourhood (up to
-``NEAR`` characters each side) is a candidate.  Features are columns: length, shares and transitions of character classes, distinct
+``NEAR`` characters each side, whatever stands there) is a candidate.  A ``name=`` in front is no part of it.  Features are columns: length, shares and transitions of character classes, distinct
 characters, dictionary coverage, path signs, words and signs around.  ``train`` fits a random forest (spark.ml) to labelled
 findings; by default to ``labelled_findings``, a table of ``rows`` rows derived from a rule (formats of keys and tokens against
 digests, identifiers, words, numbers, paths and placeholders).  Pass findings reviewed by people to train on those.  The forest has
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from capsight.llm.common import fresh, table
 
-ALPHABET = r"[A-Za-z0-9+/_=\-]"
+ALPHABET = r"[A-Za-z0-9+/_\-]"
 RUN = 16
 NEAR = 60
 TREES, DEPTH, ROWS, SEED = 40, 8, 6000, 5
@@ -47,6 +47,10 @@ HARMLESS = r"(?i)(?:commit|checksum|digest|sha-?\d*|md5|uuid|guid|etag|integrity
 PLACEHOLDER = r"(?i)(?:example|sample|dummy|changeme|placeholder|your|xxxx|0000|1234567|abcdef|redacted)"
 PREFIX = r"^(?:AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|sk_live_|sk-|rk_live_|xox[abpr]-|AIza|eyJ|SG\.|npm_|pypi-)"
 
+def pattern(run: int = RUN) -> str:
+    """The candidates: runs of the key alphabet, with the padding at their end."""
+    return rf"{ALPHABET}{{{run},}}(?:={{1,2}}(?![A-Za-z0-9+/_=\-]))?"
+
 
 def _share(text: Column, drop: str) -> Column:
     """Share of the text's characters that the class ``drop`` matches."""
@@ -90,14 +94,19 @@ FEATURES = (
 
 def candidates(docs: DataFrame, text: str = "text", key: str = "doc_id", run: int = RUN) -> DataFrame:
     """``doc_id, text_key, start, candidate, before, after`` of every run; ``start`` counts characters from 0."""
-    pattern = f"{ALPHABET}{{{run},}}"
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text")).filter(F.col("_text").rlike(pattern))
+    cut_at = pattern(run)
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text")).filter(F.col("_text").rlike(cut_at))
     rows = rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("text_key", F.xxhash64("_text"))
-    rows = rows.withColumn("_found", F.regexp_extract_all("_text", F.lit(pattern), F.lit(0))).withColumn("_between", F.split("_text", pattern, -1))
-    between = F.col("_between")
-    cut = F.transform(F.col("_found"), lambda c, i: F.struct(
+    rows = rows.withColumn("_found", F.regexp_extract_all("_text", F.lit(cut_at), F.lit(0))).withColumn("_between", F.split("_text", cut_at, -1))
+    found, between = F.col("_found"), F.col("_between")
+    # the text's ends before and after each candidate, of which so many make up the neighbourhood
+    rows = rows.withColumn("_ends", F.zip_with(between, found, lambda b, c: F.right(F.concat(b, F.coalesce(c, F.lit(""))), F.lit(NEAR))))
+    rows = rows.withColumn("_tails", F.zip_with(found, F.slice(between, 2, F.size(found)), lambda c, b: F.left(F.concat(c, b), F.lit(NEAR))))
+    some = NEAR // 3 + 1
+    cut = F.transform(found, lambda c, i: F.struct(
         c.alias("candidate"), F.length(F.element_at(between, i + 1)).alias("gap"),
-        F.right(F.element_at(between, i + 1), F.lit(NEAR)).alias("before"), F.left(F.element_at(between, i + 2), F.lit(NEAR)).alias("after")))
+        F.right(F.concat(F.array_join(F.slice(F.col("_ends"), F.greatest(i - some, F.lit(0)) + 1, F.least(i, F.lit(some))), ""), F.element_at(between, i + 1)), F.lit(NEAR)).alias("before"),
+        F.left(F.concat(F.element_at(between, i + 2), F.array_join(F.slice(F.col("_tails"), i + 2, some), "")), F.lit(NEAR)).alias("after")))
     each = rows.select("doc_id", "text_key", "_row", F.posexplode(cut).alias("_at", "_c"))
     upto = Window.partitionBy("_row").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # one document
     start = F.sum(F.col("_c.gap") + F.length("_c.candidate")).over(upto) - F.length("_c.candidate")
@@ -161,10 +170,10 @@ def redact(docs: DataFrame, found: DataFrame, text: str = "text", key: str = "do
     """``docs`` with every run that ``found`` calls a secret of its text replaced; ``n_chars`` follows if present."""
     hash_, known = fresh(docs, "_key"), fresh(docs, "_secrets")
     secrets = found.filter("is_secret").groupBy(F.col("text_key").alias(hash_)).agg(F.collect_set("candidate").alias(known))  # of one text
-    pattern = f"{ALPHABET}{{{run},}}"
+    cut_at = pattern(run)
     rows = docs.withColumn(hash_, F.xxhash64(text)).join(secrets, hash_, "left")
-    runs = F.transform(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)), lambda c: F.when(F.array_contains(known, c), mask).otherwise(c))
-    parts = F.zip_with(F.split(F.col(text), pattern, -1), runs, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    runs = F.transform(F.regexp_extract_all(F.col(text), F.lit(cut_at), F.lit(0)), lambda c: F.when(F.array_contains(known, c), mask).otherwise(c))
+    parts = F.zip_with(F.split(F.col(text), cut_at, -1), runs, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
     out = rows.withColumn(text, F.when(F.col(known).isNull(), F.col(text)).otherwise(F.array_join(parts, "")))
     if "n_chars" in docs.columns and "n_chars" != text:
         out = out.withColumn("n_chars", F.when(F.col(known).isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(dict(docs.dtypes)["n_chars"]))

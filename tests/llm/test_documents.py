@@ -195,6 +195,19 @@ def test_secrets_found_and_masked(spark, docs, forest):
     assert len(at) == 3000 and all(text[r["start"]:].startswith(r["candidate"]) for r in at)
 
 
+def test_neighbourhoods_are_the_texts(spark, forest):
+    """Long words beside a candidate stay in its neighbourhood; names are no part of candidates."""
+    key, trace = "wJalrXUtnFEMIK7MDENGbPxRfiCYzkdh3k9Qv2Lp", hashlib.md5(b"t").hexdigest()
+    lines = [(f'aws_secret_access_key = "{key}"', key), (f"x-request-trace-id: {trace}", None), (f"API_KEY={trace}", trace), (f"{'long-word-' * 9} {'other_words_' * 3}. {trace} {'q' * 70}", None)]
+    some = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(lines)], "doc_id long, text string")
+    rows = secrets.scan(some, forest).collect()
+    for r in rows:
+        text, a = lines[r["doc_id"]][0], r["start"]
+        b = a + len(r["candidate"])
+        assert (text[a:b], r["before"], r["after"]) == (r["candidate"], text[max(0, a - 60):a], text[b:b + 60])
+    assert {(r["doc_id"], r["candidate"]) for r in rows if r["is_secret"]} == {(i, c) for i, (_, c) in enumerate(lines) if c}
+
+
 # --- mixing -------------------------------------------------------------------
 
 def _filled(sizes: dict, cap: float = 3.0) -> dict:
