@@ -1,7 +1,8 @@
 """Secret scan: candidates by pattern, a random forest that removes false positives. DataFrame operations only.
 
-``candidates`` cuts every whole text at its maximal runs of ``RUN`` characters or more of key alphabets; each run with its neighbourhood (up to
-``NEAR`` characters each side, whatever stands there) is a candidate.  A ``name=`` in front is no part of it.  Features are columns: length, shares and transitions of character classes, distinct
+``candidates`` cuts every whole text at runs of ``RUN`` characters or more of key alphabets, tokens with dots, passwords in urls, and
+values of ``SHORT`` characters or more that are assigned to a name with a keyword; each with its neighbourhood (up to ``NEAR`` characters each
+side, whatever stands there) is a candidate.  A ``name=`` in front is no part of it.  Features are columns: length, shares and transitions of character classes, distinct
 characters, dictionary coverage, path signs, words and signs around.  ``train`` fits a random forest (spark.ml) to labelled
 findings; by default to ``labelled_findings``, a table of ``rows`` rows derived from a rule (formats of keys and tokens against
 digests, identifiers, words, numbers, paths and placeholders).  Pass findings reviewed by people to train on those.  The forest has
@@ -26,6 +27,7 @@ from capsight.llm.common import fresh, table
 
 ALPHABET = r"[A-Za-z0-9+/_\-]"
 RUN = 16
+SHORT = 6
 NEAR = 60
 TREES, DEPTH, ROWS, SEED = 40, 8, 6000, 5
 THRESHOLD = 0.5
@@ -47,9 +49,19 @@ HARMLESS = r"(?i)(?:commit|checksum|digest|sha-?\d*|md5|uuid|guid|etag|integrity
 PLACEHOLDER = r"(?i)(?:example|sample|dummy|changeme|placeholder|your|xxxx|0000|1234567|abcdef|redacted)"
 PREFIX = r"^(?:AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|sk_live_|sk-|rk_live_|xox[abpr]-|AIza|eyJ|SG\.|npm_|pypi-)"
 
+#: a keyword, the rest of its name and the sign of an assignment (bounded, as it is looked for backwards)
+_NAMED = (r"(?<=[=:]|[=:]\s|[=:][\"'`]|[=:]\s[\"'`])(?<=(?i:token|secret|passw(?:or)?d|passwd|passphrase|pwd|api[_ -]?key|access[_ -]?key|auth|authorization|"
+          r"credential|private[_ -]?key)[A-Za-z0-9_-]{0,16}[\"'`\]]{0,2}\s{0,2}(?:=|:|=>|:=|==)\s{0,1}[\"'`]{0,1})(?!(?i:bearer|basic|token)\s)")
+
+
 def pattern(run: int = RUN) -> str:
-    """The candidates: runs of the key alphabet, with the padding at their end."""
-    return rf"{ALPHABET}{{{run},}}(?:={{1,2}}(?![A-Za-z0-9+/_=\-]))?"
+    """The candidates: passwords in urls, tokens with dots, assigned values (quoted or not), runs of the key alphabet."""
+    return "|".join((
+        r"(?<=:)(?<=://[^\s/:@]{0,60}:)[^\s/@\"'<>]{3,200}(?=@)",
+        r"(?<![A-Za-z0-9])(?:SG\.|eyJ)[A-Za-z0-9_-]{10,}(?:\.[A-Za-z0-9_-]{6,})+",
+        _NAMED + rf"(?<=[\"'`])[^\s\"'`]{{{SHORT},}}(?=[\"'`])",
+        _NAMED + rf"[^\s\"'`<>,;]{{{SHORT - 1},}}[^\s\"'`<>,;.:!?)\]}}]",
+        rf"{ALPHABET}{{{run},}}(?:={{1,2}}(?![A-Za-z0-9+/_=\-]))?"))
 
 
 def _share(text: Column, drop: str) -> Column:
@@ -84,12 +96,15 @@ def features() -> dict[str, Column]:
         "keyword": _flag(before.rlike(KEYWORD + r"[^\n]{0,20}$") | c.rlike(KEYWORD + "[=_-]")),
         "harmless": _flag(before.rlike(HARMLESS + r"[^\n]{0,12}$")),
         "placeholder": _flag(c.rlike(PLACEHOLDER)),
+        "in_url": _flag(before.rlike(r"://[^\s/:@]*:$") & after.startswith("@")),
+        "reference": _flag(c.rlike(r"[()\[\]{}$]|^[A-Za-z_]+(?:\.[A-Za-z_]+)+$")),
     }
 
 
 FEATURES = (
     "length", "digits", "uppers", "lowers", "signs", "hex", "distinct", "letter_digit", "case_turns", "vowel_turns", "repeats", "dictionary",
-    "prefix", "slashes", "dashes", "path", "in_word", "assigned", "quoted", "keyword", "harmless", "placeholder")
+    "prefix", "slashes", "dashes", "path", "in_word", "assigned", "quoted", "keyword", "harmless", "placeholder",
+    "in_url", "reference")
 
 
 def candidates(docs: DataFrame, text: str = "text", key: str = "doc_id", run: int = RUN) -> DataFrame:
@@ -141,6 +156,21 @@ def labelled_findings(spark: SparkSession, rows: int = ROWS) -> DataFrame:
         pick(6, " the ", " of ", " und ", ". ", "\n", " | ", " pour ", "é", " https://www.example.com/", " = ", ": ", " token of ", " password: "))
     after = F.when(digest, pick(10, " by", "\n", ",", " on main")).otherwise(pick(7, " the", ". ", ", ", "!! ", "ä", " | ", "\n", " de", ".html"))
     odd = F.pmod(F.col("id"), F.lit(2)) == 1
+    # a third of the rows: short values of assignments and of urls
+    leet = F.translate(F.substring(word, 1, 7), "oeat", "0347")
+    password = pick(11, F.concat(F.initcap(F.substring(word, 1, 6)), F.substring(number, 1, 3)), F.concat(F.initcap(leet), pick(12, "&", "!", "#", "_", "."), F.substring("hex", 3, 2), F.lit("7")),
+                    F.concat(F.substring(word, 1, 5), F.substring(number, 2, 1), F.substring(word, 4, 2)), F.concat(leet, F.lit("Pass"), F.substring(number, 1, 2)), F.concat(F.lit("8"), F.substring(key64, 2, 9)))
+    dotted = F.concat(F.lit("SG."), F.regexp_replace(F.substring(key64, 1, 22), "[+/=]", "a"), F.lit("."), F.regexp_replace(F.substring(key64, 23, 43), "[+/=]", "b"))
+    named = pick(13, " password = \"", " db_password=\"", " password: ", " DB_PASSWORD=", " passwd = '", " secret=\"", " pwd: ", " \"password\": \"", " token=", " api_key = '")
+    value = pick(14, F.substring(word, 1, 8), F.initcap(F.substring(word, 1, 7)), F.concat(F.lit("self."), F.substring(word, 1, 6)), F.concat(F.lit("get"), F.initcap(F.substring(word, 1, 6)), F.lit("()")),
+                 F.concat(F.lit("${"), F.upper(F.substring(word, 1, 6)), F.lit("}")), F.lit("required"), F.lit("changeme"), F.lit("example"), F.concat(F.lit("your_"), F.substring(word, 1, 6)),
+                 F.concat_ws("_", F.substring(word, 1, 5), F.substring(word, 3, 5)), F.substring(number, 1, 6), F.lit("xxxxxxxx"))
+    kind = F.pmod(F.xxhash64("id", F.lit(15)), F.lit(12))
+    short, url = kind < 4, odd & (kind == 0)
+    secret, neither = F.when(short & (kind == 1), dotted).when(short, password).otherwise(secret), F.when(short, value).otherwise(neither)
+    lead = F.when(url, pick(16, " https://bob:", " postgres://admin:", " ftp://user:", "mysql://root:")).when(short, named).otherwise(lead)
+    tail = F.when(url, pick(17, "@host", "@db.example.com/x", "@10.0.0.1:80")).otherwise(tail)
+    plain, after = F.when(short, named).otherwise(plain), F.when(short, tail).otherwise(after)
     return r.select("id", F.when(odd, secret).otherwise(neither).alias("candidate"), F.when(odd, lead).otherwise(plain).alias("before"),
                     F.when(odd, tail).otherwise(after).alias("after"), odd.cast("double").alias("label"))
 

@@ -195,6 +195,17 @@ def test_secrets_found_and_masked(spark, docs, forest):
     assert len(at) == 3000 and all(text[r["start"]:].startswith(r["candidate"]) for r in at)
 
 
+def test_short_and_dotted_secrets(spark, forest):
+    """Passwords of assignments and urls, tokens with dots."""
+    dotted = "SG." + "aB3dE5gH7jK9mN1pQ3sT5u" + "." + "xY2zA4bC6dE8fG0hI1jK3lM5nO7pQ9rS2tU4vW6xY8z"
+    lines = [('so password = "Tr0ub4dor&3x" here', "Tr0ub4dor&3x"), ('db_password="s3cr3tPass99"', "s3cr3tPass99"), ("see https://bob:hunter2pw@host/x", "hunter2pw"),
+             (f"api_key = '{dotted}'", dotted), ("password: required", None), ("a word: sentence12 goes on", None), ("https://example.com:8080/x@y", None)]
+    some = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(lines)], "doc_id long, text string")
+    found = secrets.scan(some, forest)
+    assert {(r["doc_id"], r["start"], r["candidate"]) for r in found.filter("is_secret").collect()} == {(i, t.index(c), c) for i, (t, c) in enumerate(lines) if c}
+    assert {r["doc_id"]: r["text"] for r in secrets.redact(some, found).collect()} == {i: t.replace(c or "\0", "[SECRET]") for i, (t, c) in enumerate(lines)}
+
+
 def test_neighbourhoods_are_the_texts(spark, forest):
     """Long words beside a candidate stay in its neighbourhood; names are no part of candidates."""
     key, trace = "wJalrXUtnFEMIK7MDENGbPxRfiCYzkdh3k9Qv2Lp", hashlib.md5(b"t").hexdigest()
