@@ -5,8 +5,9 @@ place of the block in the element tree.  Regions that are never article text are
 sidebars, notices, adverts, forms, scripts, styles and reader comments, by element and by class, id or role.  A class, id or role
 masks no element that wraps the page's article or without which little text is left.  The ratio of
 text to tags of the other lines is smoothed by a Gaussian and lines at or over the threshold (a share of the smoothed ratios'
-standard deviation) form the content clusters.  The region is the innermost element that holds most of the clusters' text; inside
-an ``article`` or ``main`` element all other lines belong to it, else those of the clusters, what lies between them and headings.
+standard deviation) form the content clusters.  The region is the innermost element that holds all of the clusters' text, or
+the articles in it and the blocks beside them; inside an ``article`` or ``main`` element all other lines belong to it, else those of the
+clusters, what lies between them and headings.
 
 One narrow stage: a page is read whole, nothing is shuffled.  Null and empty html give empty text; html without markup is its
 own text; repeated rows are extracted alike; other columns are ignored by ``extract`` unless named in ``keep``.
@@ -51,7 +52,6 @@ COMMENT = re.compile(r"(?:^|[\s_-])(?:comment\w*|disqus\w*|repl(?:y|ies))(?=$|[\
 SIGMA = 1.0
 THRESHOLD = 0.5  # of the standard deviation of the smoothed ratios
 LEFT = 0.25  # share of the page's text that blocks marked by class, id or role must leave
-HOLDS = 0.7  # share of the clusters' text that keeps the search for the region going down
 LINKS = 0.6  # lines with a larger share of linked text are no content outside of articles
 
 
@@ -274,24 +274,39 @@ def main_text(html: str | None) -> str:
     for i in range(1, len(weight)):
         if weight[i]:
             children.setdefault(page.parent[i], []).append(i)
-    region, article = 0, False
-    while True:
-        article = article or page.tag[region] in ARTICLE
-        best = max(children.get(region, ()), key=weight.__getitem__, default=None)
-        if best is None or weight[best] < HOLDS * weight[0] or page.tag[best] in HEADING or page.tag[best] == "p" or article:
-            break
-        region = best
-    within = [False] * len(weight)
-    within[region] = True
-    for i in range(region + 1, len(weight)):
-        within[i] = within[i] or within[page.parent[i]]
-    inside = [i for i, line in enumerate(lines) if within[line[4]]]
-    if not article:
-        content = [i for i in inside if cluster[i] and lines[i][2] <= LINKS * len(lines[i][0])]
-        first, last = (content[0], content[-1]) if content else (0, -1)
-        while first - 1 in inside and lines[first - 1][3]:
-            first -= 1
-        inside = [i for i in inside if first <= i <= last and (lines[i][2] <= LINKS * len(lines[i][0]) or lines[i][3])] or inside * (not content)
+    holds = [tag in ARTICLE and w > 0 for tag, w in zip(page.tag, weight)]
+    for i in range(len(weight) - 1, 0, -1):
+        holds[page.parent[i]] = holds[page.parent[i]] or holds[i]
+    regions, todo, taken = {}, [0], set()  # whether a region is an article; blocks whose own chosen lines alone are taken
+    while todo:
+        node = todo.pop()
+        below = children.get(node, ())
+        if holds[node] and page.tag[node] not in ARTICLE:
+            taken.add(node)
+            todo += [i for i in below if holds[i]]
+            regions |= {i: False for i in below if not holds[i]}
+        elif page.tag[node] not in ARTICLE and len(below) == 1 and weight[below[0]] == weight[node] and page.tag[below[0]] not in HEADING and page.tag[below[0]] != "p":
+            todo += below
+        else:
+            regions[node] = page.tag[node] in ARTICLE
+    within = [-1] * len(weight)
+    for i in range(len(weight)):
+        within[i] = i if i in regions else within[page.parent[i]] if i else -1
+    chosen = [c and line[2] <= LINKS * len(line[0]) for line, c in zip(lines, cluster)]
+    parts: dict[int, list[int]] = {}
+    for i, line in enumerate(lines):
+        parts.setdefault(within[line[4]], []).append(i)
+    inside = [i for i in parts.pop(-1, ()) if chosen[i] and lines[i][4] in taken]
+    for region, part in parts.items():
+        if not regions[region]:
+            content = [i for i in part if chosen[i]]
+            if content:
+                first, last = part.index(content[0]), part.index(content[-1])
+                while first and lines[part[first - 1]][3]:
+                    first -= 1
+                part = [i for i in part[first:last + 1] if lines[i][2] <= LINKS * len(lines[i][0]) or lines[i][3]]
+        inside += part
+    inside.sort()
     return " ".join(lines[i][0] for i in inside)
 
 

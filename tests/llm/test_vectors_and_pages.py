@@ -171,6 +171,14 @@ def test_html_hints_mask_no_wrapper(name):
     assert html_text.main_text(f"<body><article class='{name}'>{inner}</article></body>") == f"Head {LONG} Short. {LONG}"
 
 
+def test_html_regions_lose_no_chosen_block():
+    parts = [f"{LONG} Part {i}." for i in range(4)]
+    one, rest = parts[0], "".join(f"<p>{x}</p>" for x in parts[1:])
+    for page in (f"<div><p>{one}</p></div><div>{rest}</div>", f"<article><p>{one}</p></article><article>{rest}</article>", f"<div><p>{one}</p></div><article>{rest}</article>",
+                 f"{one}<div><article>{rest}</article></div>", f"<div><div>{one}</div><div><div>{rest}</div></div></div>"):
+        assert html_text.main_text(f"<body><nav><a>x</a></nav>{page}<footer>f</footer></body>") == " ".join(parts), page
+
+
 def test_html_over_pages(spark):
     rows = [(1, "u", "<p>a</p>"), (1, "u", "<p>a</p>"), (2, None, None), (3, "v", "<p>" + "w " * 200_000 + "</p>"), (None, "x", "<div>" * 3000 + "deep")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit(1), "n_chars": F.lit(2), "_html": F.lit(3)})
