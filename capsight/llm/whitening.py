@@ -3,7 +3,7 @@
 1. ``covariance``: two narrow passes.  The first sums the whole-number vectors; the second centres each by the rounded mean and multiplies in
    doubles that hold the products exactly.  Sums are exact whole numbers, so the covariance is rounded once.
 2. ``spectrum``: the covariance, in tridiagonal form, has as many eigenvalues above a shift as the shifted matrix has positive pivots (its
-   inertia).  Bisection on these counts lays intervals between eigenvalues, each with at most ``PER_INTERVAL`` of them (equal ones stay together).
+   inertia).  Bisection on these counts lays intervals around groups of eigenvalues, cut at the gaps (equal ones stay together).
 3. Per interval a circle is drawn around it.  Each Gauss-Legendre node is a task on Spark that solves the complex shifted system
    ``(z I - V) X = Y``; the weighted sum projects the block ``Y`` onto the interval's eigenvectors.  Rayleigh-Ritz extracts pairs, which
    start the next round until the residuals are at rounding level.
@@ -100,50 +100,71 @@ def tridiagonal(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.diag(a).copy(), np.diag(a, -1).copy()
 
 
-def above(form: tuple[np.ndarray, np.ndarray], shift: float) -> int:
-    """Eigenvalues above ``shift``: positive pivots of the shifted tridiagonal matrix."""
+def above(form: tuple[np.ndarray, np.ndarray], shifts: np.ndarray) -> np.ndarray:
+    """Eigenvalues above each of the ``shifts``: positive pivots of the shifted tridiagonal matrix."""
     diagonal, off = form
     tiny = np.finfo(float).eps * (np.abs(diagonal).max(initial=0) + np.abs(off).max(initial=0)) + 1e-300
-    count, pivot = 0, 1.0
+    shifts = np.asarray(shifts, dtype=np.float64)
+    count, pivot = np.zeros(shifts.shape, dtype=np.int64), np.ones(shifts.shape)
     for k in range(len(diagonal)):
-        pivot = diagonal[k] - shift - (off[k - 1] ** 2 / pivot if k else 0.0)
-        if abs(pivot) < tiny:
-            pivot = -tiny
+        pivot = diagonal[k] - shifts - (off[k - 1] ** 2 / pivot if k else 0.0)
+        pivot = np.where(np.abs(pivot) < tiny, -tiny, pivot)
         count += pivot > 0
     return count
 
 
-def _boundary(form: tuple[np.ndarray, np.ndarray], k: int, low: float, high: float, steps: int = 60) -> tuple[float, float]:
-    """An interval of rounding width that holds the ``k``-th largest eigenvalue."""
+def located(form: tuple[np.ndarray, np.ndarray], reach: float, steps: int = 64) -> np.ndarray:
+    """All eigenvalues, falling, to rounding: bisection on the inertia counts."""
+    place = np.arange(1, len(form[0]) + 1)
+    low, high = np.full(len(place), -reach), np.full(len(place), reach)
     for _ in range(steps):
         middle = (low + high) / 2
-        low, high = (middle, high) if above(form, middle) >= k else (low, middle)
-    return low, high
+        more = above(form, middle) >= place
+        low, high = np.where(more, middle, low), np.where(more, high, middle)
+    return (low + high) / 2
 
 
 def intervals(matrix: np.ndarray, wanted: int, most: int = PER_INTERVAL) -> list[tuple[float, float, int]]:
-    """``(low, high, eigenvalues)`` from the top, together the ``wanted`` largest of those above ``RANK``, cut in the gaps; equal ones stay together."""
+    """``(low, high, eigenvalues)`` around the ``wanted`` largest of those above ``RANK``, from the top.
+
+    Groups end at gaps: where one is wider than half of the other gaps together, and else at the widest near the middle of a group
+    of more than ``most``.  A circle reaches half of the way to its neighbours, or as far as its own spread.
+    """
     form = tridiagonal(matrix)
-    reach = float(np.abs(matrix).sum(1).max(initial=0)) * 1.01 + 1e-300  # all eigenvalues lie below (Gershgorin)
-    close = 1e-12 * reach
-    rank = above(form, RANK * _boundary(form, 1, -reach * 1e-6, reach)[1])
-    at = [_boundary(form, k, -reach * 1e-6, reach) for k in range(1, min(wanted, rank) + 1)]
-    out, high, first = [], at[0][1] * 1.05 + close if at else reach, 0
-    while first < len(at):
-        cut = min(first + most, len(at))
-
-        def gap(k: int) -> tuple[float, float]:  # between the k-th largest and the next
-            below = at[k][1] if k < len(at) else _boundary(form, k + 1, -reach, reach)[1] if k < len(matrix) else -reach
-            return at[k - 1][0] if k <= len(at) else _boundary(form, k, -reach, reach)[0], below
-        # the widest gap of the later half, so that the contour passes far from eigenvalues; then on past equal ones
-        if cut < len(at):
-            cut = max(range(first + max(1, most // 2), cut + 1), key=lambda k: gap(k)[0] - gap(k)[1])
-        while cut < len(matrix) and gap(cut)[0] - gap(cut)[1] <= close:
-            cut += 1
-        upper, below = gap(cut)
-        low = (upper + below) / 2 if cut < len(matrix) else 2 * upper - high - close  # as far below the last as the circle reaches above it
-        out.append((low, high, above(form, low) - above(form, high)))
-        high, first = low, max(cut, first + 1)
+    reach = float(np.abs(matrix).sum(1).max(initial=0)) * 1.01 + 1e-300  # all eigenvalues lie within (Gershgorin)
+    close = 1e-12 * reach  # nearer ones are equal and stay together
+    at = located(form, reach)
+    end = min(wanted, int((at > RANK * at[0]).sum())) if len(at) else 0
+    while end and end < len(at) and at[end - 1] - at[end] <= close:
+        end += 1
+    gaps = at[:-1] - at[1:]
+    groups, todo = [], [(0, end)] if end else []
+    while todo:
+        a, b = todo.pop()
+        inner = gaps[a:b - 1]
+        widest = int(inner.argmax()) if len(inner) else 0
+        if b - a > 1 and inner[widest] > max(close, (inner.sum() - inner[widest]) / 2):
+            cut = a + widest + 1
+        elif b - a > most:
+            middle = np.arange(a + (b - a) // 4, b - 1 - (b - a) // 4)
+            cut = int(middle[gaps[middle].argmax()]) + 1
+            if gaps[cut - 1] <= close:
+                cut = a + widest + 1 if inner[widest] > close else 0
+        else:
+            cut = 0
+        if cut:
+            todo += [(cut, b), (a, cut)]
+        else:
+            groups.append((a, b))
+    out = []
+    for a, b in groups:
+        up = gaps[a - 1] / 2 if a else np.inf
+        down = gaps[b - 1] / 2 if b < len(at) else np.inf
+        spread = max(at[a] - at[b - 1], min(up, down, at[0]), close)
+        low, high = at[b - 1] - min(down, spread), at[a] + min(up, spread)
+        out.append((float(low), float(high), int(above(form, low) - above(form, high))))
+    if sum(count for *_, count in out) != end:
+        raise ArithmeticError("the intervals do not hold the eigenvalues that were located")
     return out
 
 
@@ -196,15 +217,17 @@ def spectrum(spark: SparkSession, matrix: np.ndarray, wanted: int = COMPONENTS,
             basis, _ = np.linalg.qr(basis)
             values, turns = np.linalg.eigh(basis.T @ matrix @ basis)
             vectors = basis @ turns
-            inside = (values > low) & (values <= high)
-            found, pairs = values[inside], vectors[:, inside]
-            residual = np.linalg.norm(matrix @ pairs - pairs * found, axis=0).max(initial=0) / scale if inside.sum() == count else np.inf
+            inside = np.flatnonzero((values > low) & (values <= high))
+            off = np.linalg.norm(matrix @ vectors[:, inside] - vectors[:, inside] * values[inside], axis=0) / scale
+            some = inside[np.argsort(off)[:count]]  # mixtures of pairs outside can have values inside, but not small residuals
+            found, pairs = values[some], vectors[:, some]
+            residual = np.sort(off)[count - 1] if len(inside) >= count else np.inf
             if residual < best.get(k, (np.inf,))[0]:
                 best[k] = residual, found, pairs
             elif residual < 1e-11:
                 continue  # at rounding level: no better than the round before
             if residual > 1e-15 * size:
-                fill = min(size, block.shape[1] + (4 if inside.sum() != count else 0)) - vectors.shape[1]
+                fill = min(size, block.shape[1] + (4 if len(inside) < count else 0)) - vectors.shape[1]
                 again[k] = low, high, count, np.hstack([vectors, rng.normal(size=(size, max(0, fill)))])
         todo = again
         if not todo:

@@ -117,12 +117,13 @@ def test_whitening_against_dense_eigenvectors(spark):
     assert whitening.identity_error(out, 32) < 1e-9
 
 
-@pytest.mark.parametrize("kind", ["equal", "low", "decay", "tiny"])
+@pytest.mark.parametrize("kind", ["equal", "low", "decay", "tiny", "apart"])
 def test_spectrum_finds_every_eigenvalue(spark, kind):
     rng = np.random.default_rng(2)
     size = 2 if kind == "tiny" else 48
     q, _ = np.linalg.qr(rng.normal(size=(size, size)))
-    e = {"equal": np.repeat([5.0, 3.0, 2.0], 16), "low": np.append(np.arange(1.0, 7), np.zeros(42)), "decay": 2.0 ** -np.arange(48).clip(0, 28), "tiny": np.array([1.0, 1e-8])}[kind]
+    e = {"equal": np.repeat([5.0, 3.0, 2.0], 16), "low": np.append(np.arange(1.0, 7), np.zeros(42)), "decay": 2.0 ** -np.arange(48).clip(0, 28), "tiny": np.array([1.0, 1e-8]),
+         "apart": np.concatenate([[400.0, 130.0], np.linspace(69, 55, 46) + rng.normal(size=46) * 0.05])}[kind]
     matrix = (q * e) @ q.T
     matrix = (matrix + matrix.T) / 2
     values, vectors = whitening.spectrum(spark, matrix, min(32, size))
@@ -137,7 +138,9 @@ def test_inertia_counts():
     a = a + a.T
     e = np.linalg.eigvalsh(a)
     form = whitening.tridiagonal(a)
-    assert all(whitening.above(form, s) == (e > s).sum() for s in np.linspace(-20, 20, 81))
+    shifts = np.linspace(-20, 20, 81)
+    assert whitening.above(form, shifts).tolist() == [(e > s).sum() for s in shifts]
+    assert np.allclose(whitening.located(form, 100.0), e[::-1], atol=1e-12)
 
 
 def test_whitening_without_spread(spark):
