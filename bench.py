@@ -47,8 +47,6 @@ def main() -> None:
         conf = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]}
     spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
                           app="capsight-bench", **conf)
-    # the few megabytes after a shuffle would be coalesced into one CPU-bound task
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     laid_out = tempfile.mkdtemp(prefix="capsight-bench-")
     for name in ("documents", "conversations"):
         spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(2 * int(cpus)).write.parquet(f"{laid_out}/{name}.parquet")

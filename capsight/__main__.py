@@ -1,10 +1,12 @@
 """Command line: analyse a folder of images with a user text extractor.
 
-    python -m capsight analyze FOLDER --extractor pkg.module:function
+    python -m capsight analyze FOLDER --extractor [NAME=]pkg.module:function [--extractor ...] [--timeout-ms N]
         [--provider NAME] [--hint TEXT] [--store PATH] --out PATH [--modified-after TS]
         [--vision heuristic|disabled] [--max-summary-chars N] [--master URL]
     python -m capsight compare REQUESTS.csv FOLDER --extractor pkg.module:function --out PATH [...]
 
+Several extractors run in turn on each image until one gives text; NAME is the provider they report.
+
 Writes JSON lines to the folder ``--out``: one object per capture with the text block, the handoff block and the
 normalized record as JSON; ``compare`` writes the comparisons (with records and block) and the members' analyses.
 """
@@ -20,6 +22,12 @@ def _load(spec: str):
     return getattr(importlib.import_module(module), name)
 
 
+def _extractors(specs: list[str] | None, provider: str) -> list[tuple[str, object]]:
+    """The chain of ``[NAME=]module:function`` arguments."""
+    found = [spec.rpartition("=") for spec in specs or ["capsight.operators.ocr:utf8_extractor"]]
+    return [(name or provider, _load(spec)) for name, _, spec in found]
+
+
 def rendered(analyses):
     """Each analysis with its text block, its handoff block and the normalized record as JSON."""
     from pyspark.sql import functions as F
@@ -37,8 +45,9 @@ def main(argv=None) -> None:
     sub = p.add_subparsers(dest="cmd", required=True)
     a = sub.add_parser("analyze", help="analyse every image under a folder")
     a.add_argument("folder")
-    a.add_argument("--extractor", default="capsight.operators.ocr:utf8_extractor")
+    a.add_argument("--extractor", action="append")
     a.add_argument("--provider", default="custom")
+    a.add_argument("--timeout-ms", type=int)
     a.add_argument("--hint")
     a.add_argument("--store")
     a.add_argument("--out", required=True)
@@ -49,8 +58,9 @@ def main(argv=None) -> None:
     c = sub.add_parser("compare", help="compare groups of files: a CSV of group_id,pos,file_path")
     c.add_argument("requests")
     c.add_argument("folder")
-    c.add_argument("--extractor", default="capsight.operators.ocr:utf8_extractor")
+    c.add_argument("--extractor", action="append")
     c.add_argument("--provider", default="custom")
+    c.add_argument("--timeout-ms", type=int)
     c.add_argument("--hint")
     c.add_argument("--store")
     c.add_argument("--out", required=True)
@@ -70,7 +80,7 @@ def main(argv=None) -> None:
     if args.cmd == "compare":
         from capsight.operators.compare import render_compare, with_member_lists
         from capsight.plans.jobs import compare_requests
-        analyses = analyze_folder(spark, args.folder, _load(args.extractor), provider=args.provider,
+        analyses = analyze_folder(spark, args.folder, chain=_extractors(args.extractor, args.provider), timeout_ms=args.timeout_ms,
                                   hint=args.hint, store_path=args.store)
         requests = spark.read.schema("group_id bigint, pos int, file_path string").csv(args.requests, header=True)
         compared, listed = compare_requests(requests, analyses)
@@ -80,7 +90,7 @@ def main(argv=None) -> None:
         asked.write.mode("overwrite").json(f"{args.out}/members")
         spark.stop()
         return
-    df = analyze_folder(spark, args.folder, _load(args.extractor), provider=args.provider, hint=args.hint,
+    df = analyze_folder(spark, args.folder, chain=_extractors(args.extractor, args.provider), timeout_ms=args.timeout_ms, hint=args.hint,
                         store_path=args.store, modified_after=args.modified_after, vision=args.vision,
                         max_summary_chars=args.max_summary_chars)
     rendered(df).write.mode("overwrite").json(args.out)

@@ -10,7 +10,7 @@ successes to it (A6).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +21,12 @@ from capsight.functions import rules as R
 def analyze_folder(spark: SparkSession, folder: str, extractor: Callable | None = None, provider: str = "custom",
                    hint: str | None = None, store_path: str | None = None, modified_after: str | None = None,
                    max_image_bytes: int = R.MAX_IMAGE_BYTES, extractor_factory: Callable | None = None,
-                   **analysis_kw) -> DataFrame:
+                   chain: Sequence[tuple[str, Callable]] | None = None, timeout_ms: int | None = None, **analysis_kw) -> DataFrame:
     """Analyse every file under ``folder``; returns one row per file (failures included).
 
     ``extractor(data: bytes, path: str)`` returns text or ``{"text", "lines"}``;
-    ``extractor_factory()`` builds one per task instead (to load a model once).
+    ``extractor_factory()`` builds one per task instead (to load a model once); ``chain`` names several that run in turn
+    until one gives text (``extract_text``), ``timeout_ms`` is the budget of one image.
     ``store_path``: a result table; files already analysed with the same
     fingerprint are served from it and new successes are appended.
     ``modified_after``: only files modified after this timestamp (listing filter).
@@ -38,13 +39,16 @@ def analyze_folder(spark: SparkSession, folder: str, extractor: Callable | None
     from capsight.operators.analyze import analyze
     from capsight.operators.handoff import with_handoff
     from capsight.operators.incremental import with_fingerprint
-    from capsight.operators.ocr import extract_text
+    from capsight.operators.ocr import PerTask, extract_text
     from capsight.sources.listing import admit, binary_files, empty_files, listing_columns
     from capsight.sources.sinks import existing_results, read_results, write_results
 
-    source = extractor if extractor is not None else extractor_factory
-    name = f"{provider}:{getattr(source, '__module__', '')}.{getattr(source, '__qualname__', type(source).__name__)}"
-    options = {"provider": name, **{k: v for k, v in analysis_kw.items() if k in ("vision", "max_summary_chars")}}
+    def named(label: str, source: Callable) -> str:
+        source = source.factory if isinstance(source, PerTask) else source
+        return f"{label}:{getattr(source, '__module__', '')}.{getattr(source, '__qualname__', type(source).__name__)}"
+
+    name = " > ".join(named(*step) for step in chain or [(provider, extractor if extractor is not None else extractor_factory)])
+    options = {"provider": name, **({"timeout_ms": timeout_ms} if timeout_ms else {}), **{k: v for k, v in analysis_kw.items() if k in ("vision", "max_summary_chars")}}
 
     def keyed(files: DataFrame, *extra: str) -> DataFrame:
         rows = listing_columns(files, *extra)
@@ -60,7 +64,7 @@ def analyze_folder(spark: SparkSession, folder: str, extractor: Callable | None
     stored = existing_results(spark, store_path) if store_path else None
     if stored is not None:
         todo = todo.join(stored.select("fingerprint"), "fingerprint", "left_anti")
-    with_ocr = extract_text(todo, extractor, provider=provider, extractor_factory=extractor_factory)
+    with_ocr = extract_text(todo, extractor, provider=provider, extractor_factory=extractor_factory, chain=chain, timeout_ms=timeout_ms)
     if not store_path:
         return with_handoff(analyze(with_ocr.unionByName(failed, allowMissingColumns=True), **analysis_kw))
     # The OCR runs once, for the write; the result is then served from the table

@@ -242,6 +242,17 @@ ORACLES["b6_extract_text"] = _with(O.base_ctes(), (
     "SELECT capture_id, 'utf8' AS ocr_provider, ocr_text, "
     "CAST(len(list_filter(string_split(ocr_text, chr(10)), lambda s: length(s) > 0)) AS INTEGER) AS n_lines, "
     "CASE WHEN ocr_text = '' THEN 'utf8 returned no text' ELSE '' END AS ocr_warnings FROM caps"))
+# The chain of extractors as a table of attempts, folded like any other.
+_CHAIN = [
+    "answers AS (SELECT capture_id, 'paddleocr' AS provider, CASE WHEN ends_with(file_path, '.png') THEN ocr_text ELSE '' END AS text, []::VARCHAR[] AS lines, "
+    "ends_with(lower(file_path), '.tiff') AS refused FROM caps UNION ALL SELECT capture_id, 'utf8', ocr_text, "
+    "list_filter(string_split(ocr_text, chr(10)), lambda s: length(s) > 0), false FROM caps)",
+    "chain AS (SELECT capture_id, provider, 0 AS attempt_no, CAST(0 AS BIGINT) AS elapsed_ms, text, lines, "
+    f"CASE WHEN refused THEN ['PaddleOCR failed: unsupported file type'] WHEN {O.tr('text')} <> '' OR len(lines) > 0 THEN []::VARCHAR[] "
+    "WHEN provider = 'paddleocr' THEN ['PaddleOCR returned no text'] ELSE ['utf8 returned no text'] END AS warnings FROM answers)",
+]
+ORACLES["b6_extractor_chain"] = _with(O.base_ctes() + _CHAIN + O.resolve_ctes(["paddleocr", "utf8"], None, att="chain"), (
+    f"SELECT capture_id, ocr_provider, ocr_text, CAST(len(ocr_lines) AS INTEGER) AS n_lines, {j('ocr_warnings')} AS ocr_warnings FROM ocr"))
 _FLAT_OCR = FLAT_ANALYSIS
 ORACLES["j1_stream_analyze"] = _an(_FLAT_OCR)
 ORACLES["j2_stream_dedupe"] = _an(_FLAT_OCR.replace("SELECT capture_id,", f"SELECT {_fp()} AS fingerprint, capture_id,", 1))

@@ -548,6 +548,16 @@ def b6(spark, sf_dir):
                       j("ocr_warnings").alias("ocr_warnings"))
 
 
+@query("b6_extractor_chain")
+def b6_chain(spark, sf_dir):
+    """Two extractors in turn over the capture bytes: the second only where the first gives no text."""
+    from capsight.operators.ocr import extract_text, utf8_extractor
+    images = fx.captures(spark, sf_dir).select("capture_id", "file_path", F.encode("ocr_text", "UTF-8").alias("content"))
+    out = extract_text(images, chain=[("paddleocr", fx.png_extractor), ("utf8", utf8_extractor)], timeout_ms=60_000)
+    return out.select("capture_id", "ocr_provider", "ocr_text", F.size("ocr_lines").alias("n_lines"),
+                      j("ocr_warnings").alias("ocr_warnings"))
+
+
 # --- J. streaming ------------------------------------------------------------------
 
 def _doc_stream(spark, sf_dir):

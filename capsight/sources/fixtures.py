@@ -180,3 +180,10 @@ def with_ocr(caps: DataFrame) -> DataFrame:
         "ocr_lines": clean_lines(F.col("ocr_text")),
         "ocr_warnings": F.array().cast("array<string>"),
     })
+
+
+def png_extractor(data: bytes, path: str) -> str:
+    """The first of a chain: reads ``.png`` files, refuses ``.tiff`` and finds nothing in others."""
+    if path.lower().endswith(".tiff"):
+        raise ValueError("unsupported file type\nat decoder")
+    return data.decode("utf-8") if path.endswith(".png") else ""

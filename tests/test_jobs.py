@@ -40,6 +40,22 @@ def test_analyze_folder_with_store(spark):
     assert texts["chat.jpg"] == "ALICE\n12:30\nBOB" and spark.read.parquet(store).count() == 6  # another extractor, other results
 
 
+def test_analyze_folder_with_a_chain(spark, tmp_path):
+    """The second extractor sees only files without text so far; a chain has results of its own in the store."""
+    from capsight.operators.ocr import PerTask
+    from capsight.sources.fixtures import png_extractor
+    for name in ("a.png", "b.tiff", "c.jpg", "d.png"):
+        (tmp_path / name).write_bytes(f"text of {name}".encode() if name != "d.png" else b"  ")
+    store = os.path.join(tempfile.mkdtemp(prefix="capsight-store-"), "results")
+    chain = [("paddleocr", png_extractor), ("shout", PerTask(lambda: _shout))]
+    out = {r.file_name: r for r in analyze_folder(spark, str(tmp_path), chain=chain, store_path=store, timeout_ms=30_000).collect()}
+    assert [(n, r.ocr_provider, r.ocr_text, r.warnings) for n, r in sorted(out.items())] == [
+        ("a.png", "paddleocr", "text of a.png", []), ("b.tiff", "shout", "TEXT OF B.TIFF", ["PaddleOCR failed: unsupported file type"]),
+        ("c.jpg", "shout", "TEXT OF C.JPG", ["PaddleOCR returned no text"]), ("d.png", "paddleocr", "", ["PaddleOCR returned no text", "shout returned no text"])]
+    analyze_folder(spark, str(tmp_path), chain=chain[1:], store_path=store)
+    assert spark.read.parquet(store).count() == 8
+
+
 def test_compare_requests_with_missing_file(spark):
     from capsight.operators.analyze import analyze
     from capsight.operators.handoff import with_handoff

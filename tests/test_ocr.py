@@ -77,8 +77,9 @@ def test_merge_warnings(spark):
 def test_fold_holds_no_text(spark):
     df = spark.createDataFrame([(1, "paddleocr", 5, "x", [], [])], SCHEMA)
     plan = resolve_ocr(df.repartition(3))._jdf.queryExecution().optimizedPlan().toString()
-    fold = next(line for line in plan.split("\n") if "Aggregate [capture_id" in line and "collect_set" in line)
-    assert "_has_text" in fold and " text#" not in fold.split("collect_set(")[1].split(") AS ")[0]
+    fold = next(line for line in plan.split("\n") if "Aggregate [capture_id" in line and "collect_list" in line)
+    gathered = fold.split("collect_list(")[1].split(", 0, 0")[0]  # up to the end of the aggregate's own arguments
+    assert "_place" in gathered and " text#" not in gathered
 
 
 def test_hot_capture_keeps_every_attempt(spark):
@@ -118,6 +119,74 @@ def test_extract_text_errors_become_warnings_and_factory_runs_per_task(spark):
     assert out["/e.png"].ocr_warnings == ["m returned no text"]
 
 
+def _answer(text):
+    return lambda data, path: text
+
+
+def test_chain_goes_on_until_one_gives_text():
+    from capsight.operators.ocr import run_chain
+
+    def broken(data, path):
+        raise RuntimeError("no model\ntrace")
+
+    chain = [("macos_vision", broken), ("paddleocr", _answer("  ")), ("own", _answer({"text": "", "lines": ["x", "", 3], "provider": "engine"})), ("late", broken)]
+    assert run_chain(chain, b"", "/a")[:4] == ("engine", "", ["x"], ["macOS Vision OCR failed: no model", "PaddleOCR returned no text"])
+    assert run_chain(chain[:2], b"", "/a")[:4] == ("macos_vision", "", [], ["macOS Vision OCR failed: no model", "PaddleOCR returned no text"])
+    assert run_chain([("own", _answer(None))], b"", "/a")[:4] == ("own", "", [], ["own returned no text"])
+
+
+def test_chain_spends_its_budget_like_the_table_fold(spark):
+    """The same attempts, once run with a clock that the extractors move, once as rows."""
+    from capsight.operators.ocr import run_chain
+    names = ["macos_vision", "paddleocr", "third"]
+    for budget in (2000, 5000, 9000, 13000, 30000):
+        for times in ((100, 200, 300), (9000, 100, 100), (20000, 9000, 100), (4000, 4000, 100), (800, 800, 800)):
+            for texts in (("", "", "c"), ("", "b", "c"), ("", "", "")):
+                now = [0.0]
+
+                def extractor(ms, text):
+                    def fn(data, path):
+                        now[0] += ms / 1000
+                        return text
+                    return fn
+                got = run_chain([(n, extractor(t, x)) for n, t, x in zip(names, times, texts)], b"", "/a", budget, lambda: now[0])
+                labels = ("macOS Vision OCR", "PaddleOCR", "third")
+                rows = [(1, n, t, x, [], [] if x else [f"{label} returned no text"]) for n, label, t, x in zip(names, labels, times, texts)]
+                CASES.append((rows, budget, got))
+    for budget in {b for _, b, _ in CASES}:
+        mine = [(k, rows, got) for k, (rows, b, got) in enumerate(CASES) if b == budget]
+        table = spark.createDataFrame([(k, *r[1:]) for k, rows, _ in mine for r in rows], SCHEMA)
+        out = {r.capture_id: r for r in resolve_ocr(table, fallback=names, timeout_ms=budget).collect()}
+        for k, _, (provider, text, lines, warnings, spent) in mine:
+            r = out[k]
+            assert (provider, text, lines, warnings, spent) == (r.ocr_provider, r.ocr_text, r.ocr_lines, r.ocr_warnings, r.ocr_elapsed_ms)
+
+
+CASES: list = []
+
+
+def test_an_extractor_is_stopped_at_its_limit(spark):
+    import time as clock
+
+    from capsight.functions import rules
+    from capsight.operators.ocr import PerTask, extract_text
+
+    def slow():
+        def fn(data, path):
+            if path == "/slow":
+                clock.sleep(20)
+            return data.decode()
+        return fn
+
+    images = spark.createDataFrame([("/slow", b"late", 1), ("/fast", b"soon", 2), ("/null", None, 3)], "file_path string, content binary, ocr_text int").coalesce(1)
+    began = clock.time()
+    out = {r.file_path: r for r in extract_text(images, chain=[("slow", PerTask(slow)), ("second", lambda data, path: "fallback")], timeout_ms=4000).collect()}
+    assert clock.time() - began < 18
+    assert out["/slow"].ocr_text == "" and out["/slow"].ocr_warnings[0] == "slow failed: timed out"
+    assert out["/slow"].ocr_warnings[1] == f"Skipped second: remaining OCR budget 0ms is below {rules.OCR_MIN_ATTEMPT_MS}ms" and out["/slow"].ocr_elapsed_ms == 4000
+    assert out["/fast"].ocr_text == "soon" and out["/fast"].ocr_warnings == [] and out["/null"].ocr_text == "fallback"
+
+
 def test_bucketed_attempts_fold_without_shuffle(spark):
     import os
     import tempfile
@@ -130,3 +199,14 @@ def test_bucketed_attempts_fold_without_shuffle(spark):
     plan = folded._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan
     assert folded.count() == 200
+
+
+def test_attempts_are_scanned_and_shuffled_once(spark):
+    from capsight.operators.ocr import with_resolved_ocr
+    from capsight.sources import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    from capsight.session import write_scratch
+    attempts, captures = write_scratch(fx.attempts(spark, sf), "attempts"), write_scratch(fx.captures(spark, sf).drop("ocr_text"), "captures")
+    plan = with_resolved_ocr(captures, attempts, partitions=5)._jdf.queryExecution().executedPlan().toString()
+    # one exchange of the attempts with the asked number of parts, one of the captures to meet them
+    assert plan.count("Exchange hashpartitioning(capture_id") == 2 and "REPARTITION_BY_NUM" in plan and plan.count("Join") == 1
