@@ -1,20 +1,20 @@
 """H1-H4: recent media of every conversation and the context text built from it.
 
-``messages`` is ``(conv_id, turn, role, text)``; ``turn`` orders the messages of a conversation and may have gaps.
+``messages`` is ``(conv_id, turn, role, text)``; ``turn`` orders the messages of a conversation and may have gaps and ties.
+Messages of one turn are ordered by their text (null first), in H1, H2 and the streams alike.
 
 Plans:
 
 * H1 ``recent_media``: ``row_number() <= max_messages`` per conversation, which
   Spark runs as a partial ``WindowGroupLimit`` *before* the shuffle, so even a
   conversation holding a third of all messages sends at most ``max_messages``
-  rows per map task.  Path de-duplication and the ``max_images`` cap reuse the
-  ``conv_id`` partitioning (no second shuffle).
-* H2 ``recent_media_by_turn``: messages are numbered in their true order (counts per range of turns, running
-  offsets over ranges, row numbers inside a range, so a hot conversation is split); every mention is copied to the
-  ``max_messages`` as-of positions that can see it (bounded fan-out) and kept where that position exists (a window
-  over the few rows of ``(conv_id, position)``; no join).
-* H3 ``context_entries``: analyses only of the referenced captures (the newest per path, with the
-  context hint), joined back on ``file_path``; AQE broadcasts the analysis side
+  rows per map task.  The few rows of a conversation become one list of paths in the same partition.
+* H2 ``recent_media_by_turn``: a window over the last ``max_messages`` rows of each message, one shuffle.  Conversations of more than
+  ``range_rows`` messages are dealt into blocks of places first; a block also gets the ``max_messages - 1`` rows before it.
+  Places come from sampled range boundaries on (conversation, turn, text), counts per range and running offsets, whatever
+  the turns' values are.
+* H3 ``context_entries``: the media list and the newest capture per path are written once; analyses only of the referenced
+  captures, joined back on ``file_path``; AQE broadcasts the analysis side
   when its runtime size is under the broadcast threshold, else sort-merge with skewed paths split.
 * H4 ``conversation_context``: per conversation at most ``max_images`` entries.
 """
@@ -26,22 +26,32 @@ from pyspark.sql import functions as F
 
 from capsight.functions import rules as R
 from capsight.functions.text import W, js_trim
+from capsight.session import write_scratch
 from capsight.sources.listing import base_name
 
 MEDIA_JAVA = R.MEDIA_PATH_PATTERN.replace("{W}", W)
 
 
-RANGE = 4096  # turns of one range
+RANGE_ROWS = 65_536  # messages of one range, and of one block of a large conversation
 
 
-def with_positions(messages: DataFrame) -> DataFrame:
-    """Adds ``position``: the 0-based place of the message in its conversation (ties on ``turn``: by text)."""
-    ranged = messages.withColumn("_range", F.floor(F.col("turn") / RANGE))
+def _order(messages: DataFrame) -> list[str]:
+    return ["turn", "text"] if "text" in messages.columns else ["turn"]
+
+
+def with_positions(messages: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Adds ``position``: the 0-based place of the message in its conversation (ties on ``turn``: by text, null first).
+
+    Ranges are cut at boundaries that Spark samples from the rows, so they hold about ``range_rows`` each for any values of
+    ``turn``, and are written once, since their boundaries must not move.
+    """
+    order = _order(messages)
+    ranges = max(1, -(-messages.count() // range_rows))
+    ranged = write_scratch(messages.repartitionByRange(ranges, "conv_id", *order).withColumn("_range", F.spark_partition_id()), "ranges")
     counts = ranged.groupBy("conv_id", "_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("conv_id").orderBy("_range")) - F.col("_n")  # one row per range
+    before = F.sum("_n").over(Window.partitionBy("conv_id").orderBy("_range")) - F.col("_n")  # one row per range of a conversation
     offsets = counts.select("conv_id", "_range", before.alias("_before"))
-    ties = ["text"] if "text" in messages.columns else []
-    inside = F.row_number().over(Window.partitionBy("conv_id", "_range").orderBy("turn", *ties))
+    inside = F.row_number().over(Window.partitionBy("conv_id", "_range").orderBy(*order))
     return (ranged.withColumn("_inside", inside).join(offsets, ["conv_id", "_range"])
             .withColumn("position", (F.col("_before") + F.col("_inside") - 1).cast("long")).drop("_range", "_inside", "_before"))
 
@@ -57,14 +67,14 @@ def media_mentions(messages: DataFrame, text: str = "text") -> DataFrame:
     return m.select("conv_id", "turn", "idx", js_trim(F.col("raw")).alias("file_path")).where(F.col("file_path") != "")
 
 
-def _first_k(mentions: DataFrame, keys: list[str], max_images: int) -> DataFrame:
-    """Keep each path's first sighting by (recency, chunk, idx); keep the first ``max_images``; reverse."""
-    order = ["recency", "chunk_pos", "idx"] if "chunk_pos" in mentions.columns else ["recency", "idx"]
-    first = mentions.groupBy(*keys, "file_path").agg(F.min(F.struct(*order)).alias("seen"))
-    w = Window.partitionBy(*keys).orderBy("seen")
-    kept = first.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= max_images)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    return kept.select(*keys, (n - F.col("rn") + 1).cast("int").alias("media_pos"), "file_path")
+def _trimmed_paths(text: Column) -> Column:
+    """The media paths of one text, left to right, trimmed and without blanks."""
+    return F.filter(F.transform(mention_paths(text), js_trim), lambda p: p != "")
+
+
+def _current(newest_first: Column, max_images: int) -> Column:
+    """The first ``max_images`` distinct paths of lists that stand newest first, in reverse."""
+    return F.reverse(F.slice(F.array_distinct(F.flatten(newest_first)), 1, max_images))
 
 
 def recent_media(messages: DataFrame, max_messages: int = R.MAX_RECENT_MESSAGES,
@@ -81,39 +91,50 @@ def recent_media(messages: DataFrame, max_messages: int = R.MAX_RECENT_MESSAGES,
     from capsight.sources.payloads import message_leaves
     if max_messages <= 0 or max_images <= 0:
         raise ValueError("max_messages and max_images must be > 0")
-    w = Window.partitionBy("conv_id").orderBy(F.col("turn").desc())
-    recent = messages.withColumn("recency", F.row_number().over(w)).where(F.col("recency") <= max_messages)
-    extra = []
+    w = Window.partitionBy("conv_id").orderBy(F.col("turn").desc(), F.col(nested or "text").desc())
+    recent = messages.withColumn("_recency", F.row_number().over(w)).where(F.col("_recency") <= max_messages)
+    paths = _trimmed_paths(F.col("text"))
     if nested:
-        recent = recent.select("conv_id", "recency", F.posexplode(message_leaves(F.col(nested))).alias("chunk_pos", "text"))
-        extra = ["chunk_pos"]
-    m = recent.select("conv_id", "recency", *extra, F.posexplode(mention_paths(F.col("text"))).alias("idx", "raw"))
-    m = m.select("conv_id", "recency", *extra, "idx", js_trim(F.col("raw")).alias("file_path")) \
-         .where(F.col("file_path") != "")
-    return _first_k(m, ["conv_id"], max_images)
+        paths = F.flatten(F.transform(message_leaves(F.col(nested)), _trimmed_paths))
+    seen = F.sort_array(F.collect_list(F.struct(F.col("_recency").alias("recency"), paths.alias("paths"))))
+    lists = recent.groupBy("conv_id").agg(seen.alias("_seen"))  # at most max_messages rows, already together
+    current = _current(F.transform("_seen", lambda m: m["paths"]), max_images)
+    return lists.select("conv_id", F.posexplode(current).alias("_at", "file_path")).select("conv_id", (F.col("_at") + 1).alias("media_pos"), "file_path")
+
+
+def _blocks(messages: DataFrame, reach: int, range_rows: int) -> DataFrame:
+    """``messages`` with ``_block``, ``_own`` and ``_place`` (tells equal rows apart): a window over ``reach`` rows never leaves the block of a row of its own.
+
+    Conversations of at most ``range_rows`` messages are one block.  The rows of others are numbered and also go to the blocks
+    of the rows that look back at them, and one row ahead.
+    """
+    large = messages.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > range_rows).select("conv_id")
+    whole = messages.withColumns({"_block": F.lit(0).cast("long"), "_own": F.lit(True), "_place": F.lit(0).cast("long")})
+    if large.isEmpty():
+        return whole
+    large = write_scratch(large, "large")  # at most one row for every range_rows messages
+    size = max(range_rows, reach)
+    placed = with_positions(messages.join(large, "conv_id", "left_semi"), range_rows)
+    own = F.floor(F.col("position") / size)
+    seen = F.array_distinct(F.array(own, F.floor((F.col("position") + reach - 1) / size), F.floor((F.col("position") - 1) / size)))
+    copies = placed.withColumn("_block", F.explode(seen)).withColumn("_own", F.col("_block") == own).where("_block >= 0")
+    return whole.join(large, "conv_id", "left_anti").unionByName(copies.withColumnRenamed("position", "_place"))
 
 
 def recent_media_by_turn(messages: DataFrame, max_messages: int = R.MAX_RECENT_MESSAGES,
-                         max_images: int = R.MAX_IMAGE_COUNT) -> DataFrame:
-    """H2: ``conv_id, turn, media_pos, file_path``: H1 as of every turn of every conversation (gaps are fine)."""
+                         max_images: int = R.MAX_IMAGE_COUNT, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """H2: ``conv_id, turn, media_pos, file_path``: H1 as of every turn of every conversation, after the turn's last message."""
     if max_messages <= 0 or max_images <= 0:
         raise ValueError("max_messages and max_images must be > 0")
-    placed = with_positions(messages.select("conv_id", "turn", "text"))
-    trimmed = F.transform(mention_paths(F.col("text")), lambda p, i: F.struct(i.alias("idx"), js_trim(p).alias("file_path")))
-    placed = placed.select("conv_id", "position", "turn", F.filter(trimmed, lambda m: m["file_path"] != "").alias("_mentions"))
-
-    def seen_at(recency: Column, idx: Column, path: Column, turn: Column, ahead: Column) -> Column:
-        return F.struct((F.col("position") + ahead).alias("position"), recency.cast("int").alias("recency"), idx.cast("int").alias("idx"),
-                        path.cast("string").alias("file_path"), turn.cast("long").alias("as_of"))
-
-    # one row says that a position exists, one row per mention and position that can see it; a position's rows are few
-    here = F.array(seen_at(F.lit(0), F.lit(0), F.lit(None), F.col("turn"), F.lit(0)))
-    fan = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(max_messages - 1)), lambda d: F.transform(
-        "_mentions", lambda m: seen_at(d + 1, m["idx"], m["file_path"], F.lit(None), d))))
-    rows = placed.select("conv_id", F.explode(F.concat(here, fan)).alias("x")).select("conv_id", "x.*")
-    rows = rows.withColumn("as_of", F.max("as_of").over(Window.partitionBy("conv_id", "position")))
-    out = _first_k(rows.where("file_path IS NOT NULL AND as_of IS NOT NULL"), ["conv_id", "position", "as_of"], max_images)
-    return out.select("conv_id", F.col("as_of").alias("turn"), "media_pos", "file_path")
+    rows = _blocks(messages.select("conv_id", "turn", "text"), max_messages, range_rows)
+    rows = rows.withColumn("_paths", _trimmed_paths(F.col("text")))
+    turn = Window.partitionBy("conv_id", "_block").orderBy("turn", "text", "_place")
+    rows = rows.withColumns({"_seen": F.collect_list("_paths").over(turn.rowsBetween(1 - max_messages, Window.currentRow)),
+                             "_next": F.lead("turn").over(turn)})
+    last = rows.where(F.col("_own") & ~F.col("_next").eqNullSafe(F.col("turn")))
+    current = _current(F.reverse("_seen"), max_images)
+    return (last.select("conv_id", "turn", F.posexplode(current).alias("_at", "file_path"))
+            .select("conv_id", "turn", (F.col("_at") + 1).alias("media_pos"), "file_path"))
 
 
 def context_timeout_ms(ocr_timeout_ms: int = R.OCR_TIMEOUT_MS) -> int:
@@ -136,7 +157,7 @@ def context_entries(media: DataFrame, captures: DataFrame, attempts: DataFrame |
     """H3: one text entry per media row.
 
     The referenced captures are analysed with the context hint (only those: a semi-join first; of several captures
-    with one path the newest, ties to the larger id).  A successful analysis gives its image block plus the
+    with one path the newest, ties to the larger id); both lists are written to the shared folder once.  A successful analysis gives its image block plus the
     handoff block; a failed or missing one an ``analysis_failed`` block; an
     analysis whose OCR time exceeds the context limit an ``analysis_timed_out``
     block.  ``attempts=None``: the captures carry their OCR columns.  Output: media columns + ``status, entry``.
@@ -145,10 +166,11 @@ def context_entries(media: DataFrame, captures: DataFrame, attempts: DataFrame |
     from capsight.operators.handoff import render_handoff
 
     limit = context_timeout_ms(ocr_timeout_ms)
+    media = write_scratch(media, "context/media")
     paths = media.select("file_path").distinct()
     newest = (captures.select("file_path", "modified_ms", "capture_id").join(paths, "file_path", "left_semi")
               .groupBy("file_path").agg(F.max(F.struct("modified_ms", "capture_id")).alias("_n")))
-    newest = newest.select(F.col("_n.capture_id").alias("capture_id"))
+    newest = write_scratch(newest.select(F.col("_n.capture_id").alias("capture_id")), "context/newest")
     wanted = captures.join(newest, "capture_id", "left_semi").withColumn("hint", F.lit(R.CONTEXT_HINT))
     if attempts is not None:
         # OCR is resolved only for referenced captures.

@@ -400,11 +400,11 @@ def recent_media_ctes(max_messages: int, max_images: int, out: str = "media", by
     if by_turn:
         keys = "conv_id, as_of"
         win = ("SELECT a.conv_id, a.as_of, m.turn, m.text, row_number() OVER (PARTITION BY a.conv_id, a.as_of "
-               "ORDER BY m.turn DESC) AS recency FROM (SELECT DISTINCT conv_id, turn AS as_of FROM msgs) a "
+               "ORDER BY m.turn DESC, m.text DESC NULLS LAST) AS recency FROM (SELECT DISTINCT conv_id, turn AS as_of FROM msgs) a "
                "JOIN msgs m ON m.conv_id = a.conv_id AND m.turn <= a.as_of")
     else:
         keys = "conv_id"
-        win = "SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS recency FROM msgs"
+        win = "SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC NULLS LAST) AS recency FROM msgs"
     return [
         msgs,
         f"rm AS ({win})",

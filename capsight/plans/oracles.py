@@ -167,6 +167,10 @@ ORACLES["h2_recent_media_by_turn_3_2"] = _with(O.recent_media_ctes(3, 2, by_turn
 ORACLES["h2_gapped"] = _with(
     O.recent_media_ctes(8, 4, by_turn=True, given=f"SELECT * REPLACE (turn * turn * 3 + conv_id % 5 AS turn) FROM ({O.fixture_messages()})"),
     "SELECT conv_id, as_of AS turn, media_pos, file_path FROM media")
+_EPOCHS = (f"SELECT * REPLACE (CASE WHEN conv_id % 3 = 0 THEN -1 ELSE conv_id END AS conv_id, 1704067200000 + "
+           f"CAST(floor((CASE WHEN conv_id % 3 = 0 THEN conv_id * 40 + turn ELSE turn END) / 3) AS BIGINT) * 60000 AS turn) FROM ({O.fixture_messages()})")
+ORACLES["h1_epoch_ties"] = _with(O.recent_media_ctes(8, 4, given=_EPOCHS), "SELECT conv_id, media_pos, file_path FROM media")
+ORACLES["h2_epoch_ties"] = _with(O.recent_media_ctes(8, 4, by_turn=True, given=_EPOCHS), "SELECT conv_id, as_of AS turn, media_pos, file_path FROM media")
 ORACLES["h3_context_entries"] = _with(O.context_ctes(), "SELECT conv_id, media_pos, file_path, status, entry FROM entries")
 ORACLES["h4_conversation_context"] = _with(O.context_ctes(), (
     "SELECT conv_id, CAST(count(*) AS BIGINT) AS n_entries, "
@@ -257,6 +261,7 @@ _FLAT_OCR = FLAT_ANALYSIS
 ORACLES["j1_stream_analyze"] = _an(_FLAT_OCR)
 ORACLES["j2_stream_dedupe"] = _an(_FLAT_OCR.replace("SELECT capture_id,", f"SELECT {_fp()} AS fingerprint, capture_id,", 1))
 ORACLES["j3_stream_context"] = ORACLES["h1_recent_media"]
+ORACLES["j3_epoch_ties"] = ORACLES["h1_epoch_ties"]
 
 # --- A5, A6, F5 ----------------------------------------------------------------------
 

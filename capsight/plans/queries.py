@@ -367,6 +367,27 @@ def h1_nested(spark, sf_dir):
     return recent_media(fx.nested_messages(spark, sf_dir), nested="message")
 
 
+def epoch_messages(spark, sf_dir) -> DataFrame:
+    """Turns in epoch milliseconds, three messages a turn; a third of the conversations are one."""
+    msgs = fx.messages(spark, sf_dir)
+    place = F.when(F.col("conv_id") % 3 == 0, F.col("conv_id") * 40 + F.col("turn")).otherwise(F.col("turn"))
+    return msgs.withColumns({"turn": F.lit(1_704_067_200_000) + F.floor(place / 3) * 60_000,
+                             "conv_id": F.when(F.col("conv_id") % 3 == 0, F.lit(-1)).otherwise(F.col("conv_id")).cast("long")})
+
+
+@query("h1_epoch_ties")
+def h1_ties(spark, sf_dir):
+    from capsight.operators.context import recent_media
+    return recent_media(epoch_messages(spark, sf_dir))
+
+
+@query("h2_epoch_ties")
+def h2_ties(spark, sf_dir):
+    """H2 on the same messages, the large conversation in blocks of 64 places."""
+    from capsight.operators.context import recent_media_by_turn
+    return recent_media_by_turn(epoch_messages(spark, sf_dir), range_rows=64)
+
+
 @query("h2_gapped")
 def h2_gapped(spark, sf_dir):
     """H2 on turns with gaps."""
@@ -560,6 +581,12 @@ def b6_chain(spark, sf_dir):
 
 # --- J. streaming ------------------------------------------------------------------
 
+def _once(name: str) -> str:
+    """A folder of its own for a run that is not resumed."""
+    import uuid
+    return f"{name}-{uuid.uuid4().hex[:12]}"
+
+
 def _doc_stream(spark, sf_dir):
     from capsight.streaming.jobs import file_stream
     return file_stream(spark, sf_dir, fx.table(spark, sf_dir, "documents"), glob="documents.parquet")
@@ -569,7 +596,7 @@ def _doc_stream(spark, sf_dir):
 def j1(spark, sf_dir):
     from capsight.streaming.jobs import run_available_now, stream_analyze
     caps = fx.with_ocr(fx.captures_from(_doc_stream(spark, sf_dir)))
-    out = run_available_now(flat_analysis(stream_analyze(caps)), "analyze")
+    out = run_available_now(flat_analysis(stream_analyze(caps)), _once("analyze"))
     return spark.read.parquet(out)
 
 
@@ -580,8 +607,8 @@ def j2(spark, sf_dir):
     docs = fx.table(spark, sf_dir, "documents")
     twice = docs.withColumn("arrival", F.explode(F.array(F.lit(1), F.lit(2))))
     caps = fx.with_ocr(fx.captures_from(arriving(twice, "captures").drop("arrival")))
-    out = dedupe_available_now(caps, "dedupe", lambda rows: flat_analysis(stream_analyze(rows), "fingerprint"))
-    return spark.read.parquet(out).drop("batch")
+    out = dedupe_available_now(caps, _once("dedupe"), lambda rows: flat_analysis(stream_analyze(rows), "fingerprint"))
+    return spark.read.parquet(out)
 
 
 @query("j3_stream_context")
@@ -589,5 +616,13 @@ def j3(spark, sf_dir):
     """Messages arrive out of order in three batches or more; the result is H1 of all."""
     from capsight.streaming.jobs import arriving, latest_context, run_available_now, stream_context
     conv = arriving(fx.table(spark, sf_dir, "conversations"), "messages")
-    out = run_available_now(stream_context(fx.messages_from(conv)), "context")
+    out = run_available_now(stream_context(fx.messages_from(conv)), _once("context"))
+    return latest_context(spark.read.parquet(out))
+
+
+@query("j3_epoch_ties")
+def j3_ties(spark, sf_dir):
+    """J3 on turns in epoch milliseconds with ties, one conversation holding a third of all messages."""
+    from capsight.streaming.jobs import arriving, latest_context, run_available_now, stream_context
+    out = run_available_now(stream_context(arriving(epoch_messages(spark, sf_dir), "epochs")), _once("epochs"))
     return latest_context(spark.read.parquet(out))

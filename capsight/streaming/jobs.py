@@ -2,16 +2,16 @@
 
 * J1 ``stream_analyze``: the per-capture analysis is stateless, so it runs on a
   stream unchanged (same column expressions as the batch job).
-* J2 ``dedupe_available_now``: a fingerprint is analysed once, whenever it arrives: every micro-batch is
-  de-duplicated and anti-joined with the fingerprints that earlier batches have written.  No watermark, no event time: a
-  capture with an old file time is as new as any other.
+* J2 ``stream_dedupe``: a fingerprint is analysed once, whenever it arrives: fingerprints lie in a keyed state store (RocksDB, so the
+  state may outgrow memory; a batch reads and writes only its own keys).  No watermark, no event time: a capture with an old
+  file time is as new as any other.
 * J3 ``stream_context``: media paths are extracted by column expressions before the state; per conversation the path lists
   of the last ``max_messages`` messages live in ``applyInPandasWithState`` state (bounded per key, trimmed after every
   chunk); after every batch the conversation's current media list is emitted with a sequence number, an empty list too.
 
-Sinks are parquet folders with checkpoints under the shared
-``spark.checkpoint.dir`` (``capsight.session.scratch_path``); runs use the
-``availableNow`` trigger, and restart from the checkpoint after a failure.
+``run_available_now(df, folder)`` writes rows to ``<folder>/out`` with its checkpoint in ``<folder>/checkpoint``, under the shared
+``spark.checkpoint.dir`` unless the folder is a full path.  Run again under the same folder, a stream goes on where it ended or was
+stopped: the file sink takes every batch once, the state and the offsets come from the checkpoint.
 """
 
 from __future__ import annotations
@@ -28,18 +28,41 @@ from capsight.functions.text import js_trim
 from capsight.session import scratch_path
 
 
-def run_available_now(df: DataFrame, name: str, output_mode: str = "append") -> str:
-    """Run a streaming DataFrame to completion into a parquet folder; returns the folder."""
+#: State beyond memory, and only what has changed goes to the checkpoint.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def stream_folder(spark: SparkSession, folder: str) -> str:
+    """``folder``, under the shared checkpoint folder unless it is a full path."""
+    return folder if folder.startswith("/") or "://" in folder else scratch_path(spark, f"streams/{folder}")
+
+
+def run_available_now(df: DataFrame, folder: str, output_mode: str = "append") -> str:
+    """Run a streaming DataFrame over all that is available into ``<folder>/out``; returns that folder.
+
+    The caller names the folder; the same name resumes the stream.
+    """
     spark = df.sparkSession
-    run = f"{name}-{uuid.uuid4().hex[:12]}"
-    out = scratch_path(spark, f"streams/{run}/out")
-    q = (df.writeStream.format("parquet").outputMode(output_mode)
-         .option("checkpointLocation", scratch_path(spark, f"streams/{run}/checkpoint"))
-         .trigger(availableNow=True).start(out))
+    base = stream_folder(spark, folder)
+    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
+    for k, v in STATE_STORE.items():
+        spark.conf.set(k, v)
+    try:
+        q = (df.writeStream.format("parquet").outputMode(output_mode).option("checkpointLocation", f"{base}/checkpoint")
+             .trigger(availableNow=True).start(f"{base}/out"))
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return out
+    return f"{base}/out"
 
 
 def stream_analyze(captures: DataFrame, **analysis_kw) -> DataFrame:
@@ -49,35 +72,23 @@ def stream_analyze(captures: DataFrame, **analysis_kw) -> DataFrame:
     return with_handoff(analyze(captures, **analysis_kw))
 
 
-def dedupe_available_now(captures: DataFrame, name: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> str:
-    """Run a stream of captures to completion; returns the folder of the de-duplicated rows.
+def stream_dedupe(captures: DataFrame) -> DataFrame:
+    """The captures of a stream whose fingerprint has not come before; adds ``fingerprint`` where it is missing."""
+    from capsight.operators.incremental import with_fingerprint
+    keyed = captures if "fingerprint" in captures.columns else with_fingerprint(captures)
+    return keyed.dropDuplicates(["fingerprint"])
 
-    Each batch writes its new fingerprints (after ``transform``, which must keep ``fingerprint``) to ``batch=<id>``,
-    replacing what an interrupted attempt of the same batch left, so a restart neither loses nor repeats a row.  The
-    anti-join reads the narrow fingerprint column of the other batches.
+
+def dedupe_available_now(captures: DataFrame, folder: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> str:
+    """J2 as a job: run a stream of captures over all that is available; returns the folder of the de-duplicated rows.
+
+    ``transform`` (stateless, such as the analysis) sees each fingerprint once over all runs under the same ``folder``.
     """
-    from capsight.operators.incremental import with_fingerprint
-    spark = captures.sparkSession
-    keyed = with_fingerprint(captures) if "fingerprint" not in captures.columns else captures
-    run = f"{name}-{uuid.uuid4().hex[:12]}"
-    out = scratch_path(spark, f"streams/{run}/out")
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.dropDuplicates(["fingerprint"])
-        if batch_id:
-            seen = batch.sparkSession.read.parquet(*(f"{out}/batch={k}" for k in range(batch_id))).select("fingerprint")
-            rows = rows.join(seen, "fingerprint", "left_anti")
-        (transform(rows) if transform else rows).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    q = (keyed.writeStream.foreachBatch(store).option("checkpointLocation", scratch_path(spark, f"streams/{run}/checkpoint"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return out
+    rows = stream_dedupe(captures)
+    return run_available_now(transform(rows) if transform else rows, folder)
 
 
-CONTEXT_STATE = "turns array<bigint>, paths array<string>, seq bigint"
+CONTEXT_STATE = "turns array<bigint>, texts array<string>, paths array<string>, seq bigint"
 CONTEXT_OUTPUT = "conv_id bigint, seq bigint, paths array<string>"
 
 
@@ -86,7 +97,8 @@ def stream_context(messages: DataFrame, max_messages: int = R.MAX_RECENT_MESSAGE
     """``conv_id, seq, paths`` after every batch of each conversation: its current media list, oldest first.
 
     ``seq`` counts the messages the conversation has seen; the row with the highest ``seq`` is its current list (H1 at
-    the latest turn), empty once no recent message names a medium.  Messages may arrive in any order.
+    the latest turn), empty once no recent message names a medium.  Messages may arrive in any order; those of one turn are ordered
+    by their text (null first).
     """
     import pandas as pd
 
@@ -106,18 +118,19 @@ def stream_context(messages: DataFrame, max_messages: int = R.MAX_RECENT_MESSAGE
         if state.hasTimedOut:
             state.remove()
             return
-        kept, seq = (list(zip(state.get[0], state.get[1])), state.get[2]) if state.exists else ([], 0)
+        kept, seq = (list(zip(*state.get[:3])), state.get[3]) if state.exists else ([], 0)
         for pdf in batches:
-            kept = sorted([*kept, *zip(pdf["turn"].tolist(), pdf["paths"].tolist())], key=lambda x: x[0])[-max_messages:]
+            texts = [t if isinstance(t, str) else None for t in pdf["text"]]
+            kept = sorted([*kept, *zip(pdf["turn"].tolist(), texts, pdf["paths"].tolist())], key=lambda m: (m[0], m[1] is not None, m[1] or ""))[-max_messages:]
             seq += len(pdf)
-        state.update(([int(t) for t, _ in kept], [p for _, p in kept], seq))
+        state.update(([int(t) for t, _, _ in kept], [x for _, x, _ in kept], [p for _, _, p in kept], seq))
         if idle_timeout:
             state.setTimeoutDuration(idle_timeout)
-        yield pd.DataFrame({"conv_id": [key[0]], "seq": [seq], "paths": [current(p for _, p in reversed(kept))]})
+        yield pd.DataFrame({"conv_id": [key[0]], "seq": [seq], "paths": [current(p for _, _, p in reversed(kept))]})
 
     timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_timeout else GroupStateTimeout.NoTimeout
     named = F.filter(F.transform(mention_paths(F.col("text")), js_trim), lambda p: p != "")  # a path holds no line break
-    return (messages.select("conv_id", "turn", F.array_join(named, "\n").alias("paths")).groupBy("conv_id")
+    return (messages.select("conv_id", "turn", "text", F.array_join(named, "\n").alias("paths")).groupBy("conv_id")
             .applyInPandasWithState(update, CONTEXT_OUTPUT, CONTEXT_STATE, "append", timeout))
 
 

@@ -155,3 +155,46 @@ def test_entries_without_attempts_and_with_two_captures_on_one_path(spark):
     media = spark.createDataFrame([(1, 1, "/img/r.png"), (2, 1, "/img/r.png"), (2, 2, "/img/gone.png")], "conv_id long, media_pos int, file_path string")
     out = sorted((r.conv_id, r.media_pos, r.status, "amount=2" in r.entry) for r in context_entries(media, caps, None).collect())
     assert out == [(1, 1, "ok", True), (2, 1, "ok", True), (2, 2, "analysis_failed", False)]
+
+
+def _as_of(rows, max_messages, max_images):
+    """Brute force: per conversation and turn the list after the turn's last message."""
+    out = {}
+    for c in {r[0] for r in rows}:
+        mine = sorted((t, x is not None, x or "") for k, t, _, x in rows if k == c)
+        for turn in {t for t, _, _ in mine}:
+            upto = [x for t, _, x in mine if t <= turn][-max_messages:]
+            paths = list(dict.fromkeys(p for x in upto[::-1] for p in MEDIA.findall(x)))[:max_images][::-1]
+            if paths:
+                out[(c, turn)] = paths
+    return out
+
+
+def test_large_conversations_in_blocks_equal_brute_force(spark):
+    """Epoch turns with ties over block edges, null texts, repeated rows; blocks smaller and larger than the window."""
+    import random
+    rng = random.Random(5)
+    rows = [(1, 1_700_000_000_000 + rng.randrange(60) * 60_000, "u", None if i % 11 == 0 else f"n{rng.randrange(4)} " + (M.format(f"/i{i % 17}.png") if i % 3 == 0 else ""))
+            for i in range(230)]
+    rows += [(c, t, "u", M.format(f"/s{(c + t) % 5}.png")) for c in range(2, 9) for t in range(c)] + [(1, 1_700_000_000_000, "u", M.format("/i1.png"))] * 3
+    df = msgs(spark, rows).repartition(6)
+    want = _as_of(rows, 8, 4)
+    for range_rows in (3, 20, 10_000):
+        assert listed(recent_media_by_turn(df, range_rows=range_rows), "conv_id", "turn") == want, range_rows
+    assert listed(recent_media(df), "conv_id") == {(c,): want[(c, max(t for k, t in want if k == c))] for c in {k for k, _ in want}}
+
+
+def test_ranges_follow_the_rows_not_the_turns(spark):
+    """20,000 messages a minute apart in epoch milliseconds: some ten ranges of about equal size."""
+    from pyspark.sql import functions as F
+    from capsight.operators import context as C
+    rows = spark.range(20_000).select(F.lit(1).alias("conv_id"), (F.lit(1_704_067_200_000) + F.col("id") * 60_000).alias("turn"), F.lit("x").alias("text")).repartition(5)
+    kept = []
+    write, C.write_scratch = C.write_scratch, lambda df, name: kept.append(write(df, name)) or kept[-1]
+    try:
+        got = C.with_positions(rows, range_rows=2000)
+        assert got.where("position <> (turn - 1704067200000) / 60000").count() == 0 and got.count() == 20_000
+    finally:
+        C.write_scratch = write
+    sizes = [r["count"] for r in kept[0].groupBy("_range").count().collect()]
+    assert 8 <= len(sizes) <= 10 and max(sizes) < 4000

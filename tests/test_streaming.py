@@ -67,3 +67,78 @@ def test_window_that_scrolls_out_is_empty(spark):
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(d))
     emitted = spark.read.parquet(run_available_now(stream_context(stream), "scrolled"))
     assert emitted.count() >= 2 and latest_context(emitted).count() == 0
+
+
+def _add(folder, k, rows_df):
+    rows_df.coalesce(1).write.mode("append").parquet(f"{folder}/part={k}")
+
+
+def _source(spark, folder, like):
+    return (spark.readStream.schema(like.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet").parquet(folder))
+
+
+def test_dedupe_resumes_under_its_name(spark, tmp_path):
+    """Stopped after two batches, failed once in the third, run again: each fingerprint once, none analysed twice."""
+    import pytest
+    from pyspark.sql import functions as F
+    from capsight.streaming.jobs import dedupe_available_now
+    from tests.conftest import capture_rows
+    caps = capture_rows(spark, [{"file_name": f"p{i}.png"} for i in range(12)])
+    src, seen = str(tmp_path / "in"), spark.sparkContext.accumulator(0)
+    broken = [False]
+
+    def analysed(rows):
+        def mark(batches):
+            for pdf in batches:
+                if broken[0]:
+                    raise RuntimeError("stopped")
+                seen.add(len(pdf))
+                yield pdf
+        return rows.mapInPandas(mark, rows.schema)
+
+    _add(src, 0, caps.where("capture_id < 6"))
+    _add(src, 1, caps.where("capture_id between 3 and 8"))
+    name = str(tmp_path / "run")
+    assert spark.read.parquet(dedupe_available_now(_source(spark, src, caps), name, analysed)).count() == 9 and seen.value == 9
+    _add(src, 2, caps)
+    broken[0] = True
+    with pytest.raises(Exception):
+        dedupe_available_now(_source(spark, src, caps), name, analysed)
+    broken[0] = False
+    out = spark.read.parquet(dedupe_available_now(_source(spark, src, caps), name, analysed))
+    assert sorted(r.file_name for r in out.collect()) == sorted(f"p{i}.png" for i in range(12)) and seen.value == 12
+    assert out.select("fingerprint").distinct().count() == 12
+    assert spark.read.parquet(dedupe_available_now(_source(spark, src, caps), name, analysed)).count() == 12  # nothing new: nothing happens
+
+
+def test_analysis_and_context_streams_resume(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from capsight.sources import fixtures as fx
+    from capsight.streaming.jobs import latest_context, run_available_now, stream_analyze, stream_context
+    msgs = fx.messages(spark, SF)
+    src, name = str(tmp_path / "in"), str(tmp_path / "run")
+    _add(src, 0, msgs.where("turn < 2"))
+    run_available_now(stream_context(_source(spark, src, msgs)), name)
+    _add(src, 1, msgs.where("turn >= 2"))
+    emitted = spark.read.parquet(run_available_now(stream_context(_source(spark, src, msgs)), name))
+    assert rows(latest_context(emitted).select("conv_id", "media_pos", "file_path")) == rows(QUERIES["h1_recent_media"](spark, SF).select("conv_id", "media_pos", "file_path"))
+    assert emitted.agg(F.sum("seq")).first()[0] > msgs.count()  # the second run went on from the first one's counts
+    caps = fx.with_ocr(fx.captures(spark, SF))
+    src, name = str(tmp_path / "in2"), str(tmp_path / "run2")
+    for k in range(2):
+        _add(src, k, caps.where(F.col("capture_id") % 2 == k))
+        out = run_available_now(stream_analyze(_source(spark, src, caps)), name)
+    assert spark.read.parquet(out).count() == 200
+
+
+def test_ties_are_ordered_alike_in_batch_and_stream(spark):
+    from capsight.operators.context import recent_media
+    from capsight.streaming.jobs import arriving, latest_context, run_available_now, stream_context
+    marks = ["[media attached: /{}.png | x]".format(c) for c in "fabcdeg"]
+    df = spark.createDataFrame([(1, 5, "u", m) for m in marks] + [(1, 5, "u", None), (1, 5, "u", "plain"), (1, 5, "u", "zz")], "conv_id long, turn long, role string, text string")
+    want = rows(recent_media(df, 4, 4).select("conv_id", "media_pos", "file_path"))
+    assert [r[2] for r in want] == ["/f.png", "/g.png"]  # the last four by text: f, g, plain, zz
+    for k in range(2):
+        emitted = spark.read.parquet(run_available_now(stream_context(arriving(df, f"ties{k}", 3 + k), 4, 4), f"ties{k}"))
+        assert rows(latest_context(emitted).select("conv_id", "media_pos", "file_path")) == want
