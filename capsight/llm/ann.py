@@ -53,12 +53,12 @@ def fit(vectors: DataFrame, width: int, trees: int, sample: int = SAMPLE, leaf:
     return [R.build(rows, leaf, [seed, t]) for t in range(trees)]
 
 
-def _best(distance: np.ndarray, exact, keep: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per query the points among the ``keep`` nearest (ties included) with exact distances."""
+def _best(distance: np.ndarray, slack: np.ndarray, exact, keep: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per query the points among the ``keep`` nearest (ties included) with exact distances; ``slack``: what the squares may be off by."""
     k = min(keep, distance.shape[1]) - 1
     edge = np.partition(distance, k, axis=1)[:, k]
     for q in range(len(distance)):
-        at = np.flatnonzero(distance[q] <= edge[q] + 1e-9 * (1 + abs(edge[q])))
+        at = np.flatnonzero(distance[q] <= edge[q] + slack[q])
         yield q, at, exact(q, at)
 
 
@@ -70,12 +70,17 @@ def _leaf_search(width: int, keep: int):
         a, b = R.matrix(queries.column("v"), width), R.matrix(vectors.column("v"), width)
         qid, cid = queries.column("qid").to_numpy(), vectors.column("cid").to_numpy()
         out = []
-        sizes = (b * b).sum(1)
+        scale = max(np.abs(a).max(), np.abs(b).max())  # squares neither overflow nor vanish, and a common offset costs no digits
+        centre = (b / scale).mean(0)
+        c = b / scale - centre
+        sizes = (c * c).sum(1)
         for at in range(0, len(a), 256):
             part = a[at:at + 256]
-            near = sizes[None, :] - 2 * (part @ b.T)
-            near += (part * part).sum(1)[:, None]
-            for q, i, d in _best(near, lambda q, i: np.sqrt(((b[i] - part[q]) ** 2).sum(1)), keep):
+            p = part / scale - centre
+            own = (p * p).sum(1)
+            near = sizes[None, :] - 2 * (p @ c.T) + own[:, None]
+            slack = 8e-16 * (width + 8) * (own + sizes.max() + 4 * (centre * centre).sum() + 1e-300)
+            for q, i, d in _best(near, slack, lambda q, i: R.lengths(b[i] - part[q]), keep):
                 first = np.lexsort((cid[i], d))[:keep]
                 out.append((np.full(len(first), qid[at + q]), cid[i][first], d[first]))
         return pa.table({"qid": np.concatenate([x[0] for x in out]), "cid": np.concatenate([x[1] for x in out]), "score": np.concatenate([x[2] for x in out])})

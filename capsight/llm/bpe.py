@@ -12,7 +12,7 @@ all other pairs are contracted one by one.  Pieces over ``HUGE`` bytes, whose ro
 order (minimum rank, then leftmost) from a queue over linked arrays, in time that grows little faster than their length.
 
 One narrow stage: no shuffle.  Memory per task is bounded by ``SLICE`` bytes of text (or one document), ``STEPS`` rounds of one recursive query and
-a cache of at most ``CACHE`` pieces per Python worker, a pure cache that a lost executor rebuilds.
+two generations of at most ``CACHE`` bytes of cached pieces per Python worker, a pure cache that a lost executor rebuilds.
 
 Null texts count as empty: no ids, the digests of nothing.  Repeated rows are encoded alike.  An empty table gives an empty result.
 Extra columns are ignored; output names do not depend on them.
@@ -32,9 +32,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from capsight.llm.common import arrow_schema, release, table, workers_import
 
-SLICE = 4 << 20
-CACHE = 200_000
-ROUND = 30_000
+SLICE = 2 << 20
+CACHE = 32 << 20  # bytes of one generation of cached pieces, of two
+ENTRY = 190  # bytes that a cached piece takes besides its own
+ROUND = 10_000
 LONG = 64
 HUGE = 30_000
 IDS = 400_000  # ids that one query decodes
@@ -108,15 +109,18 @@ class Codec:
 
         self.ranks = read_ranks(path)
         self.bytes_id = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
-        rows = [(left, right, rank) for token, rank in self.ranks.items() for i in range(1, len(token))
-                if (left := self.ranks.get(token[:i])) is not None and (right := self.ranks.get(token[i:])) is not None]
-        left, right, rank = np.array(rows or np.zeros((0, 3)), dtype=np.int64).T
+        found = array("q")
+        for token, rank in self.ranks.items():
+            for i in range(1, len(token)):
+                if (head := self.ranks.get(token[:i])) is not None and (tail := self.ranks.get(token[i:])) is not None:
+                    found.extend((head, tail, rank))
+        left, right, rank = np.frombuffer(found, dtype=np.int64).reshape(-1, 3).T
         merges = pa.table({"pair": left << 32 | right, "r": rank.astype(np.int32)})
         lower = np.unique(np.concatenate([left[rank < left], right[rank < right]]))
         made = np.unique(rank)
         safety = pa.table({"rank": made, "safe": ~np.isin(made, lower)})
         vocabulary = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "bytes": [t.hex() for t in self.ranks]})
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         for name, rows in (("merges", merges), ("safety", safety), ("vocabulary", vocabulary)):
             self.db.register("given", rows)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
@@ -124,7 +128,12 @@ class Codec:
         order = np.argsort(left << 32 | right)
         self.pair, self.pair_rank = (left << 32 | right)[order], rank[order]
         self.rank_of: dict[int, int] = {}  # of pairs, filled for the first huge piece
-        self.seen: dict[bytes, tuple[bytes, bytes]] = {}  # piece -> packed ids, their decoded bytes
+        # piece -> packed ids, their decoded bytes (None where equal): those of late, and those from before that may come again
+        self.seen: dict[bytes, tuple[bytes, bytes | None]] = {}
+        self.older: dict[bytes, tuple[bytes, bytes | None]] = {}
+        self.held = 0  # bytes of ``seen``
+        del merges, safety, vocabulary, found, left, right, rank, lower, made, order
+        release()
 
     def _query(self, sql: str, **tables: pa.Table) -> pa.Table:
         for name, rows in tables.items():
@@ -208,7 +217,30 @@ class Codec:
         whole += huge
         packed += map(self._merge_huge, huge)
         for x, ids, plain in zip(whole, packed, self.decode(packed)):
-            self.seen[x] = ids, x if x == plain else plain  # one copy of equal bytes
+            self._keep(x, (ids, None if x == plain else plain))
+
+    def _keep(self, piece: bytes, known: tuple[bytes, bytes | None]) -> None:
+        self.seen[piece] = known
+        self.held += len(piece) + len(known[0]) + ENTRY
+
+    def encoded(self, pieces: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+        """Packed ids and decoded bytes of ``pieces``, from the cache where it has them.
+
+        When ``seen`` is full it becomes ``older``; pieces found there move back, so that frequent ones stay.
+        """
+        if self.held > CACHE:
+            self.seen, self.older, self.held = {}, self.seen, 0
+        new = []
+        for x in pieces:
+            if x not in self.seen:
+                if (known := self.older.get(x)) is not None:
+                    self._keep(x, known)
+                else:
+                    new.append(x)
+        if new:
+            self.learn(new)
+        found = [self.seen[x] for x in pieces]
+        return [ids for ids, _ in found], [x if plain is None else plain for x, (_, plain) in zip(pieces, found)]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes of packed id lists; empty lists give empty bytes."""
@@ -287,16 +319,8 @@ def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return where, np.diff(np.searchsorted(where, offsets))
 
 
-def _gather(flat: np.ndarray, offsets: np.ndarray, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Concatenation of ``flat[offsets[i]:offsets[i + 1]]`` over ``pick``, and the running lengths."""
-    lengths = (offsets[1:] - offsets[:-1])[pick]
-    ends = np.cumsum(lengths)
-    index = np.arange(ends[-1] if len(ends) else 0) + np.repeat(offsets[:-1][pick] - (ends - lengths), lengths)
-    return flat[index], np.concatenate([[0], ends])
-
-
 def _slice(coder: Codec, texts: pa.Array) -> dict[str, list]:
-    """Digests, ids and decoded bytes of a few megabytes of texts."""
+    """Ids and decoded bytes of a few megabytes of texts."""
     texts = texts.fill_null("").cast(pa.large_binary())
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
     raw = texts.buffers()[2]
@@ -305,19 +329,16 @@ def _slice(coder: Codec, texts: pa.Array) -> dict[str, list]:
     where, per_text = split(data, offsets)
     bounds = np.concatenate([where, [len(data)]]).astype(np.int64)
     pieces = pa.Array.from_buffers(pa.large_binary(), len(where), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-    distinct = pieces.dictionary.to_pylist()
-    if len(coder.seen) + len(distinct) > CACHE:
-        coder.seen.clear()
-    coder.learn([x for x in distinct if x not in coder.seen])
-    packed, plain = zip(*(coder.seen[x] for x in distinct)) if distinct else ((), ())
+    packed, plain = coder.encoded(pieces.dictionary.to_pylist())
     pick = pieces.indices.to_numpy(zero_copy_only=False)
-    id_off = np.concatenate([[0], np.cumsum([len(x) // 4 for x in packed], dtype=np.int64)])
-    ids, id_ends = _gather(np.frombuffer(b"".join(packed), dtype="<u4"), id_off, pick)
-    text_off = np.concatenate([[0], np.cumsum([len(x) for x in plain], dtype=np.int64)])
-    decoded, text_ends = _gather(np.frombuffer(b"".join(plain), dtype=np.uint8), text_off, pick)
-    last = np.concatenate([[0], np.cumsum(per_text)])
-    return {"ids": [ids[a:b] for a, b in zip(id_ends[last[:-1]], id_ends[last[1:]])],
-            "decoded": [decoded[a:b].tobytes() for a, b in zip(text_ends[last[:-1]], text_ends[last[1:]])]}
+    out: dict[str, list] = {"ids": [], "decoded": []}
+    at = 0
+    for n in per_text.tolist():
+        mine = pick[at:at + n].tolist()
+        out["ids"].append(np.frombuffer(b"".join([packed[k] for k in mine]), dtype="<u4"))
+        out["decoded"].append(b"".join([plain[k] for k in mine]))
+        at += n
+    return out
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -346,7 +367,7 @@ def tokenize(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id"
             for a, b in _slices(texts):
                 out = _slice(coder, texts.slice(a, b - a))
                 columns = [batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array([len(x) for x in out["ids"]], pa.int64()),
-                           pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in out["ids"]]),
+                           pa.array([hashlib.sha256(x).hexdigest() for x in out["ids"]]),
                            pa.array([hashlib.sha256(x).hexdigest() for x in out["decoded"]])]
                 if ids:
                     columns.append(pa.array([x.tobytes() for x in out["ids"]], pa.binary()))

@@ -151,6 +151,7 @@ def _compare(width: int, cosine: float):
         left, right, leaf = (block.column(c)[0].as_py() for c in ("i", "j", "leaf"))
         cid, copies, own = (block.column(c).to_numpy() for c in ("cid", "copies", "own"))
         v = R.matrix(block.column("v"), width)
+        v = v / np.abs(v).max(1, keepdims=True)  # squares neither overflow nor vanish
         size = np.linalg.norm(v, axis=1)
         unit = v / size[:, None]
         linked = np.zeros((len(v), len(v)), dtype=bool)

@@ -3,19 +3,22 @@
 ``kd_shards`` splits the whole table until there are ``shards`` leaves (each node gets its part of the
 shards, so any count works, not only powers of two) or, with ``target_bytes``, until the leaves reach that
 size.  At each node the dimension with the widest spread, relative to its spread over the whole table, is
-cut at the byte-weighted quantile that its shards ask for.  Rows that tie on the dimension are cut further
-by a hash of ``doc_id`` and then by ``doc_id`` itself, so a value, source or group of copies that holds a
-third of all rows is split like any other and the law is ``bytes``: shard sizes differ by about one document.
+cut at the byte-weighted quantile that its shards ask for.  Rows that tie on the dimension are cut further by a hash of
+``doc_id`` and then by a row number that the written table gives every row, so a value, a source, a group of copies or of
+rows without id that holds a third of all rows is split like any other and the law is ``bytes``: shard sizes differ by
+about one document.
 
 The median is exact to ``tolerance`` (a share of a shard) and never gathers a group: each pass histograms
-every node's still undecided interval of a 64-bit key into ``BINS`` bins by one aggregation with map-side
-combine (at most nodes x BINS rows, whatever the input), keeps the bin that holds the cut and repeats inside it.
-All passes read a narrow written table (id, size, dimensions), never the texts.
+every node's still undecided interval of a key into ``BINS`` bins by one aggregation with map-side
+combine, keeps the bin that holds the cut and repeats inside it.  Nodes, histograms and cuts are tables; the driver only
+learns whether a cut is still open, so leaves may be as many as the data ask for.
+All passes read a narrow written table (id, size, dimensions), never the texts.  A text dimension is ordered by the rank of
+its distinct values, whole ones, from a range-partitioned sort of these.
 
 Slots are gapless from 0 in each shard without a window over a whole shard: shards are dealt into buckets of
-about ``SLOT_ROWS`` rows by a hash, buckets are numbered by running counts and rows inside their bucket.
+about ``SLOT_ROWS`` rows by a hash of the row number, buckets are numbered by running counts and rows inside their bucket.
 
-Null texts have size 1 and no checksum (``text_crc32`` null); null metadata counts as the smallest value; repeated
+Null texts have size 1 and no checksum (``text_crc32`` null); null and not-a-number metadata count as the smallest value; repeated
 rows (also a repeated ``doc_id``) are kept and get slots of their own; an empty table gives an empty result.
 Columns of the input that clash with outputs are ignored.
 """
@@ -29,74 +32,106 @@ from capsight.llm.common import materialize, table
 
 BINS = 512
 SLOT_ROWS = 20_000
+KEYS = ("value", "tie", "row")  # a node is cut by the first, rows that tie on it by the next
 
 #: Metadata dimensions as columns of the input; each is put on a numeric scale that keeps its order.
 DIMENSIONS = ("source", "lang", "n_chars", "doc_id")
 
 
-def _scale(df: DataFrame, name: str) -> Column:
-    """A number that orders the column: numbers as they are, text by its first six UTF-8 bytes."""
-    if dict(df.dtypes)[name] in ("string", "binary"):
-        head = F.rpad(F.hex(F.substring(F.encode(F.col(name), "UTF-8"), 1, 6)), 12, "0")
-        return F.coalesce(F.conv(head, 16, 10).cast("double"), F.lit(-1.0))
-    return F.coalesce(F.col(name).cast("double"), F.lit(-1.0))
+def ranks(rows: DataFrame, name: str) -> DataFrame:
+    """``<name>, rank``: the distinct values of a column by their place in order."""
+    values = rows.select(name).filter(F.col(name).isNotNull()).distinct()
+    placed = materialize(values.repartitionByRange(name).sortWithinPartitions(name).withColumn("at", F.monotonically_increasing_id()), "kd-values")
+    part, inside = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
+    counts = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    before = counts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))  # one row per partition of the sort
+    return placed.withColumn("part", part).join(before, "part").select(name, (F.col("before") + inside).cast("double").alias("rank"))
 
 
 def _narrow(docs: DataFrame, dimensions: tuple[str, ...], text: str, key: str) -> DataFrame:
+    """``doc_id, size, text_crc32, tie, row, dims``: ``dims`` holds a number per dimension."""
     body = F.encode(F.col(text), "UTF-8")
-    dims = [_scale(docs, d).alias(f"d{i}") for i, d in enumerate(dimensions)]
-    return docs.select(F.col(key).alias("doc_id"), (F.coalesce(F.octet_length(body), F.lit(0)) + 1).cast("long").alias("size"),
-                       F.crc32(body).alias("text_crc32"), F.xxhash64(F.col(key)).alias("tie"), *dims)
+    kinds = dict(docs.dtypes)
+    words = [i for i, d in enumerate(dimensions) if kinds[d] in ("string", "binary")]
+    number = [F.col(d).alias(f"d{i}") if i in words else F.coalesce(F.nanvl(F.col(d).cast("double"), F.lit(-1.0)), F.lit(-1.0)).alias(f"d{i}") for i, d in enumerate(dimensions)]
+    rows = docs.select(F.col(key).alias("doc_id"), (F.coalesce(F.octet_length(body), F.lit(0)) + 1).cast("long").alias("size"),
+                       F.crc32(body).alias("text_crc32"), F.xxhash64(F.col(key)).cast("double").alias("tie"), *number)
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id().cast("double")), "kd-rows")
+    for i in words:
+        rows = rows.join(ranks(rows, f"d{i}"), f"d{i}", "left").drop(f"d{i}").withColumn(f"d{i}", F.coalesce("rank", F.lit(-1.0))).drop("rank")
+    return rows.select("doc_id", "size", "text_crc32", "tie", "row", F.array(*[f"d{i}" for i in range(len(dimensions))]).alias("dims"))
 
 
-def _by_node(cases: dict[int, object], otherwise=None) -> Column:
-    """A constant per node as a literal map lookup (one entry per open node)."""
-    if not cases:
-        return F.lit(otherwise)
-    pairs = [F.lit(x) for kv in cases.items() for x in kv]
-    return F.try_element_at(F.create_map(*pairs), F.col("node"))
+def _past(value: Column, bits: int) -> Column:
+    """A number just above ``value``."""
+    return value + F.greatest(F.abs(value), F.lit(1.0)) * F.lit(2.0 ** -bits)
 
 
-def _cut(rows: DataFrame, wanted: dict[int, float], value: Column, lo: dict[int, float], hi: dict[int, float],
-         before: dict[int, float], tol: float) -> dict[int, tuple[float, float, float]]:
-    """Per node the interval ``[lo, hi)`` of ``value`` in which ``wanted`` bytes are reached, after histograms.
-
-    Returns ``(lo, hi, bytes below lo)``; the bytes inside are within ``tol`` or hold one value only.
+def _cut(rows: DataFrame, nodes: DataFrame, key: str, tolerance: float) -> DataFrame:
+    """``node, low, high, below, bytes`` for the rows of ``nodes`` (``node, wanted, below, low, high``): the interval of the column
+    ``key`` in which ``wanted`` bytes are reached, the bytes below it and inside.  Inside are at most ``tolerance`` bytes or one value.
+    """
+    now = nodes.withColumns({"bytes": F.lit(None).cast("long"), "open": F.lit(True)})
+    while True:
+        left = now.filter("open").select("node", "wanted", "below", "low", "high")
+        inside = rows.join(left, "node").filter((F.col(key) >= F.col("low")) & (F.col(key) < F.col("high")))
+        bin_ = F.least(F.floor((F.col(key) - F.col("low")) / ((F.col("high") - F.col("low")) / BINS)), F.lit(BINS - 1)).cast("int")
+        bins = inside.groupBy("node", bin_.alias("bin")).agg(F.sum("size").alias("in_bin"), F.min(key).alias("least"), F.max(key).alias("most"))
+        up = Window.partitionBy("node").orderBy("bin")  # at most BINS rows of a node
+        bins = bins.withColumns({"upto": F.sum("in_bin").over(up), "last": F.lead("bin").over(up).isNull()}).join(left, "node")
+        holds = bins.filter((F.col("below") + F.col("upto") >= F.col("wanted")) | F.col("last"))
+        found = F.min_by(F.struct("wanted", (F.col("below") + F.col("upto") - F.col("in_bin")).alias("below"), F.col("least").alias("low"), _past(F.col("most"), 51).alias("high"),
+                                  F.col("in_bin").alias("bytes"), (F.col("high") - F.col("low")).alias("width"), (F.col("least") == F.col("most")).alias("one")), "bin")
+        new = holds.groupBy("node").agg(found.alias("c")).select("node", "c.*")
+        new = new.withColumn("open", ~F.col("one") & (F.col("bytes") > tolerance) & (F.col("high") - F.col("low") < F.col("width"))).drop("one", "width")
+        now = materialize(now.filter("NOT open").unionByName(new.select(*now.columns)), "kd-cut")
+        if now.filter("open").isEmpty():
+            return now.drop("open")
+
+
+def _inside(key: str) -> Column:
+    return (F.col(key) >= F.col(f"{key}_low")) & (F.col(key) < F.col(f"{key}_high"))
+
+
+def _level(rows: DataFrame, nodes: DataFrame, whole: list[float], tolerance: float) -> DataFrame:
+    """The cuts of all nodes with more than one shard: ``node`` and per key the interval (null where it is not asked); ``near``: the
+    rest inside the last one lies nearer to the lower side.
     """
-    done: dict[int, tuple[float, float, float]] = {}
-    open_ = dict(wanted)
-    while open_:
-        width = {n: (hi[n] - lo[n]) / BINS for n in open_}
-        a, b, w = _by_node({n: lo[n] for n in open_}), _by_node({n: hi[n] for n in open_}), _by_node(width)
-        v = value.cast("double")
-        bin_ = F.least(F.floor((v - a) / w), F.lit(BINS - 1)).cast("int")
-        hist = (rows.filter(F.col("node").isin(list(open_)) & (v >= a) & (v < b))
-                .groupBy("node", bin_.alias("bin")).agg(F.sum("size").alias("bytes"), F.min(v).alias("least"), F.max(v).alias("most"))
-                .collect())  # at most open nodes x BINS rows
-        at: dict[int, dict[int, tuple]] = {}
-        for r in hist:
-            at.setdefault(r["node"], {})[r["bin"]] = (r["bytes"], r["least"], r["most"])
-        for n in list(open_):
-            below = before[n]
-            for k in sorted(at.get(n, {})):
-                size, least, most = at[n][k]
-                if below + size >= open_[n] or k == max(at[n]):
-                    break
-                below += size
-            before[n] = below
-            above = float(most) + max(abs(float(most)), 1.0) * 2.0 ** -51
-            if least == most or size <= tol or above - least >= hi[n] - lo[n]:
-                done[n] = (float(least), above, below)
-                del open_[n]
-            else:
-                lo[n], hi[n] = float(least), above
-    return done
-
-
-def _sides(value: Column, cut: dict[int, tuple[float, float, float]]) -> tuple[Column, Column]:
-    """Of each node's interval: whether a row lies below it, and inside it."""
-    a, b = _by_node({n: c[0] for n, c in cut.items()}, 0.0), _by_node({n: c[1] for n, c in cut.items()}, 0.0)
-    return value < a, (value >= a) & (value < b)
+    dims = range(len(whole))
+    spans = [F.min(F.get("dims", F.lit(i))).alias(f"lo{i}") for i in dims] + [F.max(F.get("dims", F.lit(i))).alias(f"hi{i}") for i in dims]
+    stats = rows.groupBy("node").agg(F.sum("size").alias("total"), *spans).join(nodes.filter("parts > 1"), "node")
+    spread = F.array(*[(F.col(f"hi{i}") - F.col(f"lo{i}")) / F.lit(whole[i]) for i in dims])
+    pick = (F.array_position(spread, F.array_max(spread)) - 1).cast("int")
+    lows, highs = F.array(*[F.col(f"lo{i}") for i in dims]), F.array(*[F.col(f"hi{i}") for i in dims])
+    plan = stats.select("node", pick.alias("widest"), (F.col("total") * F.floor(F.col("parts") / 2) / F.col("parts")).alias("wanted"), F.lit(0).cast("long").alias("below"),
+                        F.get(lows, pick).alias("low"), _past(F.get(highs, pick), 50).alias("high"))
+    plan = materialize(plan, "kd-plan")
+    held = rows.join(plan.select("node", "widest"), "node").withColumn("value", F.get("dims", F.col("widest")))
+    cuts, ask = plan.select("node", "widest", "wanted"), plan.drop("widest")
+    for key in KEYS:
+        found = _cut(held, ask, key, tolerance)
+        cuts = cuts.join(found.select("node", F.col("low").alias(f"{key}_low"), F.col("high").alias(f"{key}_high"), F.col("below").alias(f"{key}_below"), F.col("bytes").alias(f"{key}_bytes")), "node", "left")
+        if key == KEYS[-1]:
+            break
+        tied = found.filter(F.col("bytes") > tolerance)
+        if tied.isEmpty():
+            cuts = cuts.withColumns({f"{k}_{c}": F.lit(None).cast("double") for k in KEYS[KEYS.index(key) + 1:] for c in ("low", "high", "below", "bytes")})
+            break
+        held = held.join(tied.select("node", F.col("low").alias(f"{key}_low"), F.col("high").alias(f"{key}_high")), "node").filter(_inside(key)).drop(f"{key}_low", f"{key}_high")
+        following = KEYS[KEYS.index(key) + 1]
+        ends = held.groupBy("node").agg(F.min(following).alias("low"), _past(F.max(following), 50).alias("high"))
+        ask = materialize(tied.select("node", "wanted", "below").join(ends, "node"), "kd-ask")
+    below, size = (F.coalesce(*[f"{k}_{c}" for k in reversed(KEYS)]) for c in ("below", "bytes"))
+    return materialize(cuts.withColumn("near", below + size / 2 < F.col("wanted")), "kd-cuts")
+
+
+def _lower() -> Column:
+    """Whether a row goes to the lower side of its node's cut."""
+    side = F.col("near")
+    for key in reversed(KEYS):
+        asked = F.col(f"{key}_low").isNotNull()
+        side = F.when(asked, (F.col(key) < F.col(f"{key}_low")) | (_inside(key) & side)).otherwise(F.col("near"))
+    return side
 
 
 def kd_shards(docs: DataFrame, shards: int = 16, target_bytes: int | None = None,
@@ -104,57 +139,31 @@ def kd_shards(docs: DataFrame, shards: int = 16, target_bytes: int | None = None
               tolerance: float = 0.002) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` for every row of ``docs``."""
     rows = materialize(_narrow(docs, dimensions, text, key), "kd")
-    dims = [f"d{i}" for i in range(len(dimensions))]
-    spans = [F.struct(F.min(d).alias("lo"), F.max(d).alias("hi")).alias(d) for d in dims]
+    dims = range(len(dimensions))
+    spans = [(F.max(F.get("dims", F.lit(i))) - F.min(F.get("dims", F.lit(i)))).alias(f"s{i}") for i in dims]
     total = rows.agg(F.sum("size").alias("size"), F.count("*").alias("n"), *spans).first()
     if target_bytes and total["size"]:
         shards = max(1, -(-total["size"] // target_bytes))
-    whole = {d: max(total[d]["hi"] - total[d]["lo"], 1e-300) for d in dims} if total["n"] else {}
-    rows = rows.withColumn("node", F.lit(0))
-    parts, first = {0: shards}, {0: 0}  # node -> shards it will hold, and the first of them
-    while total["n"] and max(parts.values()) > 1:
-        split = [n for n, k in parts.items() if k > 1]
-        stats = {r["node"]: r for r in rows.filter(F.col("node").isin(split)).groupBy("node").agg(F.sum("size").alias("size"), *spans).collect()}
-        parts |= {n: 1 for n in split if n not in stats}  # a node without rows is done
-        if not stats:
-            break
-        widest = {n: max(dims, key=lambda d: ((stats[n][d]["hi"] - stats[n][d]["lo"]) / whole[d], -dims.index(d))) for n in stats}
-        wanted = {n: stats[n]["size"] * (parts[n] // 2) / parts[n] for n in stats}
-        tol = tolerance * total["size"] / shards
-        value = F.try_element_at(F.array(*dims), _by_node({n: dims.index(d) + 1 for n, d in widest.items()}))
-        lo = {n: stats[n][widest[n]]["lo"] for n in stats}
-        hi = {n: (h := stats[n][widest[n]]["hi"]) + max(abs(h), 1.0) * 2.0 ** -50 for n in stats}
-        cut = _cut(rows, dict(wanted), value, lo, hi, dict.fromkeys(stats, 0.0), tol)
-        below, inside = _sides(value, cut)
-        # ties on the dimension are cut by a hash of the key
-        tie = F.col("tie").cast("double")
-        tied = _cut(rows.filter(inside), dict(wanted), tie, dict.fromkeys(stats, -2.0 ** 63 - 4096),
-                    dict.fromkeys(stats, 2.0 ** 63 + 4096), {n: cut[n][2] for n in cut}, tol)
-        under, last = _sides(tie, tied)
-        # what is left is under the tolerance or shares one hash: the nearer side takes it
-        rest = {r["node"]: r["bytes"] for r in rows.filter(inside & last).groupBy("node").agg(F.sum("size").alias("bytes")).collect()}
-        nearer = _by_node({n: tied[n][2] + rest.get(n, 0) / 2 < wanted[n] for n in tied}, False)
-        below = below | (inside & (under | (last & nearer)))
-        fresh, nodes, starts = max(parts) + 1, {}, {}
-        left, right = {}, {}
-        for n, k in parts.items():
-            if n in stats:
-                left[n], right[n] = fresh, fresh + 1
-                nodes[fresh], nodes[fresh + 1] = k // 2, k - k // 2
-                starts[fresh], starts[fresh + 1] = first[n], first[n] + k // 2
-                fresh += 2
-            else:
-                nodes[n], starts[n] = k, first[n]
-        side = F.when(below, _by_node(left)).otherwise(_by_node(right))
-        rows = materialize(rows.withColumn("node", F.coalesce(F.when(F.col("node").isin(list(stats)), side), F.col("node")).cast("int")), "kd")
-        parts, first = nodes, starts
-    rows = rows.withColumn("shard", F.coalesce(_by_node(first), F.lit(0)).cast("int"))
+    rows = rows.withColumn("node", F.lit(0).cast("long"))
+    nodes = docs.sparkSession.range(1).select(F.col("id").alias("node"), F.lit(shards).cast("long").alias("parts"), F.lit(0).cast("long").alias("first"))
+    if total["n"]:
+        whole = [max(total[f"s{i}"], 1e-300) for i in dims]
+        for _ in range((shards - 1).bit_length()):
+            cuts = _level(rows, nodes, whole, tolerance * total["size"] / shards)
+            cut = rows.join(cuts, "node", "left").withColumn("value", F.get("dims", F.col("widest")))
+            child = F.when(F.col("widest").isNull(), F.col("node")).when(_lower(), F.col("node") * 2 + 1).otherwise(F.col("node") * 2 + 2)
+            rows = materialize(cut.withColumn("node", child).select(*rows.columns), "kd")
+            half = F.floor(F.col("parts") / 2)
+            children = F.when(F.col("parts") > 1, F.array(F.struct((F.col("node") * 2 + 1).alias("node"), half.alias("parts"), F.col("first").alias("first")),
+                                                          F.struct((F.col("node") * 2 + 2).alias("node"), (F.col("parts") - half).alias("parts"), (F.col("first") + half).alias("first"))))
+            nodes = materialize(nodes.select(F.explode(F.coalesce(children, F.array(F.struct("node", "parts", "first")))).alias("c")).select("c.*"), "kd-nodes")
+    rows = rows.join(nodes.select("node", F.col("first").cast("int").alias("shard")), "node")
     buckets = max(1, -(-total["n"] // (SLOT_ROWS * max(1, shards))))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(buckets)))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)))
     counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("k"))
     before = F.sum("k").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("k")  # one row per bucket
     offsets = counts.select("shard", "bucket", before.alias("before"))
-    place = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("tie", "doc_id", "text_crc32", "size"))
+    place = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("row"))
     return (rows.withColumn("place", place).join(offsets, ["shard", "bucket"])
             .select("doc_id", "size", "text_crc32", "shard", (F.col("place") - 1 + F.col("before")).cast("long").alias("slot")))
 

@@ -33,7 +33,8 @@ from capsight.llm.common import fresh, materialize, table, workers_import
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1.0, 2.0, 3.0)
 BLOCK = 64
-CHUNK_ROWS = 4096
+CHUNK_ROWS = 1024
+SOURCES = 100_000
 SHARD_SLOTS = 16_384
 CAP = 3.0
 
@@ -65,7 +66,7 @@ def targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float =
     by = by.withColumn("is_capped", capped)
     left_size = F.col("all_size") - F.coalesce(F.sum(F.when(F.col("is_capped"), F.col("full"))).over(every), F.lit(0.0))
     left_weight = F.col("all_weight") - F.coalesce(F.sum(F.when(F.col("is_capped"), F.col("weight"))).over(every), F.lit(0.0))
-    shared = left_size * F.col("weight") / left_weight
+    shared = F.try_divide(left_size * F.col("weight"), left_weight)  # null where no source is left to share
     target = F.when(F.col("is_capped"), F.col("full")).otherwise(F.least(F.col("full"), shared))
     return by.withColumn("target", target).select("source", "rank", "source_size", "target")
 
@@ -90,23 +91,37 @@ def pack(sized: DataFrame, sources: DataFrame, block: int = BLOCK) -> DataFrame:
 def shard_draws(plan: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = 7) -> DataFrame:
     """``rank, shard, first, count``: the slots ``[first, first + count)`` of a source that a shard holds.
 
-    ``plan``: ``rank, slots`` with one row per source, at most some thousands of sources.  Each shard is drawn in
-    a task of its own from its own seed; running counts give the slot numbers.
+    ``plan``: ``rank, slots`` with one row per source.  Each shard is drawn from its own seed, in tasks over ranges of shards that hold a
+    copy of the plan (up to ``SOURCES`` sources; beyond, one task draws all); running counts give the slot numbers.
     """
     spark = plan.sparkSession
     workers_import(spark)
-    shares = plan.agg(F.sort_array(F.collect_list(F.struct("rank", "slots"))).alias("mix"), F.sum("slots").alias("all"))
-    shards = shares.withColumn("shard", F.explode(F.sequence(F.lit(0), F.ceil(F.col("all") / shard_slots) - 1)))
-    shards = shards.filter("all > 0").select("shard", "mix", F.least(F.lit(shard_slots), F.col("all") - F.col("shard") * shard_slots).alias("size"))
-
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for shard, mix, size in zip(pdf["shard"], pdf["mix"], pdf["size"]):
-                slots = np.array([m["slots"] for m in mix], dtype=float)
-                counts = np.random.Generator(np.random.PCG64([seed, int(shard)])).multinomial(int(size), slots / slots.sum())
-                out += [(int(m["rank"]), int(shard), int(c)) for m, c in zip(mix, counts) if c]
-            yield pd.DataFrame(out, columns=["rank", "shard", "count"]).astype("int64")
+
+    def counts(shard: int, size: int, slots: np.ndarray) -> np.ndarray:
+        return np.random.Generator(np.random.PCG64([seed, shard])).multinomial(size, slots / slots.sum())
+
+    known = plan.agg(F.count("*").alias("sources"), F.sum("slots").alias("all")).first()
+    every = int(known["all"] or 0)
+    if known["sources"] <= SOURCES:  # a bounded plan: every task draws its shards from a copy
+        shared = spark.sparkContext.broadcast([(r["rank"], r["slots"]) for r in plan.select("rank", "slots").orderBy("rank").collect()])
+        shards = spark.range(-(-every // shard_slots)).select(F.col("id").alias("shard"))
+
+        def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            rank, slots = np.array(shared.value, dtype=np.int64).reshape(-1, 2).T
+            for pdf in batches:
+                for shard in pdf["shard"].tolist():
+                    n = counts(shard, min(shard_slots, every - shard * shard_slots), slots.astype(float))
+                    yield pd.DataFrame({"rank": rank[n > 0], "shard": shard, "count": n[n > 0]}).astype("int64")
+    else:  # the shares travel with the shards' rows, in one task
+        shares = plan.agg(F.sort_array(F.collect_list(F.struct("rank", "slots"))).alias("mix"))
+        shards = shares.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(0, -(-every // shard_slots) - 1))))).filter(F.lit(every > 0))
+
+        def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for shard, mix in zip(pdf["shard"].tolist(), pdf["mix"]):
+                    rank, slots = np.array([(m["rank"], m["slots"]) for m in mix], dtype=np.int64).T
+                    n = counts(shard, min(shard_slots, every - shard * shard_slots), slots.astype(float))
+                    yield pd.DataFrame({"rank": rank[n > 0], "shard": shard, "count": n[n > 0]}).astype("int64")
 
     drawn = shards.mapInPandas(draw, "rank long, shard long, count long")
     up = Window.partitionBy("rank").orderBy("shard")  # one row per shard and source
@@ -140,7 +155,8 @@ def mix_plan(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float
     """``source, rank, source_size, target, blocks, slots``: one row per source."""
     by = targets(sized, weights, cap)
     blocks = F.ceil(F.col("source_size") / block)
-    slots = F.least(F.round(F.col("target") / F.col("source_size") * blocks), F.floor(F.lit(cap) * blocks))
+    share = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))  # a source without words takes nothing
+    slots = F.least(F.round(share * blocks), F.floor(F.lit(cap) * blocks))
     return by.withColumn("blocks", blocks.cast("long")).withColumn("slots", F.coalesce(slots, F.lit(0)).cast("long"))
 
 
@@ -161,15 +177,33 @@ def block_reads(plan: DataFrame, draws: DataFrame, seed: int = 7) -> DataFrame:
 
 
 def sized_rows(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
-    """The narrow rows of the mix: ``doc_id, source, size, text_key``, written once."""
+    """The narrow rows of the mix: ``doc_id, source, size, text_key`` and a ``row`` number of the written table."""
     return materialize(docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), words(F.col(text)).alias("size"),
-                                   F.xxhash64(text).alias("text_key")), "sized")
+                                   F.xxhash64(text).alias("text_key"), F.monotonically_increasing_id().alias("row")), "sized")
+
+
+def repeats(rows: DataFrame) -> bool:
+    """Whether any (doc_id, source, text) occurs twice."""
+    return not rows.groupBy("doc_id", "source", "text_key").count().filter("count > 1").isEmpty()
 
 
 def numbered(sized: DataFrame) -> DataFrame:
-    """Rows with ``uid``, one number per (doc_id, source, text) so that reruns agree; repeats are told apart."""
-    same = Window.partitionBy("doc_id", "source", "text_key").orderBy("size")
-    return sized.withColumn("uid", F.xxhash64("doc_id", "source", "text_key", F.row_number().over(same)))
+    """Rows of ``sized`` with ``uid``, one number per (doc_id, source, text) so that reruns agree; repeats are told apart.
+
+    Repeats are equal, so any numbers do.  They are numbered in two steps, within the files' chunks (a part of a written table and every
+    ``CHUNK_ROWS`` rows of it), then by running counts over the chunks, so a row that repeats often is split.
+    """
+    what = ["doc_id", "source", "text_key"]
+    if not repeats(sized):
+        return sized.withColumn("uid", F.xxhash64(*what, F.lit(1).cast("long")))
+    rows = sized.withColumn("part", F.floor(F.col("row") / CHUNK_ROWS))
+    inside = F.row_number().over(Window.partitionBy(*what, "part").orderBy("row"))
+    counts = rows.groupBy(*what, "part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*what).orderBy("part")) - F.col("n")
+    offsets = counts.withColumn("before", before).filter("before > 0").select(*[F.col(c).alias(f"_{c}") for c in what], F.col("part").alias("_part"), "before")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*what, "part")]
+    rows = rows.withColumn("inside", inside).join(offsets, same, "left")
+    return rows.withColumn("uid", F.xxhash64(*what, F.col("inside") + F.coalesce("before", F.lit(0)))).select(*sized.columns, "uid")
 
 
 def mix(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP, block: int = BLOCK,
@@ -204,8 +238,10 @@ def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", so
     order = F.sort_array(F.collect_list(F.struct("slot", "first_word", "n_words")))  # of one document
     per_doc = (rows.join(reads.groupBy("uid").agg(order.alias("reads"), F.sum("n_words").alias("taken")), "uid")
                .select(F.col("uid").alias(uid), F.col("reads").alias(runs), F.col("taken").alias(taken), F.col("size").alias(size)))
-    same = Window.partitionBy(key, source, F.xxhash64(text)).orderBy(F.lit(0))  # rows that repeat a document
-    whole = docs.withColumn(uid, F.xxhash64(key, source, F.xxhash64(text), F.row_number().over(same))).join(per_doc, uid)
+    what = [F.col(key), F.col(source), F.xxhash64(text)]
+    # without repeats no text goes through a window
+    number = F.row_number().over(Window.partitionBy(*what).orderBy(F.lit(0))) if repeats(rows) else F.lit(1)
+    whole = docs.withColumn(uid, F.xxhash64(*what, number.cast("long"))).join(per_doc, uid)
     # the words are found once per document: the one-element array binds them for the inner steps
     bound = F.array(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)))
     taken_text = F.get(F.transform(bound, lambda w: F.array_join(F.flatten(F.transform(

@@ -2,7 +2,8 @@
 
 Terms of a text are trigrams of its run-length collapsed character classes, word lengths, and counts of repeated and
 distinct words (``TERMS`` hashed columns, from the whole text).  ``fit`` weights square roots of term shares by inverse document frequency and
-keeps the leading singular directions of labelled rows.  ``score`` multiplies every text's vector with all labelled vectors in
+keeps the leading singular directions of labelled rows; the number of directions and of neighbours is the one that judges an inner
+split of these rows best (``DIRECTIONS``, ``VOTERS``; never more voters than the rarer label has rows).  ``score`` multiplies every text's vector with all labelled vectors in
 blocks (exact cosines), takes the ``neighbours`` nearest and lets them vote by ``similarity ** SHARPNESS``; votes are weighted back
 to the labels' shares, since the labelled rows are drawn per label.
 
@@ -17,8 +18,8 @@ Repeated rows are scored alike.  Other columns pass through ``score``; one that
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,9 @@ from capsight.llm.common import release, table, workers_import
 SHAPES, LENGTHS = 512, 31
 TERMS = SHAPES + 4 + LENGTHS + 1
 PER_LABEL = 2000
-RANK = 32
-NEIGHBOURS = 8
+DIRECTIONS = (8, 16, 32)
+VOTERS = (1, 3, 5, 8)
+FOLDS = 5
 SHARPNESS = 8
 THRESHOLD = 0.3
 BLOCK = 1024
@@ -87,16 +89,17 @@ class Model:
     votes: np.ndarray  # weight of each labelled vector's vote
     labels: np.ndarray
     share: float
+    neighbours: int = 1
 
     def vector(self, counts: np.ndarray) -> np.ndarray:
         shares = np.sqrt(counts / np.maximum(1, counts.sum(1, keepdims=True))) * self.weights
         latent = shares @ self.directions
         return latent / np.maximum(1e-9, np.linalg.norm(latent, axis=1, keepdims=True))
 
-    def score(self, counts: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
+    def score(self, counts: np.ndarray) -> np.ndarray:
         out = np.full(len(counts), self.share)
         if len(self.vectors):
-            k = min(neighbours, len(self.vectors))
+            k = min(self.neighbours, len(self.vectors))
             for at in range(0, len(counts), BLOCK):
                 cosine = self.vector(counts[at:at + BLOCK]) @ self.vectors.T
                 near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
@@ -125,8 +128,51 @@ def labelled_sample(labels: DataFrame, per_label: int, key: str, label: str) ->
     return one.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_label).drop("_n"), counts
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, rank: int = RANK, text: str = "text",
-        key: str = "doc_id", label: str = "quality") -> Model:
+def latent(terms: np.ndarray, labels: np.ndarray, per: dict[int, float], share: float) -> tuple[Model, np.ndarray]:
+    """A model of term counts without its directions, and all directions, leading first; ``per``: rows that a row of a label stands for."""
+    weights = np.log((1 + len(terms)) / (1 + (terms > 0).sum(0))) + 1
+    shares = np.sqrt(terms / terms.sum(1, keepdims=True)) * weights
+    shares /= np.linalg.norm(shares, axis=1, keepdims=True)
+    size, directions = np.linalg.eigh(shares.T @ shares)
+    return Model(weights, directions, np.zeros((0, 1)), np.where(labels == 1, per[1], per[0]), labels, share), directions[:, np.argsort(-size)]
+
+
+def with_directions(model: Model, terms: np.ndarray, directions: np.ndarray, neighbours: int) -> Model:
+    out = replace(model, directions=directions, neighbours=neighbours)
+    out.vectors = out.vector(terms).astype(np.float32)
+    out.weights, out.directions = model.weights.astype(np.float32), directions.astype(np.float32)
+    return out
+
+
+def chosen(terms: np.ndarray, labels: np.ndarray, per: dict[int, float], share: float, directions: Sequence[int], voters: Sequence[int]) -> tuple[int, int]:
+    """Directions and neighbours with the least error over an inner split: wrong rows of either label weigh alike at ``THRESHOLD``, then
+    the squared error; ties go to fewer directions, then to more neighbours.
+    """
+    rarest = int(min((labels == 0).sum(), (labels == 1).sum()))
+    options = [(d, k) for d in directions for k in voters if k <= max(1, rarest * (FOLDS - 1) // FOLDS)]
+    if rarest < 2 or len(options) == 1:
+        return options[0]
+    fold = np.zeros(len(labels), dtype=np.int64)
+    for value in (0, 1):
+        fold[labels == value] = np.arange((labels == value).sum()) % FOLDS
+    found = {o: np.zeros(len(labels)) for o in options}
+    for f in range(FOLDS):
+        learn, held = fold != f, fold == f
+        if not held.any() or len(set(labels[learn])) < 2:
+            continue
+        base, every = latent(terms[learn], labels[learn], per, share)
+        for d, k in options:
+            found[d, k][held] = with_directions(base, terms[learn], every[:, :d], k).score(terms[held])
+    weight = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum())
+
+    def error(option: tuple[int, int]) -> tuple:
+        score = found[option]
+        return (float((weight * ((score >= THRESHOLD) != (labels == 1))).sum()), round(float((weight * (score - labels) ** 2).sum()), 6), option[0], -option[1])
+    return min(options, key=error)
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, directions: Sequence[int] = DIRECTIONS, voters: Sequence[int] = VOTERS,
+        text: str = "text", key: str = "doc_id", label: str = "quality") -> Model:
     """Latent directions and labelled vectors of at most ``2 * per_label`` rows."""
     workers_import(docs.sparkSession)
     sample, counts = labelled_sample(labels, per_label, key, label)
@@ -150,16 +196,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, rank: in
     empty = Model(np.ones(TERMS), np.zeros((TERMS, 1)), np.zeros((0, 1)), np.zeros(0), np.zeros(0), share)
     if len(set(label_)) < 2:
         return empty
-    weights = np.log((1 + len(terms)) / (1 + (terms > 0).sum(0))) + 1
-    shares = np.sqrt(terms / terms.sum(1, keepdims=True)) * weights
-    shares /= np.linalg.norm(shares, axis=1, keepdims=True)
-    size, directions = np.linalg.eigh(shares.T @ shares)
-    model = Model(weights, directions[:, np.argsort(-size)[:rank]], np.zeros((0, 1)), np.zeros(0), label_, share)
-    model.vectors = model.vector(terms).astype(np.float32)
     per = {c: counts[c] / max(1, int((label_ == c).sum())) for c in (0, 1)}
-    model.votes = np.where(label_ == 1, per[1], per[0])
-    model.weights, model.directions = weights.astype(np.float32), model.directions.astype(np.float32)
-    return model
+    rank, neighbours = chosen(terms, label_, per, share, directions, voters)
+    model, every = latent(terms, label_, per, share)
+    return with_directions(model, terms, every[:, :rank], neighbours)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "quality_score") -> DataFrame:

@@ -79,7 +79,8 @@ def build(rows: np.ndarray, leaf: int, seed: list[int], spill: float = 0.0, divi
         if parent >= 0:
             child[parent][side] = node
     width = rows.shape[1] if rows.ndim == 2 else 0
-    return Tree(np.array(normal).reshape(-1, width), np.array(low), np.array(high), np.array(child, dtype=np.int64).reshape(-1, 2), leaves, whole)
+    return Tree(np.array(normal, dtype=np.float64).reshape(len(normal), width), np.array(low, dtype=np.float64), np.array(high, dtype=np.float64),
+                np.array(child, dtype=np.int64).reshape(len(child), 2), leaves, whole)
 
 
 def route(tree: Tree, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,6 +141,17 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+def lengths(rows: np.ndarray) -> np.ndarray:
+    """Euclidean lengths of rows whose squares may overflow or vanish."""
+    with np.errstate(over="ignore"):
+        plain = np.sqrt((rows * rows).sum(1))
+    odd = ~((plain > 1e-150) & (plain < 1e150))
+    if odd.any():
+        size = np.abs(rows[odd]).max(1)
+        plain[odd] = np.sqrt(((rows[odd] / np.where(size > 0, size, 1)[:, None]) ** 2).sum(1)) * size
+    return plain
+
+
 def matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     """List column as rows of doubles."""
     if isinstance(column, pa.ChunkedArray):

@@ -7,6 +7,7 @@ import hashlib
 import random
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -296,4 +297,106 @@ def test_shards_edges(spark, docs, texts):
     total = sum(r["size"] for r in out)
     assert len({r["shard"] for r in kd_shards.kd_shards(docs.filter("doc_id < 100"), target_bytes=300).collect()}) > 4 and total > 0
     equal = spark.createDataFrame([(1, "same", "en", "s", 4)] * 50, "doc_id long, text string, lang string, source string, n_chars long")
-    assert kd_shards.kd_shards(equal, 4).count() == 50  # rows that nothing tells apart stay together
+    assert sorted(r["count"] for r in kd_shards.kd_shards(equal, 4).groupBy("shard").count().collect()) == [12, 12, 13, 13]  # a row number tells them apart
+
+
+def test_shards_keep_their_law_on_repeated_rows_and_null_ids(spark):
+    rows = [(1, "same text", "en", "hot", 9)] * 400 + [(None, "no id", "en", "hot", 5)] * 200 + [(i, "w " * (i % 9), None, f"https://host.example/{i % 60}", None) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    for count in (4, 7):
+        out = kd_shards.kd_shards(docs, count).toPandas()
+        per = out.groupby("shard")["size"].sum()
+        assert len(out) == 800 and len(per) == count and per.max() - per.min() <= 2 * out["size"].max() + 0.01 * per.mean()
+    assert kd_shards.kd_shards(docs, 4).groupBy("shard", "slot").count().filter("count > 1").count() == 0
+
+
+def test_text_dimensions_are_ordered_by_their_whole_values(spark):
+    values = [f"https://a-long-common-prefix.example/{i:03d}" for i in range(300)]
+    rows = spark.createDataFrame([(v,) for v in values[::-1]] * 2 + [(None,)], "d0 string").repartition(7)
+    got = sorted((r["d0"], r["rank"]) for r in kd_shards.ranks(rows, "d0").collect())
+    assert got == [(v, float(i)) for i, v in enumerate(values)]
+    docs = spark.createDataFrame([(i, "x" * 9, None, v, 1) for i, v in enumerate(values)], "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    out = kd_shards.kd_shards(docs, 2, dimensions=("source",)).join(docs, "doc_id").groupBy("shard").agg(F.min("source"), F.max("source"), F.count("*")).orderBy("shard").collect()
+    assert [tuple(r)[1:] for r in out] == [(values[0], values[149], 150), (values[150], values[299], 150)]
+
+
+def test_mix_of_sources_without_words(spark):
+    """A source of empty and null texts takes nothing; a table of such texts gives an empty mix."""
+    schema = "doc_id long, text string, source string"
+    rows = [(i, " \n", "blank") for i in range(3)] + [(9, None, "blank"), (10, "", None)]
+    docs = spark.createDataFrame(rows + [(20 + i, f"some words of {i}", "real") for i in range(8)], schema)
+    got = {r["doc_id"]: (r["size"], r["source_size"], r["target"], r["taken"]) for r in mixing.taken_words(docs).collect()}
+    assert all(got[i][0] == got[i][1] == got[i][3] == 0 and got[i][2] == 0.0 for i, _, _ in rows) and sum(t for _, _, _, t in got.values()) == 32
+    assert {r["doc_id"] for r in mixing.mixed_documents(docs).collect()} == set(range(20, 28))
+    none = spark.createDataFrame(rows, schema)
+    assert {r["taken"] for r in mixing.taken_words(none).collect()} == {0} and mixing.taken_words(none).count() == 5
+    assert mixing.mixed_documents(none).count() == 0
+
+
+def test_mix_draws_agree_however_they_are_dealt(spark, monkeypatch):
+    """Beyond the bound on sources, the draws are the same."""
+    plan = spark.createDataFrame([(k, 1000 + 37 * k) for k in range(5)], "rank long, slots long")
+    one = sorted(tuple(r) for r in mixing.shard_draws(plan, 100).collect())
+    monkeypatch.setattr(mixing, "SOURCES", 2)
+    assert sorted(tuple(r) for r in mixing.shard_draws(plan, 100).collect()) == one
+    total = {}
+    for rank, _, _, count in one:
+        total[rank] = total.get(rank, 0) + count
+    assert total == {k: 1000 + 37 * k for k in range(5)}
+
+
+def test_repeated_rows_of_a_mix_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK_ROWS", 7)
+    docs = spark.createDataFrame([(1, "the same words again", "a")] * 40 + [(2, "others here", "b"), (None, "the same words again", None), (None, "the same words again", None)],
+                                 "doc_id long, text string, source string").repartition(4)
+    rows = mixing.numbered(mixing.sized_rows(docs))
+    assert rows.count() == rows.select("uid").distinct().count() == 43
+
+
+def test_quality_votes_equal_a_plain_search(spark):
+    """Scores of the model against a loop over all labelled vectors."""
+    rng = np.random.default_rng(3)
+    terms = rng.integers(0, 9, (60, quality.TERMS)).astype(float)
+    labels = (np.arange(60) % 3 > 0).astype(float)
+    base, every = quality.latent(terms, labels, {0: 2.0, 1: 1.0}, 0.6)
+    model = quality.with_directions(base, terms, every[:, :12], 5)
+    asked = rng.integers(0, 9, (20, quality.TERMS)).astype(float)
+    vectors = model.vector(asked).astype(np.float32)
+    for got, v in zip(model.score(asked), vectors):
+        near = sorted(((float(v @ w), k) for k, w in enumerate(model.vectors)), reverse=True)[:5]
+        votes = [(max(c, 1e-6) ** quality.SHARPNESS * (2.0 if labels[k] == 0 else 1.0), labels[k]) for c, k in near]
+        assert abs(got - sum(w * y for w, y in votes) / sum(w for w, _ in votes)) < 1e-4
+
+
+def test_quality_has_no_more_voters_than_the_rarer_label(spark):
+    rng = np.random.default_rng(5)
+    terms = np.vstack([rng.poisson(1.0, (50, quality.TERMS)), rng.poisson(np.linspace(0, 3, quality.TERMS), (4, quality.TERMS))]).astype(float)
+    labels = np.array([1.0] * 50 + [0.0] * 4)
+    directions, voters = quality.chosen(terms, labels, {0: 1.0, 1: 1.0}, 0.9, quality.DIRECTIONS, quality.VOTERS)
+    assert voters <= 3 and directions in quality.DIRECTIONS
+
+
+def test_bpe_worker_memory(tmp_path):
+    """One worker's process over mostly new pieces stays within bounds, and frequent pieces are not learned again."""
+    import subprocess
+    import sys
+    code = """
+import re, sys
+import pyarrow as pa
+sys.path.insert(0, %r)
+from capsight.llm import bpe
+coder = bpe.codec(bpe.vocabulary_path())
+learned, learn = [], coder.learn
+coder.learn = lambda pieces: learned.extend(p for p in pieces if p == b" frequentlyrepeatedword") or learn(pieces)
+bpe.CACHE = 4 << 20
+for k in range(12):
+    texts = pa.array(["".join(f" {(i * 2654435761 + j * 97 + k) %% 16777216:x} frequentlyrepeatedword" for j in range(40)) for i in range(k * 900, k * 900 + 900)], pa.string())
+    for a, b in bpe._slices(texts):
+        bpe._slice(coder, texts.slice(a, b - a))
+    bpe.release()
+print(len(learned), int(re.search(r"VmHWM:[ \t]+([0-9]+)", open("/proc/self/status").read())[1]) // 1024)
+""" % str(bpe.__file__.rsplit("/capsight/", 1)[0])
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-1500:]
+    times, megabytes = map(int, out.stdout.split())
+    assert times == 1 and megabytes < 330

@@ -52,6 +52,26 @@ def test_ann_few_and_none(spark):
     assert ann.nearest(_vectors(spark, []), F.col("vec_id") >= 0).count() == 0
 
 
+def test_ann_far_from_the_origin_and_at_extreme_scales(spark):
+    rng = np.random.default_rng(7)
+    for offset, scale in ((1e8, 1.0), (0.0, 1e-170), (0.0, 1e160)):
+        rows = [(i, [float(x) for x in offset + scale * v]) for i, v in enumerate(rng.normal(size=(120, 6)))]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = {}
+        for r in ann.nearest(df, F.col("vec_id") % 40 == 0, share=100.0).collect():
+            got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+        x = np.array([v for _, v in rows]) - offset
+        for q, found in got.items():
+            d = (((x - x[q]) / scale) ** 2).sum(1)
+            assert [v for _, v in sorted(found)] == [int(k) for k in np.argsort(d, kind="stable") if k != q][:10]
+
+
+def test_embedding_links_at_extreme_lengths(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e-200, 1.01e-200]), (3, [1.0, 1.0]), (4, [-1e300, 1e300])]
+    out = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in out.collect()} == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4)}
+
+
 def _brute(rows, cosine):
     ids = [i for i, _ in rows]
     x = np.array([v for _, v in rows])
