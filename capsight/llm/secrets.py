@@ -49,19 +49,41 @@ HARMLESS = r"(?i)(?:commit|checksum|digest|sha-?\d*|md5|uuid|guid|etag|integrity
 PLACEHOLDER = r"(?i)(?:example|sample|dummy|changeme|placeholder|your|xxxx|0000|1234567|abcdef|redacted)"
 PREFIX = r"^(?:AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|sk_live_|sk-|rk_live_|xox[abpr]-|AIza|eyJ|SG\.|npm_|pypi-)"
 
-#: a keyword, the rest of its name and the sign of an assignment (bounded, as it is looked for backwards)
-_NAMED = (r"(?<=[=:]|[=:]\s|[=:][\"'`]|[=:]\s[\"'`])(?<=(?i:token|secret|passw(?:or)?d|passwd|passphrase|pwd|api[_ -]?key|access[_ -]?key|auth|authorization|"
-          r"credential|private[_ -]?key)[A-Za-z0-9_-]{0,16}[\"'`\]]{0,2}\s{0,2}(?:=|:|=>|:=|==)\s{0,1}[\"'`]{0,1})(?!(?i:bearer|basic|token)\s)")
+#: a keyword, the rest of its name and the sign of an assignment (bounded, as it is looked for backwards, and only behind a sign)
+_NAMED = (r"(?<=[=:\s\"'`])(?<=[=:]|[=:]\s|[=:][\"'`]|[=:]\s[\"'`])(?<=(?i:token|secret|passw(?:or)?d|passwd|passphrase|pwd|api[_ -]?key|access[_ -]?key|auth|authorization|"
+          r"credential|private[_ -]?key)[A-Za-z0-9_-]{0,40}[\"'`\]]{0,2}\s{0,2}(?:=|:|=>|:=|==)\s{0,1}[\"'`]{0,1})(?!(?i:bearer|basic|token)\s)")
+#: characters that mark the candidates of a text in one pass; a text that holds one of them is scanned twice instead
+OPEN, CLOSE = "\u0001", "\u0002"
 
 
 def pattern(run: int = RUN) -> str:
-    """The candidates: passwords in urls, tokens with dots, assigned values (quoted or not), runs of the key alphabet."""
-    return "|".join((
-        r"(?<=:)(?<=://[^\s/:@]{0,60}:)[^\s/@\"'<>]{3,200}(?=@)",
-        r"(?<![A-Za-z0-9])(?:SG\.|eyJ)[A-Za-z0-9_-]{10,}(?:\.[A-Za-z0-9_-]{6,})+",
-        _NAMED + rf"(?<=[\"'`])[^\s\"'`]{{{SHORT},}}(?=[\"'`])",
-        _NAMED + rf"[^\s\"'`<>,;]{{{SHORT - 1},}}[^\s\"'`<>,;.:!?)\]}}]",
-        rf"{ALPHABET}{{{run},}}(?:={{1,2}}(?![A-Za-z0-9+/_=\-]))?"))
+    """The candidates: passwords in urls, tokens with dots, assigned values (quoted or not), runs of the key alphabet.
+
+    Nothing is tried inside a word, but for a run at the end of the last candidate; so most places of a text cost one look back.
+    """
+    keys = rf"{ALPHABET}{{{run},}}(?:={{1,2}}(?![A-Za-z0-9+/_=\-]))?"
+    quoted, bare = rf"(?<=[\"'`])[^\s\"'`]{{{SHORT},}}(?=[\"'`])", rf"[^\s\"'`<>,;]{{{SHORT - 1},}}[^\s\"'`<>,;.:!?)\]}}]"
+    first = "|".join((
+        r"(?<=:)(?<=://[^\s/:@]{0,60}:)[^\s/@\"'<>]{3,}(?=@)",
+        r"(?:SG\.|eyJ)[A-Za-z0-9_-]{10,}(?:\.[A-Za-z0-9_-]{6,})+",
+        f"{_NAMED}(?:{quoted}|{bare})",
+        rf"(?<![+/_\-]){keys}"))
+    return rf"(?<![A-Za-z0-9])(?:{first})|\G{keys}"
+
+
+def _cut(text: Column, run: int) -> Column:
+    """A text as ``[between, candidate, between, ..., between]``."""
+    cut_at = pattern(run)
+    marked = F.split(F.regexp_replace(text, f"({cut_at})", f"{OPEN}$1{CLOSE}"), f"[{OPEN}{CLOSE}]", -1)
+    between, found = F.split(text, cut_at, -1), F.regexp_extract_all(text, F.lit(cut_at), F.lit(0))
+    pairs = F.zip_with(between, found, lambda b, c: F.array(b, c))
+    twice = F.filter(F.flatten(pairs), lambda x: x.isNotNull())
+    return F.when(F.contains(text, F.lit(OPEN)) | F.contains(text, F.lit(CLOSE)), twice).otherwise(marked)
+
+
+def _places(parts: Column, first: int) -> Column:
+    """Every other part, from ``first`` on."""
+    return F.filter(parts, lambda _, i: i % 2 == first)
 
 
 def _share(text: Column, drop: str) -> Column:
@@ -109,10 +131,9 @@ FEATURES = (
 
 def candidates(docs: DataFrame, text: str = "text", key: str = "doc_id", run: int = RUN) -> DataFrame:
     """``doc_id, text_key, start, candidate, before, after`` of every run; ``start`` counts characters from 0."""
-    cut_at = pattern(run)
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text")).filter(F.col("_text").rlike(cut_at))
-    rows = rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("text_key", F.xxhash64("_text"))
-    rows = rows.withColumn("_found", F.regexp_extract_all("_text", F.lit(cut_at), F.lit(0))).withColumn("_between", F.split("_text", cut_at, -1))
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text")).filter("_text IS NOT NULL")
+    rows = rows.select("doc_id", F.monotonically_increasing_id().alias("_row"), F.xxhash64("_text").alias("text_key"), F.explode(F.array(_cut(F.col("_text"), run))).alias("_parts"))
+    rows = rows.filter(F.size("_parts") > 1).withColumns({"_found": _places(F.col("_parts"), 1), "_between": _places(F.col("_parts"), 0)})
     found, between = F.col("_found"), F.col("_between")
     # the text's ends before and after each candidate, of which so many make up the neighbourhood
     rows = rows.withColumn("_ends", F.zip_with(between, found, lambda b, c: F.right(F.concat(b, F.coalesce(c, F.lit(""))), F.lit(NEAR))))
@@ -200,10 +221,8 @@ def redact(docs: DataFrame, found: DataFrame, text: str = "text", key: str = "do
     """``docs`` with every run that ``found`` calls a secret of its text replaced; ``n_chars`` follows if present."""
     hash_, known = fresh(docs, "_key"), fresh(docs, "_secrets")
     secrets = found.filter("is_secret").groupBy(F.col("text_key").alias(hash_)).agg(F.collect_set("candidate").alias(known))  # of one text
-    cut_at = pattern(run)
     rows = docs.withColumn(hash_, F.xxhash64(text)).join(secrets, hash_, "left")
-    runs = F.transform(F.regexp_extract_all(F.col(text), F.lit(cut_at), F.lit(0)), lambda c: F.when(F.array_contains(known, c), mask).otherwise(c))
-    parts = F.zip_with(F.split(F.col(text), cut_at, -1), runs, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    parts = F.transform(_cut(F.col(text), run), lambda c, i: F.when((i % 2 == 1) & F.array_contains(known, c), mask).otherwise(c))
     out = rows.withColumn(text, F.when(F.col(known).isNull(), F.col(text)).otherwise(F.array_join(parts, "")))
     if "n_chars" in docs.columns and "n_chars" != text:
         out = out.withColumn("n_chars", F.when(F.col(known).isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(dict(docs.dtypes)["n_chars"]))

@@ -173,6 +173,23 @@ def test_secret_forest_on_held_out_findings(spark, forest):
     assert rows.filter((F.col("label") == 1) != F.col("is_secret")).count() <= 0.02 * rows.count()
 
 
+def test_secret_candidates_in_one_pass_and_in_two(spark):
+    """Texts that hold the marks are cut in two passes, with the same candidates; the cut parts make up the text."""
+    import re
+    key = "".join("abcdef0123456789"[(7 * i) % 16] for i in range(40))
+    texts = [f'token = "{key}" and https://bob:hunter2pw@host/x {key}', f"x-SG.{key[:12]}.{key[:9]}+/{key} tail", "nothing here", "", f"pwd: {'y' * 300}1 {key}={key}",
+             f"https://u:{'p' * 250}@h", f"é{key} ünd password='Tr0ub4dor&3x'"]
+    marked = [t + " \x01 " for t in texts] + ["\x02" + t for t in texts]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts + marked)], "doc_id long, text string")
+    parts = {r["doc_id"]: r["p"] for r in rows.select("doc_id", secrets._cut(F.col("text"), secrets.RUN).alias("p")).collect()}
+    assert all("".join(parts[i]) == t for i, t in enumerate(texts + marked)) and all(len(p) % 2 for p in parts.values())
+    for i in range(len(texts)):
+        assert parts[i][1::2] == parts[i + len(texts)][1::2] == parts[i + 2 * len(texts)][1::2]
+    assert "hunter2pw" in parts[0] and "p" * 250 in parts[5] and "Tr0ub4dor&3x" in parts[6] and parts[2] == ["nothing here"]
+    found = {r["doc_id"]: r for r in secrets.candidates(rows.filter("doc_id < 7")).collect()}
+    assert set(found) == {0, 1, 4, 5, 6}
+
+
 def test_secrets_found_and_masked(spark, docs, forest):
     key = hashlib.sha1(b"a").hexdigest()
     rows = [(1, f'so token = "{key}" here', 0), (2, f"commit {key} by", 0), (3, f'é TOKEN = "{key.upper()}"!! and api_key: {key[:32]}, dann', 0),
