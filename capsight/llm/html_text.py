@@ -1,13 +1,16 @@
 """Main text of web pages: parser events, text-to-tag ratio per line, Gaussian smoothing, threshold clustering.
 
 The standard library's streaming parser turns a page into lines (one per block) with their text, tag and link counts and the
-place of the block in the element tree.  Regions that are never article text are masked: menus, page headers, footers,
+place of the block in the element tree.  Blocks that are never article text are masked: menus, page headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments, by element and by class, id or role.  A class, id or role
-masks no element that wraps the page's article or without which little text is left.  The ratio of
-text to tags of the other lines is smoothed by a Gaussian and lines at or over the threshold (a share of the smoothed ratios'
-standard deviation) form the content clusters.  The region is the innermost element that holds all of the clusters' text, or
-the articles in it and the blocks beside them; inside an ``article`` or ``main`` element all other lines belong to it, else those of the
-clusters, what lies between them and headings.
+masks no element that wraps the page's article or without which little text is left.
+
+The ratio of text (without links) to tags of the other lines is smoothed by a Gaussian; lines that reach the threshold (a share of the
+smoothed ratios' standard deviation) before and after form the content clusters, and these alone choose the region: from the root down, an element in
+which the clusters touch one container passes the choice on to it; one in which they touch several containers passes it on to each of
+them; one whose own lines, paragraphs or other blocks without containers they touch is content, with all of its lines.  The page's
+body itself is content from its first to its last touched block, with the headings before and the text blocks after.  So whole
+articles, tables and lists stay, with short lines at their ends, and what the clusters do not reach goes.
 
 One narrow stage: a page is read whole, nothing is shuffled.  Null and empty html give empty text; html without markup is its
 own text; repeated rows are extracted alike; other columns are ignored by ``extract`` unless named in ``keep``.
@@ -52,7 +55,10 @@ COMMENT = re.compile(r"(?:^|[\s_-])(?:comment\w*|disqus\w*|repl(?:y|ies))(?=$|[\
 SIGMA = 1.0
 THRESHOLD = 0.5  # of the standard deviation of the smoothed ratios
 LEFT = 0.25  # share of the page's text that blocks marked by class, id or role must leave
-LINKS = 0.6  # lines with a larger share of linked text are no content outside of articles
+LINKS = 0.6  # at the end of a page without containers, blocks with a larger share of linked text are no content
+#: elements that hold running text and are never passed by on the way down
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote table ul ol dl figure caption center address".split())
+PAGE = frozenset(("#", "html", "body"))
 
 
 class Page(HTMLParser):
@@ -63,7 +69,9 @@ class Page(HTMLParser):
         self.freed = freed  # start tags, by number, whose class, id or role masks nothing
         self.marks = marks  # note marked elements instead of masking them
         self.starts = 0
-        self.hinted = False  # whether a class, id or role masked an element
+        self.veils: list[int] = []  # heights of the stack at open elements that a class, id or role masks
+        self.veiled = 0  # characters that only these mask
+        self.doubt = False  # whether they mask an article
         self.marked: list[tuple[int, bool, int]] = []  # open elements: start tag, whether an article, height of the stack
         self.plain: dict[tuple[tuple[int, bool], ...], int] = {}  # characters without links by the open marked elements and articles
         self.lines: list[tuple[str, int, int, bool, int]] = []
@@ -91,6 +99,8 @@ class Page(HTMLParser):
         self.open.pop()
         if self.marked and self.marked[-1][2] > len(self.open):
             self.marked.pop()
+        if self.veils and self.veils[-1] > len(self.open):
+            self.veils.pop()
         self.masks -= masks
         self.links -= tag == "a"
         self.heads -= tag in HEADING
@@ -128,9 +138,10 @@ class Page(HTMLParser):
             return True
         if self.starts in self.freed or not self.hints(tag, found):
             return False
-        self.hinted = True
         if self.marks:
             self.marked.append((self.starts, False, len(self.open) + 1))
+        else:
+            self.veils.append(len(self.open) + 1)
         return not self.marks
 
     @staticmethod
@@ -154,6 +165,7 @@ class Page(HTMLParser):
                     self.pop()
         if tag in VOID:
             return
+        self.doubt = self.doubt or tag in ARTICLE and bool(self.veils)
         masks = self.masking(tag, attrs)
         if self.marks and tag in ARTICLE and not masks and not (self.marked and self.marked[-1][0] == self.starts):
             self.marked.append((self.starts, True, len(self.open) + 1))
@@ -189,6 +201,8 @@ class Page(HTMLParser):
             elif self.marks and (size := len("".join(data.split()))):
                 at = tuple(m[:2] for m in self.marked)
                 self.plain[at] = self.plain.get(at, 0) + size
+        elif self.masks == len(self.veils):
+            self.veiled += len(data)
 
     def updatepos(self, i: int, j: int) -> int:
         return j  # line numbers are not asked for
@@ -245,69 +259,94 @@ def _wrappers(html: str) -> frozenset:
     return frozenset(freed)
 
 
-def main_text(html: str | None) -> str:
-    """The text of the page's content region, blocks joined by one space."""
-    if not html:
-        return ""
-    page = Page()
-    page.feed(html)
-    page.close()
-    page.flush()
-    if page.hinted and (freed := _wrappers(html)):
-        page = Page(freed)
-        page.feed(html)
-        page.close()
-        page.flush()
-    lines = page.lines
-    level = smooth([len(text) / max(1, tags) for text, tags, *_ in lines])
+def chosen_lines(lines: list[tuple[str, int, int, bool, int]]) -> list[bool]:
+    """The content clusters: lines whose ratio of text to tags reaches the threshold, smoothed (so among others of their kind) and by itself."""
+    ratio = [max(0, len(text) - linked) / max(1, tags) for text, tags, linked, *_ in lines]
+    level = smooth(ratio)
     mean = sum(level) / max(1, len(level))
-    spread = math.sqrt(sum((x - mean) ** 2 for x in level) / max(1, len(level)))
-    cluster = [r >= THRESHOLD * spread for r in level]
-    # text of the clusters under every block, and the way down to the region
-    weight = [0] * len(page.parent)
-    for line, chosen in zip(lines, cluster):
-        if chosen and line[2] <= LINKS * len(line[0]):
-            weight[line[4]] += len(line[0])
-    for i in range(len(weight) - 1, 0, -1):
-        weight[page.parent[i]] += weight[i]
-    children: dict[int, list[int]] = {}
-    for i in range(1, len(weight)):
-        if weight[i]:
-            children.setdefault(page.parent[i], []).append(i)
-    holds = [tag in ARTICLE and w > 0 for tag, w in zip(page.tag, weight)]
-    for i in range(len(weight) - 1, 0, -1):
-        holds[page.parent[i]] = holds[page.parent[i]] or holds[i]
-    regions, todo, taken = {}, [0], set()  # whether a region is an article; blocks whose own chosen lines alone are taken
+    least = THRESHOLD * math.sqrt(sum((x - mean) ** 2 for x in level) / max(1, len(level)))
+    return [r >= least and x >= least for r, x in zip(ratio, level)]
+
+
+def region(page: Page, cluster: list[bool]) -> list[int]:
+    """The lines of the region that the clusters choose, in page order."""
+    parent, tag, lines = page.parent, page.tag, page.lines
+    touched, holds = [0] * len(parent), [0] * len(parent)  # chosen lines, and all lines, under every block
+    own: list[list[int]] = [[] for _ in parent]
+    for i, (line, chosen) in enumerate(zip(lines, cluster)):
+        own[line[4]].append(i)
+        holds[line[4]] += 1
+        touched[line[4]] += chosen
+    children: list[list[int]] = [[] for _ in parent]
+    for i in range(len(parent) - 1, 0, -1):
+        touched[parent[i]] += touched[i]
+        holds[parent[i]] += holds[i]
+        if holds[i]:
+            children[parent[i]].append(i)  # last first
+
+    def subtree(node: int) -> list[int]:
+        out, todo = [], [node]
+        while todo:
+            at = todo.pop()
+            out += own[at]
+            todo += children[at]
+        return out
+
+    taken: list[int] = []
+    todo = [0] if touched[0] else []
     while todo:
         node = todo.pop()
-        below = children.get(node, ())
-        if holds[node] and page.tag[node] not in ARTICLE:
-            taken.add(node)
-            todo += [i for i in below if holds[i]]
-            regions |= {i: False for i in below if not holds[i]}
-        elif page.tag[node] not in ARTICLE and len(below) == 1 and weight[below[0]] == weight[node] and page.tag[below[0]] not in HEADING and page.tag[below[0]] != "p":
+        below = [i for i in children[node] if touched[i]]
+        direct = any(cluster[i] for i in own[node]) or any(tag[i] in PROSE or not children[i] for i in below)
+        if not direct:
             todo += below
-        else:
-            regions[node] = page.tag[node] in ARTICLE
-    within = [-1] * len(weight)
-    for i in range(len(weight)):
-        within[i] = i if i in regions else within[page.parent[i]] if i else -1
-    chosen = [c and line[2] <= LINKS * len(line[0]) for line, c in zip(lines, cluster)]
-    parts: dict[int, list[int]] = {}
-    for i, line in enumerate(lines):
-        parts.setdefault(within[line[4]], []).append(i)
-    inside = [i for i in parts.pop(-1, ()) if chosen[i] and lines[i][4] in taken]
-    for region, part in parts.items():
-        if not regions[region]:
-            content = [i for i in part if chosen[i]]
-            if content:
-                first, last = part.index(content[0]), part.index(content[-1])
-                while first and lines[part[first - 1]][3]:
-                    first -= 1
-                part = [i for i in part[first:last + 1] if lines[i][2] <= LINKS * len(lines[i][0]) or lines[i][3]]
-        inside += part
-    inside.sort()
-    return " ".join(lines[i][0] for i in inside)
+        elif tag[node] not in PAGE:
+            taken += subtree(node)
+        else:  # blocks and lines of the page itself, in order: (first line, block or -1)
+            parts = sorted([(i, -1) for i in own[node]] + [(min(subtree(i)), i) for i in children[node]])
+            hit = [k for k, (i, block) in enumerate(parts) if (touched[block] if block >= 0 else cluster[i])]
+            first, last = hit[0], hit[-1]
+            while first and lines[parts[first - 1][0]][3]:
+                first -= 1
+            while last + 1 < len(parts):
+                i, block = parts[last + 1]
+                some = subtree(block) if block >= 0 else [i]
+                if (block >= 0 and tag[block] not in PROSE) or sum(lines[k][2] for k in some) > LINKS * sum(len(lines[k][0]) for k in some):
+                    break
+                last += 1
+            for k in range(first, last + 1):
+                i, block = parts[k]
+                if block < 0:
+                    taken.append(i)
+                elif tag[block] in PROSE or not children[block]:
+                    taken += subtree(block)
+                elif touched[block]:
+                    todo.append(block)
+    return sorted(taken)
+
+
+def read(html: str) -> Page:
+    """The page's lines; parsed again only where a class, id or role may have masked the article or most of the text."""
+    page = Page()
+    page.feed(html)
+    page.close()
+    page.flush()
+    plain = sum(max(0, len(text) - linked) for text, _, linked, *_ in page.lines)
+    if page.doubt or plain < 2 * LEFT * (plain + page.veiled):
+        if page.veiled and (freed := _wrappers(html)):
+            page = Page(freed)
+            page.feed(html)
+            page.close()
+            page.flush()
+    return page
+
+
+def main_text(html: str | None) -> str:
+    """The text of the page's content region, blocks joined by one space."""
+    if not html:
+        return ""
+    page = read(html)
+    return " ".join(page.lines[i][0] for i in region(page, chosen_lines(page.lines)))
 
 
 def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -199,6 +199,56 @@ def test_html_regions_lose_no_chosen_block():
         assert html_text.main_text(f"<body><nav><a>x</a></nav>{page}<footer>f</footer></body>") == " ".join(parts), page
 
 
+def test_html_clusters_choose_the_region(monkeypatch):
+    """Blocks without any telling name: with one ratio for all lines, the site's own lines would come along, in pages with articles too."""
+    site = "<div><div><i>Home</i></div><div><i>About</i> <i>us</i></div><div><i>Contact</i></div></div>"
+    tail = "<div><div><i>More</i> <i>of</i> <i>this</i></div><div><i>Back</i> <i>up</i></div><div><i>Top</i></div></div>"
+    pages = {f"<body>{site}<article><h1>Head</h1><p>{LONG}</p><p>{LONG}</p><p>End.</p></article>{tail}</body>": f"Head {LONG} {LONG} End.",
+             f"<body>{site}<div><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div>{tail}</body>": f"{LONG} Short. {LONG}"}
+    for html, text in pages.items():
+        assert html_text.main_text(html) == text
+    monkeypatch.setattr(html_text, "smooth", lambda values, sigma=1.0: [1.0] * len(values))
+    for html, text in pages.items():
+        got = html_text.main_text(html)
+        assert got != text and got.startswith("Home") and got.endswith("Top")
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<p>{LONG}</p><table><tr><td>a</td><td>1</td></tr><tr><td>b</td><td>2</td></tr></table>", f"{LONG} a 1 b 2"),
+    (f"<div id=x><p>{LONG}</p><table><tr><td>a</td><td>1</td></tr><tr><td>b</td><td>2</td></tr></table><p>End</p><p>of</p><p>it</p></div>", f"{LONG} a 1 b 2 End of it"),
+    (f"<article><p>{LONG}</p><ul><li><a href=x>one</a></li><li><a href=y>two</a></li></ul><p>x</p><p>y</p><p>z</p></article>", f"{LONG} one two x y z"),
+    (f"<body><p>{LONG}</p><p>a</p><p>b</p><p>c</p><p>d</p><div><div><a href=x>Home</a></div></div></body>", f"{LONG} a b c d"),
+    (f"<body><div><div><p>{LONG}</p><p>{LONG}</p></div></div><div><div><p>{LONG}</p></div></div></body>", f"{LONG} {LONG} {LONG}"),
+])
+def test_html_content_is_whole(html, text):
+    assert html_text.main_text(html) == text
+
+
+def test_html_clusters_equal_a_plain_computation():
+    """Ratios, Gaussian weights and threshold of every test page written out with numpy."""
+    import pyarrow.parquet as pq
+    for html in pq.read_table("/root/testdata/sf0.001/pages.parquet").column("html").to_pylist():
+        lines = html_text.read(html).lines
+        ratio = np.array([(len(t) - linked) / max(1, tags) for t, tags, linked, *_ in lines]).clip(0)
+        far = np.abs(np.arange(len(lines))[:, None] - np.arange(len(lines))[None, :])
+        weights = np.where(far <= 3, np.exp(-far ** 2 / 2), 0)
+        level = (weights * ratio[None, :]).sum(1) / weights.sum(1)
+        assert html_text.chosen_lines(lines) == ((level >= 0.5 * level.std()) & (ratio >= 0.5 * level.std())).tolist()
+
+
+def test_html_second_reading_only_where_needed(monkeypatch):
+    """An advert causes none beside a page's worth of text; the result is that of a reading that always asks."""
+    import pyarrow.parquet as pq
+    pages = pq.read_table("/root/testdata/sf0.001/pages.parquet").column("html").to_pylist()
+    asked, wrappers = [], html_text._wrappers
+    monkeypatch.setattr(html_text, "_wrappers", lambda html: asked.append(1) or wrappers(html))
+    first = [html_text.main_text(p) for p in pages]
+    assert len(asked) < len(pages) / 10
+    asked.clear()
+    monkeypatch.setattr(html_text, "LEFT", 10.0)
+    assert [html_text.main_text(p) for p in pages] == first and len(asked) == len(pages)
+
+
 def test_html_over_pages(spark):
     rows = [(1, "u", "<p>a</p>"), (1, "u", "<p>a</p>"), (2, None, None), (3, "v", "<p>" + "w " * 200_000 + "</p>"), (None, "x", "<div>" * 3000 + "deep")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit(1), "n_chars": F.lit(2), "_html": F.lit(3)})
