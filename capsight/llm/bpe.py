@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from capsight.llm.common import arrow_schema, release, table, workers_import
 
 SLICE = 2 << 20
-CACHE = 32 << 20  # bytes of one generation of cached pieces, of two
+CACHE = 24 << 20  # bytes of one generation of cached pieces, of two
 ENTRY = 190  # bytes that a cached piece takes besides its own
 ROUND = 10_000
 LONG = 64
@@ -361,6 +361,7 @@ def tokenize(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id"
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()  # what an earlier stage's tasks left in this worker
         coder = codec(path)
         for batch in batches:
             texts = batch.column(1)
