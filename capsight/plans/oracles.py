@@ -203,6 +203,7 @@ ORACLES["i2_duplicate_captures"] = _with(O.job_ctes(), (
 ORACLES["i3_retain_newest"] = _with(O.job_ctes(), (
     f"SELECT {_fp()} AS fingerprint, capture_id, CAST(modified_ms AS BIGINT) AS analyzed_ms FROM a WHERE NOT error_o "
     f"ORDER BY modified_ms DESC, fingerprint LIMIT 64"))
+ORACLES["i3_compacted_store"] = ORACLES["i3_retain_newest"]
 ORACLES["k1_kind_report"] = _with(O.job_ctes(), (
     "SELECT kind_o AS kind, save_target, CAST(GROUPING(kind_o, save_target) AS BIGINT) AS level, "
     "CAST(count(*) AS BIGINT) AS n_captures, CAST(sum(CASE WHEN error_o THEN 1 ELSE 0 END) AS BIGINT) AS n_failed, "

@@ -488,6 +488,21 @@ def i3(spark, sf_dir):
     return retain_newest(store, 64).select("fingerprint", "capture_id", "analyzed_ms")
 
 
+@query("i3_compacted_store")
+def i3_compacted(spark, sf_dir):
+    """The store after two runs, compacted to its 64 newest rows and read back."""
+    import uuid
+    from capsight.operators.analyze import run_analysis
+    from capsight.operators.incremental import with_fingerprint
+    from capsight.session import scratch_path, write_scratch
+    from capsight.sources.sinks import compact_results, write_results
+    an = write_scratch(run_analysis(with_fingerprint(fx.captures(spark, sf_dir)), fx.attempts(spark, sf_dir)), "analyses")
+    path = scratch_path(spark, f"stores/{uuid.uuid4().hex[:12]}")
+    write_results(an.where(F.col("capture_id") % 2 == 0), path, F.col("modified_ms"))
+    write_results(an, path, F.col("modified_ms"))
+    return compact_results(spark, path, 64).select("fingerprint", "capture_id", "analyzed_ms")
+
+
 # --- K. reports ----------------------------------------------------------------------------
 
 @query("k1_kind_report")

@@ -73,3 +73,66 @@ def test_write_results_skips_failures(spark):
     back = read_results(spark, path)
     assert back.count() == an.where("NOT error").count() > 0
     assert set(back.columns) >= {"fingerprint", "schema_id", "analyzed_ms", "kind"}
+
+
+def _rows(spark, names, kind="photo_scene"):
+    return spark.createDataFrame([(n, kind, False, i) for i, n in enumerate(names)], "fingerprint string, kind string, error boolean, analyzed int")
+
+
+def test_concurrent_writers_leave_one_row(spark, tmp_path):
+    """Two writers that have not seen each other stage the same fingerprints; whatever the order of publishing, each stays once."""
+    from pyspark.sql import functions as F
+    from capsight.operators.incremental import to_store_rows
+    from capsight.sources import sinks
+    for turn in range(2):
+        path = str(tmp_path / f"t{turn}")
+        sinks.write_results(_rows(spark, "ab"), path, F.lit(1))
+        base = [e["id"] for e in sinks.live_entries(sinks._published(spark, path))]
+        staged = [sinks.stage_entry(to_store_rows(_rows(spark, names), F.lit(w + 2)), path, base) for w, names in enumerate(("cd", "de"))]
+        for entry in staged[::-1] if turn else staged:
+            sinks.publish(spark, path, entry)
+        got = sorted((r.fingerprint, r.analyzed_ms) for r in sinks.read_results(spark, path).collect())
+        assert got == [("a", 1), ("b", 1), ("c", 2), ("d", 2), ("e", 3)]  # d: the earlier entry's
+        sinks.write_results(_rows(spark, "abcdef"), path, F.lit(9))
+        assert sorted(r.fingerprint for r in sinks.read_results(spark, path).collect()) == list("abcdef")
+
+
+def test_a_write_that_stops_leaves_nothing(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from capsight.operators.incremental import to_store_rows
+    from capsight.sources import sinks
+    path = str(tmp_path / "t")
+    sinks.write_results(_rows(spark, "ab"), path, F.lit(1))
+    assert sinks.stage_entry(to_store_rows(_rows(spark, "xyz"), F.lit(2)), path, []) is not None  # never published
+    assert sorted(r.fingerprint for r in sinks.read_results(spark, path).collect()) == ["a", "b"]
+    assert sinks.existing_results(spark, str(tmp_path / "none")) is None
+    sinks.write_results(_rows(spark, "ab"), path, F.lit(3))  # nothing new: no entry
+    assert len(sinks._published(spark, path)) == 1
+
+
+def test_compaction_removes_what_retention_drops(spark, tmp_path):
+    import glob
+    from pyspark.sql import functions as F
+    from capsight.operators.incremental import to_store_rows
+    from capsight.sources import sinks
+    path = str(tmp_path / "t")
+    for k, names in enumerate(("abc", "de", "fgh")):
+        sinks.write_results(_rows(spark, names, ("photo_scene", "chart_or_dashboard")[k % 2]), path, F.lit(k))
+    base = [e["id"] for e in sinks.live_entries(sinks._published(spark, path))]
+    late = sinks.stage_entry(to_store_rows(_rows(spark, "hz"), F.lit(7)), path, base[:2])  # had not seen the third write
+    out = sinks.compact_results(spark, path, 4)
+    assert sorted(r.fingerprint for r in out.collect()) == ["d", "f", "g", "h"]
+    assert len(glob.glob(f"{path}/entry=*")) == 2 and len(glob.glob(f"{path}/_log/*")) == 1  # the compacted one, and the late writer's
+    sinks.publish(spark, path, late)
+    assert sorted(r.fingerprint for r in sinks.read_results(spark, path).collect()) == ["d", "f", "g", "h", "z"]
+    assert sorted(r.fingerprint for r in sinks.compact_results(spark, path).collect()) == ["d", "f", "g", "h", "z"]
+    assert len(glob.glob(f"{path}/entry=*")) == 1
+
+
+def test_of_two_compactions_the_earlier_counts():
+    from capsight.sources.sinks import live_entries, unseen
+    e = lambda i, base="", replaces="": {"id": i, "base": set(base), "replaces": set(replaces)}
+    log = [e("1"), e("2", "1"), e("3", "12", "12"), e("4", "12", "12"), e("5", "12"), e("6", "3")]
+    live = live_entries(log)
+    assert [x["id"] for x in live] == ["3", "5", "6"]
+    assert [unseen(x, live) for x in live] == [[], [], ["5"]]
