@@ -88,14 +88,15 @@ def recent_media(messages: DataFrame, max_messages: int = R.MAX_RECENT_MESSAGES,
     ``nested`` names a column of nested messages (A5): the last ``max_messages`` messages are chosen first, whether they
     hold text or not, and only then walked; each string leaf is scanned on its own, in order.
     """
-    from capsight.sources.payloads import message_leaves
+    from capsight.sources.payloads import with_message_leaves
     if max_messages <= 0 or max_images <= 0:
         raise ValueError("max_messages and max_images must be > 0")
     w = Window.partitionBy("conv_id").orderBy(F.col("turn").desc(), F.col(nested or "text").desc())
     recent = messages.withColumn("_recency", F.row_number().over(w)).where(F.col("_recency") <= max_messages)
     paths = _trimmed_paths(F.col("text"))
     if nested:
-        paths = F.flatten(F.transform(message_leaves(F.col(nested)), _trimmed_paths))
+        recent = with_message_leaves(recent, nested, "_leaves")
+        paths = F.flatten(F.transform("_leaves", _trimmed_paths))
     seen = F.sort_array(F.collect_list(F.struct(F.col("_recency").alias("recency"), paths.alias("paths"))))
     lists = recent.groupBy("conv_id").agg(seen.alias("_seen"))  # at most max_messages rows, already together
     current = _current(F.transform("_seen", lambda m: m["paths"]), max_images)

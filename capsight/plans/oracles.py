@@ -272,7 +272,7 @@ ORACLES["a6_write_results"] = _with(O.job_ctes(), (
     "CAST(modified_ms AS BIGINT) AS analyzed_ms FROM a WHERE NOT error_o"))
 
 # Nested messages walked depth-first: array items by index, object members in
-# key order (as Variant stores them); string leaves at depth <= 8.
+# the order of the document; string leaves at depth <= 8.
 # Numbers only, plain text (no JSON) or a record, as the fixture deals them.
 _NUMBERS_ONLY = "conv_id % 5 = 3 AND turn % 2 = 1"
 _NESTED = (f"nm AS (SELECT conv_id, turn, CASE WHEN {_NUMBERS_ONLY} THEN CAST(to_json(struct_pack(turn := turn, \"values\" := [conv_id, 7])) AS VARCHAR) "
@@ -289,7 +289,7 @@ _WALK = (
     "FROM range(1, CAST(json_array_length(w.j) AS BIGINT) + 1) t(i) WHERE json_type(w.j) = 'ARRAY' "
     "UNION ALL "
     "SELECT k.i - 1 AS i, json_extract(w.j, '$.\"' || k.key || '\"') AS v FROM "
-    "(SELECT unnest(ks) AS key, unnest(range(1, len(ks) + 1)) AS i FROM (SELECT list_sort(json_keys(w.j)) AS ks) "
+    "(SELECT unnest(ks) AS key, unnest(range(1, len(ks) + 1)) AS i FROM (SELECT json_keys(w.j) AS ks) "
     "WHERE json_type(w.j) = 'OBJECT') k) c WHERE w.depth < 8)")
 ORACLES["a5_message_chunks"] = _with([f"msgs AS ({O.fixture_messages()})", _NESTED, _WALK], (
     "SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id, turn ORDER BY path) - 1 AS INTEGER) AS chunk_pos, "

@@ -1,6 +1,7 @@
 """Listing by metadata, admission messages, unresolved requests, payloads, nested messages, sink."""
 import json
 import os
+import re
 import tempfile
 
 from capsight.sources.listing import admit, image_listing, unresolved_requests
@@ -136,3 +137,33 @@ def test_of_two_compactions_the_earlier_counts():
     live = live_entries(log)
     assert [x["id"] for x in live] == ["3", "5", "6"]
     assert [unseen(x, live) for x in live] == [[], [], ["5"]]
+
+
+def _values(node, depth, out):
+    """String leaves as ``Object.values`` walks them."""
+    if isinstance(node, str):
+        out.append(node)
+    elif isinstance(node, (list, dict)) and depth < 8:
+        children = node
+        if isinstance(node, dict):
+            index = sorted((k for k in node if re.fullmatch("0|[1-9][0-9]{0,9}", k) and int(k) < 2 ** 32 - 1), key=int)
+            children = [node[k] for k in index] + [v for k, v in node.items() if k not in index]
+        for child in children:
+            _values(child, depth + 1, out)
+    return out
+
+
+def test_leaves_come_in_document_order(spark):
+    texts = ['{"z":"1","a":{"y":["2",{"q":"3","b":"4"}],"c":"5"},"10":"i10","9":"i9","b":"6","a":"last"}', '["x",{"n":7,"m":"y","n":"z"},null,true,["w"]]', '"alone"',
+             '{"4294967295":"big","4294967294":"index","007":"no","-1":"neg","k\\"ey":"quoted","e":"{\\"not\\":\\"walked\\"}"}', "{}", "[]", '{"a":{"a":{"a":{"a":{"a":{"a":{"a":"d7","b":["d8"]}}}}}}}']
+    df = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "conv_id long, turn long, message string")
+    got = {i: [] for i in range(len(texts))}
+    for r in message_chunks(df).orderBy("conv_id", "chunk_pos").collect():
+        got[r.conv_id].append(r.text)
+    assert got == {i: _values(json.loads(t), 0, []) for i, t in enumerate(texts)}
+
+
+def test_the_last_of_equal_keys_counts_in_payloads(spark):
+    df = spark.createDataFrame([(1, '{"text":"first","provider":"p","text":"last","lines":[{"text":"a","text":"b"}],"provider":"q"}')], "id long, payload string")
+    r = read_ocr_payloads(df).first()
+    assert (r.text, r.lines, r.reported_provider, r.warnings) == ("last", ["b"], "q", [])
