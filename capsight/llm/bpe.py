@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from capsight.llm.common import arrow_schema, release, table, workers_import
 
 SLICE = 2 << 20
-CACHE = 24 << 20  # bytes of one generation of cached pieces, of two
-ENTRY = 190  # bytes that a cached piece takes besides its own
+CACHE = 48 << 20  # bytes of one generation of cached pieces, of two
+ENTRY = 140  # bytes that a cached piece takes besides its own
 ROUND = 10_000
 LONG = 64
 HUGE = 30_000
@@ -128,9 +128,9 @@ class Codec:
         order = np.argsort(left << 32 | right)
         self.pair, self.pair_rank = (left << 32 | right)[order], rank[order]
         self.rank_of: dict[int, int] = {}  # of pairs, filled for the first huge piece
-        # piece -> packed ids, their decoded bytes (None where equal): those of late, and those from before that may come again
-        self.seen: dict[bytes, tuple[bytes, bytes | None]] = {}
-        self.older: dict[bytes, tuple[bytes, bytes | None]] = {}
+        # piece -> packed ids (with their decoded bytes where these differ): those of late, and those from before that may come again
+        self.seen: dict[bytes, bytes | tuple[bytes, bytes]] = {}
+        self.older: dict[bytes, bytes | tuple[bytes, bytes]] = {}
         self.held = 0  # bytes of ``seen``
         del merges, safety, vocabulary, found, left, right, rank, lower, made, order
         release()
@@ -217,11 +217,11 @@ class Codec:
         whole += huge
         packed += map(self._merge_huge, huge)
         for x, ids, plain in zip(whole, packed, self.decode(packed)):
-            self._keep(x, (ids, None if x == plain else plain))
+            self._keep(x, ids if x == plain else (ids, plain))
 
-    def _keep(self, piece: bytes, known: tuple[bytes, bytes | None]) -> None:
+    def _keep(self, piece: bytes, known: bytes | tuple[bytes, bytes]) -> None:
         self.seen[piece] = known
-        self.held += len(piece) + len(known[0]) + ENTRY
+        self.held += 2 * len(piece) + ENTRY
 
     def encoded(self, pieces: list[bytes]) -> tuple[list[bytes], list[bytes]]:
         """Packed ids and decoded bytes of ``pieces``, from the cache where it has them.
@@ -240,7 +240,7 @@ class Codec:
         if new:
             self.learn(new)
         found = [self.seen[x] for x in pieces]
-        return [ids for ids, _ in found], [x if plain is None else plain for x, (_, plain) in zip(pieces, found)]
+        return [k if type(k) is bytes else k[0] for k in found], [x if type(k) is bytes else k[1] for x, k in zip(pieces, found)]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes of packed id lists; empty lists give empty bytes."""
