@@ -1,4 +1,4 @@
-"""Compare the captures of each group (one comparison per ``group_id``).
+"""Compare the captures of each group (one comparison per ``group_id``).
 
 Input: handoff rows with ``group_id, pos`` (member order inside the group;
 unique per group), ``kind, title, save_target, file_name, entities, tags``.
@@ -12,8 +12,9 @@ Plan, built so that a group holding a third of all rows is still spread out:
 2. A window over the few rows of a group (its facts and its distinct values) keeps the values that all members
    share; one row per group comes out.
 
-Members are a long table of their own (``compared_members``).  Only the text block (``render_compare``) needs them in
-one place: it joins the group's member lists at the very end.
+Members are a long table of their own (``compared_members``).  ``render_compare`` shows a group in one row and joins its
+member lists at the very end; ``compare_lines`` gives the same block as numbered pieces, one row per member and list, so that no row or
+task holds a group.  ``similar_classes`` (G6) compares the distinct tag sets of a group, never its members.
 """
 
 from __future__ import annotations
@@ -131,3 +132,76 @@ def render_compare() -> Column:
         F.concat(F.lit("SaveRecommendation: "), c("save_recommendation")),
         F.concat(F.lit("Compared: "), records),
     )
+
+
+MEMBER_ORDER = ("pos", "file_name", "kind", "title", "save_target")
+
+
+def compare_lines(compared: DataFrame, listed: DataFrame, range_rows: int | None = None) -> DataFrame:
+    """G3 and G5 for groups of any size: the block of ``render_compare`` as ``group_id, line_no, piece_no, piece``.
+
+    ``listed`` is ``compared_members``.  A line is its pieces in the order of ``piece_no``, without gaps from 0.  Members are
+    numbered by sampled ranges and running counts (``with_positions``), so a group of a third of all rows is many tasks' work.
+    """
+    from capsight.operators.context import RANGE_ROWS, with_positions
+    from capsight.session import write_scratch
+    c = F.col
+    compared = write_scratch(compared, "compare-lines")
+
+    def text(col: str, sep: str, empty: str) -> Column:
+        return F.when(F.size(col) > 0, F.array_join(col, sep)).otherwise(F.lit(empty))
+
+    def line(number: int, label: str, value: Column) -> Column:
+        return F.struct(F.lit(number).alias("line_no"), F.lit(0).cast("long").alias("piece_no"), F.concat(F.lit(label), value).alias("piece"))
+
+    none = F.when(F.size("differs_in") == 0, line(6, "Differences: ", F.lit("(none)")))
+    fixed = F.array_compact(F.array(
+        F.struct(F.lit(1).alias("line_no"), F.lit(0).cast("long").alias("piece_no"), F.lit(R.COMPARE_HEADER).alias("piece")),
+        line(2, "Summary: ", c("summary")), line(3, "SameKind: ", F.when(c("same_kind"), "true").otherwise("false")),
+        line(4, "Kinds: ", text("kinds", ", ", "(mixed)")), line(5, "Similarities: ", text("similarities", " | ", "(none)")), none,
+        line(7, "SaveRecommendation: ", c("save_recommendation"))))
+    heads = compared.select("group_id", F.explode(fixed).alias("x")).select("group_id", "x.*")
+    placed = with_positions(listed, range_rows or RANGE_ROWS, "group_id", MEMBER_ORDER)
+    placed = placed.join(compared.select("group_id", "n_members", "differs_in"), "group_id")
+    first = c("position") == 0
+
+    def difference(name: str, label: str, column: str) -> Column:
+        at = F.array_position("differs_in", name)  # from 1; 0 where it does not differ
+        lead = F.when(first, F.concat(F.when(at == 1, "Differences: ").otherwise(" | "), F.lit(label))).otherwise(" vs ")
+        return F.when(at > 0, F.struct(F.lit(6).alias("line_no"), ((at - 1) * c("n_members") + c("position")).cast("long").alias("piece_no"), F.concat(lead, column).alias("piece")))
+
+    record = F.struct(F.lit(8).alias("line_no"), c("position").alias("piece_no"),
+                      F.concat(F.when(first, "Compared: ").otherwise(" | "), "file_name", F.lit(":"), "kind").alias("piece"))
+    pieces = F.array_compact(F.array(difference("kind", "kind mismatch: ", "kind"), difference("title", "titles differ: ", "title"),
+                                     difference("save target", "save targets differ: ", "save_target"), record))
+    return heads.unionByName(placed.select("group_id", F.explode(pieces).alias("x")).select("group_id", "x.*"))
+
+
+SIMILAR = 0.5
+
+
+def similar_classes(handoffs: DataFrame, at_least: float = SIMILAR) -> DataFrame:
+    """Similarity within groups, one row per distinct tag set of a group.
+
+    ``group_id, tags, n_members, n_linked, best_tags, best_similarity``: how many members have the set, with how many other members
+    each of them is linked (Jaccard similarity of the tag sets of ``at_least``), and the most similar other set of the group (ties to the
+    smaller set in array order; null where none shares a tag).  Members of one set are linked with each other; members without tags
+    with nobody.
+
+    Equal sets are one class before anything is compared, so the work depends on the distinct sets (bounded by the tags that the
+    rules give), not on the members; classes meet through the tags they share.
+    """
+    c = F.col
+    tags = F.array_sort(F.array_distinct(F.filter(F.coalesce("tags", F.array().cast("array<string>")), lambda t: t.isNotNull())))
+    classes = handoffs.select("group_id", tags.alias("tags")).groupBy("group_id", "tags").agg(F.count(F.lit(1)).alias("n_members"))
+    each = classes.select("group_id", "tags", "n_members", F.explode("tags").alias("tag"))
+    other = each.select("group_id", "tag", c("tags").alias("other"), c("n_members").alias("n_other"))
+    shared = each.join(other, ["group_id", "tag"]).where("tags <> other").groupBy("group_id", "tags", "other", "n_other").agg(F.count(F.lit(1)).alias("common"))
+    score = c("common") / (F.size("tags") + F.size("other") - c("common"))
+    best = F.min(F.struct((-c("score")).alias("away"), "other"))
+    linked = (shared.withColumn("score", score).groupBy("group_id", "tags")
+              .agg(F.sum(F.when(c("score") >= at_least, c("n_other")).otherwise(0)).alias("linked"), best.alias("best")))
+    out = classes.join(linked, ["group_id", "tags"], "left")
+    own = F.when(F.size("tags") > 0, c("n_members") - 1).otherwise(F.lit(0))
+    return out.select("group_id", "tags", "n_members", (own + F.coalesce("linked", F.lit(0))).cast("long").alias("n_linked"),
+                      c("best.other").alias("best_tags"), (-c("best.away")).alias("best_similarity"))

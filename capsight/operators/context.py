@@ -21,6 +21,8 @@ Plans:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,20 +41,22 @@ def _order(messages: DataFrame) -> list[str]:
     return ["turn", "text"] if "text" in messages.columns else ["turn"]
 
 
-def with_positions(messages: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+def with_positions(messages: DataFrame, range_rows: int = RANGE_ROWS, key: str = "conv_id", order: Sequence[str] | None = None) -> DataFrame:
     """Adds ``position``: the 0-based place of the message in its conversation (ties on ``turn``: by text, null first).
 
+    ``key`` and ``order`` number the rows of any other table alike.
+
     Ranges are cut at boundaries that Spark samples from the rows, so they hold about ``range_rows`` each for any values of
     ``turn``, and are written once, since their boundaries must not move.
     """
-    order = _order(messages)
+    order = list(order or _order(messages))
     ranges = max(1, -(-messages.count() // range_rows))
-    ranged = write_scratch(messages.repartitionByRange(ranges, "conv_id", *order).withColumn("_range", F.spark_partition_id()), "ranges")
-    counts = ranged.groupBy("conv_id", "_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("conv_id").orderBy("_range")) - F.col("_n")  # one row per range of a conversation
-    offsets = counts.select("conv_id", "_range", before.alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("conv_id", "_range").orderBy(*order))
-    return (ranged.withColumn("_inside", inside).join(offsets, ["conv_id", "_range"])
+    ranged = write_scratch(messages.repartitionByRange(ranges, key, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = ranged.groupBy(key, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(key).orderBy("_range")) - F.col("_n")  # one row per range of a conversation
+    offsets = counts.select(key, "_range", before.alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(key, "_range").orderBy(*order))
+    return (ranged.withColumn("_inside", inside).join(offsets, [key, "_range"])
             .withColumn("position", (F.col("_before") + F.col("_inside") - 1).cast("long")).drop("_range", "_inside", "_before"))
 
 

@@ -156,6 +156,34 @@ ORACLES["g5_render_compare"] = _with(_compare_ctes(), (
     "'Differences: ' || CASE WHEN differences <> '' THEN differences ELSE '(none)' END, "
     "'SaveRecommendation: ' || save_recommendation, 'Compared: ' || cl) AS compare_block FROM cmp2"))
 
+_LABELS = (("kind", "kind mismatch: ", "kind", "nk > 1"), ("title", "titles differ: ", "title", "nt > 1"), ("save target", "save targets differ: ", "save_target", "ns > 1"))
+_PIECES = " UNION ALL ".join(
+    f"SELECT group_id, 6 AS line_no, CAST(list_position(diff, '{name}') - 1 AS BIGINT) * n + nth AS piece_no, "
+    f"CASE WHEN nth > 0 THEN ' vs ' ELSE CASE WHEN list_position(diff, '{name}') = 1 THEN 'Differences: ' ELSE ' | ' END || '{label}' END || {col} AS piece "
+    f"FROM placed WHERE list_contains(diff, '{name}')" for name, label, col, _ in _LABELS)
+ORACLES["g5_compare_lines"] = _with(_compare_ctes() + [
+    "differ AS MATERIALIZED (SELECT *, list_filter([" + ", ".join(f"CASE WHEN {when} THEN '{name}' END" for name, _, _, when in _LABELS) + "], lambda x: x IS NOT NULL) AS diff FROM cmp2)",
+    "placed AS MATERIALIZED (SELECT m2.*, d.n, d.diff, row_number() OVER (PARTITION BY m2.group_id ORDER BY pos, file_name, m2.kind, m2.title, m2.save_target) - 1 AS nth "
+    "FROM m2 JOIN differ d ON d.group_id = m2.group_id)"],
+    f"SELECT group_id, 1 AS line_no, CAST(0 AS BIGINT) AS piece_no, {O.q(R.COMPARE_HEADER)} AS piece FROM differ "
+    "UNION ALL SELECT group_id, 2, 0, 'Summary: ' || summary FROM differ UNION ALL SELECT group_id, 3, 0, 'SameKind: ' || CASE WHEN same_kind THEN 'true' ELSE 'false' END FROM differ "
+    "UNION ALL SELECT group_id, 4, 0, 'Kinds: ' || kinds FROM differ "
+    "UNION ALL SELECT group_id, 5, 0, 'Similarities: ' || CASE WHEN similarities <> '' THEN similarities ELSE '(none)' END FROM differ "
+    "UNION ALL SELECT group_id, 6, 0, 'Differences: (none)' FROM differ WHERE len(diff) = 0 UNION ALL SELECT group_id, 7, 0, 'SaveRecommendation: ' || save_recommendation FROM differ "
+    f"UNION ALL {_PIECES} UNION ALL SELECT group_id, 8, nth, CASE WHEN nth > 0 THEN ' | ' ELSE 'Compared: ' END || file_name || ':' || kind FROM placed")
+# every pair of members written out, then gathered by the members' tag sets
+ORACLES["g6_similar_classes"] = _with(O.job_ctes() + [
+    "tagged AS MATERIALIZED (SELECT capture_id, capture_id // 24 AS group_id, list_sort(list_distinct(tags_h)) AS tags FROM a)",
+    "pairs AS (SELECT x.group_id, x.capture_id, x.tags, y.capture_id AS other_id, y.tags AS other, len(list_intersect(x.tags, y.tags)) AS common "
+    "FROM tagged x JOIN tagged y ON x.group_id = y.group_id AND x.capture_id <> y.capture_id)",
+    "scored AS (SELECT *, common / CAST(len(tags) + len(other) - common AS DOUBLE) AS score FROM pairs WHERE common > 0)",
+    "links AS (SELECT capture_id, count(*) AS n_linked FROM scored WHERE score >= 0.5 GROUP BY capture_id)",
+    "best AS (SELECT group_id, tags, other AS best_tags, score AS best_similarity FROM (SELECT *, row_number() OVER (PARTITION BY group_id, tags ORDER BY score DESC, other) AS r "
+    "FROM scored WHERE other <> tags) WHERE r = 1)"],
+    "SELECT t.group_id, array_to_string(t.tags, '|') AS tags, count(*) AS n_members, CAST(max(coalesce(l.n_linked, 0)) AS BIGINT) AS n_linked, "
+    "array_to_string(any_value(b.best_tags), '|') AS best_tags, any_value(b.best_similarity) AS best_similarity FROM tagged t LEFT JOIN links l USING (capture_id) "
+    "LEFT JOIN best b ON b.group_id = t.group_id AND b.tags = t.tags GROUP BY t.group_id, t.tags")
+
 # --- H. recent-media context ---------------------------------------------------------
 
 ORACLES["h1_recent_media"] = _with(O.recent_media_ctes(8, 4), "SELECT conv_id, media_pos, file_path FROM media")

@@ -346,6 +346,24 @@ def g5(spark, sf_dir):
     return compared_whole(spark, sf_dir).select("group_id", render_compare().alias("compare_block"))
 
 
+@query("g5_compare_lines")
+def g5_lines(spark, sf_dir):
+    """The comparison blocks as numbered pieces, no row holding a group."""
+    from capsight.operators.compare import compare_groups, compare_lines, compared_members, members
+    from capsight.session import write_scratch
+    rows = write_scratch(members(analysis_job(spark, sf_dir)), "compare")
+    return compare_lines(compare_groups(rows), compared_members(rows))
+
+
+@query("g6_similar_classes")
+def g6(spark, sf_dir):
+    """Similarity of the captures of 24 documents' groups, by their distinct tag sets."""
+    from capsight.operators.compare import similar_classes
+    rows = analysis_job(spark, sf_dir).select(F.floor(F.col("capture_id") / 24).alias("group_id"), "tags")
+    df = similar_classes(rows)
+    return df.select("group_id", j("tags").alias("tags"), "n_members", "n_linked", j("best_tags").alias("best_tags"), "best_similarity")
+
+
 # --- H. recent-media context -----------------------------------------------------------
 
 @query("h1_recent_media")

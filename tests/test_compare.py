@@ -120,3 +120,37 @@ def test_hot_group_matches_brute_force(spark):
         r = got[g]
         assert (r.n_members, r.same_kind, r.kinds, r.shared_entities, r.shared_tags, r.differences,
                 r.save_recommendation, [tuple(x) for x in r.compared]) == w, g
+
+
+def test_lines_join_to_the_block(spark):
+    """Pieces of groups in ranges smaller than a group, with ties in ``pos``, make up the block of ``render_compare``."""
+    from pyspark.sql import functions as F
+    from capsight.operators.compare import compare_lines
+    names = ["receipt_{}.png", "chart_{}.png", "img_{}.png", "scan_{}.pdf.png"]
+    df = handoffs(spark, [{"file_name": names[i % 4].format(i), "group_id": g, "pos": i // 2, "ocr_text": f"合计 {i % 5}\n实付 {i % 5}" if i % 3 else ""}
+                          for g, n in ((1, 90), (2, 3), (3, 2), (4, 1)) for i in range(n)] +
+                  [{"file_name": "same.png", "group_id": 5, "pos": 0} for _ in range(4)]).repartition(5)
+    compared, listed = compare_groups(df), compared_members(df)
+    want = {r.group_id: r.b for r in with_member_lists(compared, listed).select("group_id", render_compare().alias("b")).collect()}
+    rows = compare_lines(compared, listed, range_rows=20).collect()
+    got, numbers = {}, {}
+    for r in sorted(rows, key=lambda r: (r.group_id, r.line_no, r.piece_no)):
+        got.setdefault(r.group_id, {}).setdefault(r.line_no, []).append(r.piece)
+        numbers.setdefault((r.group_id, r.line_no), []).append(r.piece_no)
+    assert {g: "\n".join("".join(p) for _, p in sorted(lines.items())) for g, lines in got.items()} == want and set(want) == {1, 2, 3, 5}
+    assert all(n == list(range(len(n))) for n in numbers.values())
+
+
+def test_similar_classes_equal_member_pairs(spark):
+    import random
+    from capsight.operators.compare import similar_classes
+    rng = random.Random(3)
+    rows = [(i % 4, rng.sample("abcdef", rng.randrange(5)) + ["a"] * (i % 2)) for i in range(120)] + [(9, None), (9, []), (8, ["x"])]
+    out = similar_classes(spark.createDataFrame(rows, "group_id long, tags array<string>")).collect()
+    assert sum(r.n_members for r in out) == len(rows)
+    for r in out:
+        mine, others = set(r.tags), [set(t or []) for g, t in rows if g == r.group_id]
+        score = lambda t: len(mine & t) / len(mine | t) if mine | t else 0.0
+        assert r.n_members == others.count(mine) and r.n_linked == sum(score(t) >= 0.5 for t in others) - (score(mine) >= 0.5)
+        near = sorted((-score(t), sorted(t)) for t in others if t != mine and mine & t)
+        assert (r.best_tags, r.best_similarity) == ((near[0][1], -near[0][0]) if near else (None, None))
