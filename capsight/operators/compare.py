@@ -189,11 +189,12 @@ def similar_classes(handoffs: DataFrame, at_least: float = SIMILAR) -> DataFrame
     with nobody.
 
     Equal sets are one class before anything is compared, so the work depends on the distinct sets (bounded by the tags that the
-    rules give), not on the members; classes meet through the tags they share.
+    rules give), not on the members; classes are written once and meet through the tags they share.
     """
+    from capsight.session import write_scratch
     c = F.col
     tags = F.array_sort(F.array_distinct(F.filter(F.coalesce("tags", F.array().cast("array<string>")), lambda t: t.isNotNull())))
-    classes = handoffs.select("group_id", tags.alias("tags")).groupBy("group_id", "tags").agg(F.count(F.lit(1)).alias("n_members"))
+    classes = write_scratch(handoffs.select("group_id", tags.alias("tags")).groupBy("group_id", "tags").agg(F.count(F.lit(1)).alias("n_members")), "similar")
     each = classes.select("group_id", "tags", "n_members", F.explode("tags").alias("tag"))
     other = each.select("group_id", "tag", c("tags").alias("other"), c("n_members").alias("n_other"))
     shared = each.join(other, ["group_id", "tag"]).where("tags <> other").groupBy("group_id", "tags", "other", "n_other").agg(F.count(F.lit(1)).alias("common"))
