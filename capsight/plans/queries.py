@@ -622,7 +622,7 @@ def _once(name: str) -> str:
 
 def _doc_stream(spark, sf_dir):
     from capsight.streaming.jobs import file_stream
-    return file_stream(spark, sf_dir, fx.table(spark, sf_dir, "documents"), glob="documents.parquet")
+    return file_stream(spark, sf_dir, fx.table(spark, sf_dir, "documents"), glob="documents.parque[t]")
 
 
 @query("j1_stream_analyze")

@@ -152,8 +152,6 @@ def arriving(rows: DataFrame, name: str, batches: int = 3) -> DataFrame:
 
 
 def file_stream(spark: SparkSession, folder: str, like: DataFrame, glob: str | None = None) -> DataFrame:
-    """A file-source stream over the parquet files of ``folder`` (optionally matching ``glob``)."""
-    reader = spark.readStream.schema(like.schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.parquet(folder)
+    """A file-source stream over the parquet files of ``folder``, or over the tables of ``folder`` that match ``glob``, each one file
+    or a folder of part files."""
+    return spark.readStream.schema(like.schema).parquet(f"{folder}/{glob}" if glob else folder)

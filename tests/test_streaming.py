@@ -142,3 +142,12 @@ def test_ties_are_ordered_alike_in_batch_and_stream(spark):
     for k in range(2):
         emitted = spark.read.parquet(run_available_now(stream_context(arriving(df, f"ties{k}", 3 + k), 4, 4), f"ties{k}"))
         assert rows(latest_context(emitted).select("conv_id", "media_pos", "file_path")) == want
+
+
+def test_stream_reads_a_table_of_part_files(spark, tmp_path):
+    """J1 on ``documents.parquet`` as a folder of part files, beside another table: each document once."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    docs.repartition(3, "doc_id").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.range(3).write.parquet(str(tmp_path / "labels.parquet"))
+    out = QUERIES["j1_stream_analyze"](spark, str(tmp_path))
+    assert sorted(r.capture_id for r in out.select("capture_id").collect()) == sorted(r.doc_id for r in docs.collect())
