@@ -46,6 +46,8 @@ _SLOTS = {
         "LN": rf"(?<=[{_WORD}])", "RN": rf"(?=[{_WORD}])",
         "W": W, "NW": NW, "DOT": DOT, "HAN": r"\p{IsHan}",
     },
+    # for texts known to be ASCII: the white space of the class as one bit set
+    "ascii": {"W": r"[\t\n\x0b\f\r ]", "NW": r"[^\t\n\x0b\f\r ]"},
     "re2": {"B": r"\b", "LB": r"\b", "RB": r"\b", "LN": r"\b", "RN": r"\b",
             "W": W, "NW": NW, "DOT": DOT, "HAN": r"\p{Han}"},
 }
@@ -86,6 +88,14 @@ PATTERNS = {
     "ws_run": r"{W}+",
 }
 
+# ASCII characters a match may begin with, and whether it may begin with another one: Java tries every alternative and every
+# lookbehind at every position unless one look ahead rules them out.
+STARTS = {
+    "clock": ("0-9", False), "heading": ("cCsS", True), "section_marker": ("cCsS", True), "amount_han": ("", True), "amount_en": ("tTaA", False),
+    "date_dash": ("2", False), "phone": ("1", False), "url_www": ("wW", False), "eleven_digits": ("0-9", False), "long_id": ("0-9", False),
+    "metric": ("gGdDmMcCrRaAlL", False), "period": ("qQ2", True),
+}
+
 
 def render(template: str, dialect: str = "java") -> str:
     """Fill the slots of a pattern template for ``java`` or ``re2``."""
@@ -99,14 +109,22 @@ def render(template: str, dialect: str = "java") -> str:
 # pattern cannot match and the regex is not run at all.
 REQUIRED = {"clock": ":", "email": "@", "url_http": "://", "percent": "%"}
 
+# Patterns that are words in any case of ASCII letters (none holds a "k", which other letters have as their lower case).
+WORDS = ("receipt_total", "receipt_date", "receipt_tax", "chart_trend", "chart_metric", "chart_rate")
+
 
 def rx(name: str, dialect: str = "java") -> str:
-    return render(PATTERNS[name], dialect)
+    pattern = render(PATTERNS[name], dialect)
+    if dialect == "re2" or name not in STARTS:
+        return pattern
+    ascii_, other = STARTS[name]
+    return f"(?=[{ascii_ and f'[{ascii_}]'}{'[^\\x00-\\x7f]' * other}])(?:{pattern})"
 
 
 # Han date, with ASCII-alphanumeric guards on both sides.  RE2 has no
 # lookaround, so the oracle form consumes the guards and returns group 1.
 DATE_HAN_JAVA = r"(?<![a-zA-Z0-9])\d{4}年\d{1,2}月\d{1,2}日(?![a-zA-Z0-9])"
+REQUIRED[DATE_HAN_JAVA] = "年"
 DATE_HAN_RE2 = r"(?:^|[^a-zA-Z0-9])(\d{4}年\d{1,2}月\d{1,2}日)(?:[^a-zA-Z0-9]|\z)"
 
 
@@ -132,10 +150,21 @@ def guard(text: Column, name: str, value: Column, otherwise) -> Column:
     lit = REQUIRED.get(name)
     if lit is None:
         return value
-    return F.when(F.instr(text, lit) > 0, value).otherwise(otherwise)
+    return F.when(F.contains(text, F.lit(lit)), value).otherwise(otherwise)
+
+
+def once(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` computed once: the branches of a ``when`` would each compute it again."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
+def is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
 
 
 def has(c: Column, name: str) -> Column:
+    if name in WORDS:
+        return any_contains(F.lower(c), PATTERNS[name].removeprefix("(?i)").lower().split("|"))
     return guard(c, name, c.rlike(rx(name)), F.lit(False))
 
 
@@ -153,8 +182,8 @@ def first_match(text: Column, *specs) -> Column:
     outs = []
     for p, g in specs:
         pattern = rx(p) if p in PATTERNS else p
-        found = F.nullif(js_trim(F.regexp_extract(text, pattern, g)), F.lit(""))
-        outs.append(guard(text, p, found, F.lit(None).cast("string")) if p in PATTERNS else found)
+        found = once(js_trim(F.regexp_extract(text, pattern, g)), lambda v: F.when(v != "", v))
+        outs.append(guard(text, p, found, F.lit(None).cast("string")))
     return F.coalesce(*outs)
 
 
@@ -171,7 +200,7 @@ def count_contains(text: Column, words, han_present: Column | None = None) -> Co
     def total(ws):
         out = None
         for w in ws:
-            term = F.when(F.instr(text, w) > 0, 1).otherwise(0)
+            term = F.when(F.contains(text, F.lit(w)), 1).otherwise(0)
             out = term if out is None else out + term
         return out if out is not None else F.lit(0)
 
@@ -185,7 +214,7 @@ def count_contains(text: Column, words, han_present: Column | None = None) -> Co
 def any_contains(text: Column, words) -> Column:
     out = None
     for w in words:
-        term = F.instr(text, w) > 0
+        term = F.contains(text, F.lit(w))
         out = term if out is None else (out | term)
     return out
 

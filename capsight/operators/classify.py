@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from capsight.functions import rules as R
 from capsight.functions.text import (
-    any_contains, clean_lines, count_contains, count_lines, has, js_trim, per_context, rx, unique,
+    any_contains, clean_lines, count_contains, count_lines, has, is_ascii, js_trim, per_context, rx, unique,
 )
 
 
@@ -73,7 +73,9 @@ def text_signal_columns(full: Column, lines: Column) -> dict[str, Column]:
     Keyword counts run on ``lower(name + ' ' + hint + ' ' + trimmed text)``; line
     counts run on the trimmed, non-blank lines of the text.
     """
-    han = full.rlike(rx("han"))
+    han = F.when(is_ascii(full), F.lit(False)).otherwise(full.rlike(rx("han")))
+    # the lines are parts of ``full``, but for their case
+    headed = F.coalesce(any_contains(full, ("第", "chapter", "section", "摘要", "目录")), F.lit(True))
     return {
         "n_receipt_words": count_contains(full, R.RECEIPT_WORDS, han),
         "n_chart_words": count_contains(full, R.CHART_WORDS, han),
@@ -83,8 +85,8 @@ def text_signal_columns(full: Column, lines: Column) -> dict[str, Column]:
         "n_clock_lines": count_lines(lines, lambda l: has(l, "clock")),
         "n_speaker_lines": count_lines(lines, lambda l: l.rlike(rx("speaker"))),
         "n_numbered_lines": count_lines(lines, lambda l: l.rlike(rx("numbered"))),
-        "n_instruction_lines": count_lines(lines, lambda l: l.rlike(rx("instruction"))),
-        "has_heading": F.exists(lines, lambda l: l.rlike(rx("heading"))),
+        "n_instruction_lines": count_lines(lines, lambda l: any_contains(l, (":", "：", "-")) | l.rlike(r"^\d+\.")),
+        "has_heading": F.when(headed, F.exists(lines, lambda l: l.rlike(rx("heading")))).otherwise(F.lit(False)),
         "has_long_line": F.exists(lines, lambda l: F.length(l) >= R.DOC_LONG_LINE[1]),
         "joined_length": F.length(F.array_join(lines, "")),
     }

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from capsight.functions import rules as R
 from capsight.functions.text import (
-    DATE_HAN_JAVA, cut, extract_all, first_match, has, js_trim, lit_array, rx, unique,
+    DATE_HAN_JAVA, any_contains, cut, extract_all, first_match, has, is_ascii, js_trim, lit_array, once, rx, unique,
 )
 
 
@@ -68,12 +68,12 @@ def risk_flags(kind: Column, text: Column) -> Column:
 def entities(kind: Column, text: Column, lines: Column) -> Column:
     """D3: base entities per kind plus the ones the text or lines support."""
     receipt = unique(F.concat(lit_array(R.BASE_ENTITIES[R.RECEIPT]), _flags(
-        (text.rlike(rx("receipt_total")), "total"),
-        (text.rlike(rx("receipt_date")), "date"),
-        (text.rlike(rx("receipt_tax")), "tax_or_invoice"))))
+        (has(text, "receipt_total"), "total"),
+        (has(text, "receipt_date"), "date"),
+        (has(text, "receipt_tax"), "tax_or_invoice"))))
     chart = unique(F.concat(lit_array(R.BASE_ENTITIES[R.CHART]), _flags(
-        (text.rlike(rx("chart_trend")), "trend_indicator"),
-        (text.rlike(rx("chart_metric")), "business_metric"))))
+        (has(text, "chart_trend"), "trend_indicator"),
+        (has(text, "chart_metric"), "business_metric"))))
     first = F.coalesce(F.get(lines, 0), F.lit(""))
     document = unique(F.concat(lit_array(R.BASE_ENTITIES[R.DOCUMENT]), _flags(
         (first != "", "heading"),
@@ -96,9 +96,20 @@ def layout_hints(kind: Column, lines: Column) -> Column:
                   F.concat(base, F.array(F.lit(R.LIST_LAYOUT_HINT)))).otherwise(base)
 
 
+def _tabular(line: Column, name: str) -> Column:
+    """``line.rlike``; an ASCII line without any of these signs has no match."""
+    likely = any_contains(line, ("  ", "\t", "\n", "\x0b", "\f", "\r") + ((":",) if name == "tabular_line" else ()))
+    return F.when(is_ascii(line), likely & line.rlike(rx(name, "ascii"))).otherwise(line.rlike(rx(name)))
+
+
+def _collapsed(text: Column) -> Column:
+    """White space as single spaces."""
+    return F.when(is_ascii(text), F.regexp_replace(text, rx("ws_run", "ascii"), " ")).otherwise(F.regexp_replace(text, rx("ws_run"), " "))
+
+
 def table_hints(kind: Column, lines: Column) -> Column:
     """D5."""
-    tabular = F.exists(lines, lambda l: l.rlike(rx("tabular")))
+    tabular = F.exists(lines, lambda l: _tabular(l, "tabular"))
     return (F.when(kind == R.RECEIPT, lit_array(R.RECEIPT_TABLE_HINTS))
             .when((kind == R.DOCUMENT) & tabular, lit_array(R.DOCUMENT_TABLE_HINTS))
             .otherwise(empty()))
@@ -107,8 +118,8 @@ def table_hints(kind: Column, lines: Column) -> Column:
 def chart_hints(kind: Column, text: Column) -> Column:
     """D6 (chart captures only)."""
     hints = F.concat(F.array(F.lit(R.CHART_BASE_HINT)), _flags(
-        (text.rlike(rx("chart_rate")), R.CHART_RATE_HINT),
-        (text.rlike(rx("chart_metric")), R.CHART_METRIC_HINT)))
+        (has(text, "chart_rate"), R.CHART_RATE_HINT),
+        (has(text, "chart_metric"), R.CHART_METRIC_HINT)))
     return F.when(kind == R.CHART, hints).otherwise(empty())
 
 
@@ -122,8 +133,8 @@ def table_preview(kind: Column, lines: Column, limit: int | None = R.TABLE_PREVI
     cand = F.filter(
         F.transform(lines, js_trim),
         lambda l: (l != "") & (
-            l.rlike(rx("tabular_line"))
-            | (l.rlike(rx("ends_with_number")) & l.rlike(rx("han_or_latin"))))
+            _tabular(l, "tabular_line")
+            | (F.substring(l, -1, 1).between("0", "9") & l.rlike(rx("han_or_latin"))))
     )
     wanted = kind.isin(R.DOCUMENT, R.RECEIPT, R.CHART)
     return F.when(wanted, unique(first(cand, limit))).otherwise(empty())
@@ -146,10 +157,14 @@ def heuristic_summary(file_name: Column, kind: Column, reasons: Column, text: Co
     reason = F.coalesce(F.get(reasons, 0), F.lit("generic image heuristics"))
     base = F.concat(F.lit("Image "), file_name, F.lit(" appears to be "), kind,
                     F.lit(" based on "), reason, F.lit("."))
-    lead = js_trim(F.regexp_replace(text, rx("ws_run"), " "))
+    lead = js_trim(_collapsed(text))
     if max_lead is not None:
-        lead = cut(lead, max_lead, max(0, max_lead - (R.OCR_LEAD_MAX - R.OCR_LEAD_CUT)))
-    return F.when(lead != "", F.concat(base, F.lit(" OCR suggests: "), lead)).otherwise(base)
+        keep = max(0, max_lead - (R.OCR_LEAD_MAX - R.OCR_LEAD_CUT))
+        # where the beginning alone has more than the lead shows, the rest need not be collapsed
+        begin = once(F.substring(text, 1, 2 * max_lead + 8), lambda part: F.ltrim(_collapsed(part)))
+        long = once(begin, lambda part: F.when(F.length(part) > max_lead + 1, F.concat(F.substring(part, 1, keep), F.lit("..."))))
+        lead = F.coalesce(long, once(lead, lambda whole: cut(whole, max_lead, keep)))
+    return once(lead, lambda v: F.when(v != "", F.concat(base, F.lit(" OCR suggests: "), v)).otherwise(base))
 
 
 def extraction_columns(kind: Column, reasons: Column, file_name: Column, text: Column,

@@ -639,8 +639,8 @@ def j2(spark, sf_dir):
     from capsight.streaming.jobs import arriving, dedupe_available_now, stream_analyze
     docs = fx.table(spark, sf_dir, "documents")
     twice = docs.withColumn("arrival", F.explode(F.array(F.lit(1), F.lit(2))))
-    caps = fx.with_ocr(fx.captures_from(arriving(twice, "captures").drop("arrival")))
-    out = dedupe_available_now(caps, _once("dedupe"), lambda rows: flat_analysis(stream_analyze(rows), "fingerprint"))
+    caps = fx.captures_from(arriving(twice, "captures").drop("arrival"))
+    out = dedupe_available_now(caps, _once("dedupe"), lambda rows: flat_analysis(stream_analyze(fx.with_ocr(rows)), "fingerprint"))
     return spark.read.parquet(out)
 
 
