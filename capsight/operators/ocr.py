@@ -265,6 +265,39 @@ def run_chain(chain: Sequence[tuple[str, Callable[[bytes, str], object]]], data:
     return chain[0][0], "", [], warnings, round(spent)
 
 
+#: Bytes of images whose texts a worker holds at a time.
+PART_BYTES = 4 << 20
+_ADDED = ("ocr_provider", "ocr_text", "ocr_lines", "ocr_warnings", "ocr_elapsed_ms")
+
+
+def _parts(sizes: Iterable[int], most: int) -> list[tuple[int, int]]:
+    """Row ranges of at most ``most`` bytes, or of one row."""
+    out, start, held, n = [], 0, 0, 0
+    for n, size in enumerate(sizes, 1):
+        if held and held + size > most:
+            out.append((start, n - 1))
+            start, held = n - 1, 0
+        held += size
+    return [*out, (start, n)] if n else out
+
+
+def _extract_parts(batches: Iterable, steps: Sequence, keep: list[str], content: str, path: str, timeout_ms: int | None):
+    """The frames of ``extract_text``: a batch of images goes out in parts, so its texts are never held all at once."""
+    import pyarrow as pa
+
+    ready = [(name, fn.factory() if isinstance(fn, PerTask) else fn) for name, fn in steps]
+    for pdf in batches:
+        for a, b in _parts((len(data) if data is not None else 0 for data in pdf[content]), PART_BYTES):
+            part = pdf.iloc[a:b]
+            rows = [run_chain(ready, bytes(data) if data is not None else b"", p, timeout_ms) for data, p in zip(part[content], part[path])]
+            out = part[keep].copy()
+            for name, values in zip(_ADDED, zip(*rows)):
+                out[name] = list(values)
+            yield out
+        del pdf
+        pa.default_memory_pool().release_unused()
+
+
 def extract_text(images: DataFrame, extractor: Callable[[bytes, str], object] | None = None, provider: str = "custom",
                  content: str = "content", path: str = "file_path",
                  extractor_factory: Callable[[], Callable[[bytes, str], object]] | None = None,
@@ -282,28 +315,19 @@ def extract_text(images: DataFrame, extractor: Callable[[bytes, str], object] |
     ocr_elapsed_ms`` (measured).  Null bytes are empty ones.  Images are large: the caller sizes batches by
     ``spark.sql.execution.arrow.maxRecordsPerBatch`` (no setting is changed here).
     """
-    import pandas as pd
-
     if [extractor, extractor_factory, chain].count(None) != 2:
         raise ValueError("give exactly one of extractor, extractor_factory and chain")
     steps = list(chain) if chain is not None else [(provider, extractor if extractor is not None else PerTask(extractor_factory))]
     if not steps:
         raise ValueError("the chain is empty")
-    added = ["ocr_provider", "ocr_text", "ocr_lines", "ocr_warnings", "ocr_elapsed_ms"]
-    keep = [c for c in images.columns if c != content and c not in added]
+    keep = [c for c in images.columns if c != content and c not in _ADDED]
     schema = images.select(*keep).schema.simpleString()[len("struct<"):-1]
     schema += ",ocr_provider:string,ocr_text:string,ocr_lines:array<string>,ocr_warnings:array<string>,ocr_elapsed_ms:bigint"
 
-    def run(batches: Iterable[pd.DataFrame]):
-        ready = [(name, fn.factory() if isinstance(fn, PerTask) else fn) for name, fn in steps]
-        for pdf in batches:
-            rows = [run_chain(ready, bytes(data) if data is not None else b"", p, timeout_ms) for data, p in zip(pdf[content], pdf[path])]
-            out = pdf[keep].copy()
-            for name, values in zip(added, zip(*rows) if rows else [[]] * len(added)):
-                out[name] = list(values)
-            yield out
+    def run(batches):
+        return _extract_parts(batches, steps, keep, content, path, timeout_ms)
 
-    return images.drop(*added).mapInPandas(run, schema=schema)
+    return images.drop(*_ADDED).mapInPandas(run, schema=schema)
 
 
 def utf8_extractor(data: bytes, path: str) -> dict:

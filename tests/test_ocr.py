@@ -210,3 +210,22 @@ def test_attempts_are_scanned_and_shuffled_once(spark):
     plan = with_resolved_ocr(captures, attempts, partitions=5)._jdf.queryExecution().executedPlan().toString()
     # one exchange of the attempts with the asked number of parts, one of the captures to meet them
     assert plan.count("Exchange hashpartitioning(capture_id") == 2 and "REPARTITION_BY_NUM" in plan and plan.count("Join") == 1
+
+
+def test_a_batch_of_images_is_read_in_parts():
+    """The first rows come out before the last images of their batch are read; order and nulls stay."""
+    import pandas as pd
+    from capsight.operators import ocr
+    seen = []
+
+    def read(data, path):
+        seen.append(path)
+        return path
+
+    big = b"x" * (ocr.PART_BYTES // 2)
+    pdf = pd.DataFrame({"file_path": [f"p{i}" for i in range(7)], "content": [big, big, big, None, b"", big, big]})
+    frames = ocr._extract_parts(iter([pdf, pdf.iloc[:0]]), [("a", read)], ["file_path"], "content", "file_path", None)
+    first = next(frames)
+    assert len(first) == len(seen) == 2
+    rows = pd.concat([first, *frames])
+    assert rows["ocr_text"].tolist() == rows["file_path"].tolist() == [f"p{i}" for i in range(7)]
