@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from capsight.llm.common import arrow_schema, release, table, workers_import
 
-SLICE = 2 << 20
+SLICE = 1 << 20
 CACHE = 48 << 20  # bytes of one generation of cached pieces, of two
 ENTRY = 140  # bytes that a cached piece takes besides its own
 ROUND = 10_000
@@ -375,6 +375,8 @@ def tokenize(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id"
                 if decoded:
                     columns.append(pa.array(out["decoded"], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
+                del out, columns
+            del batch, texts
             release()
 
     return docs.select(key, text).mapInArrow(run, ddl)
