@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from capsight.llm import rp_forest as R
-from capsight.llm.common import materialize, table, workers_import
+from capsight.llm.common import materialize, release, table, workers_import
 
 TREES = 16
 SAMPLE = 16_384
@@ -34,6 +34,7 @@ LEAF = 32
 SHARE = 1.5
 NEIGHBOURS = 10
 BLOCK_ROWS = 20_000
+CELLS = 500_000  # distances a leaf's task holds at a time
 
 
 def points(rows: DataFrame, vector: str, key: str, keep: int) -> tuple[DataFrame, int]:
@@ -74,8 +75,9 @@ def _leaf_search(width: int, keep: int):
         centre = (b / scale).mean(0)
         c = b / scale - centre
         sizes = (c * c).sum(1)
-        for at in range(0, len(a), 256):
-            part = a[at:at + 256]
+        some = max(1, min(256, CELLS // len(b)))
+        for at in range(0, len(a), some):
+            part = a[at:at + some]
             p = part / scale - centre
             own = (p * p).sum(1)
             near = sizes[None, :] - 2 * (p @ c.T) + own[:, None]
@@ -106,6 +108,8 @@ def nearest(rows: DataFrame, queries: Column, neighbours: int = NEIGHBOURS, tree
                 pick = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([pick.column(0), pick.column(1), pa.array(np.full(len(row), t, dtype=np.int32)), pa.array(leaf.astype(np.int32))],
                                                  ["cid", "v", "tree", "leaf"])
+            batch = v = row = leaf = pick = None
+            release()
 
     leaves = materialize(vectors.select("cid", "v").mapInArrow(index, "cid long, v array<double>, tree int, leaf int"), "ann-leaves")
     sizes = leaves.groupBy("tree", "leaf").count()
@@ -124,6 +128,8 @@ def nearest(rows: DataFrame, queries: Column, neighbours: int = NEIGHBOURS, tree
                 pick = batch.slice(at, 256).take(pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found])))
                 place = np.array([x for f in found for x in f], dtype=np.int32).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([pick.column(0), pick.column(1), pa.array(place[:, 0]), pa.array(place[:, 1])], ["qid", "v", "tree", "leaf"])
+            batch = v = found = pick = place = None
+            release()
 
     width_ok = R.usable(F.col(vector), width) & F.col(key).isNotNull()
     asked = (rows.filter(queries & width_ok).select(F.col(key).cast("long").alias("query_id"), F.col(vector).cast("array<double>").alias("v")).distinct()
