@@ -12,7 +12,8 @@ all other pairs are contracted one by one.  Pieces over ``HUGE`` bytes, whose ro
 order (minimum rank, then leftmost) from a queue over linked arrays, in time that grows little faster than their length.
 
 One narrow stage: no shuffle.  Memory per task is bounded by ``SLICE`` bytes of text (or one document), ``STEPS`` rounds of one recursive query and
-two generations of at most ``CACHE`` bytes of cached pieces per Python worker, a pure cache that a lost executor rebuilds.
+two generations of at most ``CACHE`` bytes of cached pieces per Python worker, a pure cache that a lost executor rebuilds and that
+another operator's tasks drop.
 
 Null texts count as empty: no ids, the digests of nothing.  Repeated rows are encoded alike.  An empty table gives an empty result.
 Extra columns are ignored; output names do not depend on them.
@@ -30,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from capsight.llm.common import arrow_schema, release, table, workers_import
+from capsight.llm.common import KEPT, arrow_schema, release, table, workers_import
 
 SLICE = 1 << 20
 CACHE = 48 << 20  # bytes of one generation of cached pieces, of two
@@ -133,7 +134,7 @@ class Codec:
         self.older: dict[bytes, bytes | tuple[bytes, bytes]] = {}
         self.held = 0  # bytes of ``seen``
         del merges, safety, vocabulary, found, left, right, rank, lower, made, order
-        release()
+        release("bpe")
 
     def _query(self, sql: str, **tables: pa.Table) -> pa.Table:
         for name, rows in tables.items():
@@ -258,7 +259,7 @@ class Codec:
         return [b"".join(x) for x in out]
 
 
-_CODECS: dict[str, Codec] = {}
+_CODECS: dict[str, Codec] = KEPT.setdefault("bpe", {})  # until another operator's task runs in this worker
 _CLASSES: list[np.ndarray] = []
 
 
@@ -361,7 +362,7 @@ def tokenize(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id"
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()  # what an earlier stage's tasks left in this worker
+        release("bpe")  # what an earlier stage's tasks left in this worker
         coder = codec(path)
         for batch in batches:
             texts = batch.column(1)
@@ -377,7 +378,7 @@ def tokenize(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id"
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
                 del out, columns
             del batch, texts
-            release()
+            release("bpe")
 
     return docs.select(key, text).mapInArrow(run, ddl)
 

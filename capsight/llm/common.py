@@ -72,8 +72,18 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(n, arrow_type(t)) for n, t in (c.split() for c in ddl.split(","))])
 
 
-def release() -> None:
-    """Give memory that Arrow and the C library keep for reuse back to the machine: Python workers outlive their tasks."""
+#: What operators keep in a Python worker from task to task, by operator: pure caches.
+KEPT: dict[str, dict] = {}
+
+
+def release(keep: str = "") -> None:
+    """Give memory that Arrow and the C library keep for reuse back to the machine: Python workers outlive their tasks.
+
+    What operators other than ``keep`` have kept in this worker goes too.
+    """
+    for name, kept in KEPT.items():
+        if name != keep:
+            kept.clear()
     pa.default_memory_pool().release_unused()
     if trim := getattr(_LIBC, "malloc_trim", None):
         trim(0)
@@ -96,7 +106,7 @@ def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[keep], nodes[root[keep]]
 
 
-def _contract(batches):
+def contract(batches):
     """Edges of a partition as the star forest of their components (a map-side combine)."""
     a, b = [], []
     for batch in batches:
@@ -108,18 +118,18 @@ def _contract(batches):
             yield pa.RecordBatch.from_arrays([pa.array(node[i:i + 65536]), pa.array(root[i:i + 65536])], ["u", "v"])
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, contracted: bool = False) -> DataFrame:
     """``(node, component)`` of the undirected long edges ``(u, v)``; component = smallest node.
 
-    Large-star / small-star rounds.  Edges are first contracted inside each partition, each round is
-    two aggregations with map-side combine and two joins on the node (skew is split by AQE), and a
-    round's edges are written to the shared folder.  Stops when a round changes no edge.
+    Large-star / small-star rounds.  Edges are first contracted inside each partition (``contracted``: the Python task that made
+    them did so by ``contract``, so that no task needs two workers at once), each round is two aggregations with map-side combine and
+    two joins on the node (skew is split by AQE), and a round's edges are written to the shared folder.  Stops when a round changes no edge.
     """
     spark = edges.sparkSession
     workers_import(spark)
     u, v = F.col("u"), F.col("v")
     narrow = edges.select(u.cast("long").alias("u"), v.cast("long").alias("v")).filter("u <> v")
-    now = materialize(narrow.mapInArrow(_contract, "u long, v long").distinct(), "edges")
+    now = materialize((narrow if contracted else narrow.mapInArrow(contract, "u long, v long")).distinct(), "edges")
     mark = None
     while True:
         both = now.unionAll(now.select(v.alias("u"), u.alias("v")))

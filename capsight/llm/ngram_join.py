@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capsight.llm import text_arrays as T
-from capsight.llm.common import connected_components, local_forest, materialize, release, table, workers_import
+from capsight.llm.common import connected_components, contract, local_forest, materialize, release, table, workers_import
 
 WIDTH, PERCENT = 5, 75
 CHUNK = 1_000_000  # shingles that a task packs at once
@@ -65,6 +65,7 @@ def _sets(batch: pa.RecordBatch, place: int, width: int):
 def classes(docs: DataFrame, text: str, key: str, width: int) -> DataFrame:
     """``doc_id, n, cid`` of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for a, b, _, _, size, cid in _sets(batch, 1, width):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array(size.astype(np.int64)), pa.array(cid)],
@@ -204,6 +205,7 @@ def _bits(entries: int) -> int:
 
 def _pack_texts(docs: DataFrame, bits: int, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         packer = _Packer(bits)
         for batch in batches:
             for _, _, shingles, owner, size, cid in _sets(batch, 0, width):
@@ -245,6 +247,7 @@ def _read_sets(docs: DataFrame, left: DataFrame, text: str, key: str, width: int
     wanted = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         known = np.frombuffer(wanted.value, dtype=np.uint8)
         for batch in batches:
             at = batch.column(2).to_numpy(zero_copy_only=False)
@@ -336,6 +339,13 @@ def _chains(percent: int):
     return run
 
 
+def _groups(percent: int):
+    """The chains of a task, contracted in the worker that makes them: a second one would hold as much memory again, also when idle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from contract(_chains(percent)(batches))
+    return run
+
+
 def overlaps(shingles: np.ndarray, owner: np.ndarray, docs: int) -> np.ndarray:
     """``docs x docs`` counts of common shingles: the product of the incidence matrix with its transpose."""
     out = np.zeros((docs, docs), dtype=np.float32)
@@ -398,8 +408,8 @@ def ngram_join(docs: DataFrame, text: str = "text", key: str = "doc_id", width:
         done, sets, count = now > 0.9 * count, fewer, now
         if done:
             break
-    chains = (_rarest(sets, bits, percent).repartition("h").sortWithinPartitions("h", "n", "cid").mapInArrow(_chains(percent), "u long, v long"))
-    groups = connected_components(chains).select(F.col("node").alias("cid"), F.col("component").alias("grp"))
+    chains = (_rarest(sets, bits, percent).repartition("h").sortWithinPartitions("h", "n", "cid").mapInArrow(_groups(percent), "u long, v long"))
+    groups = connected_components(chains, contracted=True).select(F.col("node").alias("cid"), F.col("component").alias("grp"))
     sets = materialize(sets.join(groups, "cid"), "ngram-groups")
     cuts = sets.groupBy("grp").agg(F.greatest(F.ceil(F.sum("n") / GROUP_SHINGLES), F.ceil(F.count("*") / GROUP_DOCS)).cast("long").alias("cuts"))
     own = sets.join(cuts, "grp").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("cuts")))

@@ -180,6 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, directio
              .join(F.broadcast(sample), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text")))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for a, b in T.slices(batch.column(2)):
                 rows = term_counts(batch.column(2).slice(a, b - a))
@@ -212,6 +213,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "quality
     schema = StructType([*rows.schema.fields, StructField(out, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         known = shared.value
         for batch in batches:
             for a, b in T.slices(batch.column(place)):
